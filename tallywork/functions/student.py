@@ -1,41 +1,59 @@
-"""Two-sided p-value of a t statistic, for the few rows that a test ends in."""
+"""Two-sided p-value of a t statistic, as an expression for the few rows that a test ends in."""
 
 from __future__ import annotations
 
 import math
 
-import pandas as pd
+from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+_SHIFT = 20
 
-def two_sided(t: float, df: float) -> float:
-    """P(|T| >= |t|): the incomplete beta function at df / (df + t^2), by its continued fraction."""
-    if math.isnan(t) or math.isnan(df) or df <= 0:
-        return math.nan
-    x = df / (df + t * t)
-    if x >= 1.0:
-        return 1.0
-    a, b = df / 2.0, 0.5
-    if x < (a + 1.0) / (a + b + 2.0):
-        return _beta_tail(a, b, x, -math.log1p(t * t / df), math.log1p(-x))
-    return 1.0 - _beta_tail(b, a, 1.0 - x, math.log1p(-x), math.log(x))
 
-
-def _beta_tail(a: float, b: float, x: float, log_x: float, log_rest: float) -> float:
-    front = math.exp(
-        math.lgamma(a + b) - math.lgamma(a) - math.lgamma(b) + a * log_x + b * log_rest
+def _log_gamma_step(a: Column) -> Column:
+    """ln gamma(a + 1/2) - ln gamma(a), by its series at a + 20, carried down to a."""
+    high = a + _SHIFT
+    series = (
+        F.ln(high) / 2
+        - 1 / (8 * high)
+        + 1 / (192 * F.pow(high, F.lit(3)))
+        - 1 / (640 * F.pow(high, F.lit(5)))
+        + 17 / (14336 * F.pow(high, F.lit(7)))
     )
-    # Evaluated from the back: the depth that is needed grows with the root of a and b.
-    depth = 200 + 4 * math.isqrt(int(max(a, b)) + 1)
-    value = 1.0
-    for m in range(depth, 0, -1):
-        even = m * (b - m) * x / ((a + 2 * m - 1) * (a + 2 * m))
-        odd = -(a + m - 1) * (a + b + m - 1) * x / ((a + 2 * m - 2) * (a + 2 * m - 1))
-        value = 1.0 + odd / (1.0 + even / value)
-    return front / (a * value)
+    steps = F.sequence(F.lit(0), F.lit(_SHIFT - 1))
+    return series + F.aggregate(
+        steps, F.lit(0.0), lambda total, i: total + F.ln((a + i) / (a + i + 0.5))
+    )
+
 
+def _fraction(a: Column, b: Column, x: Column) -> Column:
+    """Continued fraction of the incomplete beta function, from the back.
 
-@F.pandas_udf("double")
-def two_sided_p(t: pd.Series, df: pd.Series) -> pd.Series:
-    pairs = zip(t.astype("float64"), df.astype("float64"), strict=True)
-    return pd.Series([two_sided(x, n) for x, n in pairs], dtype="float64")
+    The depth that is needed grows with the root of the larger parameter.
+    """
+    depth = (200 + 4 * F.sqrt(F.greatest(a, b))).cast("int")
+
+    def step(value: Column, m: Column) -> Column:
+        even = m * (b - m) * x / ((a + 2 * m - 1) * (a + 2 * m))
+        odd = -(a + m - 1) * (a + b + m - 1) * x / ((a + 2 * m - 2) * (a + 2 * m - 1))
+        return 1 + odd / (1 + even / value)
+
+    return F.aggregate(F.sequence(depth, F.lit(1)), F.lit(1.0), step)
+
+
+def two_sided_p(t: Column, df: Column) -> Column:
+    """P(|T| >= |t|): the incomplete beta function at df / (df + t^2) with df / 2 and 1 / 2."""
+    t, df = t.cast("double"), df.cast("double")
+    a, half = df / 2, F.lit(0.5)
+    square = t * t
+    x, rest = df / (df + square), square / (df + square)
+    front = F.exp(
+        _log_gamma_step(a)
+        - 0.5 * math.log(math.pi)
+        - a * F.log1p(square / df)
+        + 0.5 * F.ln(rest)
+    )
+    near = x >= (a + 1) / (a + 2.5)
+    tail = front / (a * _fraction(a, half, x))
+    centre = 1 - front / (half * _fraction(half, a, rest))
+    return F.when(square == 0, 1.0).when((df > 0) & near, centre).when(df > 0, tail)

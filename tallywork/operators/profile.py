@@ -89,8 +89,8 @@ def job_rollup(
     )
 
 
-def query_rollup(jobs: DataFrame, threads: int, *by: str) -> DataFrame:
-    """One row, or one per value of ``by``, from the rows of ``job_rollup``.
+def query_rollup(jobs: DataFrame, threads: int) -> DataFrame:
+    """One row from the rows of ``job_rollup``.
 
     The time of a query runs from its first submission to its last completion.
     """
@@ -103,15 +103,13 @@ def query_rollup(jobs: DataFrame, threads: int, *by: str) -> DataFrame:
         *SHUFFLE,
     )
     return (
-        jobs.groupBy(*by)
-        .agg(
+        jobs.agg(
             F.count(F.lit(1)).alias("num_jobs"),
             *[F.sum(c).alias(c) for c in sums],
             spark_time.span_seconds(F.min("started"), F.max("ended")).alias("execution_time"),
             F.min("min_nonskipped_tasks_per_stage").alias("min_nonskipped_tasks_per_stage"),
             F.max("max_nonskipped_tasks_per_stage").alias("max_nonskipped_tasks_per_stage"),
-        )
-        .withColumn("working_time_ratio", _working_ratio(threads))
+        ).withColumn("working_time_ratio", _working_ratio(threads))
     )
 
 
