@@ -61,7 +61,8 @@ def virtual_nodes(partition: Column, alloc_tres: Column, nnodes: Column) -> Colu
     """
     nodes = nnodes.cast("bigint")
     no_text = alloc_tres.isNull() | (alloc_tres == "")
-    asked = F.regexp_extract(alloc_tres, GPU_COUNT, 1).try_cast("bigint")
+    # No match gives an empty text; casting NULL instead spares a failed cast per row.
+    asked = F.nullif(F.regexp_extract(alloc_tres, GPU_COUNT, 1), F.lit("")).try_cast("bigint")
     gpus = F.when(no_text, nodes).otherwise(F.coalesce(asked, nodes * GPUS_PER_NODE))
     return F.when(partition.contains(GPU_PARTITION), gpus).otherwise(nodes)
 

@@ -41,9 +41,7 @@ def relative_error(left: Column, right: Column) -> Column:
     return F.try_divide(F.abs(a - b), F.abs(a))
 
 
-def double_text(value: Column) -> Column:
-    """A double as plain digits, never with an exponent: ``12345678.5``, ``0.00027``."""
-    plain = value.cast("string").cast("decimal(38,21)").cast("string")
-    return F.when(value == 0, "0.0").otherwise(
-        F.regexp_replace(F.regexp_replace(plain, "0+$", ""), r"\.$", ".0")
-    )
+def double_text(value: str) -> str:
+    """SQL for a double as plain digits, never with an exponent: ``12345678.5``, ``0.00027``."""
+    digits = f"rtrim('0', CAST(CAST(CAST({value} AS STRING) AS DECIMAL(38, 21)) AS STRING))"
+    return f"CASE WHEN {value} = 0 THEN '0.0' ELSE regexp_replace({digits}, '[.]$', '.0') END"

@@ -19,6 +19,21 @@ TAGS = (MONTH_TAG, TRIMESTER_TAG, YEAR_TAG)
 
 DATE_TEXT = "dd/MM/yyyy"
 
+# First month that a report's tag covers. The quarter is the last three months up to the report's
+# own, cut at January.
+FIRST_PERIOD = {
+    MONTH_TAG: "report",
+    TRIMESTER_TAG: "greatest(trunc(report, 'year'), add_months(report, -2))",
+    YEAR_TAG: "trunc(report, 'year')",
+}
+
+# Last report whose tag covers a month: the same the other way round.
+LAST_REPORT = {
+    MONTH_TAG: "period",
+    TRIMESTER_TAG: "least(add_months(trunc(period, 'year'), 11), add_months(period, 2))",
+    YEAR_TAG: "add_months(trunc(period, 'year'), 11)",
+}
+
 
 def month_text(file_name: Column) -> Column:
     """``jobs_Mar.txt`` -> ``Mar``; the empty string for any other name."""
@@ -40,26 +55,22 @@ def period_of(moment: Column) -> Column:
     return F.trunc(moment, "month").cast("date")
 
 
-def first_period(report: Column, tag: str) -> Column:
-    """First month that a report's tag covers.
-
-    The quarter is the last three months up to the report's own, cut at January.
-    """
-    january = F.trunc(report, "year")
-    if tag == MONTH_TAG:
-        return report
-    if tag == TRIMESTER_TAG:
-        return F.greatest(january, F.add_months(report, -2))
-    return january
+def tagged_months(first: dict[str, str], last: dict[str, str]) -> str:
+    """SQL for an array of (tag, months) with all months between two expressions per tag."""
+    rows = [
+        f"struct('{tag}' AS tag, sequence({first[tag]}, {last[tag]}, INTERVAL 1 MONTH) AS months)"
+        for tag in TAGS
+    ]
+    return f"array({', '.join(rows)})"
 
 
-def date_range_text(first: Column, last: Column) -> Column:
-    return F.concat(F.date_format(first, DATE_TEXT), F.lit(" - "), F.date_format(last, DATE_TEXT))
+def date_range_text(first: str, last: str) -> str:
+    return f"date_format({first}, '{DATE_TEXT}') || ' - ' || date_format({last}, '{DATE_TEXT}')"
 
 
-def days_to_end(first: Column, report: Column) -> Column:
-    """Days from ``first`` to the last day of the report's month, both counted."""
-    return F.datediff(F.add_months(report, 1), first)
+def days_to_end(first: str, report: str = "report") -> str:
+    """SQL for the days from ``first`` to the last day of the report's month, both counted."""
+    return f"datediff(add_months({report}, 1), {first})"
 
 
 def default_report(today: dt.date | None = None) -> dt.date:

@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tallywork.functions import periods
 from tallywork.operators.scan import number_rows, scan_before
 
 CONFIGURATION = ("compiler", "model", "quantization", "prompt")
@@ -18,51 +17,34 @@ def table(spark: SparkSession, directory: str, name: str) -> DataFrame:
 
 def jobs(spark: SparkSession, directory: str) -> DataFrame:
     """Orders as job-accounting records, with the month of the order as period."""
-    customer, order = F.col("o_custkey"), F.col("o_orderkey")
-    who = customer.cast("string")
-    priority, status, rest = F.col("o_orderpriority"), F.col("o_orderstatus"), order % 4
-    return table(spark, directory, "orders").select(
-        order.alias("JobIDRaw"),
-        (F.floor("o_totalprice").cast("bigint") % 86400).alias("ElapsedRaw"),
-        (1 + customer % 8).alias("NNodes"),
-        (1 + customer % 128).alias("AllocCPUS"),
-        F.when(priority == "1-URGENT", "normal-arm")
-        .when(priority == "2-HIGH", "normal-a100-40")
-        .when(priority == "3-MEDIUM", "dev-a100-80")
-        .otherwise("normal-x86")
-        .alias("Partition"),
-        F.when(customer % 3 == 0, F.concat(F.lit("f"), who))
-        .when(customer % 3 == 1, F.concat(F.lit("ee"), who))
-        .otherwise(F.concat(F.lit("x"), who))
-        .alias("Account"),
-        F.when(status == "F", "COMPLETED")
-        .when(status == "O", "FAILED")
-        .otherwise(F.concat(F.lit("CANCELLED by "), who))
-        .alias("State"),
-        F.when(rest == 1, "")
-        .when(rest == 2, F.concat(F.lit("billing=1,gres/gpu="), (1 + order % 5).cast("string")))
-        .when(rest == 3, "billing=1")
-        .alias("AllocTRES"),
-        periods.period_of(F.col("o_orderdate")).alias("period"),
+    return table(spark, directory, "orders").selectExpr(
+        "o_orderkey AS JobIDRaw",
+        "CAST(floor(o_totalprice) AS BIGINT) % 86400 AS ElapsedRaw",
+        "1 + o_custkey % 8 AS NNodes",
+        "1 + o_custkey % 128 AS AllocCPUS",
+        """CASE o_orderpriority WHEN '1-URGENT' THEN 'normal-arm' WHEN '2-HIGH' THEN 'normal-a100-40'
+           WHEN '3-MEDIUM' THEN 'dev-a100-80' ELSE 'normal-x86' END AS Partition""",
+        """CASE o_custkey % 3 WHEN 0 THEN concat('f', o_custkey) WHEN 1 THEN concat('ee', o_custkey)
+           ELSE concat('x', o_custkey) END AS Account""",
+        """CASE o_orderstatus WHEN 'F' THEN 'COMPLETED' WHEN 'O' THEN 'FAILED'
+           ELSE concat('CANCELLED by ', o_custkey) END AS State""",
+        """CASE o_orderkey % 4 WHEN 1 THEN '' WHEN 2 THEN concat('billing=1,gres/gpu=', 1 + o_orderkey % 5)
+           WHEN 3 THEN 'billing=1' END AS AllocTRES""",
+        "CAST(trunc(o_orderdate, 'month') AS DATE) AS period",
     )
 
 
 def unnumbered_measurements(spark: SparkSession, directory: str) -> DataFrame:
     """Events as measurements; ``event_id`` gives the order of the runs."""
-    user, event = F.col("user_id"), F.col("event_id")
-
-    def label(prefix: str, number) -> Column:
-        return F.concat(F.lit(prefix), number.cast("string"))
-
-    return table(spark, directory, "events").select(
+    return table(spark, directory, "events").selectExpr(
         "event_id",
-        label("c", user % 4).alias("compiler"),
-        F.col("event_type").alias("model"),
-        label("q", event % 2).alias("quantization"),
-        label("p", event % 3).alias("prompt"),
-        F.col("value").alias("ttft"),
-        (F.get_json_object("props", "$.k").cast("double") + 1).alias("tpot"),
-        (user * 1000000 + event).alias("mem"),
+        "concat('c', user_id % 4) AS compiler",
+        "event_type AS model",
+        "concat('q', event_id % 2) AS quantization",
+        "concat('p', event_id % 3) AS prompt",
+        "value AS ttft",
+        "CAST(get_json_object(props, '$.k') AS DOUBLE) + 1 AS tpot",
+        "user_id * 1000000 + event_id AS mem",
     )
 
 

@@ -49,8 +49,7 @@ def usage_cube(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _tag_report(spark: SparkSession, sf: str, tag: str) -> DataFrame:
-    cube = usage.usage_cube(data.jobs(spark, sf))
-    rows = report.usage_report(cube, report.reports_of(cube)).filter(F.col("tag") == tag)
+    rows = report.usage_report(usage.usage_cube(data.jobs(spark, sf))).filter(F.col("tag") == tag)
     return rounded(rows.drop("tag"), "value")
 
 
@@ -70,8 +69,7 @@ def usage_report_year(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _params(spark: SparkSession, sf: str) -> DataFrame:
-    cube = usage.usage_cube(data.jobs(spark, sf))
-    return report.usage_params(cube, report.reports_of(cube)).drop("position")
+    return report.usage_params(usage.usage_cube(data.jobs(spark, sf))).drop("position")
 
 
 def _months(jobs: DataFrame) -> DataFrame:

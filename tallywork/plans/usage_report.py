@@ -1,9 +1,9 @@
 """Monthly usage reports.
 
 A report belongs to a month. It has the figures of that month, of the quarter that ends with it
-and of the year up to it. ``reports`` is a DataFrame with one DATE column ``report``, the first
-day of the month: one row for one report, or as many as are wanted. All of them come from the same
-cube, which is the only thing that reads the jobs.
+and of the year up to it. All reports come from the same cube, which is the only thing that reads
+the jobs. Where an operator takes ``reports``, that is a DataFrame with one DATE column ``report``,
+the first day of the month: one row for one report, or as many as are wanted.
 """
 
 from __future__ import annotations
@@ -12,7 +12,7 @@ import datetime as dt
 from collections.abc import Iterable
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallywork.functions import classify, numbers, periods
@@ -52,28 +52,50 @@ HOUR_MACROS = {
 
 def report_months(spark: SparkSession, months: Iterable[tuple[int, int]]) -> DataFrame:
     """Reports for the given (year, month) pairs."""
-    days = [(dt.date(year, month, 1),) for year, month in months]
-    return spark.createDataFrame(days, "report DATE")
-
-
-def reports_of(cube: DataFrame) -> DataFrame:
-    """One report for every month that has jobs."""
-    return cube.filter(F.col("period").isNotNull()).select(F.col("period").alias("report")).distinct()
+    days = ", ".join(f"(DATE'{dt.date(year, month, 1)}')" for year, month in months)
+    return spark.sql(f"SELECT report FROM VALUES {days} AS months (report)")
 
 
 def period_map(reports: DataFrame) -> DataFrame:
     """The months that each tag of each report covers: at most 1 + 3 + 12 rows per report."""
-    report = F.col("report")
-    tags = F.array(
-        *[
-            F.struct(F.lit(tag).alias("tag"), periods.first_period(report, tag).alias("first"))
-            for tag in periods.TAGS
-        ]
-    )
-    months = F.sequence(F.col("t.first"), report, F.expr("INTERVAL 1 MONTH"))
-    return reports.select("report", F.explode(tags).alias("t")).select(
-        "report", F.col("t.tag").alias("tag"), F.explode(months).alias("period")
+    covered = periods.tagged_months(periods.FIRST_PERIOD, dict.fromkeys(periods.TAGS, "report"))
+    tagged = reports.selectExpr("report", f"inline({covered})")
+    return tagged.selectExpr("report", "tag", "explode(months) AS period")
+
+
+_CLUSTERS = ", ".join(f"'{cluster}'" for cluster in classify.CLUSTERS)
+_TAGS = ", ".join(f"'{tag}'" for tag in periods.TAGS)
+
+
+def _with_reports(cube: DataFrame) -> DataFrame:
+    """Each row of the cube once for every report, tag and cluster that it can go into.
+
+    The rows of ``period_map`` the other way round: no join, and at most 48 copies of a row of
+    the cube, never of a job. A row also comes under the clusters that are not its own, so that
+    every cluster has its figures in every report.
+    """
+    fed = periods.tagged_months(dict.fromkeys(periods.TAGS, "period"), periods.LAST_REPORT)
+    tagged = cube.filter("period IS NOT NULL").selectExpr(
+        "*", f"explode(array({_CLUSTERS})) AS of_cluster"
     )
+    return tagged.selectExpr("*", f"inline({fed})").selectExpr("*", "explode(months) AS report")
+
+
+def _date_columns(year_start: dt.date | None) -> dict[str, str]:
+    quarter = periods.FIRST_PERIOD[periods.TRIMESTER_TAG]
+    year = f"DATE'{year_start}'" if year_start else periods.FIRST_PERIOD[periods.YEAR_TAG]
+    return {
+        "month_range": periods.date_range_text("report", "last_day(report)"),
+        "quarter_range": periods.date_range_text(quarter, "last_day(report)"),
+        "year_range": periods.date_range_text(year, "last_day(report)"),
+        "month_name": "date_format(report, 'MMMM')",
+        "month_abbreviation": "date_format(report, 'MMM')",
+        "year": "year(report)",
+        "days": periods.days_to_end("report"),
+        "quarter_days": periods.days_to_end(quarter),
+        "year_days": periods.days_to_end(year),
+        "available_hours": f"{periods.days_to_end('report')} * 24",
+    }
 
 
 def calendar(reports: DataFrame, year_start: dt.date | None = None) -> DataFrame:
@@ -81,123 +103,111 @@ def calendar(reports: DataFrame, year_start: dt.date | None = None) -> DataFrame
 
     ``year_start`` moves the first day of the year to date, for a service that began later.
     """
-    report = F.col("report")
-    last = F.last_day(report)
-    quarter = periods.first_period(report, periods.TRIMESTER_TAG)
-    year = F.lit(year_start) if year_start else periods.first_period(report, periods.YEAR_TAG)
-    return reports.select(
-        "report",
-        periods.date_range_text(report, last).alias("month_range"),
-        periods.date_range_text(quarter, last).alias("quarter_range"),
-        periods.date_range_text(year, last).alias("year_range"),
-        F.date_format(report, "MMMM").alias("month_name"),
-        F.date_format(report, "MMM").alias("month_abbreviation"),
-        F.year(report).alias("year"),
-        periods.days_to_end(report, report).alias("days"),
-        periods.days_to_end(quarter, report).alias("quarter_days"),
-        periods.days_to_end(year, report).alias("year_days"),
-        (periods.days_to_end(report, report) * 24).alias("available_hours"),
+    columns = [f"{sql} AS {name}" for name, sql in _date_columns(year_start).items()]
+    return reports.selectExpr("report", *columns)
+
+
+def _add_up(rows: DataFrame, figures: dict[str, str], reports: DataFrame | None) -> DataFrame:
+    """Sum the figures by report, tag and cluster.
+
+    Without ``reports`` there is one report for every month that has jobs. With it there are just
+    those, and one for a month without jobs as well.
+    """
+    keys = ["report", "tag", "of_cluster"]
+    totals = rows.groupBy(*keys).agg(
+        F.expr("bool_or(period = report) AS own_jobs"),
+        *[F.expr(f"sum({part}) AS {name}") for name, part in figures.items()],
+    )
+    if reports is None:
+        return totals.filter("own_jobs").selectExpr(*keys, "true AS any_jobs", *figures)
+    wanted = reports.selectExpr("report", f"explode(array({_TAGS})) AS tag").selectExpr(
+        "*", f"explode(array({_CLUSTERS})) AS of_cluster"
     )
+    joined = wanted.join(totals, keys, "left")
+    return joined.selectExpr(*keys, "own_jobs IS NOT NULL AS any_jobs", *figures)
 
 
-def usage_totals(cube: DataFrame, reports: DataFrame) -> DataFrame:
-    """One row per report and tag, one column per cluster and figure.
+def usage_totals(cube: DataFrame, reports: DataFrame | None = None) -> DataFrame:
+    """One row per report, tag and cluster, one column per figure.
 
-    A left join from the reports: a month without jobs still has its row. NULL means that no
-    group of the cube went into the figure. ``any_jobs`` tells if the tag's months had jobs.
+    NULL means that no group of the cube went into the figure. ``any_jobs`` tells if the tag's
+    months had jobs at all.
     """
-    rows = period_map(reports).join(cube, "period", "left")
-    sums = [
-        F.sum(F.when((F.col("cluster") == cluster) & F.expr(part), F.col(measure))).alias(
-            cluster + figure
-        )
-        for cluster in classify.CLUSTERS
+    figures = {
+        figure: f"CASE WHEN cluster = of_cluster AND {part} THEN {measure} END"
         for figure, (measure, part) in FIGURES.items()
-    ]
-    any_jobs = (F.count("cluster") > 0).alias("any_jobs")
-    return rows.groupBy("report", "tag").agg(any_jobs, *sums)
-
-
-def _figures(totals: DataFrame, value) -> DataFrame:
-    """Turn the columns of ``usage_totals`` into rows; ``value(column, figure, measure)``."""
-    rows = [
-        F.struct(
-            F.lit(cluster).alias("cluster"),
-            F.lit(figure).alias("metric"),
-            value(F.col(cluster + figure), figure, measure).alias("value"),
-        )
-        for cluster in classify.CLUSTERS
-        for figure, (measure, _) in FIGURES.items()
-    ]
-    return totals.select("report", "tag", F.explode(F.array(*rows)).alias("f")).select(
-        "report", "tag", "f.*"
-    )
+    }
+    return _add_up(_with_reports(cube), figures, reports)
 
 
-def usage_report(cube: DataFrame, reports: DataFrame) -> DataFrame:
-    """(report, tag, cluster, metric, value); hours as hours, absent figures as 0."""
+def _number(column: str, measure: str) -> str:
+    known = f"coalesce({column}, 0L)"
+    return f"{known} / 3600" if measure == SECONDS else f"CAST({known} AS DOUBLE)"
 
-    def number(column: Column, _: str, measure: str) -> Column:
-        known = F.coalesce(column, F.lit(0))
-        return numbers.hours(known) if measure == SECONDS else known.cast("double")
 
-    return _figures(usage_totals(cube, reports), number)
+def usage_report(cube: DataFrame, reports: DataFrame | None = None) -> DataFrame:
+    """(report, tag, cluster, metric, value); hours as hours, absent figures as 0."""
+    rows = ", ".join(
+        f"('{figure}', {_number(figure, measure)})" for figure, (measure, _) in FIGURES.items()
+    )
+    return usage_totals(cube, reports).selectExpr(
+        "report", "tag", "of_cluster AS cluster", f"inline(array({rows})) AS (metric, value)"
+    )
 
 
-def _figure_text(column: Column, figure: str, measure: str) -> Column:
+def _text(figure: str, measure: str) -> str:
     """Counts as integers, hours as plain decimals.
 
     An hour figure that nothing went into reads 0; the general one reads 0.0 when the tag's
     months had jobs of other groups.
     """
     if measure == JOBS:
-        return F.coalesce(column, F.lit(0)).cast("string")
-    text = numbers.double_text(numbers.hours(column))
+        return f"CAST(coalesce({figure}, 0L) AS STRING)"
+    text = numbers.double_text(f"({figure} / 3600)")
     if figure == "usedhours":
-        return F.coalesce(text, F.when(F.col("any_jobs"), "0.0"), F.lit("0"))
-    return F.coalesce(text, F.lit("0"))
-
-
-def _header(reports: DataFrame, year_start: dt.date | None) -> DataFrame:
-    values = {
-        "reportPeriod": F.col("month_range"),
-        "reportPeriodTrimester": F.col("quarter_range"),
-        "reportPeriodYear": F.col("year_range"),
-        "reportMonth": F.col("month_name"),
-        "reportYear": F.col("year").cast("string"),
-        **{key: F.lit(value) for key, value in CAPACITY.items()},
-        "ndays": F.col("days").cast("string"),
-        "ndaysTrimester": F.col("quarter_days").cast("string"),
-        "ndaysYear": F.col("year_days").cast("string"),
-        **{key: F.lit(value) for key, value in HOUR_MACROS.items()},
+        return f"coalesce({text}, CASE WHEN any_jobs THEN '0.0' END, '0')"
+    return f"coalesce({text}, '0')"
+
+
+def _header(year_start: dt.date | None) -> dict[str, str]:
+    dates = _date_columns(year_start)
+    return {
+        "reportPeriod": dates["month_range"],
+        "reportPeriodTrimester": dates["quarter_range"],
+        "reportPeriodYear": dates["year_range"],
+        "reportMonth": dates["month_name"],
+        "reportYear": dates["year"],
+        **{key: f"'{value}'" for key, value in CAPACITY.items()},
+        "ndays": dates["days"],
+        "ndaysTrimester": dates["quarter_days"],
+        "ndaysYear": dates["year_days"],
+        **{key: f"r'{value}'" for key, value in HOUR_MACROS.items()},
     }
-    rows = F.array(
-        *[F.struct(F.lit(key).alias("key"), v.alias("value")) for key, v in values.items()]
-    )
-    dated = calendar(reports, year_start)
-    return dated.select("report", F.posexplode(rows).alias("position", "row")).select(
-        "report", "position", "row.*"
-    )
 
 
-def _as_params(totals: DataFrame, reports: DataFrame, year_start: dt.date | None) -> DataFrame:
-    figures = _figures(totals, _figure_text).select(
-        "report",
-        # Behind the header, by tag; the writer sorts by position and key.
-        (F.lit(100) + F.array_position(F.array(*map(F.lit, periods.TAGS)), F.col("tag")))
-        .cast("int")
-        .alias("position"),
-        F.concat("cluster", "metric", "tag").alias("key"),
-        "value",
+def as_params(totals: DataFrame, year_start: dt.date | None = None) -> DataFrame:
+    """Totals as the 70 texts of every report; the header comes with one row of the month."""
+    head = [f"('{key}', CAST({sql} AS STRING))" for key, sql in _header(year_start).items()]
+    figures = [
+        f"(of_cluster || '{figure}' || tag, {_text(figure, measure)})"
+        for figure, (measure, _) in FIGURES.items()
+    ]
+    first = f"tag = '{periods.MONTH_TAG}' AND of_cluster = '{classify.CLUSTERS[0]}'"
+    rows = (
+        f"CASE WHEN {first} THEN array({', '.join(head + figures)})"
+        f" ELSE array({', '.join(figures)}) END"
+    )
+    position = f"100 * array_position(array({_TAGS}), tag) + pos"
+    return totals.selectExpr("report", "tag", f"posexplode({rows}) AS (pos, r)").selectExpr(
+        "report", f"CAST({position} AS INT) AS position", "r.col1 AS key", "r.col2 AS value"
     )
-    return _header(reports, year_start).unionByName(figures)
 
 
 def usage_params(
-    cube: DataFrame, reports: DataFrame, year_start: dt.date | None = None
+    cube: DataFrame, reports: DataFrame | None = None, year_start: dt.date | None = None
 ) -> DataFrame:
     """The 70 parameters of every report as text: (report, position, key, value)."""
-    return _as_params(usage_totals(cube, reports), reports, year_start)
+    return as_params(usage_totals(cube, reports), year_start)
 
 
 def month_report(
@@ -216,58 +226,49 @@ def month_report(
 def usage_totals_multipass(jobs: DataFrame, reports: DataFrame) -> DataFrame:
     """One pass over the jobs for each tag instead of one for all."""
     covered = period_map(reports)
-    cube = usage.usage_cube
 
     def one(tag: str) -> DataFrame:
-        months = covered.filter(F.col("tag") == tag).select("period").distinct()
-        return usage_totals(cube(jobs.join(months, "period", "left_semi")), reports).filter(
-            F.col("tag") == tag
-        )
+        months = covered.filter(f"tag = '{tag}'").select("period").distinct()
+        cube = usage.usage_cube(jobs.join(months, "period", "left_semi"))
+        return usage_totals(cube, reports).filter(f"tag = '{tag}'")
 
     return reduce(DataFrame.unionByName, map(one, periods.TAGS))
 
 
 def usage_totals_direct(jobs: DataFrame, reports: DataFrame) -> DataFrame:
     """A separate query for each figure, each with its own pass and its own filter."""
-    covered = period_map(reports)
-    by_outcome = F.when(F.col("outcome") == "COMPLETED", "CompletedJobs").otherwise("FailedJobs")
+    by_outcome = "CASE WHEN outcome = 'COMPLETED' THEN 'CompletedJobs' ELSE 'FailedJobs' END"
+    ehpc_sums = usage.agency_sums(jobs, EUROHPC, ["job_seconds"], "period")
     answers = [
         _answer(usage.jobs_by_outcome(jobs, "period"), by_outcome, JOBS),
-        _answer(usage.nonlocal_seconds(jobs, "period"), F.lit("usedhours"), SECONDS),
-        _answer(usage.nonlocal_jobs(jobs, "period"), F.lit("Jobs"), JOBS),
-        _answer(usage.agency_jobs(jobs, EUROHPC, "period"), F.lit("JobsEuroHPC"), JOBS),
-        _answer(
-            usage.agency_sums(jobs, EUROHPC, ["job_seconds"], "period"),
-            F.lit("usedhoursEuroHPC"),
-            "sum_job_seconds",
-        ),
-    ]
-    known = covered.join(reduce(DataFrame.unionByName, answers), "period", "left")
-    sums = [
-        F.sum(F.when((F.col("cluster") == c) & (F.col("metric") == m), F.col("amount"))).alias(c + m)
-        for c in classify.CLUSTERS
-        for m in FIGURES
+        _answer(usage.nonlocal_seconds(jobs, "period"), "'usedhours'", SECONDS),
+        _answer(usage.nonlocal_jobs(jobs, "period"), "'Jobs'", JOBS),
+        _answer(usage.agency_jobs(jobs, EUROHPC, "period"), "'JobsEuroHPC'", JOBS),
+        _answer(ehpc_sums, "'usedhoursEuroHPC'", "sum_job_seconds"),
     ]
-    any_jobs = (F.count("cluster") > 0).alias("any_jobs")
-    return known.groupBy("report", "tag").agg(any_jobs, *sums)
+    figures = {
+        figure: f"CASE WHEN cluster = of_cluster AND metric = '{figure}' THEN amount END"
+        for figure in FIGURES
+    }
+    found = period_map(reports).join(reduce(DataFrame.unionByName, answers), "period")
+    rows = found.selectExpr("*", f"explode(array({_CLUSTERS})) AS of_cluster")
+    return _add_up(rows, figures, reports)
 
 
-def _answer(grouped: DataFrame, metric: Column, amount: str) -> DataFrame:
-    return grouped.select(
-        "period", "cluster", metric.alias("metric"), F.col(amount).alias("amount")
-    )
+def _answer(grouped: DataFrame, metric: str, amount: str) -> DataFrame:
+    return grouped.selectExpr("period", "cluster", f"{metric} AS metric", f"{amount} AS amount")
 
 
 def usage_params_multipass(
     jobs: DataFrame, reports: DataFrame, year_start: dt.date | None = None
 ) -> DataFrame:
-    return _as_params(usage_totals_multipass(jobs, reports), reports, year_start)
+    return as_params(usage_totals_multipass(jobs, reports), year_start)
 
 
 def usage_params_direct(
     jobs: DataFrame, reports: DataFrame, year_start: dt.date | None = None
 ) -> DataFrame:
-    return _as_params(usage_totals_direct(jobs, reports), reports, year_start)
+    return as_params(usage_totals_direct(jobs, reports), year_start)
 
 
 def compare_reports(left: DataFrame, right: DataFrame, tolerance: float = 0.001) -> DataFrame:

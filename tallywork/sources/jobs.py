@@ -64,12 +64,9 @@ def read_jobs(
         .csv(path)
     )
     name = F.col("_metadata.file_name")
-    columns = [
-        _required(field) if checked and not field.nullable else F.col(field.name)
-        for field in JOB_SCHEMA
-    ]
+    columns = [field.name if field.nullable else _required(field) for field in JOB_SCHEMA]
     return raw.select(
-        *columns,
+        *(columns if checked else ["*"]),
         periods.period_of_file(name, year, aliases).alias("period"),
         name.alias("file_name"),
     )

@@ -37,7 +37,7 @@ def write_report(params: DataFrame, path: str) -> None:
     """
     (
         params.repartition(1)
-        .sortWithinPartitions("position")
+        .sortWithinPartitions("position", "key")
         .select(names.report_line(F.col("key"), F.col("value")).alias("value"))
         .write.mode("overwrite")
         .text(path)
