@@ -187,20 +187,22 @@ def _header(year_start: dt.date | None) -> dict[str, str]:
 
 def as_params(totals: DataFrame, year_start: dt.date | None = None) -> DataFrame:
     """Totals as the 70 texts of every report; the header comes with one row of the month."""
-    head = [f"('{key}', CAST({sql} AS STRING))" for key, sql in _header(year_start).items()]
+    head = [
+        f"({n}, '{key}', CAST({sql} AS STRING))"
+        for n, (key, sql) in enumerate(_header(year_start).items())
+    ]
+    # Figures stand behind the header, tag by tag.
+    behind = f"100 * CAST(array_position(array({_TAGS}), tag) AS INT)"
     figures = [
-        f"(of_cluster || '{figure}' || tag, {_text(figure, measure)})"
-        for figure, (measure, _) in FIGURES.items()
+        f"({behind} + {n}, of_cluster || '{figure}' || tag, {_text(figure, measure)})"
+        for n, (figure, (measure, _)) in enumerate(FIGURES.items())
     ]
     first = f"tag = '{periods.MONTH_TAG}' AND of_cluster = '{classify.CLUSTERS[0]}'"
     rows = (
         f"CASE WHEN {first} THEN array({', '.join(head + figures)})"
         f" ELSE array({', '.join(figures)}) END"
     )
-    position = f"100 * array_position(array({_TAGS}), tag) + pos"
-    return totals.selectExpr("report", "tag", f"posexplode({rows}) AS (pos, r)").selectExpr(
-        "report", f"CAST({position} AS INT) AS position", "r.col1 AS key", "r.col2 AS value"
-    )
+    return totals.selectExpr("report", f"inline({rows}) AS (position, key, value)")
 
 
 def usage_params(

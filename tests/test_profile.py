@@ -1,0 +1,162 @@
+import json
+import statistics
+
+import pytest
+from pyspark.sql import functions as F
+
+from tallywork.operators import profile
+from tallywork.sources import spark_metrics, tables
+
+from conftest import rows_of
+
+
+def task(n, duration, written=0, read=0, remote=0):
+    return {
+        "taskId": n,
+        "duration": duration,
+        "taskMetrics": {
+            "shuffleWriteMetrics": {"bytesWritten": written, "recordsWritten": 1},
+            "shuffleReadMetrics": {
+                "localBytesRead": read, "remoteBytesRead": remote, "recordsRead": 2,
+            },
+        },
+    }
+
+
+def stage(n, status, start, end, tasks, num_tasks=4, attempt=0, **shuffle):
+    return {
+        "stageId": n, "attemptId": attempt, "status": status, "numTasks": num_tasks,
+        "submissionTime": start, "completionTime": end,
+        "shuffleWriteBytes": shuffle.get("written", 0), "shuffleWriteRecords": 0,
+        "shuffleReadBytes": shuffle.get("read", 0), "shuffleReadRecords": 0,
+        "tasks": {str(t["taskId"]): t for t in tasks},
+    }
+
+
+T = "2025-01-31T10:00:{}GMT"
+JOBS = [
+    # Two stages of which one is skipped; a job without length; a job whose stage failed once.
+    {"jobId": 0, "name": "a", "submissionTime": T.format("00.000"),
+     "completionTime": T.format("04.500"), "stageIds": [0, 1], "numTasks": 6},
+    {"jobId": 1, "name": "b", "submissionTime": T.format("05.000"),
+     "completionTime": T.format("05.000"), "stageIds": [2], "numTasks": 1},
+    {"jobId": 2, "name": "c", "submissionTime": T.format("06.000"),
+     "completionTime": T.format("09.000"), "stageIds": [3], "numTasks": 1},
+]
+STAGES = [
+    stage(0, "COMPLETE", T.format("00.500"), T.format("04.500"),
+          [task(1, 1000), task(2, 3000, written=7, read=5, remote=6)], written=7, read=11),
+    stage(1, "SKIPPED", None, None, [], num_tasks=4),
+    stage(2, "COMPLETE", T.format("05.000"), T.format("05.000"), [task(3, 0)], num_tasks=1),
+    stage(3, "FAILED", T.format("06.000"), T.format("07.000"), [task(4, 900)], attempt=0, written=99),
+    stage(3, "COMPLETE", T.format("07.000"), T.format("09.000"), [task(5, 1800)], attempt=1, written=3),
+]
+
+
+@pytest.fixture(params=["lines", "array"])
+def metrics(spark, tmp_path, request):
+    whole = request.param == "array"
+    for name, records in (("jobs", JOBS), ("stages", STAGES)):
+        text = json.dumps(records, indent=1) if whole else "\n".join(map(json.dumps, records))
+        (tmp_path / f"{name}.json").write_text(text)
+    jobs = spark_metrics.read_jobs(spark, str(tmp_path / "jobs.json"), whole)
+    stages = spark_metrics.read_stages(spark, str(tmp_path / "stages.json"), whole)
+    return jobs, stages
+
+
+def test_rollup(metrics):
+    jobs, stages = metrics
+    tasks = spark_metrics.tasks_of(stages)
+    assert tasks.count() == 4
+    assert {r.task_id: r.shuffle_read_bytes for r in tasks.collect()}[2] == 11
+
+    by_stage = profile.stage_rollup(stages, tasks, threads=2)
+    got = {r.stage_id: r for r in by_stage.collect()}
+    assert (got[0].execution_time, got[0].working_time, got[0].working_time_ratio) == (4.0, 4.0, 0.5)
+    assert got[1].skipped and got[1].num_nonskipped_tasks == 0 and got[1].execution_time == 0
+    assert got[1].working_time_ratio == 1.0 and got[2].working_time_ratio == 1.0
+    assert got[3].shuffle_write_bytes == 3
+
+    by_job = profile.job_rollup(jobs, spark_metrics.job_stages(jobs), by_stage, threads=2)
+    job = {r.job_id: r for r in by_job.collect()}
+    assert (job[0].num_stages, job[0].num_nonskipped_stages) == (2, 1)
+    assert (job[0].num_tasks, job[0].num_nonskipped_tasks) == (6, 2)
+    assert job[0].execution_time == 4.5
+    assert job[0].working_time_ratio == pytest.approx(4.0 / 9.0)
+    assert job[1].working_time_ratio == 1.0
+
+    total = profile.query_rollup(by_job, threads=2).first()
+    assert (total.num_jobs, total.num_stages, total.num_nonskipped_stages) == (3, 4, 3)
+    assert (total.num_tasks, total.num_nonskipped_tasks) == (8, 4)
+    assert (total.min_nonskipped_tasks_per_stage, total.max_nonskipped_tasks_per_stage) == (1, 2)
+    assert (total.shuffle_write_bytes, total.shuffle_read_bytes) == (10, 11)
+    assert total.execution_time == 9.0
+    assert total.working_time_ratio == pytest.approx(5.8 / 18.0)
+
+
+def test_new_jobs(metrics):
+    jobs, _ = metrics
+    seen = jobs.filter("job_id < 2")
+    assert [r.job_id for r in spark_metrics.new_since(jobs, seen).collect()] == [2]
+
+
+@pytest.fixture(scope="module")
+def runs(spark):
+    rows = [("x", t, run, 8.0 / t + run / 10, t / 8, 10 * run) for t in (1, 2, 4) for run in range(1, 5)]
+    rows.append(("y", 1, 1, 3.0, 0.5, 7))
+    return spark.createDataFrame(
+        rows, "variant STRING, threads INT, run INT, time DOUBLE, ratio DOUBLE, jobs INT"
+    )
+
+
+def test_run_statistics(runs):
+    kept = profile.without_warmup(runs, 1)
+    assert rows_of(kept.filter("threads = 2"), "run") == [(1,), (2,), (3,)]
+    stats = profile.run_statistics(runs, ["variant", "threads"], ["time", "jobs"]).collect()
+    got = {(r.variant, r.threads, r.metric): (r.mean, r.stdev) for r in stats}
+    times = [8.0 / 2 + run / 10 for run in range(1, 5)]
+    assert got["x", 2, "time"] == pytest.approx((statistics.mean(times), statistics.stdev(times)))
+    assert got["y", 1, "time"] == (3.0, None)
+
+
+def test_first_run_is_copied(runs):
+    first = profile.first_run(runs, ["variant", "threads"], ["jobs"])
+    assert rows_of(first.filter("variant = 'x'")) == [("x", 1, 10), ("x", 2, 10), ("x", 4, 10)]
+
+
+def test_statistics_document(spark, runs, tmp_path):
+    groups = {"sparkMetrics": ["jobs"], "times": ["time"]}
+    document = profile.statistics_document(runs, ["variant", "threads"], groups)
+    tables.write_json(document, str(tmp_path / "out"))
+    lines = [json.loads(r.value) for r in spark.read.text(str(tmp_path / "out")).collect()]
+    one = next(x for x in lines if x["variant"] == "x" and x["threads"] == 4)
+    assert one["sparkMetrics"]["jobsMean"] == 25.0 and one["times"]["timeStdev"] > 0
+    alone = next(x for x in lines if x["variant"] == "y")
+    assert "timeStdev" not in alone["times"]
+
+
+def test_counter_phases(spark):
+    rows = [(1, 0, 100, 10.0), (1, 1, 130, 12.0), (1, 2, 200, 12.0), (2, 0, 5, 1.0), (2, 1, 6, 2.0)]
+    samples = spark.createDataFrame(rows, "run INT, phase INT, bytes BIGINT, clock DOUBLE")
+    phases = profile.counter_phases(samples, ["run"], ["bytes", "clock"])
+    rates = profile.phase_rates(phases, "bytes", "clock").orderBy("run").collect()
+    assert (rates[0].load_bytes, rates[0].process_bytes, rates[0].total_bytes) == (30, 70, 100)
+    assert rates[0].load_bytes_rate == 15.0
+    assert rates[0].process_bytes_rate is None
+    assert rates[0].total_bytes_rate == 50.0
+    assert (rates[1].load_bytes, rates[1].total_bytes) == (1, None)
+
+
+def test_scaling_table(runs):
+    table = profile.scaling_table(runs.filter("variant = 'x'"), "variant", "threads", "time", "ratio")
+    rows = table.orderBy("threads").collect()
+    assert [r.speedup for r in rows] == pytest.approx([8.25 / 8.25, 8.25 / 4.25, 8.25 / 2.25])
+    assert [r.idle for r in rows] == pytest.approx([87.5, 75.0, 50.0])
+    assert "idle" not in profile.scaling_table(runs, "variant", "threads", "time").columns
+
+
+def test_busy_cpu_time(spark):
+    from tallywork.functions.numbers import busy_cpu_time
+
+    df = spark.createDataFrame([(100.0, 300.0)], "uptime DOUBLE, idle DOUBLE")
+    assert df.select(busy_cpu_time(F.col("uptime"), F.col("idle"), 4)).first()[0] == 25.0

@@ -1,0 +1,80 @@
+"""All registered queries against their SQL, and what their plans may not contain."""
+
+import math
+from pathlib import Path
+
+import duckdb
+import pytest
+
+import __spark_entry__ as registry
+
+from conftest import SF, plan_of
+
+QUERIES = registry.queries()
+TYPES = {
+    "bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR",
+    "boolean": "BOOLEAN", "date": "DATE",
+}
+
+
+@pytest.fixture(scope="module")
+def duck():
+    connection = duckdb.connect()
+    for file in Path(SF).glob("*.parquet"):
+        connection.execute(f"CREATE VIEW {file.stem} AS SELECT * FROM '{file}'")
+    return connection
+
+
+def plain(value):
+    if isinstance(value, float):
+        return None if math.isnan(value) else value + 0.0
+    return value
+
+
+def test_every_query_has_sql():
+    assert set(QUERIES) == set(registry.oracle_sql())
+    assert len(QUERIES) > 50
+
+
+@pytest.mark.parametrize("name", sorted(QUERIES))
+def test_same_as_sql(spark, duck, name):
+    df = QUERIES[name](spark, SF)
+    result = duck.execute(registry.oracle_sql()[name])
+    types = {d[0]: str(d[1]) for d in result.description}
+    assert {c: TYPES[t] for c, t in df.dtypes} == types
+    names = sorted(types)
+    at = [[d[0] for d in result.description].index(c) for c in names]
+    expected = sorted(([plain(row[i]) for i in at] for row in result.fetchall()), key=repr)
+    got = sorted(([plain(v) for v in row] for row in df.select(*names).collect()), key=repr)
+    assert got == expected
+    assert got
+
+
+@pytest.mark.parametrize("name", sorted(QUERIES))
+def test_plan(spark, name):
+    plan = plan_of(QUERIES[name](spark, SF))
+    for forbidden in ("CartesianProduct", "BroadcastNestedLoopJoin", "Python", "Pandas", "ArrowEval"):
+        assert forbidden not in plan
+
+
+def test_entry(spark):
+    df = registry.entry(spark)
+    assert df.columns == ["report", "key", "value"]
+    assert df.count() > 0
+
+
+def test_first_runs_are_cut_before_the_shuffle(spark):
+    plan = plan_of(QUERIES["config_stats"](spark, SF))
+    lines = plan.splitlines()
+    shuffle = next(i for i, line in enumerate(lines) if "Exchange" in line)
+    assert any("WindowGroupLimit" in line and "Partial" in line for line in lines[shuffle:])
+
+
+def test_tasks_are_added_up_before_the_join(spark):
+    plan = plan_of(QUERIES["stage_rollup"](spark, SF))
+    below = plan.split("Join")[1]
+    assert "partial_count" in below and "partial_sum" in below
+
+
+def test_texts_are_not_read_for_scores(spark):
+    assert "text" not in plan_of(QUERIES["score_totals"](spark, SF))

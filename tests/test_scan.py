@@ -1,0 +1,66 @@
+import random
+from itertools import groupby
+
+import pytest
+from pyspark.sql import functions as F
+
+from tallywork.operators.scan import number_rows, running_total, scan_before
+
+from conftest import plan_of, rows_of
+
+SCHEMA = "a STRING, b INT, n BIGINT, v DOUBLE"
+
+
+def some_rows(seed=1, count=300):
+    """A third of the rows under one key, NULL keys, gaps, numbers below zero, NULL values."""
+    pick = random.Random(seed)
+    keys = [("hot", 1), ("cold", 1), (None, 1), ("cold", None)]
+    return [
+        (*(keys[0] if pick.random() < 0.33 else pick.choice(keys)), n, pick.choice([None, 1.0, 2.5]))
+        for n in range(-50, count) if pick.random() < 0.7
+    ]
+
+
+def by_hand(rows):
+    result = []
+    ordered = sorted(rows, key=lambda r: (str(r[:2]), r[2]))
+    for _, group in groupby(ordered, key=lambda r: str(r[:2])):
+        count, total, last = 0, 0.0, None
+        for row in group:
+            result.append((*row, count, total, last))
+            count, total, last = count + 1, total + (row[3] or 0.0), row[3]
+    return sorted(result, key=repr)
+
+
+@pytest.mark.parametrize(("bits", "levels"), [(20, 2), (20, 0), (3, 1), (2, 2), (1, 3), (0, 2)])
+def test_scan_by_hand(spark, bits, levels):
+    rows = some_rows()
+    df = spark.createDataFrame(rows, SCHEMA)
+    got = scan_before(
+        df, ["a", "b"], "n", {"c": F.lit(1), "t": F.col("v")}, {"p": F.col("v")}, bits, levels
+    )
+    assert rows_of(got, "a", "b", "n", "v", "c", "t", "p") == by_hand(rows)
+
+
+def test_number_rows_and_running_total(spark):
+    df = spark.createDataFrame(some_rows(2), SCHEMA)
+    numbered = number_rows(df, ["a", "b"], "n", bits=4)
+    total = running_total(df, ["a", "b"], "n", "v", "t", bits=4)
+    expected = by_hand(some_rows(2))
+    assert rows_of(numbered, "a", "b", "n", "run") == sorted(
+        ((r[0], r[1], r[2], r[4] + 1) for r in expected), key=repr
+    )
+    assert rows_of(total, "a", "b", "n", "t") == sorted(
+        ((r[0], r[1], r[2], r[5] + (r[3] or 0.0)) for r in expected), key=repr
+    )
+
+
+def test_no_window_takes_a_whole_key(spark):
+    """Rows are windowed by key and block; only block sums are windowed above that."""
+    df = spark.createDataFrame(some_rows(), SCHEMA)
+    plan = plan_of(number_rows(df, ["a", "b"], "n"))
+    windows = [line for line in plan.splitlines() if "+- Window [" in line]
+    assert windows
+    assert all("_block_" in line for line in windows)
+    assert "hashpartitioning(a#" not in plan
+    assert "SinglePartition" not in plan
