@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 # The month texts of the input file names, and the file name itself.
 MONTHS = ("Jan", "Feb", "Mar", "Apr", "May", "Jun", "Jul", "Aug", "Sep", "Oct", "Nov", "Dec")
-JOB_FILE = r"jobs_([^.]+)\..*"
+JOB_FILE_PREFIX = "jobs_"
 JOB_FILE_GLOB = "jobs_*.*"
 
 # The tags of a report, month, quarter and year to date.
@@ -36,8 +36,12 @@ LAST_REPORT = {
 
 
 def month_text(file_name: Column) -> Column:
-    """``jobs_Mar.txt`` -> ``Mar``; the empty string for any other name."""
-    return F.regexp_extract(file_name, JOB_FILE, 1)
+    """``jobs_Mar.txt`` -> ``Mar``, up to the first dot; NULL for any other name.
+
+    Evaluated for every row, so by position and not by a regular expression.
+    """
+    behind = F.substring(file_name, len(JOB_FILE_PREFIX) + 1, 255)
+    return F.when(file_name.startswith(JOB_FILE_PREFIX), F.substring_index(behind, ".", 1))
 
 
 def month_number(month: Column, aliases: Mapping[str, str] | None = None) -> Column:

@@ -1,4 +1,4 @@
-"""Running totals, row numbers and previous values that no single task has to compute alone.
+"""Running totals and row numbers that no single task has to compute alone.
 
 A plain window sends all rows of a key to one task. When one configuration holds a third of the
 table that task never ends. Here the rows of a key are cut into blocks by their sequence number:
@@ -15,7 +15,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, Window, WindowSpec
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 BITS = 20
@@ -35,67 +35,34 @@ def in_blocks(
     return df.select("*", F.struct(*keys).alias(group), number.alias(block)), [group, block]
 
 
-def _before(group: Sequence[str], order: str) -> WindowSpec:
-    return Window.partitionBy(*group).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
-
-
-def _columns(
-    sums: Mapping[str, Column], lasts: Mapping[str, Column], before: WindowSpec
-) -> list[Column]:
-    return [
-        *[F.coalesce(F.sum(c).over(before), F.lit(0)).alias(n) for n, c in sums.items()],
-        *[F.last(c).over(before).alias(n) for n, c in lasts.items()],
-    ]
-
-
 def scan_before(
     df: DataFrame,
     keys: Sequence[str],
     order: str,
-    sums: Mapping[str, Column] | None = None,
-    lasts: Mapping[str, Column] | None = None,
+    sums: Mapping[str, Column],
     bits: int = BITS,
     levels: int = LEVELS,
 ) -> DataFrame:
-    """Add, over all rows of the key that come earlier in ``order``, sums and last values.
+    """Add sums over all rows of the key that come earlier in ``order``, 0 where there are none."""
+
+    def so_far(group: Sequence[str], names: Mapping[str, Column]) -> list[Column]:
+        earlier = Window.partitionBy(*group).orderBy(order)
+        before = earlier.rowsBetween(Window.unboundedPreceding, -1)
+        return [F.coalesce(F.sum(c).over(before), F.lit(0)).alias(n) for n, c in names.items()]
 
-    A sum over no rows is 0, a last value over no rows is NULL.
-    """
-    sums, lasts = dict(sums or {}), dict(lasts or {})
     if levels == 0:
-        return df.select("*", *_columns(sums, lasts, _before(keys, order)))
+        return df.select("*", *so_far(keys, sums))
 
-    # A struct around a last value tells "no earlier row" from "the earlier row holds NULL".
-    held = {n: F.struct(c.alias("v")) for n, c in lasts.items()}
     rows, at = in_blocks(df, keys, order, bits, levels)
     group, block = at
     own, carried, local = f"_own_{levels}_", f"_carry_{levels}_", f"_local_{levels}_"
-    blocks = rows.groupBy(at).agg(
-        *[F.sum(c).alias(own + n) for n, c in sums.items()],
-        *[F.max_by(c, F.col(order)).alias(own + n) for n, c in held.items()],
-    )
+    blocks = rows.groupBy(at).agg(*[F.sum(c).alias(own + n) for n, c in sums.items()])
     carry = scan_before(
-        blocks,
-        [group],
-        block,
-        {carried + n: F.col(own + n) for n in sums},
-        {carried + n: F.col(own + n) for n in lasts},
-        bits,
-        levels - 1,
-    ).select(*at, *[carried + n for n in (*sums, *lasts)])
-
-    scanned = rows.join(carry, at).select(
-        "*",
-        *_columns(
-            {local + n: c for n, c in sums.items()},
-            {local + n: c for n, c in held.items()},
-            _before(at, order),
-        ),
-    )
-    return scanned.select(
-        *df.columns,
-        *[(F.col(local + n) + F.col(carried + n)).alias(n) for n in sums],
-        *[F.coalesce(local + n, carried + n)["v"].alias(n) for n in lasts],
+        blocks, [group], block, {carried + n: F.col(own + n) for n in sums}, bits, levels - 1
+    ).select(*at, *[carried + n for n in sums])
+    scanned = rows.join(carry, at).select("*", *so_far(at, {local + n: c for n, c in sums.items()}))
+    return scanned.selectExpr(
+        *[f"`{c}`" for c in df.columns], *[f"{local}{n} + {carried}{n} AS {n}" for n in sums]
     )
 
 

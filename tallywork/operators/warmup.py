@@ -11,7 +11,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallywork.functions import numbers
@@ -26,99 +26,90 @@ def trailing_error(
     keys: Sequence[str],
     metric: str = "ttft",
     run: str = "run",
+    numbered: bool = True,
     bits: int = BITS,
 ) -> DataFrame:
     """(keys, warmup_runs, mse, previous_mse) of every run that at least one run follows.
 
     ``mse`` is the variance of this and all later runs over their number; ``previous_mse`` the
     same with one run more in front, NULL for the first run. Runs without a value count in the
-    number only. A run number comes once per configuration.
+    number only.
+
+    ``run`` is an integer that comes once per configuration. With ``numbered`` it counts from 1;
+    without, it only gives the order, and the runs before each one are counted in the same pass.
     """
-    value = F.col(metric).cast("double")
-    rows, at = in_blocks(
-        measurements.select(*keys, F.col(run).alias("_run"), value.alias("_x")),
-        keys,
-        "_run",
-        bits,
-    )
+    named = measurements.selectExpr(*keys, f"{run} AS _run", f"CAST({metric} AS DOUBLE) AS _x")
+    rows, at = in_blocks(named, keys, "_run", bits)
     group, block = at
 
     blocks = rows.groupBy(at).agg(
-        F.count(F.lit(1)).alias("b_rows"),
-        F.count("_x").alias("b_n"),
-        F.coalesce(F.avg("_x"), F.lit(0.0)).alias("b_mean"),
-        F.coalesce(F.var_pop("_x") * F.count("_x"), F.lit(0.0)).alias("b_m2"),
-        F.max_by(F.struct("_x"), "_run").alias("b_last"),
+        F.expr("count(*) AS b_rows"),
+        F.expr("count(_x) AS b_n"),
+        F.expr("coalesce(avg(_x), 0D) AS b_mean"),
+        F.expr("coalesce(var_pop(_x) * count(_x), 0D) AS b_m2"),
+        F.expr("max_by(_x, _run) AS b_last"),
     )
-    # Means are added up as differences to the mean of the last block, where a series has settled.
-    late_first = Window.partitionBy(group).orderBy(F.col(block).desc())
-    behind = late_first.rowsBetween(Window.unboundedPreceding, -1)
-    centre = F.first("b_mean").over(late_first.rowsBetween(Window.unboundedPreceding, 0))
-    n, off = F.col("b_n"), F.col("b_mean") - F.col("centre")
+    # What lies behind a block, from the last block on. Means are added up as differences to the
+    # mean of the last block, where a series has settled.
+    from_last = f"PARTITION BY {group} ORDER BY {block} DESC"
+    behind = f"({from_last} ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)"
+    centred = blocks.selectExpr(
+        "*",
+        f"first(b_mean) OVER ({from_last} ROWS UNBOUNDED PRECEDING) AS centre",
+        f"coalesce(sum(b_rows) OVER {behind}, 0L) AS c_rows",
+        f"coalesce(sum(b_n) OVER {behind}, 0L) AS c_n",
+        f"lead(b_last) OVER ({from_last}) AS c_last",
+        f"sum(b_rows) OVER (PARTITION BY {group}) AS all_rows",
+    ).withColumn("off", F.expr("b_mean - centre"))
     carry = (
-        blocks.withColumn("centre", centre)
-        .select(
-            *at,
-            "centre",
-            F.coalesce(F.sum("b_rows").over(behind), F.lit(0)).alias("c_rows"),
-            F.coalesce(F.sum("b_n").over(behind), F.lit(0)).alias("c_n"),
-            F.coalesce(F.sum(n * off).over(behind), F.lit(0.0)).alias("c_off"),
-            F.coalesce(F.sum(F.col("b_m2") + n * off * off).over(behind), F.lit(0.0)).alias("c_sq"),
-            F.lead("b_last").over(late_first).alias("c_last"),
+        centred.selectExpr(
+            "*",
+            f"coalesce(sum(b_n * off) OVER {behind}, 0D) AS c_off",
+            f"coalesce(sum(b_m2 + b_n * off * off) OVER {behind}, 0D) AS c_sq",
         )
-        .withColumn("c_mean_off", F.coalesce(F.try_divide("c_off", "c_n"), F.lit(0.0)))
-        .select(
+        .withColumn("c_mean_off", F.expr("coalesce(try_divide(c_off, c_n), 0D)"))
+        .selectExpr(
             *at,
+            "b_rows",
+            "all_rows",
             "c_rows",
             "c_n",
-            (F.col("centre") + F.col("c_mean_off")).alias("c_mean"),
-            F.greatest(F.col("c_sq") - F.col("c_off") * F.col("c_mean_off"), F.lit(0.0)).alias(
-                "c_m2"
-            ),
+            "centre + c_mean_off AS c_mean",
+            "greatest(c_sq - c_off * c_mean_off, 0D) AS c_m2",
             "c_last",
         )
     )
 
-    from_end = Window.partitionBy(*at).orderBy(F.col("_run").desc())
-    so_far = from_end.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    local = rows.join(carry, at).select(
-        *keys,
-        "_run",
-        "c_rows",
-        "c_n",
-        "c_mean",
-        "c_m2",
-        F.count(F.lit(1)).over(so_far).alias("l_rows"),
-        F.count("_x").over(so_far).alias("l_n"),
-        F.coalesce(F.avg("_x").over(so_far), F.lit(0.0)).alias("l_mean"),
-        F.coalesce(F.var_pop("_x").over(so_far), F.lit(0.0)).alias("l_var"),
-        # The run before this one: the next row from the end, or the last run of an earlier block.
-        F.coalesce(F.lead(F.struct("_x")).over(from_end), "c_last").alias("earlier"),
+    from_end = f"PARTITION BY {', '.join(at)} ORDER BY _run DESC"
+    so_far = f"({from_end} ROWS UNBOUNDED PRECEDING)"
+    local = rows.join(carry, at).selectExpr(
+        "*",
+        f"count(*) OVER {so_far} AS l_rows",
+        f"count(_x) OVER {so_far} AS l_n",
+        f"coalesce(avg(_x) OVER {so_far}, 0D) AS l_mean",
+        f"coalesce(var_pop(_x) OVER {so_far}, 0D) AS l_var",
+        f"lead(_x) OVER ({from_end}) AS l_earlier",
     )
-    l_n, c_n = F.col("l_n"), F.col("c_n")
-    apart = F.col("l_mean") - F.col("c_mean")
-    between = F.coalesce(F.try_divide(apart * apart * l_n * c_n, l_n + c_n), F.lit(0.0))
-    m2 = F.col("l_var") * l_n + F.col("c_m2") + between
-    merged = local.select(
+    merged = local.selectExpr(
         *keys,
-        "_run",
-        "earlier",
-        (F.col("l_rows") + F.col("c_rows")).alias("rows"),
-        (l_n + c_n).alias("n"),
-        F.try_divide(l_n * F.col("l_mean") + c_n * F.col("c_mean"), l_n + c_n).alias("mean"),
-        m2.alias("m2"),
-    )
-    rows_n, n, m2 = F.col("rows"), F.col("n"), F.col("m2")
-    x = F.col("earlier._x")
-    gap = x - F.col("mean")
-    with_earlier = F.when(x.isNull(), F.try_divide(m2, n - 1)).otherwise(
-        (m2 + gap * gap * n / (n + 1)) / n
+        f"{'_run - 1' if numbered else 'all_rows - c_rows - l_rows'} AS warmup_runs",
+        "l_rows + c_rows AS rows",
+        "l_n + c_n AS n",
+        "try_divide(l_n * l_mean + c_n * c_mean, l_n + c_n) AS mean",
+        """l_var * l_n + c_m2
+           + coalesce(try_divide(pow(l_mean - c_mean, 2) * l_n * c_n, l_n + c_n), 0D) AS m2""",
+        "l_rows + c_rows < all_rows AS has_earlier",
+        # The run before this one: in the block, or the last one of the block before.
+        "CASE WHEN l_rows < b_rows THEN l_earlier ELSE c_last END AS x",
     )
-    return merged.filter(n > 1).select(
+    with_earlier = """
+        CASE WHEN x IS NULL THEN m2 / (n - 1)
+             ELSE (m2 + pow(x - mean, 2) * n / (n + 1)) / n END / (rows + 1)"""
+    return merged.filter("n > 1").selectExpr(
         *keys,
-        (F.col("_run") - 1).alias("warmup_runs"),
-        (m2 / (n - 1) / rows_n).alias("mse"),
-        F.when(F.col("earlier").isNotNull(), with_earlier / (rows_n + 1)).alias("previous_mse"),
+        "warmup_runs",
+        "m2 / (n - 1) / rows AS mse",
+        f"CASE WHEN has_earlier THEN {with_earlier} END AS previous_mse",
     )
 
 

@@ -57,8 +57,11 @@ def measurements(spark: SparkSession, directory: str) -> DataFrame:
 def early_measurements(spark: SparkSession, directory: str, runs: int) -> DataFrame:
     """The same for operators that look at the first runs only.
 
-    Spark keeps just that many rows of a configuration in every task before the shuffle.
+    Spark keeps just that many rows of a configuration in every task before the shuffle, up to
+    1000; beyond that all rows are numbered.
     """
+    if runs > 1000:
+        return measurements(spark, directory).filter(F.col("run") <= runs)
     order = Window.partitionBy(*CONFIGURATION).orderBy("event_id")
     plain = unnumbered_measurements(spark, directory)
     return plain.withColumn("run", F.row_number().over(order)).filter(F.col("run") <= runs)

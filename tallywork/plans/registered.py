@@ -280,15 +280,19 @@ def property_check(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def _errors(spark: SparkSession, sf: str) -> DataFrame:
+    runs = data.unnumbered_measurements(spark, sf)
+    return warmup.trailing_error(runs, data.CONFIGURATION, run="event_id", numbered=False)
+
+
 @query
 def trailing_mse(spark: SparkSession, sf: str) -> DataFrame:
-    errors = warmup.trailing_error(data.measurements(spark, sf), data.CONFIGURATION)
-    return rounded(errors, "mse", "previous_mse")
+    return rounded(_errors(spark, sf), "mse", "previous_mse")
 
 
 @query
 def mser_quotient(spark: SparkSession, sf: str) -> DataFrame:
-    errors = warmup.trailing_error(data.measurements(spark, sf), data.CONFIGURATION)
+    errors = _errors(spark, sf)
     # An error of a few equal values is zero but for rounding, which engines do differently.
     settled = errors.filter((F.col("mse") > 1e-9) & (F.col("previous_mse") > 1e-9))
     return rounded(warmup.error_quotients(settled), "mse_quotient_geomean")

@@ -209,6 +209,21 @@ def test_trailing_error_by_hand(spark, bits):
             assert row.previous_mse is None
 
 
+def test_trailing_error_without_run_numbers(spark):
+    """Order numbers with gaps give the same as the run numbers that they stand for."""
+    pick = random.Random(4)
+    rows = [(k, run, 1000 + 7 * run + run % 3, pick.random()) for k in "ab" for run in range(1, 30)]
+    df = spark.createDataFrame(rows, "k STRING, run INT, event BIGINT, ttft DOUBLE")
+    numbered = rows_of(warmup.trailing_error(df, ["k"]))
+    for bits in (2, 4, 16):
+        counted = warmup.trailing_error(df, ["k"], run="event", numbered=False, bits=bits)
+        for got, expected in zip(rows_of(counted), numbered, strict=True):
+            assert got[:2] == expected[:2]
+            assert got[2] == pytest.approx(expected[2], rel=1e-9)
+            assert (got[3] is None) == (expected[3] is None)
+            assert got[3] is None or got[3] == pytest.approx(expected[3], rel=1e-9)
+
+
 def test_error_quotients(spark):
     rows = [("a", 1, 8.0, 16.0), ("b", 1, 1.0, 8.0), ("a", 2, 1.0, 3.0), ("c", 1, 0.0, 5.0), ("a", 0, 1.0, None)]
     df = spark.createDataFrame(rows, "k STRING, warmup_runs INT, mse DOUBLE, previous_mse DOUBLE")
