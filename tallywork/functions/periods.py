@@ -5,9 +5,6 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Mapping
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
-
 # The month texts of the input file names, and the file name itself.
 MONTHS = ("Jan", "Feb", "Mar", "Apr", "May", "Jun", "Jul", "Aug", "Sep", "Oct", "Nov", "Dec")
 JOB_FILE_PREFIX = "jobs_"
@@ -35,28 +32,27 @@ LAST_REPORT = {
 }
 
 
-def month_text(file_name: Column) -> Column:
-    """``jobs_Mar.txt`` -> ``Mar``, up to the first dot; NULL for any other name.
+def month_text(file_name: str) -> str:
+    """SQL: ``jobs_Mar.txt`` -> ``Mar``, up to the first dot; NULL for any other name.
 
     Evaluated for every row, so by position and not by a regular expression.
     """
-    behind = F.substring(file_name, len(JOB_FILE_PREFIX) + 1, 255)
-    return F.when(file_name.startswith(JOB_FILE_PREFIX), F.substring_index(behind, ".", 1))
-
-
-def month_number(month: Column, aliases: Mapping[str, str] | None = None) -> Column:
-    """1..12 for an English abbreviation, NULL for anything else."""
-    for other, english in (aliases or {}).items():
-        month = F.when(month == other, F.lit(english)).otherwise(month)
-    return F.nullif(F.array_position(F.array(*map(F.lit, MONTHS)), month).cast("int"), F.lit(0))
+    behind = f"substring({file_name}, {len(JOB_FILE_PREFIX) + 1})"
+    return f"CASE WHEN {file_name} LIKE '{JOB_FILE_PREFIX[:-1]}\\_%' THEN substring_index({behind}, '.', 1) END"
 
 
-def period_of_file(file_name: Column, year: int, aliases: Mapping[str, str] | None = None) -> Column:
-    return F.make_date(F.lit(year), month_number(month_text(file_name), aliases), F.lit(1))
+def month_number(month: str, aliases: Mapping[str, str] | None = None) -> str:
+    """SQL for 1..12 of an English abbreviation, NULL for anything else."""
+    if aliases:
+        other = " ".join(f"WHEN '{alias}' THEN '{name}'" for alias, name in aliases.items())
+        month = f"CASE {month} {other} ELSE {month} END"
+    known = ", ".join(f"'{name}'" for name in MONTHS)
+    return f"CAST(nullif(array_position(array({known}), {month}), 0) AS INT)"
 
 
-def period_of(moment: Column) -> Column:
-    return F.trunc(moment, "month").cast("date")
+def period_of_file(file_name: str, year: int, aliases: Mapping[str, str] | None = None) -> str:
+    """SQL for the period that a job file belongs to."""
+    return f"make_date({int(year)}, {month_number(month_text(file_name), aliases)}, 1)"
 
 
 def tagged_months(first: dict[str, str], last: dict[str, str]) -> str:

@@ -169,9 +169,13 @@ def labelled_stats(
 
 
 def variant_union(*variants: DataFrame) -> DataFrame:
-    """All variants in one table, equal rows once, in order of every column."""
-    together = reduce(DataFrame.unionByName, variants).distinct()
-    return together.orderBy(*together.columns)
+    """All variants in one table, equal rows once."""
+    return reduce(DataFrame.unionByName, variants).distinct()
+
+
+def in_order(df: DataFrame) -> DataFrame:
+    """Sorted by every column, for a table that is going to be read and not worked on."""
+    return df.orderBy(*df.columns)
 
 
 def property_check(measurements: DataFrame, rule: Column, by: str = "model") -> DataFrame:

@@ -264,7 +264,8 @@ def _variants(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def variant_union(spark: SparkSession, sf: str) -> DataFrame:
-    return rounded(_variants(spark, sf), *[f"{m}_{s}" for m in METRICS for s in ("mean", "stdev")])
+    values = [f"{m}_{s}" for m in METRICS for s in ("mean", "stdev")]
+    return measure.in_order(rounded(_variants(spark, sf), *values))
 
 
 @query

@@ -114,17 +114,22 @@ def _add_up(rows: DataFrame, figures: dict[str, str], reports: DataFrame | None)
     those, and one for a month without jobs as well.
     """
     keys = ["report", "tag", "of_cluster"]
+    if reports is None:
+        # A month goes into its own report under every tag.
+        wanted = "bool_or(period = report)"
+    else:
+        # An empty row for each figure that is asked for, instead of a join with the totals.
+        asked = reports.selectExpr("report", f"explode(array({_TAGS})) AS tag").selectExpr(
+            "*", f"explode(array({_CLUSTERS})) AS of_cluster", "true AS asked"
+        )
+        rows = rows.unionByName(asked, allowMissingColumns=True)
+        wanted = "bool_or(asked)"
     totals = rows.groupBy(*keys).agg(
-        F.expr("bool_or(period = report) AS own_jobs"),
+        F.expr(f"{wanted} AS wanted"),
+        F.expr("count(period) > 0 AS any_jobs"),
         *[F.expr(f"sum({part}) AS {name}") for name, part in figures.items()],
     )
-    if reports is None:
-        return totals.filter("own_jobs").selectExpr(*keys, "true AS any_jobs", *figures)
-    wanted = reports.selectExpr("report", f"explode(array({_TAGS})) AS tag").selectExpr(
-        "*", f"explode(array({_CLUSTERS})) AS of_cluster"
-    )
-    joined = wanted.join(totals, keys, "left")
-    return joined.selectExpr(*keys, "own_jobs IS NOT NULL AS any_jobs", *figures)
+    return totals.filter("wanted").drop("wanted")
 
 
 def usage_totals(cube: DataFrame, reports: DataFrame | None = None) -> DataFrame:

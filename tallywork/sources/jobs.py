@@ -63,12 +63,12 @@ def read_jobs(
         .option("pathGlobFilter", periods.JOB_FILE_GLOB)
         .csv(path)
     )
-    name = F.col("_metadata.file_name")
+    name = "_metadata.file_name"
     columns = [field.name if field.nullable else _required(field) for field in JOB_SCHEMA]
     return raw.select(
         *(columns if checked else ["*"]),
-        periods.period_of_file(name, year, aliases).alias("period"),
-        name.alias("file_name"),
+        F.expr(f"{periods.period_of_file(name, year, aliases)} AS period"),
+        F.expr(f"{name} AS file_name"),
     )
 
 
@@ -89,12 +89,12 @@ def read_jobs_file_by_file(
             .option("inferSchema", True)
             .csv(file)
         )
-        file_name = F.lit(file.rsplit("/", 1)[-1])
+        name = f"'{file.rsplit('/', 1)[-1]}'"
         return raw.select(
             # What inference makes of a column differs from file to file.
             *[F.col(field.name).cast(field.dataType) for field in JOB_SCHEMA],
-            periods.period_of_file(file_name, year, aliases).alias("period"),
-            file_name.alias("file_name"),
+            F.expr(f"{periods.period_of_file(name, year, aliases)} AS period"),
+            F.expr(f"{name} AS file_name"),
         )
 
     return reduce(DataFrame.unionByName, [month(file) for file in sorted(found)])
