@@ -1,4 +1,7 @@
-"""The registered queries as SQL for DuckDB, over views with the names of the tables."""
+"""The registered queries as SQL for DuckDB, over views with the names of the tables.
+
+What is added to a value before it is rounded is explained at ``registered.rounded``.
+"""
 
 from __future__ import annotations
 
@@ -109,7 +112,7 @@ def _value(cluster: str, figure: str, measure: str) -> str:
 def _tag_report(tag: str) -> str:
     rows = "\nUNION ALL\n".join(
         f"SELECT report, '{c}' AS cluster, '{figure}' AS metric,"
-        f" round({_value(c, figure, measure)}, 6) AS value FROM totals WHERE tag = '{tag}'"
+        f" round({_value(c, figure, measure)} + 1e-9, 6) AS value FROM totals WHERE tag = '{tag}'"
         for c in _CLUSTERS
         for figure, (measure, _) in _FIGURES.items()
     )
@@ -213,7 +216,7 @@ ORACLES["reconcile_reports"] = _with(*_BASE, CALENDAR, PARAMS, ("copy", """
            abs(TRY_CAST(a.value AS DOUBLE) - TRY_CAST(b.value AS DOUBLE))
                / nullif(abs(TRY_CAST(a.value AS DOUBLE)), 0) AS error
     FROM params a FULL JOIN copy b USING (report, key)"""), body="""
-    SELECT report, key, round(error, 9) AS relative_error,
+    SELECT report, key, round(error + 1e-12, 9) AS relative_error,
            CASE WHEN no_right THEN 'missing'
                 WHEN no_left THEN 'extra'
                 WHEN l = r THEN 'equal'
@@ -239,7 +242,7 @@ def _classified(body: str) -> str:
 ORACLES["completed_by_cluster"] = _classified("""
     SELECT outcome, cluster, count(*) AS job_count FROM classified GROUP BY outcome, cluster""")
 ORACLES["nonlocal_hours_by_cluster"] = _classified("""
-    SELECT cluster, round(CAST(sum(job_seconds) AS DOUBLE) / 3600, 6) AS used_hours
+    SELECT cluster, round(CAST(sum(job_seconds) AS DOUBLE) / 3600 + 1e-9, 6) AS used_hours
     FROM classified WHERE agency <> 'LOCAL' GROUP BY cluster""")
 ORACLES["nonlocal_jobs_by_cluster"] = _classified("""
     SELECT cluster, count(*) AS job_count
@@ -294,7 +297,9 @@ _CONFIG = "compiler, model, quantization, prompt"
 
 def _stats(prefix: str = "", digits: bool = True) -> str:
     def column(call: str, m: str) -> str:
-        return f"round({call}({m}), 6)" if digits else f"{call}({m})"
+        if not digits:
+            return f"{call}({m})"
+        return f"round({call}({m}) + 1e-5, 2)" if m == "mem" else f"round({call}({m}) + 1e-9, 6)"
 
     return ", ".join(
         f"{column('avg', m)} AS {prefix}{m}_mean, {column('stddev_samp', m)} AS {prefix}{m}_stdev"
@@ -314,7 +319,7 @@ def _rank(option: str, by: str, metrics: tuple[str, ...], source: str, where: st
 
 
 def _geomeans(option: str, metrics: tuple[str, ...]) -> str:
-    columns = ", ".join(f"round(exp(avg(ln({m}_ratio))), 6) AS {m}_geomean" for m in metrics)
+    columns = ", ".join(f"round(exp(avg(ln({m}_ratio))) + 1e-9, 6) AS {m}_geomean" for m in metrics)
     return f"SELECT {option}, {columns} FROM ratios GROUP BY {option}"
 
 
@@ -387,8 +392,8 @@ ORACLES["t_test_stat"] = _with(
                                            WHEN i % 2 = 1 THEN 4 ELSE 2 END) AS area
     FROM density GROUP BY metric"""),
     body="""
-    SELECT metric, n_a, n_b, round(mean_a, 6) AS mean_a, round(mean_b, 6) AS mean_b,
-           round(t, 6) AS t, df, round(1 - 2 * area, 6) AS p_value
+    SELECT metric, n_a, n_b, round(mean_a + 1e-9, 6) AS mean_a, round(mean_b + 1e-9, 6) AS mean_b,
+           round(t + 1e-9, 6) AS t, df, round(1 - 2 * area + 1e-9, 6) AS p_value
     FROM tests JOIN areas USING (metric)""")
 
 
@@ -426,10 +431,10 @@ LAGGED = ("lagged", f"""
     FROM errors""")
 
 ORACLES["trailing_mse"] = _with(RUNS, ERRORS, LAGGED, body=f"""
-    SELECT {_CONFIG}, warmup_runs, round(mse, 6) AS mse, round(previous_mse, 6) AS previous_mse
+    SELECT {_CONFIG}, warmup_runs, round(mse + 1e-9, 6) AS mse, round(previous_mse + 1e-9, 6) AS previous_mse
     FROM lagged""")
 ORACLES["mser_quotient"] = _with(RUNS, ERRORS, LAGGED, body="""
-    SELECT warmup_runs, round(exp(avg(ln(previous_mse / mse))), 6) AS mse_quotient_geomean
+    SELECT warmup_runs, round(exp(avg(ln(previous_mse / mse))) + 1e-9, 6) AS mse_quotient_geomean
     FROM lagged WHERE mse > 1e-9 AND previous_mse > 1e-9
     GROUP BY warmup_runs""")
 
@@ -457,7 +462,7 @@ _SHUFFLE = (
     "shuffle_read_records",
 )
 _RATIO = (
-    "round(CASE WHEN execution_time = 0 THEN 1.0 ELSE working_time / (execution_time * 8) END, 6)"
+    "round(CASE WHEN execution_time = 0 THEN 1.0 ELSE working_time / (execution_time * 8) END + 1e-9, 6)"
     " AS working_time_ratio"
 )
 _SHUFFLE_SUMS = ", ".join(f"CAST(coalesce(sum({c}), 0) AS BIGINT) AS {c}" for c in _SHUFFLE)
@@ -485,8 +490,8 @@ SPARK_JOBS = ("spark_jobs", f"""
     ) a ON a.job_id = c_custkey""")
 
 ORACLES["stage_rollup"] = _with(STAGES, body=f"""
-    SELECT stage_id, skipped, round(execution_time, 6) AS execution_time, num_tasks,
-           num_nonskipped_tasks, round(working_time, 6) AS working_time,
+    SELECT stage_id, skipped, round(execution_time + 1e-9, 6) AS execution_time, num_tasks,
+           num_nonskipped_tasks, round(working_time + 1e-9, 6) AS working_time,
            {", ".join(_SHUFFLE)}, {_RATIO}
     FROM stages""")
 ORACLES["job_rollup"] = _with(STAGES, SPARK_JOBS, body=f"""
@@ -504,8 +509,8 @@ ORACLES["query_rollup"] = _with(STAGES, SPARK_JOBS, ("total", f"""
     FROM spark_jobs"""), body=f"SELECT *, {_RATIO} FROM total")
 
 ORACLES["run_statistics"] = _with(RUNS, body="\nUNION ALL\n".join(
-    f"SELECT {_CONFIG}, '{m}' AS metric, round(avg({m}), 6) AS mean,"
-    f" round(stddev_samp({m}), 6) AS stdev FROM runs WHERE run > 1 GROUP BY {_CONFIG}"
+    f"SELECT {_CONFIG}, '{m}' AS metric, round(avg({m}) + 1e-5, 2) AS mean,"
+    f" round(stddev_samp({m}) + 1e-5, 2) AS stdev FROM runs WHERE run > 1 GROUP BY {_CONFIG}"
     for m in ("ttft", "tpot", "mem")
 ))
 ORACLES["first_run"] = _with(RUNS, body=f"SELECT {_CONFIG}, mem, tpot FROM runs WHERE run = 2")
@@ -526,24 +531,24 @@ ORACLES["counter_phases"] = _with(("samples", """
            max(CASE WHEN phase = 2 THEN cpu END) AS c2, max(CASE WHEN phase = 2 THEN clock END) AS t2
     FROM samples GROUP BY user_id, run"""), body="""
     SELECT user_id, run,
-           round(c1 - c0, 6) AS load_cpu, round(c2 - c1, 6) AS process_cpu,
-           round(c2 - c0, 6) AS total_cpu,
-           round(t1 - t0, 6) AS load_clock, round(t2 - t1, 6) AS process_clock,
-           round(t2 - t0, 6) AS total_clock,
-           round((c1 - c0) / nullif(t1 - t0, 0), 6) AS load_cpu_rate,
-           round((c2 - c1) / nullif(t2 - t1, 0), 6) AS process_cpu_rate,
-           round((c2 - c0) / nullif(t2 - t0, 0), 6) AS total_cpu_rate
+           round(c1 - c0 + 1e-9, 6) AS load_cpu, round(c2 - c1 + 1e-9, 6) AS process_cpu,
+           round(c2 - c0 + 1e-9, 6) AS total_cpu,
+           round(t1 - t0 + 1e-9, 6) AS load_clock, round(t2 - t1 + 1e-9, 6) AS process_clock,
+           round(t2 - t0 + 1e-9, 6) AS total_clock,
+           round((c1 - c0) / nullif(t1 - t0, 0) + 1e-9, 6) AS load_cpu_rate,
+           round((c2 - c1) / nullif(t2 - t1, 0) + 1e-9, 6) AS process_cpu_rate,
+           round((c2 - c0) / nullif(t2 - t0, 0) + 1e-9, 6) AS total_cpu_rate
     FROM wide""")
 
 ORACLES["scaling_table"] = _with(RUNS, ("means", """
     SELECT model AS variant, thread_count AS threads, avg(ttft) AS mean_time,
            stddev_samp(ttft) AS stdev_time, avg(tpot / 100) AS ratio
     FROM runs GROUP BY model, thread_count"""), body="""
-    SELECT variant, threads, round(mean_time, 6) AS mean_time, round(stdev_time, 6) AS stdev_time,
-           round(ratio, 6) AS working_time_ratio,
-           round(first_value(mean_time) OVER (PARTITION BY variant ORDER BY threads) / mean_time, 6)
+    SELECT variant, threads, round(mean_time + 1e-9, 6) AS mean_time, round(stdev_time + 1e-9, 6) AS stdev_time,
+           round(ratio + 1e-9, 6) AS working_time_ratio,
+           round(first_value(mean_time) OVER (PARTITION BY variant ORDER BY threads) / mean_time + 1e-9, 6)
                AS speedup,
-           round(100 * (1 - ratio), 6) AS idle
+           round(100 * (1 - ratio) + 1e-9, 6) AS idle
     FROM means""")
 
 # Cost model
@@ -576,12 +581,12 @@ def _fitted(fit: str) -> tuple:
 
 for _fit in _FITS:
     ORACLES[f"fit_{_fit}"] = _with(*_fitted(_fit), body="""
-    SELECT round(max(k), 6) AS k, round(avg(power(pred - observed, 2)), 6) AS mse FROM predicted""")
+    SELECT round(max(k) + 1e-9, 6) AS k, round(avg(power(pred - observed, 2)) + 1e-9, 6) AS mse FROM predicted""")
 ORACLES["model_report"] = _with(*_fitted("mse"), body="""
-    SELECT name, round(bytes / 1073741824, 6) AS memory_gib, round(k, 6) AS k,
-           round(pred, 6) AS predicted_ms, round(observed, 6) AS observed_ms,
-           round(observed / ideal, 6) AS ratio,
-           round(abs(pred - observed) / observed * 100, 6) AS error_percent
+    SELECT name, round(bytes / 1073741824 + 1e-9, 6) AS memory_gib, round(k + 1e-9, 6) AS k,
+           round(pred + 1e-9, 6) AS predicted_ms, round(observed + 1e-9, 6) AS observed_ms,
+           round(observed / ideal + 1e-9, 6) AS ratio,
+           round(abs(pred - observed) / observed * 100 + 1e-9, 6) AS error_percent
     FROM predicted""")
 
 # Scores
@@ -621,9 +626,9 @@ ORACLES["response_timings"] = _with(BODIES, body="""
            CAST(json_extract_string(body, '$.timings.predicted_n') AS INTEGER) AS predicted_n,
            CAST(json_extract_string(body, '$.timings.cache_n') AS INTEGER) AS cache_n,
            round(CAST(json_extract_string(body, '$.timings.prompt_ms') AS DOUBLE)
-                 + CAST(json_extract_string(body, '$.timings.predicted_per_token_ms') AS DOUBLE), 6)
+                 + CAST(json_extract_string(body, '$.timings.predicted_per_token_ms') AS DOUBLE) + 1e-9, 6)
                AS ttft,
-           round(CAST(json_extract_string(body, '$.timings.predicted_per_token_ms') AS DOUBLE), 6)
+           round(CAST(json_extract_string(body, '$.timings.predicted_per_token_ms') AS DOUBLE) + 1e-9, 6)
                AS tpot
     FROM bodies""")
 ORACLES["response_content"] = _with(BODIES, body="""
@@ -647,4 +652,4 @@ ORACLES["model_name_parts"] = _with(FILES, body=r"""
            list_extract(string_split(path, '/'), -2) AS directory
     FROM files""")
 ORACLES["busy_cpu_time"] = _with(RUNS, body="""
-    SELECT event_id, round((ttft * 10 * thread_count - tpot) / thread_count, 6) AS busy FROM runs""")
+    SELECT event_id, round((ttft * 10 * thread_count - tpot) / thread_count + 1e-9, 6) AS busy FROM runs""")
