@@ -10,8 +10,12 @@ def hours(seconds: Column) -> Column:
     return seconds / 3600
 
 
-def seconds_of_ms(ms: Column) -> Column:
-    return ms / 1000.0
+def safe_integer(text: Column) -> Column:
+    """The number in a text, NULL for any other text.
+
+    Only what looks like a number is cast: a cast that fails costs far more than a pattern.
+    """
+    return F.when(text.rlike(r"^\s*[+-]?[0-9]+\s*$"), text.try_cast("bigint"))
 
 
 def geomean(values: Column) -> Column:

@@ -38,7 +38,8 @@ def month_text(file_name: str) -> str:
     Evaluated for every row, so by position and not by a regular expression.
     """
     behind = f"substring({file_name}, {len(JOB_FILE_PREFIX) + 1})"
-    return f"CASE WHEN {file_name} LIKE '{JOB_FILE_PREFIX[:-1]}\\_%' THEN substring_index({behind}, '.', 1) END"
+    named = f"startswith({file_name}, '{JOB_FILE_PREFIX}')"
+    return f"CASE WHEN {named} THEN substring_index({behind}, '.', 1) END"
 
 
 def month_number(month: str, aliases: Mapping[str, str] | None = None) -> str:

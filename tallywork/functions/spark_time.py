@@ -2,15 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
 
+def moment(text: str) -> str:
+    """SQL for the time; zone letters are dropped, so both ends of a span must have the same."""
+    return f"to_timestamp_ntz(regexp_replace({text}, '[A-Z]+$', ''))"
 
-def moment(text: Column) -> Column:
-    """The zone letters are dropped, so both ends of a span must carry the same zone."""
-    return F.to_timestamp_ntz(F.regexp_replace(text, "[A-Z]+$", ""))
 
-
-def span_seconds(start: Column, end: Column) -> Column:
-    micros = F.timestamp_diff("MICROSECOND", start, end)
-    return micros / 1e6
+def span_seconds(start: str, end: str) -> str:
+    """SQL for the seconds between two times, with fractions."""
+    return f"timestampdiff(MICROSECOND, {start}, {end}) / 1e6D"

@@ -18,6 +18,11 @@ SHUFFLE = (
 SKIPPED = "SKIPPED"
 
 
+def _working_ratio(threads: int) -> Column:
+    """Share of the threads' time that tasks were running, 1 for what took no time."""
+    return numbers.ratio_or_one(F.col("working_time"), F.col("execution_time") * threads)
+
+
 def stage_rollup(stages: DataFrame, tasks: DataFrame, threads: int) -> DataFrame:
     """One row per stage with what its tasks add up to.
 
@@ -25,68 +30,57 @@ def stage_rollup(stages: DataFrame, tasks: DataFrame, threads: int) -> DataFrame
     either side however many tasks a stage has.
     """
     worked = tasks.groupBy("stage_id").agg(
-        F.count(F.lit(1)).alias("ran"),
-        F.sum(numbers.seconds_of_ms(F.col("duration_ms"))).alias("worked"),
+        F.expr("count(*) AS ran"), F.expr("sum(duration_ms / 1000D) AS worked")
     )
-    skipped = F.col("status") == SKIPPED
-    span = spark_time.span_seconds(
-        spark_time.moment(F.col("submitted")), spark_time.moment(F.col("completed"))
-    )
-    took = F.when(skipped, F.lit(0.0)).otherwise(span)
-    return (
-        stages.join(worked, "stage_id", "left")
-        .select(
-            "stage_id",
-            skipped.alias("skipped"),
-            took.alias("execution_time"),
-            F.col("num_tasks").cast("bigint").alias("num_tasks"),
-            F.coalesce("ran", F.lit(0)).alias("num_nonskipped_tasks"),
-            F.coalesce("worked", F.lit(0.0)).alias("working_time"),
-            *SHUFFLE,
-        )
-        .withColumn("working_time_ratio", _working_ratio(threads))
+    start, end = spark_time.moment("submitted"), spark_time.moment("completed")
+    rolled = stages.join(worked, "stage_id", "left").selectExpr(
+        "stage_id",
+        f"status = '{SKIPPED}' AS skipped",
+        f"CASE WHEN status = '{SKIPPED}' THEN 0D ELSE {spark_time.span_seconds(start, end)} END"
+        " AS execution_time",
+        "CAST(num_tasks AS BIGINT) AS num_tasks",
+        "coalesce(ran, 0L) AS num_nonskipped_tasks",
+        "coalesce(worked, 0D) AS working_time",
+        *SHUFFLE,
     )
-
-
-def _working_ratio(threads: int) -> Column:
-    return numbers.ratio_or_one(F.col("working_time"), F.col("execution_time") * threads)
+    return rolled.withColumn("working_time_ratio", _working_ratio(threads))
 
 
 def job_rollup(
     jobs: DataFrame, job_stages: DataFrame, stages: DataFrame, threads: int
 ) -> DataFrame:
-    """One row per job from the rows of ``stage_rollup``; a stage counts in every job that has it."""
-    added = (
-        job_stages.join(stages, "stage_id")
-        .groupBy("job_id")
-        .agg(
-            F.count(F.lit(1)).alias("num_stages"),
-            F.count_if(~F.col("skipped")).alias("num_nonskipped_stages"),
-            F.sum("num_nonskipped_tasks").alias("num_nonskipped_tasks"),
-            F.sum("working_time").alias("working_time"),
-            *[F.sum(c).alias(c) for c in SHUFFLE],
-            F.min(F.when(~F.col("skipped"), F.col("num_nonskipped_tasks"))).alias("min_tasks"),
-            F.max(F.when(~F.col("skipped"), F.col("num_nonskipped_tasks"))).alias("max_tasks"),
-        )
+    """One row per job from the rows of ``stage_rollup``; a stage counts in each job that has it."""
+    executed = "CASE WHEN NOT skipped THEN num_nonskipped_tasks END"
+    added = job_stages.join(stages, "stage_id").groupBy("job_id").agg(
+        F.expr("count(*) AS num_stages"),
+        F.expr("count_if(NOT skipped) AS num_nonskipped_stages"),
+        F.expr("sum(num_nonskipped_tasks) AS num_nonskipped_tasks"),
+        F.expr("sum(working_time) AS working_time"),
+        *[F.expr(f"sum({c}) AS {c}") for c in SHUFFLE],
+        F.expr(f"min({executed}) AS min_tasks"),
+        F.expr(f"max({executed}) AS max_tasks"),
     )
-    start, end = spark_time.moment(F.col("submitted")), spark_time.moment(F.col("completed"))
     counts = ("num_stages", "num_nonskipped_stages", "num_nonskipped_tasks", *SHUFFLE)
-    return (
-        jobs.join(added, "job_id", "left")
-        .select(
-            "job_id",
-            "name",
-            start.alias("started"),
-            end.alias("ended"),
-            spark_time.span_seconds(start, end).alias("execution_time"),
-            F.col("num_tasks").cast("bigint").alias("num_tasks"),
-            F.coalesce("working_time", F.lit(0.0)).alias("working_time"),
-            *[F.coalesce(c, F.lit(0)).alias(c) for c in counts],
-            F.col("min_tasks").alias("min_nonskipped_tasks_per_stage"),
-            F.col("max_tasks").alias("max_nonskipped_tasks_per_stage"),
-        )
-        .withColumn("working_time_ratio", _working_ratio(threads))
+    timed = jobs.selectExpr(
+        "job_id",
+        "name",
+        f"{spark_time.moment('submitted')} AS started",
+        f"{spark_time.moment('completed')} AS ended",
+        "CAST(num_tasks AS BIGINT) AS num_tasks",
     )
+    rolled = timed.join(added, "job_id", "left").selectExpr(
+        "job_id",
+        "name",
+        "started",
+        "ended",
+        f"{spark_time.span_seconds('started', 'ended')} AS execution_time",
+        "num_tasks",
+        "coalesce(working_time, 0D) AS working_time",
+        *[f"coalesce({c}, 0L) AS {c}" for c in counts],
+        "min_tasks AS min_nonskipped_tasks_per_stage",
+        "max_tasks AS max_nonskipped_tasks_per_stage",
+    )
+    return rolled.withColumn("working_time_ratio", _working_ratio(threads))
 
 
 def query_rollup(jobs: DataFrame, threads: int) -> DataFrame:
@@ -102,15 +96,15 @@ def query_rollup(jobs: DataFrame, threads: int) -> DataFrame:
         "working_time",
         *SHUFFLE,
     )
-    return (
-        jobs.agg(
-            F.count(F.lit(1)).alias("num_jobs"),
-            *[F.sum(c).alias(c) for c in sums],
-            spark_time.span_seconds(F.min("started"), F.max("ended")).alias("execution_time"),
-            F.min("min_nonskipped_tasks_per_stage").alias("min_nonskipped_tasks_per_stage"),
-            F.max("max_nonskipped_tasks_per_stage").alias("max_nonskipped_tasks_per_stage"),
-        ).withColumn("working_time_ratio", _working_ratio(threads))
+    fewest, most = "min_nonskipped_tasks_per_stage", "max_nonskipped_tasks_per_stage"
+    rolled = jobs.agg(
+        F.expr("count(*) AS num_jobs"),
+        *[F.expr(f"sum({c}) AS {c}") for c in sums],
+        F.expr(f"{spark_time.span_seconds('min(started)', 'max(ended)')} AS execution_time"),
+        F.expr(f"min({fewest}) AS {fewest}"),
+        F.expr(f"max({most}) AS {most}"),
     )
+    return rolled.withColumn("working_time_ratio", _working_ratio(threads))
 
 
 def without_warmup(runs: DataFrame, warmup: int, run: str = "run") -> DataFrame:
@@ -125,7 +119,7 @@ def run_statistics(runs: DataFrame, keys: Sequence[str], metrics: Sequence[str])
     multiplied by their number.
     """
     stats = runs.groupBy(*keys).agg(
-        *[F.struct(F.avg(m).alias("mean"), F.stddev_samp(m).alias("stdev")).alias(m) for m in metrics]
+        *[F.expr(f"struct(avg({m}) AS mean, stddev_samp({m}) AS stdev) AS {m}") for m in metrics]
     )
     rows = F.array(
         *[
@@ -147,7 +141,9 @@ def first_run(
     return runs.groupBy(*keys).agg(*[F.min_by(m, run).alias(m) for m in metrics])
 
 
-def statistics_document(runs: DataFrame, keys: Sequence[str], groups: dict[str, list[str]]) -> DataFrame:
+def statistics_document(
+    runs: DataFrame, keys: Sequence[str], groups: dict[str, list[str]]
+) -> DataFrame:
     """The statistics as nested structs, one per group of metrics, ready to be written as JSON."""
     structs = []
     for group, metrics in groups.items():

@@ -22,14 +22,15 @@ def jobs(spark: SparkSession, directory: str) -> DataFrame:
         "CAST(floor(o_totalprice) AS BIGINT) % 86400 AS ElapsedRaw",
         "1 + o_custkey % 8 AS NNodes",
         "1 + o_custkey % 128 AS AllocCPUS",
-        """CASE o_orderpriority WHEN '1-URGENT' THEN 'normal-arm' WHEN '2-HIGH' THEN 'normal-a100-40'
-           WHEN '3-MEDIUM' THEN 'dev-a100-80' ELSE 'normal-x86' END AS Partition""",
+        """CASE o_orderpriority WHEN '1-URGENT' THEN 'normal-arm'
+           WHEN '2-HIGH' THEN 'normal-a100-40' WHEN '3-MEDIUM' THEN 'dev-a100-80'
+           ELSE 'normal-x86' END AS Partition""",
         """CASE o_custkey % 3 WHEN 0 THEN concat('f', o_custkey) WHEN 1 THEN concat('ee', o_custkey)
            ELSE concat('x', o_custkey) END AS Account""",
         """CASE o_orderstatus WHEN 'F' THEN 'COMPLETED' WHEN 'O' THEN 'FAILED'
            ELSE concat('CANCELLED by ', o_custkey) END AS State""",
-        """CASE o_orderkey % 4 WHEN 1 THEN '' WHEN 2 THEN concat('billing=1,gres/gpu=', 1 + o_orderkey % 5)
-           WHEN 3 THEN 'billing=1' END AS AllocTRES""",
+        """CASE o_orderkey % 4 WHEN 1 THEN '' WHEN 3 THEN 'billing=1'
+           WHEN 2 THEN concat('billing=1,gres/gpu=', 1 + o_orderkey % 5) END AS AllocTRES""",
         "CAST(trunc(o_orderdate, 'month') AS DATE) AS period",
     )
 
@@ -73,24 +74,23 @@ def thread_count() -> Column:
     return F.element_at(F.array(*map(F.lit, (1, 2, 4, 8))), number + 1)
 
 
-def _spark_text(moment) -> Column:
-    return F.concat(F.date_format(moment, "yyyy-MM-dd'T'HH:mm:ss.SSS"), F.lit("GMT"))
+def _spark_text(moment: str) -> str:
+    return f"""date_format({moment}, "yyyy-MM-dd'T'HH:mm:ss.SSS") || 'GMT'"""
 
 
 def stages(spark: SparkSession, directory: str) -> DataFrame:
     """Orders as stages of a Spark application."""
-    date, price, customer = F.col("o_orderdate"), F.col("o_totalprice"), F.col("o_custkey")
-    ended = F.timestamp_add("MILLISECOND", F.floor(price * 10).cast("bigint"), date)
-    return table(spark, directory, "orders").select(
-        F.col("o_orderkey").alias("stage_id"),
-        F.when(F.col("o_orderstatus") == "P", "SKIPPED").otherwise("COMPLETE").alias("status"),
-        _spark_text(date).alias("submitted"),
-        _spark_text(ended).alias("completed"),
-        (1 + customer % 8).alias("num_tasks"),
-        (customer * 7).alias("shuffle_write_bytes"),
-        customer.alias("shuffle_write_records"),
-        F.floor(price).cast("bigint").alias("shuffle_read_bytes"),
-        (F.col("o_orderkey") % 1000).alias("shuffle_read_records"),
+    ended = "timestampadd(MILLISECOND, CAST(floor(o_totalprice * 10) AS BIGINT), o_orderdate)"
+    return table(spark, directory, "orders").selectExpr(
+        "o_orderkey AS stage_id",
+        "CASE WHEN o_orderstatus = 'P' THEN 'SKIPPED' ELSE 'COMPLETE' END AS status",
+        f"{_spark_text('o_orderdate')} AS submitted",
+        f"{_spark_text(ended)} AS completed",
+        "1 + o_custkey % 8 AS num_tasks",
+        "o_custkey * 7 AS shuffle_write_bytes",
+        "o_custkey AS shuffle_write_records",
+        "CAST(floor(o_totalprice) AS BIGINT) AS shuffle_read_bytes",
+        "o_orderkey % 1000 AS shuffle_read_records",
     )
 
 
@@ -110,23 +110,21 @@ def tasks(spark: SparkSession, directory: str) -> DataFrame:
 
 def spark_jobs(spark: SparkSession, directory: str) -> DataFrame:
     """Customers as jobs."""
-    start = F.timestamp_add("SECOND", F.col("c_custkey"), F.expr("TIMESTAMP_NTZ'1995-01-01 00:00:00'"))
-    end = F.timestamp_add("SECOND", F.floor(F.abs("c_acctbal")).cast("bigint"), start)
-    return table(spark, directory, "customer").select(
-        F.col("c_custkey").alias("job_id"),
-        F.col("c_name").alias("name"),
-        _spark_text(start).alias("submitted"),
-        _spark_text(end).alias("completed"),
-        F.col("c_nationkey").alias("num_tasks"),
+    start = "timestampadd(SECOND, c_custkey, TIMESTAMP_NTZ'1995-01-01 00:00:00')"
+    end = f"timestampadd(SECOND, CAST(floor(abs(c_acctbal)) AS BIGINT), {start})"
+    return table(spark, directory, "customer").selectExpr(
+        "c_custkey AS job_id",
+        "c_name AS name",
+        f"{_spark_text(start)} AS submitted",
+        f"{_spark_text(end)} AS completed",
+        "c_nationkey AS num_tasks",
     )
 
 
 def counter_samples(spark: SparkSession, directory: str) -> DataFrame:
     """Each user's events in threes as the samples of a run, the running sum of value as counter."""
-    clock = F.timestamp_diff("MICROSECOND", F.expr("TIMESTAMP_NTZ'2024-01-01 00:00:00'"), F.col("ts"))
-    events = table(spark, directory, "events").select(
-        "user_id", "event_id", "value", (clock / 1e6).alias("clock")
-    )
+    clock = "timestampdiff(MICROSECOND, TIMESTAMP_NTZ'2024-01-01 00:00:00', ts) / 1e6D AS clock"
+    events = table(spark, directory, "events").selectExpr("user_id", "event_id", "value", clock)
     before = scan_before(
         events, ["user_id"], "event_id", {"earlier": F.lit(1), "cpu_before": F.col("value")}
     )
@@ -164,7 +162,10 @@ def scores(spark: SparkSession, directory: str) -> DataFrame:
     chars = F.col("n_chars")
     size = F.when(chars < 1000, "small").when(chars < 5000, "medium").otherwise("large")
     documents = table(spark, directory, "documents").select(
-        "doc_id", F.col("lang").alias("prompt"), F.col("source").alias("evaluator"), size.alias("size")
+        "doc_id",
+        F.col("lang").alias("prompt"),
+        F.col("source").alias("evaluator"),
+        size.alias("size"),
     )
     marks = table(spark, directory, "labels").select(
         "doc_id", (F.col("quality") + F.col("toxic")).alias("score")

@@ -183,7 +183,7 @@ def virtual_nodes(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def safe_cast_nodes(spark: SparkSession, sf: str) -> DataFrame:
-    number = F.substring("Account", 2, 20).try_cast("bigint")
+    number = numbers.safe_integer(F.substring("Account", 2, 20))
     return data.jobs(spark, sf).select(F.col("JobIDRaw").alias("job_id"), number.alias("number"))
 
 
@@ -276,7 +276,8 @@ def variant_union(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def variant_rank(spark: SparkSession, sf: str) -> DataFrame:
-    ranked = measure.rank_means(_variants(spark, sf), "threads", ("model", "prompt"), ("ttft", "tpot"))
+    by, metrics = ("model", "prompt"), ("ttft", "tpot")
+    ranked = measure.rank_means(_variants(spark, sf), "threads", by, metrics)
     return rounded(ranked, "ttft_geomean", "tpot_geomean")
 
 
@@ -349,7 +350,8 @@ def first_run(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def counter_phases(spark: SparkSession, sf: str) -> DataFrame:
-    phases = profile.counter_phases(data.counter_samples(spark, sf), ["user_id", "run"], ["cpu", "clock"])
+    samples = data.counter_samples(spark, sf)
+    phases = profile.counter_phases(samples, ["user_id", "run"], ["cpu", "clock"])
     rates = profile.phase_rates(phases, "cpu", "clock")
     parts = ("load", "process", "total")
     return rounded(rates, *[f"{p}_{c}" for p in parts for c in ("cpu", "clock", "cpu_rate")])

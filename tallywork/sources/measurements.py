@@ -9,7 +9,9 @@ from tallywork.functions import names
 
 # The headers of the measurement files.
 _CONFIGURATION = "COMPILER STRING, MODEL STRING, QUANTIZATION STRING, SEEDING STRING, PROMPT STRING"
-_RESULTS = "RUN INT, PROMPT_N INT, PREDICTED_N INT, CACHE_N INT, TTFT DOUBLE, TPOT DOUBLE, MEM BIGINT"
+_RESULTS = (
+    "RUN INT, PROMPT_N INT, PREDICTED_N INT, CACHE_N INT, TTFT DOUBLE, TPOT DOUBLE, MEM BIGINT"
+)
 MEASUREMENT_SCHEMA = f"{_CONFIGURATION}, {_RESULTS}"
 THREADING_SCHEMA = f"{_CONFIGURATION}, THREADS INT, NUMA STRING, {_RESULTS}"
 

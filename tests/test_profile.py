@@ -155,6 +155,15 @@ def test_scaling_table(runs):
     assert "idle" not in profile.scaling_table(runs, "variant", "threads", "time").columns
 
 
+def test_safe_integer(spark):
+    from tallywork.functions.numbers import safe_integer
+
+    texts = ["12", " -7 ", "+3", "1.5", "e12", "", None, "9" * 30]
+    df = spark.createDataFrame([(t,) for t in texts], "t STRING")
+    got = [r[0] for r in df.select(safe_integer(F.col("t"))).collect()]
+    assert got == [12, -7, 3, None, None, None, None, None]
+
+
 def test_busy_cpu_time(spark):
     from tallywork.functions.numbers import busy_cpu_time
 
