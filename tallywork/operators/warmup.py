@@ -15,10 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallywork.functions import numbers
-from tallywork.operators.scan import in_blocks
-
-# A run number is an INT: with blocks of 2^16 runs a configuration has at most 2^15 blocks.
-BITS = 16
+from tallywork.operators.scan import BITS, in_blocks
 
 
 def trailing_error(
@@ -37,6 +34,9 @@ def trailing_error(
 
     ``run`` is an integer that comes once per configuration. With ``numbered`` it counts from 1;
     without, it only gives the order, and the runs before each one are counted in the same pass.
+
+    The rows of a configuration's blocks are windowed together: with the default width that is one
+    row for a million runs.
     """
     named = measurements.selectExpr(*keys, f"{run} AS _run", f"CAST({metric} AS DOUBLE) AS _x")
     rows, at = in_blocks(named, keys, "_run", bits)

@@ -75,7 +75,8 @@ def thread_count() -> Column:
 
 
 def _spark_text(moment: str) -> str:
-    return f"""date_format({moment}, "yyyy-MM-dd'T'HH:mm:ss.SSS") || 'GMT'"""
+    # Not date_format, which goes through the session's time zone and its missing hours.
+    return f"replace(CAST({moment} AS STRING), ' ', 'T') || 'GMT'"
 
 
 def stages(spark: SparkSession, directory: str) -> DataFrame:

@@ -44,6 +44,18 @@ def write_report(params: DataFrame, path: str) -> None:
     )
 
 
+def write_reports(params: DataFrame, path: str) -> None:
+    """Write many reports at once, one directory and file for each."""
+    (
+        params.repartition("report")
+        .sortWithinPartitions("report", "position", "key")
+        .select("report", names.report_line(F.col("key"), F.col("value")).alias("value"))
+        .write.mode("overwrite")
+        .partitionBy("report")
+        .text(path)
+    )
+
+
 def read_report(spark: SparkSession, path: str | list[str]) -> DataFrame:
     """Key and value of every line of a written report; other lines are left out."""
     line = F.col("value")

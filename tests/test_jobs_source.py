@@ -109,6 +109,17 @@ def test_report_through_files(spark, extract, tmp_path):
     assert values["percentaviail"] == "0.8"
 
 
+def test_reports_of_all_months(spark, extract, tmp_path):
+    jobs = source.read_jobs(spark, extract, 2025)
+    out = tmp_path / "reports"
+    tables.write_reports(report.usage_params(usage.usage_cube(jobs)), str(out))
+    for month in (1, 2, 3):
+        [file] = (out / f"report=2025-{month:02}-01").glob("part-*")
+        single = str(tmp_path / f"single-{month}")
+        tables.write_report(report.month_report(jobs, 2025, month), single)
+        assert file.read_text().splitlines() == [r.value for r in spark.read.text(single).collect()]
+
+
 def test_refresh_replaces_one_month(spark, extract, tmp_path):
     stored = str(tmp_path / "stored")
     jobs = source.read_jobs(spark, extract, 2025)
