@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from tallywork.functions import spark_time
 from tallywork.operators.scan import number_rows, scan_before
 
 CONFIGURATION = ("compiler", "model", "quantization", "prompt")
@@ -124,7 +125,8 @@ def spark_jobs(spark: SparkSession, directory: str) -> DataFrame:
 
 def counter_samples(spark: SparkSession, directory: str) -> DataFrame:
     """Each user's events in threes as the samples of a run, the running sum of value as counter."""
-    clock = "timestampdiff(MICROSECOND, TIMESTAMP_NTZ'2024-01-01 00:00:00', ts) / 1e6D AS clock"
+    start, now = spark_time.moment("'2024-01-01 00:00:00'"), spark_time.moment("CAST(ts AS STRING)")
+    clock = f"{spark_time.span_seconds(start, now)} AS clock"
     events = table(spark, directory, "events").selectExpr("user_id", "event_id", "value", clock)
     before = scan_before(
         events, ["user_id"], "event_id", {"earlier": F.lit(1), "cpu_before": F.col("value")}

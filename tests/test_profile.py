@@ -94,6 +94,19 @@ def test_rollup(metrics):
     assert total.working_time_ratio == pytest.approx(5.8 / 18.0)
 
 
+def test_spans_do_not_depend_on_the_session_zone(spark):
+    """In Lisbon the hour after one o'clock is missing on the last Sunday of March."""
+    from tallywork.functions import spark_time
+
+    df = spark.createDataFrame([("2025-03-30T00:59:59.500GMT", "2025-03-30T02:00:00.000GMT")], "a STRING, b STRING")
+    span = spark_time.span_seconds(spark_time.moment("a"), spark_time.moment("b"))
+    spark.conf.set("spark.sql.session.timeZone", "Europe/Lisbon")
+    try:
+        assert df.selectExpr(span).first()[0] == 3600.5
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
 def test_new_jobs(metrics):
     jobs, _ = metrics
     seen = jobs.filter("job_id < 2")
