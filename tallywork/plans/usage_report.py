@@ -218,10 +218,17 @@ def usage_params(
 
 
 def month_report(
-    jobs: DataFrame, year: int, month: int, year_start: dt.date | None = None
+    jobs: DataFrame,
+    year: int | None = None,
+    month: int | None = None,
+    year_start: dt.date | None = None,
 ) -> DataFrame:
-    """One report straight from the jobs; months that no tag covers are not read."""
-    spark = jobs.sparkSession
+    """One report straight from the jobs; months that no tag covers are not read.
+
+    Without a year or month those of last month are taken.
+    """
+    spark, last_month = jobs.sparkSession, periods.default_report()
+    year, month = year or last_month.year, month or last_month.month
     reports = report_months(spark, [(year, month)])
     needed = F.col("period").between(F.lit(dt.date(year, 1, 1)), F.lit(dt.date(year, month, 1)))
     return usage_params(usage.usage_cube(jobs.filter(needed)), reports, year_start)

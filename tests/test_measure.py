@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from tallywork.functions import names
 from tallywork.operators import measure, warmup
 
-from conftest import rows_of
+from conftest import plan_of, rows_of
 
 KEYS = ["compiler", "model", "prompt"]
 
@@ -224,6 +224,17 @@ def test_trailing_error_without_run_numbers(spark):
             assert got[3] is None or got[3] == pytest.approx(expected[3], rel=1e-9)
 
 
+def test_trailing_error_windows_rows_by_block(spark):
+    """Above the scan of rows there are windows by block; whole keys are windowed as block sums."""
+    df = spark.range(10).selectExpr("id % 3 AS k", "CAST(id AS INT) AS run", "rand(1) AS ttft")
+    plan = plan_of(warmup.trailing_error(df, ["k"]))
+    above_join = plan.split("Join", 1)[0]
+    windows = [line for line in above_join.splitlines() if "+- Window [" in line]
+    assert windows and all("_block_1" in line.split("windowspecdefinition(")[1][:60] for line in windows)
+    assert "SortAggregate" not in plan
+    assert "Exchange SinglePartition" not in plan
+
+
 def test_error_quotients(spark):
     rows = [("a", 1, 8.0, 16.0), ("b", 1, 1.0, 8.0), ("a", 2, 1.0, 3.0), ("c", 1, 0.0, 5.0), ("a", 0, 1.0, None)]
     df = spark.createDataFrame(rows, "k STRING, warmup_runs INT, mse DOUBLE, previous_mse DOUBLE")

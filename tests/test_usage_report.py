@@ -72,6 +72,11 @@ def test_one_report_by_hand(jobs, year, month):
     assert {k: got[k] for k in expected} == expected
 
 
+def test_report_of_last_month(jobs):
+    last = (dt.date.today().replace(day=1) - dt.timedelta(days=1)).replace(day=1)
+    assert {r.report for r in report.month_report(jobs).collect()} == {last}
+
+
 def test_all_reports_at_once(jobs):
     cube = usage.usage_cube(jobs)
     together = report.usage_params(cube)
