@@ -8,10 +8,15 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallywork.llm import arrow_shards, binary_packing, golay_simhash
+from tallywork.llm import arrow_shards, binary_packing, bloom_sketch, golay_simhash, pii_spans
 from tallywork.llm.shared import new_folder, table
 
 
+def op2_bloom_sketch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each document's sketch, and its likeness to its edited text and to the next document."""
+    return bloom_sketch.compared(table(spark, sf_dir, "documents"))
+
+
 def op3_arrow_shards(spark: SparkSession, sf_dir: str, tokenizer: str | None = None) -> DataFrame:
     """Place and checksum of each document's ids, read back from the Arrow files."""
     path = tokenizer or public_tokenizers.path("byte_bpe_50k.json")
@@ -31,9 +36,19 @@ def op7_binary_packing(spark: SparkSession, sf_dir: str, tokenizer: str | None =
     return binary_packing.packed(table(spark, sf_dir, "documents"), path, keep_ids=False)
 
 
+def op10_pii_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts and places of personal data in each document."""
+    found = pii_spans.personal_data(table(spark, sf_dir, "documents"))
+    counts = [pii_spans.counted(F.col("base_spans"), kind.name).alias(f"n_{kind.name}") for kind in pii_spans.BASE]
+    base, every = pii_spans.listed(F.col("base_spans")), F.col("spans")
+    return found.select("doc_id", *counts, F.sha2(base, 256).alias("base_sha256"), pii_spans.listed(every).alias("spans"), pii_spans.listed(every, score=True).alias("scored"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_bloom_sketch": op2_bloom_sketch,
     "op3_arrow_shards": op3_arrow_shards,
     "op4_golay_simhash": op4_golay_simhash,
     "op7_binary_packing": op7_binary_packing,
+    "op10_pii_spans": op10_pii_spans,
 }
 ORACLES: dict[str, str] = {}
