@@ -25,6 +25,7 @@ TABLES = 3
 STORED_CELLS = 4
 ROUNDS = 9
 FILL = 1.0
+LEAST_CELLS = 16
 
 CELL = "struct<n:int,ids:bigint,checks:int>"
 PAIRS = ("edited", "next")
@@ -64,7 +65,7 @@ def fingerprint(ids: Column) -> Column:
 
 
 def versions(documents: DataFrame, bounds: list[int]) -> DataFrame:
-    """Each document with the next one by doc_id: range, key, doc_id, next_id, n_chars, own, next, edited (digests), edited_text, copy.
+    """Each document with the next one by doc_id: range, key, doc_id, n_chars, own, next, edited (digests), edited_text, copy.
 
     The next one of the last is the first. Rows that share a doc_id follow one another by text, NULL doc_ids come
     first. `key` stands for doc_id and both texts; `copy` is true on all but the first row of a key. The first
@@ -79,10 +80,10 @@ def versions(documents: DataFrame, bounds: list[int]) -> DataFrame:
     ends = after.select("doc_id", "text", F.coalesce("before", "last").alias("range"), F.lit(True).alias("end"), F.col("before").isNull().alias("wrapped"))
     every = ranged.select("doc_id", "text", "range", F.lit(False).alias("end"), F.lit(False).alias("wrapped")).unionByName(ends).withColumn("own", digests(F.col("text")))
     window = Window.partitionBy("range").orderBy("wrapped", "doc_id", "end", "text")
-    following = every.select("*", F.lead("text").over(window).alias("next_text"), F.lead("doc_id").over(window).alias("next_id"), F.lead("own").over(window).alias("next")).where("NOT end")
+    following = every.select("*", F.lead("text").over(window).alias("next_text"), F.lead("own").over(window).alias("next")).where("NOT end")
     half = F.floor(F.length("text") / 2).cast("int")
     edited = F.concat(F.left("text", F.length("text") - half), F.left("next_text", half))
-    keyed = following.select("range", "doc_id", "next_id", "text", F.xxhash64("doc_id", "text", "next_text").alias("key"), F.length("text").cast("bigint").alias("n_chars"), "own", "next", edited.alias("edited_text"))
+    keyed = following.select("range", "doc_id", "text", F.xxhash64("doc_id", "text", "next_text").alias("key"), F.length("text").cast("bigint").alias("n_chars"), "own", "next", edited.alias("edited_text"))
     within = Window.partitionBy("range").orderBy("doc_id", "text", "key")
     numbered = keyed.withColumn("copy", F.coalesce(F.lag("key").over(within) == F.col("key"), F.lit(False))).drop("text")
     return numbered.withColumn("edited", digests(F.col("edited_text")))
@@ -103,7 +104,7 @@ def subtracted(rows: DataFrame, attempt: int) -> DataFrame:
     """The cells of both pairs of each row, the second version's taken from the first's: range, key, slot, digest, n, ids, checks."""
 
     def level(other: str) -> Column:
-        fit = F.log2(F.greatest(F.ceil((F.size("own") + F.size(other)) * FILL), F.lit(4)).cast("double"))
+        fit = F.log2(F.greatest(F.ceil((F.size("own") + F.size(other)) * FILL), F.lit(LEAST_CELLS)).cast("double"))
         return F.ceil(fit).cast("int") + attempt
 
     side = lambda pair, other, sign, ids: F.struct(F.lit(pair).alias("pair"), F.lit(sign).alias("n"), level(other).alias("level"), F.col(ids).alias("set"))
@@ -157,18 +158,21 @@ def differences(rows: DataFrame, attempt: int) -> DataFrame:
     return peeled(subtracted(rows.where("NOT copy"), attempt), attempt).groupBy("range", "key").agg(*found)
 
 
-def _attempted(rows: DataFrame, attempt: int) -> DataFrame:
-    """What is returned of each row, and whether a pair has failed; a table in the shared folder."""
-    sizes = [F.size(name).alias(f"n_{name}") for name in ("own", *PAIRS)]
-    about = rows.select("range", "key", "doc_id", "next_id", "n_chars", F.sha2("edited_text", 256).alias("edited_sha256"), fingerprint(F.col("own")).alias("fingerprint"), fingerprint(F.col("edited")).alias("edited_fingerprint"), *sizes)
-    both = shared.written(about.join(differences(rows, attempt), ["range", "key"], "left"), "sketches")
+SETS = ("own", *PAIRS)
+
+
+def _judged(rows: DataFrame, attempt: int) -> DataFrame:
+    """The rows with both likenesses, and whether a pair has failed; only rows that have keep their digests. A table in the shared folder."""
+    both = rows.join(differences(rows, attempt), ["range", "key"], "left")
+    size = {name: F.size(name) for name in SETS}
     likeness, failed = [], F.lit(False)
     for name in PAIRS:
         gone, new, left = F.coalesce(f"{name}_gone", F.lit(0)), F.coalesce(f"{name}_new", F.lit(0)), F.coalesce(f"{name}_left", F.lit(False))
-        every = F.col("n_own") + new
-        likeness.append(F.when(every == 0, 1.0).otherwise((F.col("n_own") - gone) / F.nullif(every, F.lit(0))).alias(f"near_{name}"))
-        failed = failed | left | (F.col("n_own") - gone != F.col(f"n_{name}") - new)
-    return both.select("key", "doc_id", "next_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", *likeness, failed.alias("failed"))
+        every = size["own"] + new
+        likeness.append(F.when(every == 0, 1.0).otherwise((size["own"] - gone) / F.nullif(every, F.lit(0))).alias(f"near_{name}"))
+        failed = failed | left | (size["own"] - gone != size[name] - new)
+    judged = both.select("range", "key", "copy", "doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", *SETS, *likeness, failed.alias("failed"))
+    return shared.written(judged.withColumns({name: F.when(F.col("failed"), F.col(name)) for name in SETS}), "sketches")
 
 
 def compared(documents: DataFrame) -> DataFrame:
@@ -177,17 +181,16 @@ def compared(documents: DataFrame) -> DataFrame:
     Likeness is the shared part of all distinct paragraphs of both texts, from the digests that peeling
     recovers; texts without any paragraph are alike (1.0). NULL texts are empty; a text that is all white space
     has no paragraph. The only document is its own next one. Rows that repeat are answered alike. No documents:
-    no rows. Other columns are ignored. Rows with a pair whose cells don't come out even are tried again, with
-    tables twice as large each time, until none is left; then only they and their next documents are read.
+    no rows. Other columns are ignored. Rows with a pair whose cells don't come out even are tried again from
+    their digests, with tables twice as large each time, until none is left.
     """
-    bounds = shared.range_bounds(documents, "doc_id")
-    attempt, parts = 0, [_attempted(versions(documents, bounds), 0)]
+    rows = versions(documents, shared.range_bounds(documents, "doc_id"))
+    prints = [fingerprint(F.col("own")).alias("fingerprint"), fingerprint(F.col("edited")).alias("edited_fingerprint")]
+    named = rows.select("range", "key", "copy", "doc_id", "n_chars", F.sha2("edited_text", 256).alias("edited_sha256"), *prints, *SETS)
+    attempt, parts = 0, [_judged(named, 0)]
     while parts[-1].where("failed").limit(1).count():
         attempt += 1
-        failed = shared.written(parts[-1].where("failed").select("key", "doc_id", "next_id").distinct(), "failed")
-        wanted = failed.select(F.col("doc_id").alias("wanted")).union(failed.select("next_id")).distinct()
-        some = documents.join(wanted, F.col("doc_id").eqNullSafe(F.col("wanted")), "left_semi")
-        again = versions(some, bounds).join(failed.select("key").distinct(), "key", "left_semi")
-        parts.append(_attempted(again, attempt))
+        again = parts[-1].where("failed").drop("failed", *(f"near_{name}" for name in PAIRS))
+        parts.append(_judged(again, attempt))
     columns = ["doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next"]
     return reduce(DataFrame.unionByName, [part.where("NOT failed").select(columns) for part in parts])

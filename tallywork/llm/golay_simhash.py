@@ -57,7 +57,7 @@ def _fingerprints(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
     for batch in batches:
         texts = tokens.column(batch, "text")
         found = np.fromiter((fingerprint(text.as_buffer().to_pybytes()) for text in texts), np.uint64, len(texts))
-        yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(found.view(np.int64))], ["doc_id", "fingerprint"])
+        yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("own"), pa.array(found.view(np.int64))], ["doc_id", "own", "fingerprint"])
 
 
 @cache
@@ -226,19 +226,33 @@ def components(edges: DataFrame) -> DataFrame:
 
 
 def near_duplicates(documents: DataFrame) -> DataFrame:
-    """doc_id, fingerprint (bigint, the unsigned number's bits) and component_id, the smallest doc_id reachable.
+    """doc_id, fingerprint (bigint, the unsigned number's bits), component_id, the smallest doc_id reachable, own and first_own.
 
     A NULL or empty text or one of white space has fingerprint 0 and is linked like any other. Equal
     fingerprints are one node however many documents share them, so a group of copies is no larger than one.
     Rows that repeat are rows of the same component. A NULL doc_id never names a component unless all of its
-    doc_ids are NULL. No documents: no rows. Other columns are ignored, whatever their names.
+    doc_ids are NULL. own is a hash of the text, first_own that of the component's first document. No documents:
+    no rows. Other columns are ignored, whatever their names.
     """
     shared.with_code(documents.sparkSession)
-    own = shared.written(documents.select("doc_id", "text").mapInArrow(_fingerprints, "doc_id bigint, fingerprint bigint"), "fingerprints")
-    nodes = own.groupBy("fingerprint").agg(F.min("doc_id").alias("first_doc"))
+    texts = documents.select("doc_id", F.xxhash64("text").alias("own"), "text")
+    own = shared.written(texts.mapInArrow(_fingerprints, "doc_id bigint, own bigint, fingerprint bigint"), "fingerprints")
+    first = F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "own")
+    nodes = own.groupBy("fingerprint").agg(F.min(first).alias("first"))
     keyed = nodes.select("fingerprint").mapInArrow(_keyed, "key bigint, fingerprint bigint")
     edges = keyed.repartition("key").sortWithinPartitions("key").mapInArrow(_linked, "a bigint, b bigint")
     roots = components(edges)
-    rooted = nodes.join(roots, nodes["fingerprint"] == roots["node"], "left").select("fingerprint", "first_doc", F.coalesce("root", "fingerprint").alias("root"))
-    named = rooted.join(rooted.groupBy("root").agg(F.min("first_doc").alias("component_id")), "root").select("fingerprint", "component_id")
-    return own.join(named, "fingerprint").select("doc_id", "fingerprint", "component_id")
+    rooted = nodes.join(roots, nodes["fingerprint"] == roots["node"], "left").select("fingerprint", "first", F.coalesce("root", "fingerprint").alias("root"))
+    named = rooted.join(rooted.groupBy("root").agg(F.min("first").alias("smallest")), "root")
+    names = named.select("fingerprint", F.col("smallest.doc_id").alias("component_id"), F.col("smallest.own").alias("first_own"))
+    return own.join(names, "fingerprint").select("doc_id", "fingerprint", "component_id", "own", "first_own")
+
+
+def representatives(documents: DataFrame) -> DataFrame:
+    """One document of each component, the one that names it, with all of its columns. NULLs and repeats: as in near_duplicates."""
+    found = near_duplicates(documents)
+    kept = found.where(F.col("doc_id").eqNullSafe(F.col("component_id")) & (F.col("own") == F.col("first_own")))
+    names = shared.written(kept.select(F.col("doc_id").alias("kept_doc_id"), F.col("own").alias("kept_own")).distinct(), "kept")
+    rows = shared.folded(documents, "text").select("*", F.col("row.doc_id").alias("own_doc_id"), F.xxhash64("text").alias("own"))
+    met = rows.join(names, F.col("own_doc_id").eqNullSafe(F.col("kept_doc_id")) & (F.col("own") == F.col("kept_own")), "left_semi")
+    return met.dropDuplicates(["own_doc_id", "own"]).select(shared.unfolded(documents.columns, "text"))

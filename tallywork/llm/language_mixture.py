@@ -173,10 +173,10 @@ def mixtures(texts: pa.Array, languages: Languages) -> tuple[np.ndarray, np.ndar
     return shares, letters > 0, np.clip(sure, 0, 1)
 
 
-RESULT = "doc_id bigint, held_out boolean, lang_pred string, score double, languages string"
+ADDED = ("lang_pred", "score", "languages")
 
 
-def _predictor(languages: Languages) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+def _predictor(languages: Languages, kept: list[str]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     def predict(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = tokens.column(batch, "text")
@@ -185,19 +185,24 @@ def _predictor(languages: Languages) -> Callable[[Iterator[pa.RecordBatch]], Ite
                 first = shares.argmax(axis=1)
                 names = [languages.names[i] if k else UNKNOWN for i, k in zip(first, known, strict=True)]
                 several = [",".join(f"{languages.names[i]}:{row[i]:.3f}" for i in np.argsort(-row, kind="stable") if row[i] > 0) if k else "" for row, k in zip(shares, known, strict=True)]
-                columns = [batch.column("doc_id").slice(a, b - a), batch.column("held_out").slice(a, b - a), pa.array(names, pa.string()), pa.array(np.where(known, sure, 0.0)), pa.array(several, pa.string())]
-                yield pa.RecordBatch.from_arrays(columns, [field.split()[0] for field in RESULT.split(", ")])
+                columns = [*(batch.column(name).slice(a, b - a) for name in kept), pa.array(names, pa.string()), pa.array(np.where(known, sure, 0.0)), pa.array(several, pa.string())]
+                yield pa.RecordBatch.from_arrays(columns, [*kept, *ADDED])
 
     return predict
 
 
-def predicted(documents: DataFrame, languages: Languages) -> DataFrame:
-    """doc_id, held_out, lang_pred, score and languages (name:share of the chosen set, by share).
+def with_language(documents: DataFrame, languages: Languages, keep: list[str] | None = None) -> DataFrame:
+    """The documents, or the columns asked for, with lang_pred, score and languages (name:share of the chosen set, by share).
 
     score is the first language's share of a mixture, or the chance of the only language among all single
     ones. A NULL or empty text or one without a letter is `und` with score 0, as is every text where nothing
-    was learned. Rows that repeat are answered each for itself; no documents: no rows; other columns, such as
-    lang and source, are never looked at.
+    was learned. Rows that repeat are answered each for itself; no documents: no rows. Other columns, such as
+    lang and source, are never looked at; those with one of the three names are replaced.
     """
     shared.with_code(documents.sparkSession)
-    return documents.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "text").mapInArrow(_predictor(languages), RESULT)
+    kept = [name for name in keep or documents.columns if name not in ADDED]
+    schema = documents.select(*(f"`{name}`" for name in kept)).schema
+    for name, kind in zip(ADDED, ("string", "double", "string"), strict=True):
+        schema = schema.add(name, kind)
+    seen = documents.select(*(f"`{name}`" for name in dict.fromkeys([*kept, "text"])))
+    return seen.mapInArrow(_predictor(languages, kept), schema)

@@ -8,10 +8,27 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallywork.llm import arrow_shards, binary_packing, bloom_sketch, golay_simhash, pii_spans
+from tallywork.llm import (
+    arrow_shards,
+    binary_packing,
+    bloom_sketch,
+    golay_simhash,
+    language_mixture,
+    line_crf,
+    page_crf,
+    patience_dedup,
+    pfair_mixing,
+    pii_spans,
+)
 from tallywork.llm.shared import new_folder, table
 
 
+def op1_line_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts, base rules and verdict of each document, by a field learned from the labelled documents."""
+    documents = table(spark, sf_dir, "documents")
+    return line_crf.judged(documents, line_crf.fitted(documents, table(spark, sf_dir, "labels")))
+
+
 def op2_bloom_sketch(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each document's sketch, and its likeness to its edited text and to the next document."""
     return bloom_sketch.compared(table(spark, sf_dir, "documents"))
@@ -30,12 +47,35 @@ def op4_golay_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lpad(F.lower(F.hex("fingerprint")), 16, "0").alias("fingerprint"), "component_id")
 
 
+def op5_page_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of each page."""
+    pages = table(spark, sf_dir, "pages")
+    return page_crf.extracted(pages, page_crf.fitted(pages))
+
+
+def op6_language_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of each document, and its mixture."""
+    documents = table(spark, sf_dir, "documents").withColumn("held_out", language_mixture.held_out(F.col("doc_id")))
+    return language_mixture.with_language(documents, language_mixture.learned(documents), ["doc_id", "held_out"])
+
+
 def op7_binary_packing(spark: SparkSession, sf_dir: str, tokenizer: str | None = None) -> DataFrame:
     """All pieces of all documents."""
     path = tokenizer or public_tokenizers.path("word_bpe_49k.json")
     return binary_packing.packed(table(spark, sf_dir, "documents"), path, keep_ids=False)
 
 
+def op8_patience_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each document without the blocks that it shares with an earlier one."""
+    return patience_dedup.without_repeats(table(spark, sf_dir, "documents")).select("doc_id", "text", "n_lines", "n_deleted")
+
+
+def op9_pfair_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each document's place in the mixture of the sources."""
+    found = pfair_mixing.scheduled(table(spark, sf_dir, "documents").select("doc_id", "source", "text"))
+    return found.select("doc_id", "source", "block", "phase", "release", "deadline", "slot", "mix_place")
+
+
 def op10_pii_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Counts and places of personal data in each document."""
     found = pii_spans.personal_data(table(spark, sf_dir, "documents"))
@@ -45,10 +85,15 @@ def op10_pii_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_line_crf": op1_line_crf,
     "op2_bloom_sketch": op2_bloom_sketch,
     "op3_arrow_shards": op3_arrow_shards,
     "op4_golay_simhash": op4_golay_simhash,
+    "op5_page_crf": op5_page_crf,
+    "op6_language_mixture": op6_language_mixture,
     "op7_binary_packing": op7_binary_packing,
+    "op8_patience_dedup": op8_patience_dedup,
+    "op9_pfair_mixing": op9_pfair_mixing,
     "op10_pii_spans": op10_pii_spans,
 }
 ORACLES: dict[str, str] = {}

@@ -36,6 +36,17 @@ def new_folder(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark)}/tallywork/{name}-{uuid.uuid4().hex}"
 
 
+def folded(df: DataFrame, *apart: str) -> DataFrame:
+    """The rows with all columns but some in one struct `row`, so that no name of theirs meets one added to them."""
+    rest = [F.col(f"`{name}`") for name in df.columns if name not in apart] or [F.lit(0).alias("none")]
+    return df.select(F.struct(*rest).alias("row"), *apart)
+
+
+def unfolded(columns: list[str], *apart: str) -> list[Column]:
+    """The columns as they were, from folded rows."""
+    return [F.col(f"`{name}`") if name in apart else F.col("row")[name].alias(name) for name in columns]
+
+
 def written(df: DataFrame, name: str) -> DataFrame:
     """The rows as a table in the shared folder: computed once, and kept when executors are lost."""
     path = new_folder(df.sparkSession, name)

@@ -38,7 +38,8 @@ def cuts(data: np.ndarray) -> np.ndarray:
 
     White space after a visible character, a mark or digit (but no apostrophe) after a letter, and a visible
     character after a lone white-space byte other than a blank. Of characters beyond ASCII only U+00C0 to
-    U+027F count as visible, and as letters without the two arithmetic signs among them.
+    U+027F count as visible, and as letters without the two arithmetic signs and the dotted capital I among
+    them, whose small form ends with a mark.
     """
     found = np.zeros(len(data), bool)
     if len(data) < 2:
@@ -47,7 +48,7 @@ def cuts(data: np.ndarray) -> np.ndarray:
     tail = np.zeros(len(data), bool)
     tail[1:] = lead[:-1]
     sign = np.zeros(len(data), bool)
-    sign[1:] = (data[:-1] == 0xC3) & ((data[1:] == 0x97) | (data[1:] == 0xB7))
+    sign[1:] = ((data[:-1] == 0xC3) & ((data[1:] == 0x97) | (data[1:] == 0xB7))) | ((data[:-1] == 0xC4) & (data[1:] == 0xB0))
     visible_end = VISIBLE[data] | tail
     letter_end = LETTER[data] | (tail & ~sign)
     space = SPACE[data]
