@@ -1,6 +1,6 @@
 """How one accounting record is classified.
 
-The rules are tables, so a site with other partition or account names passes its own.
+The rules are tables: a site with other partition or account names changes them here.
 """
 
 from __future__ import annotations
@@ -40,12 +40,12 @@ def base_state(state: Column) -> Column:
     return F.regexp_replace(state, "CANCELLED(.*)", "CANCELLED")
 
 
-def cluster(partition: Column, rules: Rules = CLUSTER_RULES, other: str = OTHER_CLUSTER) -> Column:
-    return _first_match(rules, partition.contains, other)
+def cluster(partition: Column) -> Column:
+    return _first_match(CLUSTER_RULES, partition.contains, OTHER_CLUSTER)
 
 
-def agency(account: Column, rules: Rules = AGENCY_RULES, other: str = OTHER_AGENCY) -> Column:
-    return _first_match(rules, account.startswith, other)
+def agency(account: Column) -> Column:
+    return _first_match(AGENCY_RULES, account.startswith, OTHER_AGENCY)
 
 
 def gpu_share_nodes(partition: Column, alloc_cpus: Column, nnodes: Column) -> Column:

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 # The quantization in a model file name, and a line of a report file.
 MODEL_SUFFIX = r"-Q[0-9_KM]+\.gguf$"
 QUANTIZATION = r"(Q[0-9_KM]+)"
-REPORT_LINE = r"^\\def\\(\w*)\{([^}]*)\}"
+REPORT_LINE = r"^\\def\\(\w*)\{(.*)\}"
 REPORT_FORMAT = r"\def\%s{%s}"
 
 

@@ -19,8 +19,9 @@ def safe_integer(text: Column) -> Column:
 
 
 def geomean(values: Column) -> Column:
-    """Geometric mean of the values above zero."""
-    return F.exp(F.avg(F.ln(F.when(values > 0, values))))
+    """Geometric mean: 0 if there is a zero among the values, NULL if one is below zero or there is none."""
+    mean = F.exp(F.avg(F.ln(F.when(values > 0, values))))
+    return F.when(F.min(values) > 0, mean).when(F.min(values) == 0, F.lit(0.0))
 
 
 def ratio_or_one(part: Column, whole: Column) -> Column:

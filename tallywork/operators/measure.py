@@ -54,17 +54,20 @@ def rank_means(
     """Options by the geometric mean of their ratio to the best option, best first.
 
     ``means`` has one row per option and setting (``by``), so the window holds one row per option.
+    Nothing can be compared with a best mean that is not above zero, and a setting without a mean
+    has no ratio: ``left_out`` of a metric tells how many settings of the option these are.
     """
     setting = Window.partitionBy(*by)
-    ratios = [
-        (F.col(mean.format(m)) / F.min(mean.format(m)).over(setting)).alias(f"{m}_ratio")
-        for m in metrics
-    ]
-    ranked = (
-        means.select(option, *ratios)
-        .groupBy(option)
-        .agg(*[numbers.geomean(F.col(f"{m}_ratio")).alias(f"{m}_geomean") for m in metrics])
-    )
+    ratios = []
+    for m in metrics:
+        own, best = F.col(mean.format(m)), F.min(mean.format(m)).over(setting)
+        ratios.append(F.when(best > 0, F.try_divide(own, best)).alias(f"{m}_ratio"))
+    columns = []
+    for m in metrics:
+        ratio = F.col(f"{m}_ratio")
+        columns.append(numbers.geomean(ratio).alias(f"{m}_geomean"))
+        columns.append(F.count_if(ratio.isNull()).alias(f"{m}_left_out"))
+    ranked = means.select(option, *ratios).groupBy(option).agg(*columns)
     return ranked.orderBy(F.col(f"{metrics[-1]}_geomean").asc_nulls_last(), option)
 
 
@@ -81,18 +84,23 @@ def rank_cold_runs(
     """The same ranking over first runs, every one of them a value of its own.
 
     The ratio of a value to the best is a difference of logarithms, so rows are first added up by
-    option and setting, and only those sums meet the best value of their setting.
+    option and setting, and only those sums meet the best value of their setting. ``left_out``
+    counts the values of settings whose best value is not above zero, and missing values.
     """
-    cold = measurements.filter((F.col("run") == 1) & (F.col(metric) > 0))
+    cold = measurements.filter(F.col("run") == 1)
     sums = cold.groupBy(option, *by).agg(
+        F.count(F.lit(1)).alias("values"),
         F.count(metric).alias("n"),
-        F.sum(F.ln(metric)).alias("sum_ln"),
+        F.sum(F.ln(F.when(F.col(metric) > 0, F.col(metric)))).alias("sum_ln"),
         F.min(metric).alias("least"),
     )
-    best = F.ln(F.min("least").over(Window.partitionBy(*by)))
-    above = sums.select(option, "n", (F.col("sum_ln") - F.col("n") * best).alias("above"))
-    ranked = above.groupBy(option).agg(
-        F.exp(F.sum("above") / F.sum("n")).alias(f"{metric}_geomean")
+    best = F.min("least").over(Window.partitionBy(*by))
+    usable = F.when(best > 0, F.col("n")).otherwise(0)
+    above = F.when(best > 0, F.col("sum_ln") - F.col("n") * F.ln(best))
+    compared = sums.select(option, "values", usable.alias("n"), above.alias("above"))
+    ranked = compared.groupBy(option).agg(
+        F.exp(F.try_divide(F.sum("above"), F.sum("n"))).alias(f"{metric}_geomean"),
+        (F.sum("values") - F.sum("n")).alias(f"{metric}_left_out"),
     )
     return ranked.orderBy(F.col(f"{metric}_geomean").asc_nulls_last(), option)
 
@@ -178,19 +186,29 @@ def in_order(df: DataFrame) -> DataFrame:
     return df.orderBy(*df.columns)
 
 
-def property_check(measurements: DataFrame, rule: Column, by: str = "model") -> DataFrame:
-    """How many rows there are and how many keep the rule."""
+def property_check(
+    measurements: DataFrame, first: DataFrame, first_rule: Column, rule: Column, by: str = "model"
+) -> DataFrame:
+    """How many rows there are and how many keep the rule; first runs have a rule of their own.
+
+    ``first`` has the first run of every configuration again. All rows are counted by the common
+    rule in one aggregate, which the few first runs then correct: no row has to be numbered.
+    """
+    counted = measurements.groupBy(by).agg(
+        F.count(F.lit(1)).alias("rows"), F.count_if(rule).alias("kept")
+    )
+    change = F.count_if(first_rule) - F.count_if(rule)
+    corrected = first.groupBy(by).agg(F.lit(0).cast("bigint").alias("rows"), change.alias("kept"))
     return (
-        measurements.groupBy(by)
+        counted.unionByName(corrected)
+        .groupBy(by)
         .agg(
-            F.count(F.lit(1)).alias("measurement_count"),
-            F.count_if(rule).alias("property_applies"),
+            F.sum("rows").alias("measurement_count"), F.sum("kept").alias("property_applies")
         )
         .orderBy(by)
     )
 
 
-def cache_rule(value: Column, limit: float = 1) -> Column:
-    """A first run works on more than ``limit``, every later run on no more than that."""
-    run = F.col("run")
-    return ((run == 1) & (value > limit)) | ((run > 1) & (value <= limit))
+def cache_rules(value: Column, limit: float = 1) -> tuple[Column, Column]:
+    """A first run works on more than ``limit``; every later run on no more than that."""
+    return value > limit, value <= limit

@@ -27,13 +27,15 @@ def stage_rollup(stages: DataFrame, tasks: DataFrame, threads: int) -> DataFrame
     """One row per stage with what its tasks add up to.
 
     Tasks are added up by stage before they meet the stages, so the join has one row per stage on
-    either side however many tasks a stage has.
+    either side however many tasks a stage has. Where both know the attempt, tasks of other attempts
+    do not count.
     """
-    worked = tasks.groupBy("stage_id").agg(
-        F.expr("count(*) AS ran"), F.expr("sum(duration_ms / 1000D) AS worked")
+    attempt = [c for c in ("attempt_id",) if c in stages.columns and c in tasks.columns]
+    worked = tasks.groupBy("stage_id", *attempt).agg(
+        F.expr("count(*) AS ran"), F.expr("sum(duration_ms) / 1000D AS worked")
     )
     start, end = spark_time.moment("submitted"), spark_time.moment("completed")
-    rolled = stages.join(worked, "stage_id", "left").selectExpr(
+    rolled = stages.join(worked, ["stage_id", *attempt], "left").selectExpr(
         "stage_id",
         f"status = '{SKIPPED}' AS skipped",
         f"CASE WHEN status = '{SKIPPED}' THEN 0D ELSE {spark_time.span_seconds(start, end)} END"
@@ -49,10 +51,16 @@ def stage_rollup(stages: DataFrame, tasks: DataFrame, threads: int) -> DataFrame
 def job_rollup(
     jobs: DataFrame, job_stages: DataFrame, stages: DataFrame, threads: int
 ) -> DataFrame:
-    """One row per job from the rows of ``stage_rollup``; a stage counts in each job that has it."""
+    """One row per job from the rows of ``stage_rollup``; a stage counts in each job that has it.
+
+    Spark forgets old stages: those that a job lists and that have no record count among its stages
+    and in ``num_unknown_stages``; the sums are those of the others.
+    """
     executed = "CASE WHEN NOT skipped THEN num_nonskipped_tasks END"
-    added = job_stages.join(stages, "stage_id").groupBy("job_id").agg(
+    known = stages.withColumn("known", F.lit(True))
+    added = job_stages.join(known, "stage_id", "left").groupBy("job_id").agg(
         F.expr("count(*) AS num_stages"),
+        F.expr("count(*) - count(known) AS num_unknown_stages"),
         F.expr("count_if(NOT skipped) AS num_nonskipped_stages"),
         F.expr("sum(num_nonskipped_tasks) AS num_nonskipped_tasks"),
         F.expr("sum(working_time) AS working_time"),
@@ -60,7 +68,13 @@ def job_rollup(
         F.expr(f"min({executed}) AS min_tasks"),
         F.expr(f"max({executed}) AS max_tasks"),
     )
-    counts = ("num_stages", "num_nonskipped_stages", "num_nonskipped_tasks", *SHUFFLE)
+    counts = (
+        "num_stages",
+        "num_unknown_stages",
+        "num_nonskipped_stages",
+        "num_nonskipped_tasks",
+        *SHUFFLE,
+    )
     timed = jobs.selectExpr(
         "job_id",
         "name",
@@ -90,6 +104,7 @@ def query_rollup(jobs: DataFrame, threads: int) -> DataFrame:
     """
     sums = (
         "num_stages",
+        "num_unknown_stages",
         "num_nonskipped_stages",
         "num_tasks",
         "num_nonskipped_tasks",
@@ -134,6 +149,59 @@ def run_statistics(runs: DataFrame, keys: Sequence[str], metrics: Sequence[str])
     return stats.select(*keys, F.explode(rows).alias("r")).select(*keys, "r.*")
 
 
+def run_statistics_without(
+    runs: DataFrame, dropped: DataFrame, keys: Sequence[str], metrics: Sequence[str]
+) -> DataFrame:
+    """``run_statistics`` of the runs without some of them, which ``dropped`` has again.
+
+    Count, mean and squared deviations of all runs come from one aggregate, and those of the few
+    dropped ones are taken out of them: no run has to be numbered, sorted or joined. A configuration
+    of which all runs are dropped has no row.
+    """
+
+    def moments(df: DataFrame, sign: int) -> DataFrame:
+        own = [
+            F.expr(
+                f"struct({sign} AS sign, count({m}) AS n, coalesce(avg({m}), 0D) AS mean,"
+                f" coalesce(var_pop({m}) * count({m}), 0D) AS m2) AS {m}"
+            )
+            for m in metrics
+        ]
+        return df.groupBy(*keys).agg(F.expr(f"{sign} * count(*) AS _rows"), *own)
+
+    def left(m: str) -> Column:
+        part = lambda sign, field: F.coalesce(
+            F.max(F.when(F.col(f"{m}.sign") == sign, F.col(f"{m}.{field}"))), F.lit(0)
+        )
+        fields = [
+            part(sign, field).alias(f"{side}_{field}")
+            for sign, side in ((1, "all"), (-1, "gone"))
+            for field in ("n", "mean", "m2")
+        ]
+        return F.struct(*fields).alias(m)
+
+    both = moments(runs, 1).unionByName(moments(dropped, -1))
+    merged = both.groupBy(*keys).agg(F.sum("_rows").alias("_rows"), *[left(m) for m in metrics])
+    rows = F.array(*[F.struct(F.lit(m).alias("metric"), F.col(m).alias("x")) for m in metrics])
+    return (
+        merged.filter("_rows > 0")
+        .select(*keys, F.explode(rows).alias("r"))
+        .select(*keys, "r.metric", "r.x.*")
+        .withColumn("n", F.expr("all_n - gone_n"))
+        .withColumn("mean", F.expr("try_divide(all_n * all_mean - gone_n * gone_mean, n)"))
+        .withColumn(
+            "m2",
+            F.expr("all_m2 - gone_m2 - pow(gone_mean - mean, 2) * n * gone_n / all_n"),
+        )
+        .selectExpr(
+            *keys,
+            "metric",
+            "mean",
+            "CASE WHEN n > 1 THEN sqrt(greatest(m2, 0D) / (n - 1)) END AS stdev",
+        )
+    )
+
+
 def first_run(
     runs: DataFrame, keys: Sequence[str], metrics: Sequence[str], run: str = "run"
 ) -> DataFrame:
@@ -192,14 +260,14 @@ def scaling_table(
 ) -> DataFrame:
     """Mean time by number of threads, speed-up over the fewest threads, and idle share in percent.
 
-    The window sees one row per variant and number of threads.
+    The window sees one row per variant and number of threads. A mean time of zero has no speed-up.
     """
     means = [F.avg(time).alias("mean_time"), F.stddev_samp(time).alias("stdev_time")]
     if working_ratio:
         means.append(F.avg(working_ratio).alias("working_time_ratio"))
     table = runs.groupBy(variant, threads).agg(*means)
     base = F.first("mean_time").over(Window.partitionBy(variant).orderBy(threads))
-    table = table.withColumn("speedup", base / F.col("mean_time"))
+    table = table.withColumn("speedup", F.try_divide(base, F.col("mean_time")))
     if working_ratio:
         table = table.withColumn("idle", 100 * (1 - F.col("working_time_ratio")))
     return table

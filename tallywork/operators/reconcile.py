@@ -13,10 +13,13 @@ from tallywork.functions import numbers
 TOLERANCE = 0.001
 
 
-def _verdict(in_left: Column, in_right: Column, left: Column, right: Column, tol: float) -> Column:
+def _verdict(
+    in_left: Column, in_right: Column, several: Column, left: Column, right: Column, tol: float
+) -> Column:
     error = numbers.relative_error(left, right)
     return (
-        F.when(~in_right, "missing")
+        F.when(several, "duplicate")
+        .when(~in_right, "missing")
         .when(~in_left, "extra")
         .when(left.eqNullSafe(right), "equal")
         .when(error <= tol, "within tolerance")
@@ -27,14 +30,15 @@ def _verdict(in_left: Column, in_right: Column, left: Column, right: Column, tol
 def reconcile(
     left: DataFrame, right: DataFrame, keys: Sequence[str] = ("key",), tolerance: float = TOLERANCE
 ) -> DataFrame:
-    """Keys with both values, the relative error and one of five verdicts.
+    """Keys with both values, the relative error and one of six verdicts.
 
-    missing (only left has the key), extra (only right), equal, within tolerance, changed. A text
-    that differs is changed, and so is a number whose left side is zero.
+    missing (only left has the key), extra (only right), duplicate (a side has different values
+    under the key), equal, within tolerance, changed. A text that differs is changed, and so is a
+    number whose left side is zero.
 
     Both sides go through one aggregate by key, combined before the shuffle, instead of a join:
-    keys are not multiplied with one another, whatever is in the data. A key should come once per
-    side; of several values the largest is compared.
+    keys are not multiplied with one another, whatever is in the data. The same value several times
+    is one value; of different ones the largest is shown.
     """
 
     def side(df: DataFrame, name: str) -> DataFrame:
@@ -42,14 +46,23 @@ def reconcile(
 
     both = side(left, "left").unionByName(side(right, "right"))
     is_left = F.col("side") == "left"
+
+    def differ(own: Column) -> Column:
+        value = F.when(own, F.col("value"))
+        unlike = F.coalesce(F.min(value) != F.max(value), F.lit(False))
+        return unlike | F.count(value).between(F.lit(1), F.count_if(own) - 1)
+
     found = both.groupBy(*keys).agg(
         F.bool_or(is_left).alias("in_left"),
         F.bool_or(~is_left).alias("in_right"),
+        (differ(is_left) | differ(~is_left)).alias("several"),
         F.max(F.when(is_left, F.col("value"))).alias("left_value"),
         F.max(F.when(~is_left, F.col("value"))).alias("right_value"),
     )
     left_value, right_value = F.col("left_value"), F.col("right_value")
-    verdict = _verdict(F.col("in_left"), F.col("in_right"), left_value, right_value, tolerance)
+    verdict = _verdict(
+        F.col("in_left"), F.col("in_right"), F.col("several"), left_value, right_value, tolerance
+    )
     return found.select(
         *keys,
         "left_value",
@@ -60,8 +73,8 @@ def reconcile(
 
 
 def acceptable(compared: DataFrame) -> DataFrame:
-    """One row: whether nothing is missing, extra or changed, and how many keys of each verdict."""
-    verdicts = ("equal", "within tolerance", "changed", "missing", "extra")
+    """One row: how many keys of each verdict, and whether all are equal or within tolerance."""
+    verdicts = ("equal", "within tolerance", "changed", "missing", "extra", "duplicate")
     counts = [F.count_if(F.col("verdict") == v).alias(v.replace(" ", "_")) for v in verdicts]
-    bad = F.col("changed") + F.col("missing") + F.col("extra")
+    bad = F.col("changed") + F.col("missing") + F.col("extra") + F.col("duplicate")
     return compared.agg(*counts).withColumn("acceptable", bad == 0)

@@ -42,41 +42,73 @@ def scan_before(
     sums: Mapping[str, Column],
     bits: int = BITS,
     levels: int = LEVELS,
+    last: Mapping[str, Column] | None = None,
 ) -> DataFrame:
-    """Add sums over all rows of the key that come earlier in ``order``, 0 where there are none."""
+    """Add sums over all rows of the key that come earlier in ``order``, 0 where there are none.
 
-    def so_far(group: Sequence[str], names: Mapping[str, Column]) -> list[Column]:
+    ``last`` adds what the nearest earlier row has, NULL for the first row.
+    """
+    last = last or {}
+
+    def so_far(group: Sequence[str], sums: Mapping[str, Column], last: Mapping[str, Column]) -> list[Column]:
         earlier = Window.partitionBy(*group).orderBy(order)
         before = earlier.rowsBetween(Window.unboundedPreceding, -1)
-        return [F.coalesce(F.sum(c).over(before), F.lit(0)).alias(n) for n, c in names.items()]
+        return [F.coalesce(F.sum(c).over(before), F.lit(0)).alias(n) for n, c in sums.items()] + [
+            F.lag(c).over(earlier).alias(n) for n, c in last.items()
+        ]
 
     if levels == 0:
-        return df.select("*", *so_far(keys, sums))
+        return df.select("*", *so_far(keys, sums, last))
 
     rows, at = in_blocks(df, keys, order, bits, levels)
     group, block = at
     own, carried, local = f"_own_{levels}_", f"_carry_{levels}_", f"_local_{levels}_"
-    blocks = rows.groupBy(at).agg(*[F.sum(c).alias(own + n) for n, c in sums.items()])
+    names = [*sums, *last]
+    blocks = rows.groupBy(at).agg(
+        *[F.sum(c).alias(own + n) for n, c in sums.items()],
+        *[F.max_by(c, order).alias(own + n) for n, c in last.items()],
+    )
     carry = scan_before(
-        blocks, [group], block, {carried + n: F.col(own + n) for n in sums}, bits, levels - 1
-    ).select(*at, *[carried + n for n in sums])
-    scanned = rows.join(carry, at).select("*", *so_far(at, {local + n: c for n, c in sums.items()}))
+        blocks,
+        [group],
+        block,
+        {carried + n: F.col(own + n) for n in sums},
+        bits,
+        levels - 1,
+        {carried + n: F.col(own + n) for n in last},
+    ).select(*at, *[carried + n for n in names])
+    within = so_far(
+        at, {local + n: c for n, c in sums.items()}, {local + n: c for n, c in last.items()}
+    )
+    opens = F.row_number().over(Window.partitionBy(*at).orderBy(order)) == 1
+    marks = [opens.alias(f"_opens_{levels}")] if last else []
+    scanned = rows.join(carry, at).select("*", *within, *marks)
     return scanned.selectExpr(
-        *[f"`{c}`" for c in df.columns], *[f"{local}{n} + {carried}{n} AS {n}" for n in sums]
+        *[f"`{c}`" for c in df.columns],
+        *[f"{local}{n} + {carried}{n} AS {n}" for n in sums],
+        *[f"CASE WHEN _opens_{levels} THEN {carried}{n} ELSE {local}{n} END AS {n}" for n in last],
     )
 
 
+def first_rows(
+    df: DataFrame, keys: Sequence[str], order: str, count: int, name: str = "run", bits: int = BITS
+) -> DataFrame:
+    """The first rows of every key in ``order``, numbered from 1.
+
+    First the rows of each block are cut to that many and then those of the key, so a key's last
+    window sees so many rows of each block at most. Spark cuts small counts in every task before
+    the shuffle.
+    """
+    rows, at = in_blocks(df, keys, order, bits)
+    for group in (at, list(keys)):
+        number = F.row_number().over(Window.partitionBy(*group).orderBy(order))
+        rows = rows.withColumn(name, number).filter(F.col(name) <= count)
+    return rows.select(*[f"`{c}`" for c in df.columns], name)
+
+
 def number_rows(
     df: DataFrame, keys: Sequence[str], order: str, name: str = "run", bits: int = BITS
 ) -> DataFrame:
     """Number the rows of every key from 1 in ``order``."""
     numbered = scan_before(df, keys, order, {name: F.lit(1)}, bits=bits)
     return numbered.withColumn(name, F.col(name) + 1)
-
-
-def running_total(
-    df: DataFrame, keys: Sequence[str], order: str, value: str, name: str, bits: int = BITS
-) -> DataFrame:
-    """Sum of ``value`` over the key's rows up to and including this one."""
-    totals = scan_before(df, keys, order, {name: F.col(value)}, bits=bits)
-    return totals.withColumn(name, F.col(name) + F.coalesce(F.col(value), F.lit(0)))

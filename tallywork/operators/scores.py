@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-TOTAL = "Total"
+TOTAL, OTHER = "Total", "Other"
 
 
 def score_totals(scores: DataFrame, dimensions: Sequence[str], value: str = "score") -> DataFrame:
@@ -35,7 +35,7 @@ def score_table(
 ) -> DataFrame:
     """One row per value of ``row`` and one for all; a column for each of ``columns`` and a total.
 
-    The total counts all marks, also those of columns that are not shown.
+    ``Other`` adds up the marks of whatever is not among the columns, so that they are the total.
     """
     sums = scores.groupBy(row, column).agg(F.sum(value).alias("_sum"))
     shown = [
@@ -44,8 +44,13 @@ def score_table(
         .alias(c)
         for c in columns
     ]
+    named = F.coalesce(F.col(column).isin(*columns), F.lit(False))
+    other = F.coalesce(F.sum(F.when(~named, F.col("_sum"))), F.lit(0)).cast("bigint")
     table = sums.rollup(row).agg(
-        F.grouping(row).alias("_all"), *shown, F.sum("_sum").cast("bigint").alias(TOTAL)
+        F.grouping(row).alias("_all"),
+        *shown,
+        other.alias(OTHER),
+        F.sum("_sum").cast("bigint").alias(TOTAL),
     )
     name = F.when(F.col("_all") == 1, TOTAL).otherwise(F.col(row).cast("string")).alias(row)
-    return table.select(name, *columns, TOTAL)
+    return table.select(name, *columns, OTHER, TOTAL)

@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallywork.functions import numbers
-from tallywork.operators.scan import BITS, in_blocks
+from tallywork.operators.scan import BITS, LEVELS, in_blocks, scan_before
 
 
 def trailing_error(
@@ -35,11 +35,11 @@ def trailing_error(
     ``run`` is an integer that comes once per configuration. With ``numbered`` it counts from 1;
     without, it only gives the order, and the runs before each one are counted in the same pass.
 
-    The rows of a configuration's blocks are windowed together: with the default width that is one
-    row for a million runs.
+    What lies behind a block is found with a scan over block rows, in blocks of its own, so sparse
+    order numbers, with a block for every row, do not bring a configuration into one task either.
     """
     named = measurements.selectExpr(*keys, f"{run} AS _run", f"CAST({metric} AS DOUBLE) AS _x")
-    rows, at = in_blocks(named, keys, "_run", bits)
+    rows, at = in_blocks(named, keys, "_run", bits, LEVELS + 1)
     group, block = at
 
     blocks = rows.groupBy(at).agg(
@@ -49,24 +49,28 @@ def trailing_error(
         F.expr("coalesce(var_pop(_x) * count(_x), 0D) AS b_m2"),
         F.expr("max_by(_x, _run) AS b_last"),
     )
-    # What lies behind a block, from the last block on. Means are added up as differences to the
-    # mean of the last block, where a series has settled.
-    from_last = f"PARTITION BY {group} ORDER BY {block} DESC"
-    behind = f"({from_last} ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)"
-    centred = blocks.selectExpr(
-        "*",
-        f"first(b_mean) OVER ({from_last} ROWS UNBOUNDED PRECEDING) AS centre",
-        f"coalesce(sum(b_rows) OVER {behind}, 0L) AS c_rows",
-        f"coalesce(sum(b_n) OVER {behind}, 0L) AS c_n",
-        f"lead(b_last) OVER ({from_last}) AS c_last",
-        f"sum(b_rows) OVER (PARTITION BY {group}) AS all_rows",
-    ).withColumn("off", F.expr("b_mean - centre"))
+    # Means are added up as differences to the mean of the last block, where a series has settled.
+    whole = blocks.groupBy(group).agg(
+        F.expr("sum(b_rows) AS all_rows"), F.expr(f"max_by(b_mean, {block}) AS centre")
+    )
+    centred = blocks.join(whole, group).selectExpr(
+        "*", "b_mean - centre AS off", f"-{block} AS from_last"
+    )
+    off = F.col("off")
+    behind = scan_before(
+        centred,
+        [group],
+        "from_last",
+        {
+            "c_rows": F.col("b_rows"),
+            "c_n": F.col("b_n"),
+            "c_off": F.col("b_n") * off,
+            "c_sq": F.col("b_m2") + F.col("b_n") * off * off,
+        },
+        bits,
+    )
     carry = (
-        centred.selectExpr(
-            "*",
-            f"coalesce(sum(b_n * off) OVER {behind}, 0D) AS c_off",
-            f"coalesce(sum(b_m2 + b_n * off * off) OVER {behind}, 0D) AS c_sq",
-        )
+        scan_before(behind, [group], block, {}, bits, last={"c_last": F.col("b_last")})
         .withColumn("c_mean_off", F.expr("coalesce(try_divide(c_off, c_n), 0D)"))
         .selectExpr(
             *at,
@@ -114,11 +118,17 @@ def trailing_error(
 
 
 def error_quotients(errors: DataFrame) -> DataFrame:
-    """By number of dropped runs, the geometric mean of how much dropping one more has gained."""
-    usable = errors.filter((F.col("previous_mse") > 0) & (F.col("mse") > 0))
-    quotient = F.col("previous_mse") / F.col("mse")
+    """By number of dropped runs, the geometric mean of how much dropping one more has gained.
+
+    An error of zero leaves nothing to gain: ``left_out`` counts the configurations where that is so.
+    """
+    later = errors.filter(F.col("previous_mse").isNotNull())
+    quotient = F.try_divide(F.col("previous_mse"), F.col("mse"))
     return (
-        usable.groupBy("warmup_runs")
-        .agg(numbers.geomean(quotient).alias("mse_quotient_geomean"))
+        later.groupBy("warmup_runs")
+        .agg(
+            numbers.geomean(quotient).alias("mse_quotient_geomean"),
+            F.count_if(quotient.isNull()).alias("left_out"),
+        )
         .orderBy("warmup_runs")
     )

@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallywork.functions import spark_time
-from tallywork.operators.scan import number_rows, scan_before
+from tallywork.functions import numbers, periods, spark_time
+from tallywork.operators.scan import first_rows, scan_before
 
 CONFIGURATION = ("compiler", "model", "quantization", "prompt")
 THREADS = 8
@@ -50,23 +50,10 @@ def unnumbered_measurements(spark: SparkSession, directory: str) -> DataFrame:
     )
 
 
-def measurements(spark: SparkSession, directory: str) -> DataFrame:
-    """The same with run numbers, for operators that need all runs of a configuration."""
-    plain = unnumbered_measurements(spark, directory)
-    return number_rows(plain, CONFIGURATION, "event_id")
-
-
 def early_measurements(spark: SparkSession, directory: str, runs: int) -> DataFrame:
-    """The same for operators that look at the first runs only.
-
-    Spark keeps just that many rows of a configuration in every task before the shuffle, up to
-    1000; beyond that all rows are numbered.
-    """
-    if runs > 1000:
-        return measurements(spark, directory).filter(F.col("run") <= runs)
-    order = Window.partitionBy(*CONFIGURATION).orderBy("event_id")
+    """The same for operators that look at the first runs only."""
     plain = unnumbered_measurements(spark, directory)
-    return plain.withColumn("run", F.row_number().over(order)).filter(F.col("run") <= runs)
+    return first_rows(plain, CONFIGURATION, "event_id", runs)
 
 
 def thread_count() -> Column:
@@ -214,13 +201,68 @@ def model_files(spark: SparkSession, directory: str) -> DataFrame:
 def perturbed_report(params: DataFrame) -> DataFrame:
     """A copy of report parameters with one difference of every kind that can be told apart."""
     key, value = F.col("key"), F.col("value")
-    number = value.try_cast("double")
+    grown = [F.expr(numbers.double_text(f"(TRY_CAST(value AS DOUBLE) * {by}D)")) for by in (1.0005, 1.01)]
     changed = (
-        F.when(key.startswith("armusedhours"), (number * 1.0005).cast("string"))
-        .when(key.startswith("gpuusedhours"), (number * 1.01).cast("string"))
+        F.when(key.startswith("armusedhours"), grown[0])
+        .when(key.startswith("gpuusedhours"), grown[1])
         .when(key == "reportMonth", F.upper(value))
         .otherwise(value)
     )
     kept = params.filter(~key.endswith("FailedJobsTrimester"))
-    extra = kept.filter(key == "armnodes").select("report", F.lit("armracks").alias("key"), "value")
-    return kept.select("report", "key", changed.alias("value")).unionByName(extra)
+    # A key that comes twice with two values, and a key that only the copy has.
+    own = F.struct(key.alias("key"), changed.alias("value"))
+    racks = F.struct(F.lit("armracks").alias("key"), value.alias("value"))
+    other = F.struct(key.alias("key"), F.lit("31").alias("value"))
+    rows = (
+        F.when(key == "armnodes", F.array(own, racks))
+        .when(key == "amdnodes", F.array(own, other))
+        .otherwise(F.array(own))
+    )
+    return kept.select("report", F.explode(rows).alias("row")).select("report", "row.*")
+
+
+def job_file_names(spark: SparkSession, directory: str) -> DataFrame:
+    """Orders as rows of monthly job files; every seventh is in a file of another name."""
+    named = f"concat('{periods.JOB_FILE_PREFIX}', date_format(o_orderdate, 'MMM'), '.v2.txt')"
+    other = "concat('other_', date_format(o_orderdate, 'MMM'), '.txt')"
+    return table(spark, directory, "orders").selectExpr(
+        "o_orderkey AS job_id",
+        f"CASE WHEN o_orderkey % 7 = 0 THEN {other} ELSE {named} END AS file_name",
+    )
+
+
+def job_texts(spark: SparkSession, directory: str) -> DataFrame:
+    """Orders as JSON job records with a few stages each; every eleventh is broken off."""
+    record = (
+        "to_json(named_struct('jobId', o_orderkey, 'name', o_orderpriority, 'submissionTime',"
+        " CAST(o_orderdate AS STRING), 'stageIds',"
+        " transform(sequence(1, 1 + o_custkey % 4), n -> o_orderkey * 10 + n),"
+        " 'numTasks', o_custkey % 9))"
+    )
+    text = f"CASE WHEN o_orderkey % 11 = 0 THEN substring({record}, 1, 9) ELSE {record} END"
+    return table(spark, directory, "orders").selectExpr(f"{text} AS record")
+
+
+def stage_texts(spark: SparkSession, directory: str) -> DataFrame:
+    """Orders as JSON stage records: one or two attempts of up to four tasks."""
+    shuffled = (
+        "named_struct('shuffleWriteMetrics', named_struct('bytesWritten', o_custkey * n,"
+        " 'recordsWritten', n), 'shuffleReadMetrics', named_struct('localBytesRead', o_orderkey,"
+        " 'remoteBytesRead', CASE WHEN n > 1 THEN n END, 'recordsRead', 2 * n))"
+    )
+    task = (
+        "named_struct('taskId', o_orderkey * 10 + n, 'duration', o_custkey * n,"
+        f" 'taskMetrics', {shuffled})"
+    )
+    tasks = (
+        "map_from_entries(transform(sequence(1, 1 + (o_custkey + attempt) % 4),"
+        f" n -> struct(CAST(n AS STRING), {task})))"
+    )
+    record = (
+        "to_json(named_struct('stageId', o_orderkey, 'attemptId', nullif(attempt, 0), 'status',"
+        " CASE WHEN attempt = 0 AND o_orderkey % 3 = 0 THEN 'FAILED' ELSE 'COMPLETE' END,"
+        f" 'numTasks', 4, 'shuffleWriteBytes', o_custkey * 100 + attempt, 'tasks', {tasks}))"
+    )
+    attempts = "explode(sequence(0, CASE WHEN o_orderkey % 3 = 0 THEN 1 ELSE 0 END)) AS attempt"
+    orders = table(spark, directory, "orders").selectExpr("o_orderkey", "o_custkey", attempts)
+    return orders.selectExpr(f"{record} AS record")

@@ -150,7 +150,9 @@ CALENDAR = ("calendar", """
            CAST(date_diff('day', report, next) AS INTEGER) AS days,
            CAST(date_diff('day', quarter, next) AS INTEGER) AS quarter_days,
            CAST(date_diff('day', january, next) AS INTEGER) AS year_days,
-           CAST(date_diff('day', report, next) * 24 AS INTEGER) AS available_hours
+           CAST(date_diff('day', report, next) * 24 AS INTEGER) AS available_hours,
+           CAST(date_diff('day', quarter, next) * 24 AS INTEGER) AS quarter_available_hours,
+           CAST(date_diff('day', january, next) * 24 AS INTEGER) AS year_available_hours
     FROM (
         SELECT report,
                CAST(report + INTERVAL 1 MONTH AS DATE) AS next,
@@ -195,8 +197,8 @@ ORACLES["report_lines"] = _with(*_BASE, CALENDAR, PARAMS, (
     "lines", r"SELECT report, '\def\' || key || '{' || value || '}' AS line FROM params"
 ), body=r"""
     SELECT report, line,
-           regexp_extract(line, '^\\def\\(\w*)\{([^}]*)\}', 1) AS key,
-           regexp_extract(line, '^\\def\\(\w*)\{([^}]*)\}', 2) AS value
+           split_part(substr(line, 6), '{', 1) AS key,
+           substr(line, position('{' IN line) + 1, length(line) - position('{' IN line) - 1) AS value
     FROM lines""")
 
 ORACLES["reconcile_reports"] = _with(*_BASE, CALENDAR, PARAMS, ("copy", """
@@ -209,15 +211,22 @@ ORACLES["reconcile_reports"] = _with(*_BASE, CALENDAR, PARAMS, ("copy", """
                 ELSE value END AS value
     FROM params WHERE key NOT LIKE '%FailedJobsTrimester'
     UNION ALL
-    SELECT report, 'armracks' AS key, value FROM params WHERE key = 'armnodes'"""),
+    SELECT report, 'armracks' AS key, value FROM params WHERE key = 'armnodes'
+    UNION ALL
+    SELECT report, key, '31' AS value FROM params WHERE key = 'amdnodes'"""),
+    ("single", """
+    SELECT report, key, max(value) AS value, count(DISTINCT value) > 1 AS several
+    FROM copy GROUP BY report, key"""),
     ("joined", """
-    SELECT report, key, a.value AS l, b.value AS r,
+    SELECT report, key, a.value AS l, b.value AS r, coalesce(several, false) AS several,
            a.key IS NULL AS no_left, b.key IS NULL AS no_right,
            abs(TRY_CAST(a.value AS DOUBLE) - TRY_CAST(b.value AS DOUBLE))
                / nullif(abs(TRY_CAST(a.value AS DOUBLE)), 0) AS error
-    FROM params a FULL JOIN copy b USING (report, key)"""), body="""
-    SELECT report, key, round(error + 1e-12, 9) AS relative_error,
-           CASE WHEN no_right THEN 'missing'
+    FROM params a FULL JOIN single b USING (report, key)"""), body="""
+    SELECT report, key, l AS left_value, r AS right_value,
+           round(error + 1e-12, 9) AS relative_error,
+           CASE WHEN several THEN 'duplicate'
+                WHEN no_right THEN 'missing'
                 WHEN no_left THEN 'extra'
                 WHEN l = r THEN 'equal'
                 WHEN error <= 0.001 THEN 'within tolerance'
@@ -226,7 +235,8 @@ ORACLES["reconcile_reports"] = _with(*_BASE, CALENDAR, PARAMS, ("copy", """
 
 ORACLES["reconcile_variants"] = _with(*_BASE, CALENDAR, PARAMS, body="""
     SELECT count(*) AS equal, CAST(0 AS BIGINT) AS within_tolerance, CAST(0 AS BIGINT) AS changed,
-           CAST(0 AS BIGINT) AS missing, CAST(0 AS BIGINT) AS extra, true AS acceptable
+           CAST(0 AS BIGINT) AS missing, CAST(0 AS BIGINT) AS extra,
+           CAST(0 AS BIGINT) AS duplicate, true AS acceptable
     FROM params""")
 
 ORACLES["reporting_periods"] = _with(JOBS, REPORTS, CALENDAR, body="SELECT * FROM calendar")
@@ -274,6 +284,13 @@ ORACLES["new_since_snapshot"] = _with(JOBS, body="""
     SELECT job_id, period FROM jobs
     WHERE job_id NOT IN (SELECT job_id FROM jobs WHERE period < DATE '2000-01-01')""")
 
+ORACLES["file_periods"] = """
+SELECT o_orderkey AS job_id,
+       CASE WHEN o_orderkey % 7 = 0 THEN 'other_' || strftime(o_orderdate, '%b') || '.txt'
+            ELSE 'jobs_' || strftime(o_orderdate, '%b') || '.v2.txt' END AS file_name,
+       CASE WHEN o_orderkey % 7 <> 0 THEN make_date(1996, month(o_orderdate), 1) END AS period
+FROM orders"""
+
 # Measurements
 
 RUNS = ("runs", """
@@ -319,7 +336,11 @@ def _rank(option: str, by: str, metrics: tuple[str, ...], source: str, where: st
 
 
 def _geomeans(option: str, metrics: tuple[str, ...]) -> str:
-    columns = ", ".join(f"round(exp(avg(ln({m}_ratio))) + 1e-9, 6) AS {m}_geomean" for m in metrics)
+    columns = ", ".join(
+        f"round(exp(avg(ln({m}_ratio))) + 1e-9, 6) AS {m}_geomean,"
+        f" count(*) - count({m}_ratio) AS {m}_left_out"
+        for m in metrics
+    )
     return f"SELECT {option}, {columns} FROM ratios GROUP BY {option}"
 
 
@@ -434,12 +455,33 @@ ORACLES["trailing_mse"] = _with(RUNS, ERRORS, LAGGED, body=f"""
     SELECT {_CONFIG}, warmup_runs, round(mse + 1e-9, 6) AS mse, round(previous_mse + 1e-9, 6) AS previous_mse
     FROM lagged""")
 ORACLES["mser_quotient"] = _with(RUNS, ERRORS, LAGGED, body="""
-    SELECT warmup_runs, round(exp(avg(ln(previous_mse / mse))) + 1e-9, 6) AS mse_quotient_geomean
-    FROM lagged WHERE mse > 1e-9 AND previous_mse > 1e-9
+    SELECT warmup_runs, round(exp(avg(ln(previous_mse / mse))) + 1e-9, 6) AS mse_quotient_geomean,
+           CAST(count(*) FILTER (WHERE mse = 0) AS BIGINT) AS left_out
+    FROM lagged WHERE previous_mse IS NOT NULL
     GROUP BY warmup_runs""")
 
 # Run profiles
 
+ORACLES["job_records"] = """
+SELECT o_orderkey AS job_id, o_orderpriority AS name, CAST(o_orderdate AS VARCHAR) AS submitted,
+       CAST(NULL AS VARCHAR) AS completed, o_custkey % 9 AS num_tasks, o_orderkey * 10 + n AS stage_id
+FROM orders JOIN range(1, 5) stages(n) ON n <= 1 + o_custkey % 4
+WHERE o_orderkey % 11 <> 0"""
+ORACLES["stage_records"] = """
+SELECT o_orderkey AS stage_id, CAST(o_orderkey % 3 = 0 AS INTEGER) AS attempt_id,
+       'COMPLETE' AS status, CAST(4 AS BIGINT) AS num_tasks,
+       o_custkey * 100 + CAST(o_orderkey % 3 = 0 AS INTEGER) AS shuffle_write_bytes
+FROM orders"""
+ORACLES["task_records"] = """
+SELECT o_orderkey AS stage_id, CAST(attempt AS INTEGER) AS attempt_id,
+       o_orderkey * 10 + n AS task_id, o_custkey * n AS duration_ms,
+       o_custkey * n AS shuffle_write_bytes, n AS shuffle_write_records,
+       o_orderkey + CASE WHEN n > 1 THEN n ELSE 0 END AS shuffle_read_bytes,
+       2 * n AS shuffle_read_records
+FROM orders
+JOIN range(0, 2) attempts(attempt) ON attempt = 0 OR o_orderkey % 3 = 0
+JOIN range(1, 5) tasks(n) ON n <= 1 + (o_custkey + attempt) % 4"""
+
 STAGES = ("stages", """
     SELECT o_custkey AS job_id, o_orderkey AS stage_id, o_orderstatus = 'P' AS skipped,
            CASE WHEN o_orderstatus = 'P' THEN 0 ELSE floor(o_totalprice * 10) / 1000 END
@@ -468,12 +510,13 @@ _RATIO = (
 _SHUFFLE_SUMS = ", ".join(f"CAST(coalesce(sum({c}), 0) AS BIGINT) AS {c}" for c in _SHUFFLE)
 SPARK_JOBS = ("spark_jobs", f"""
     SELECT c_custkey AS job_id, c_name AS name,
-           c_custkey AS started,
-           c_custkey + CAST(floor(abs(c_acctbal)) AS BIGINT) AS ended,
+           TIMESTAMP '1995-01-01' + to_seconds(c_custkey) AS started,
+           TIMESTAMP '1995-01-01' + to_seconds(c_custkey + CAST(floor(abs(c_acctbal)) AS BIGINT)) AS ended,
            CAST(floor(abs(c_acctbal)) AS DOUBLE) AS execution_time,
            CAST(c_nationkey AS BIGINT) AS num_tasks,
            coalesce(a.working_time, 0) AS working_time,
            coalesce(num_stages, 0) AS num_stages,
+           CAST(0 AS BIGINT) AS num_unknown_stages,
            coalesce(num_nonskipped_stages, 0) AS num_nonskipped_stages,
            coalesce(a.num_nonskipped_tasks, 0) AS num_nonskipped_tasks,
            {", ".join(f"coalesce({c}, 0) AS {c}" for c in _SHUFFLE)},
@@ -495,23 +538,24 @@ ORACLES["stage_rollup"] = _with(STAGES, body=f"""
            {", ".join(_SHUFFLE)}, {_RATIO}
     FROM stages""")
 ORACLES["job_rollup"] = _with(STAGES, SPARK_JOBS, body=f"""
-    SELECT * EXCLUDE (started, ended), {_RATIO} FROM spark_jobs""")
+    SELECT * REPLACE (epoch_ms(started) AS started, epoch_ms(ended) AS ended), {_RATIO}
+    FROM spark_jobs""")
 ORACLES["query_rollup"] = _with(STAGES, SPARK_JOBS, ("total", f"""
     SELECT count(*) AS num_jobs,
            {", ".join(
                f"CAST(sum({c}) AS BIGINT) AS {c}"
-               for c in ("num_stages", "num_nonskipped_stages", "num_tasks", "num_nonskipped_tasks")
+               for c in ("num_stages", "num_unknown_stages", "num_nonskipped_stages", "num_tasks", "num_nonskipped_tasks")
            )},
            sum(working_time) AS working_time, {_SHUFFLE_SUMS},
-           CAST(max(ended) - min(started) AS DOUBLE) AS execution_time,
+           CAST(date_diff('second', min(started), max(ended)) AS DOUBLE) AS execution_time,
            min(min_nonskipped_tasks_per_stage) AS min_nonskipped_tasks_per_stage,
            max(max_nonskipped_tasks_per_stage) AS max_nonskipped_tasks_per_stage
     FROM spark_jobs"""), body=f"SELECT *, {_RATIO} FROM total")
 
 ORACLES["run_statistics"] = _with(RUNS, body="\nUNION ALL\n".join(
-    f"SELECT {_CONFIG}, '{m}' AS metric, round(avg({m}) + 1e-5, 2) AS mean,"
-    f" round(stddev_samp({m}) + 1e-5, 2) AS stdev FROM runs WHERE run > 1 GROUP BY {_CONFIG}"
-    for m in ("ttft", "tpot", "mem")
+    f"SELECT {_CONFIG}, '{m}' AS metric, round(avg({m}) + {nudge}, {digits}) AS mean,"
+    f" round(stddev_samp({m}) + {nudge}, {digits}) AS stdev FROM runs WHERE run > 1 GROUP BY {_CONFIG}"
+    for m, nudge, digits in (("ttft", "1e-9", 6), ("tpot", "1e-9", 6), ("mem", "1e-5", 2))
 ))
 ORACLES["first_run"] = _with(RUNS, body=f"SELECT {_CONFIG}, mem, tpot FROM runs WHERE run = 2")
 
@@ -606,9 +650,12 @@ _SCORE_COLUMNS = ", ".join(
     f"CAST(sum(CASE WHEN evaluator = 'src{n}' THEN score ELSE 0 END) AS BIGINT) AS src{n}"
     for n in range(20)
 )
+_EVALUATORS = ", ".join(f"'src{n}'" for n in range(20))
 ORACLES["score_table"] = _with(SCORES, body=f"""
     SELECT CASE WHEN grouping(size) = 1 THEN 'Total' ELSE size END AS size,
-           {_SCORE_COLUMNS}, CAST(sum(score) AS BIGINT) AS "Total"
+           {_SCORE_COLUMNS},
+           CAST(sum(CASE WHEN coalesce(evaluator, '') IN ({_EVALUATORS}) THEN 0 ELSE score END) AS BIGINT) AS "Other",
+           CAST(sum(score) AS BIGINT) AS "Total"
     FROM scores GROUP BY ROLLUP (size)""")
 
 # Requests and responses

@@ -21,6 +21,7 @@ from tallywork.operators import (
 )
 from tallywork.plans import driver_tables as data
 from tallywork.plans import usage_report as report
+from tallywork.sources import spark_metrics
 from tallywork.sources.spark_metrics import new_since
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -82,6 +83,12 @@ def _months(jobs: DataFrame) -> DataFrame:
     return jobs.select(F.col("period").alias("report")).distinct()
 
 
+def _listed_months(jobs: DataFrame) -> DataFrame:
+    """The same as literal rows, a few for each year, for plans that name the reports many times."""
+    found = _months(jobs).filter("report IS NOT NULL").collect()
+    return report.report_months(jobs.sparkSession, [(r.report.year, r.report.month) for r in found])
+
+
 @query
 def usage_report_params(spark: SparkSession, sf: str) -> DataFrame:
     return _params(spark, sf)
@@ -90,13 +97,13 @@ def usage_report_params(spark: SparkSession, sf: str) -> DataFrame:
 @query
 def usage_report_multipass(spark: SparkSession, sf: str) -> DataFrame:
     jobs = data.jobs(spark, sf)
-    return report.usage_params_multipass(jobs, _months(jobs)).drop("position")
+    return report.usage_params_multipass(jobs, _listed_months(jobs)).drop("position")
 
 
 @query
 def usage_report_direct(spark: SparkSession, sf: str) -> DataFrame:
     jobs = data.jobs(spark, sf)
-    return report.usage_params_direct(jobs, _months(jobs)).drop("position")
+    return report.usage_params_direct(jobs, _listed_months(jobs)).drop("position")
 
 
 @query
@@ -116,14 +123,14 @@ def report_lines(spark: SparkSession, sf: str) -> DataFrame:
 def reconcile_reports(spark: SparkSession, sf: str) -> DataFrame:
     left = _params(spark, sf)
     compared = report.compare_reports(left, data.perturbed_report(left))
-    return rounded(compared, "relative_error", digits=9).drop("left_value", "right_value")
+    return rounded(compared, "relative_error", digits=9)
 
 
 @query
 def reconcile_variants(spark: SparkSession, sf: str) -> DataFrame:
     """All reports by way of one pass against separate queries: nothing may differ."""
     jobs = data.jobs(spark, sf)
-    direct = report.usage_params_direct(jobs, _months(jobs))
+    direct = report.usage_params_direct(jobs, _listed_months(jobs))
     return reconcile.acceptable(report.compare_reports(direct, _params(spark, sf)))
 
 
@@ -183,7 +190,7 @@ def virtual_nodes(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def safe_cast_nodes(spark: SparkSession, sf: str) -> DataFrame:
-    number = numbers.safe_integer(F.substring("Account", 2, 20))
+    number = numbers.safe_integer(F.expr("substring(Account, 2)"))
     return data.jobs(spark, sf).select(F.col("JobIDRaw").alias("job_id"), number.alias("number"))
 
 
@@ -194,6 +201,12 @@ def new_since_snapshot(spark: SparkSession, sf: str) -> DataFrame:
     return new_since(jobs, seen).select("job_id", "period")
 
 
+@query
+def file_periods(spark: SparkSession, sf: str) -> DataFrame:
+    period = F.expr(periods.period_of_file("file_name", 1996))
+    return data.job_file_names(spark, sf).withColumn("period", period)
+
+
 # Measurements
 
 
@@ -283,9 +296,8 @@ def variant_rank(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def property_check(spark: SparkSession, sf: str) -> DataFrame:
-    return measure.property_check(
-        data.measurements(spark, sf), measure.cache_rule(F.col("tpot"), 50)
-    )
+    runs, first = data.unnumbered_measurements(spark, sf), data.early_measurements(spark, sf, 1)
+    return measure.property_check(runs, first, *measure.cache_rules(F.col("tpot"), 50))
 
 
 def _errors(spark: SparkSession, sf: str) -> DataFrame:
@@ -300,15 +312,32 @@ def trailing_mse(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def mser_quotient(spark: SparkSession, sf: str) -> DataFrame:
-    errors = _errors(spark, sf)
-    # An error of a few equal values is zero but for rounding, which engines do differently.
-    settled = errors.filter((F.col("mse") > 1e-9) & (F.col("previous_mse") > 1e-9))
-    return rounded(warmup.error_quotients(settled), "mse_quotient_geomean")
+    return rounded(warmup.error_quotients(_errors(spark, sf)), "mse_quotient_geomean")
 
 
 # Run profiles
 
 
+@query
+def job_records(spark: SparkSession, sf: str) -> DataFrame:
+    jobs = spark_metrics.parse_jobs(data.job_texts(spark, sf), "record")
+    links = spark_metrics.job_stages(jobs)
+    named = jobs.select("job_id", "name", "submitted", "completed", "num_tasks")
+    return named.join(links, "job_id")
+
+
+@query
+def stage_records(spark: SparkSession, sf: str) -> DataFrame:
+    stages = spark_metrics.parse_stages(data.stage_texts(spark, sf), "record")
+    last = spark_metrics.last_attempts(stages)
+    return last.select("stage_id", "attempt_id", "status", "num_tasks", "shuffle_write_bytes")
+
+
+@query
+def task_records(spark: SparkSession, sf: str) -> DataFrame:
+    return spark_metrics.tasks_of(spark_metrics.parse_stages(data.stage_texts(spark, sf), "record"))
+
+
 def _stages(spark: SparkSession, sf: str) -> DataFrame:
     return profile.stage_rollup(data.stages(spark, sf), data.tasks(spark, sf), data.THREADS)
 
@@ -325,8 +354,9 @@ def stage_rollup(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def job_rollup(spark: SparkSession, sf: str) -> DataFrame:
-    jobs = _jobs(spark, sf).drop("started", "ended")
-    return rounded(jobs, "execution_time", "working_time", "working_time_ratio")
+    # Moments as numbers, which no session's time zone changes.
+    moments = {c: F.unix_millis(c) for c in ("started", "ended")}
+    return rounded(_jobs(spark, sf).withColumns(moments), "execution_time", "working_time", "working_time_ratio")
 
 
 @query
@@ -337,14 +367,22 @@ def query_rollup(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def run_statistics(spark: SparkSession, sf: str) -> DataFrame:
-    runs = profile.without_warmup(data.measurements(spark, sf), WARMUP)
-    stats = profile.run_statistics(runs, data.CONFIGURATION, METRICS)
-    return rounded(stats, "mean", "stdev", digits=2)
+    runs, early = data.unnumbered_measurements(spark, sf), data.early_measurements(spark, sf, WARMUP)
+    stats = profile.run_statistics_without(runs, early, data.CONFIGURATION, METRICS)
+    # Bytes of memory have nine digits in front of the point already.
+    by_metric = lambda c, n: F.round(F.col(c) + 10 ** -(n + 3), n)
+    return stats.withColumns(
+        {
+            c: F.when(F.col("metric") == "mem", by_metric(c, 2)).otherwise(by_metric(c, 6))
+            for c in ("mean", "stdev")
+        }
+    )
 
 
 @query
 def first_run(spark: SparkSession, sf: str) -> DataFrame:
-    runs = profile.without_warmup(data.measurements(spark, sf), WARMUP)
+    early = data.early_measurements(spark, sf, WARMUP + 1)
+    runs = profile.without_warmup(early, WARMUP)
     return profile.first_run(runs, data.CONFIGURATION, ("mem", "tpot"))
 
 

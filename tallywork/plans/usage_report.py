@@ -95,6 +95,8 @@ def _date_columns(year_start: dt.date | None) -> dict[str, str]:
         "quarter_days": periods.days_to_end(quarter),
         "year_days": periods.days_to_end(year),
         "available_hours": f"{periods.days_to_end('report')} * 24",
+        "quarter_available_hours": f"{periods.days_to_end(quarter)} * 24",
+        "year_available_hours": f"{periods.days_to_end(year)} * 24",
     }
 
 
@@ -292,5 +294,8 @@ def compare_reports(left: DataFrame, right: DataFrame, tolerance: float = 0.001)
 
 
 def refresh_period(jobs: DataFrame, period: dt.date, path: str) -> None:
-    """Classify one month and put it in the place of that month's part of the stored table."""
-    tables.write_periods(usage.narrow(of_period(jobs, period)), path)
+    """Classify one month and put it in the place of that month's part of the stored table.
+
+    A month without jobs is stored as a month without rows.
+    """
+    tables.write_period(usage.narrow(of_period(jobs, period)), path, period)

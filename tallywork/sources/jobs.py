@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Mapping, Sequence
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -48,13 +47,15 @@ def read_jobs(
     path: str | Sequence[str],
     year: int,
     aliases: Mapping[str, str] | None = None,
-    checked: bool = False,
+    checked: bool = True,
+    skip_unknown: bool = False,
 ) -> DataFrame:
     """All months of a directory in one scan, with the period and the file name of each row.
 
-    The period comes from ``_metadata``, so a filter on it leaves the other months' files unread.
-    ``checked`` stops the job at a row that lacks a required value; only columns that the query
-    uses are looked at.
+    The period comes from ``_metadata``, so a filter on it leaves the other months' files unread. A
+    file whose name has no known month stops the job, unless ``aliases`` knows the month or
+    ``skip_unknown`` leaves such files out. ``checked`` stops the job at a row that lacks a required
+    value; only columns that the query uses are looked at.
     """
     raw = (
         spark.read.schema(JOB_SCHEMA)
@@ -65,40 +66,18 @@ def read_jobs(
     )
     name = "_metadata.file_name"
     columns = [field.name if field.nullable else _required(field) for field in JOB_SCHEMA]
+    period = periods.period_of_file(name, year, aliases)
+    if skip_unknown:
+        raw = raw.filter(F.expr(f"{period} IS NOT NULL"))
+    else:
+        problem = f"raise_error(concat('no known month in the name of the job file ', {name}))"
+        period = f"coalesce({period}, CAST({problem} AS DATE))"
     return raw.select(
         *(columns if checked else ["*"]),
-        F.expr(f"{periods.period_of_file(name, year, aliases)} AS period"),
+        F.expr(f"{period} AS period"),
         F.expr(f"{name} AS file_name"),
     )
 
 
-def read_jobs_file_by_file(
-    spark: SparkSession, path: str, year: int, aliases: Mapping[str, str] | None = None
-) -> DataFrame:
-    """The slow way to the same rows: every file on its own, its types inferred, then a union.
-
-    Kept to compare with ``read_jobs``: inference costs a second pass over the data. Files are
-    found by listing; there is one plan branch per month, twelve for a year.
-    """
-    found = spark.read.option("pathGlobFilter", periods.JOB_FILE_GLOB).text(path).inputFiles()
-
-    def month(file: str) -> DataFrame:
-        raw = (
-            spark.read.option("sep", "|")
-            .option("header", True)
-            .option("inferSchema", True)
-            .csv(file)
-        )
-        name = f"'{file.rsplit('/', 1)[-1]}'"
-        return raw.select(
-            # What inference makes of a column differs from file to file.
-            *[F.col(field.name).cast(field.dataType) for field in JOB_SCHEMA],
-            F.expr(f"{periods.period_of_file(name, year, aliases)} AS period"),
-            F.expr(f"{name} AS file_name"),
-        )
-
-    return reduce(DataFrame.unionByName, [month(file) for file in sorted(found)])
-
-
 def of_period(jobs: DataFrame, period: dt.date) -> DataFrame:
     return jobs.filter(F.col("period") == F.lit(period))

@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Iterable, Mapping
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tallywork.functions import names
@@ -25,6 +26,12 @@ def write_periods(table: DataFrame, path: str) -> None:
     )
 
 
+def write_period(table: DataFrame, path: str, period: dt.date) -> None:
+    """Put the rows of one period in the place of the stored ones, also when there are none."""
+    rows = table.drop("period").hint("rebalance")
+    rows.write.mode("overwrite").parquet(f"{path}/period={period.isoformat()}")
+
+
 def read_periods(spark: SparkSession, path: str) -> DataFrame:
     """The stored table; a filter on ``period`` prunes directories."""
     return spark.read.parquet(path).withColumn("period", F.col("period").cast("date"))
@@ -33,10 +40,15 @@ def read_periods(spark: SparkSession, path: str) -> DataFrame:
 def write_report(params: DataFrame, path: str) -> None:
     r"""Write the ``\def\key{value}`` lines of one report as one text file.
 
-    A report has 70 lines; it is moved into one task only after it has been computed.
+    A report has 70 lines; it is moved into one task only after it has been computed. Rows of more
+    than one report are an error: ``write_reports`` keeps them apart.
     """
+    together = Window.partitionBy(F.lit(0))
+    several = F.min("report").over(together) != F.max("report").over(together)
+    problem = F.raise_error(F.lit("more than one report for one file")).cast("string")
     (
-        params.repartition(1)
+        params.select("position", "key", F.when(several, problem).otherwise(F.col("value")).alias("value"))
+        .coalesce(1)
         .sortWithinPartitions("position", "key")
         .select(names.report_line(F.col("key"), F.col("value")).alias("value"))
         .write.mode("overwrite")
@@ -79,7 +91,8 @@ def register_views(views: Mapping[str, DataFrame]) -> None:
 
 
 def drop_views(spark: SparkSession, views: Iterable[str]) -> None:
-    """Forget the named views and whatever was cached for them."""
+    """Forget the named views and what was cached under their names."""
     for name in views:
+        if spark.catalog.tableExists(name) and spark.catalog.isCached(name):
+            spark.catalog.uncacheTable(name)
         spark.catalog.dropTempView(name)
-    spark.catalog.clearCache()

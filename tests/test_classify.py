@@ -40,12 +40,6 @@ def test_agency(spark, account, expected):
     assert df.select(classify.agency(F.col("a"))).first()[0] == expected
 
 
-def test_other_rules(spark):
-    df = spark.createDataFrame([("zz-big",), ("small",)], "p STRING")
-    cluster = classify.cluster(F.col("p"), (("big", "b"),), "rest")
-    assert [r[0] for r in df.select(cluster).collect()] == ["b", "rest"]
-
-
 def test_outcome_and_state(spark):
     states = ["COMPLETED", "FAILED", "CANCELLED by 12", "COMPLETED+", None]
     df = spark.createDataFrame([(n, s) for n, s in enumerate(states)], "n INT, State STRING")

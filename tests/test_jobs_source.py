@@ -46,13 +46,25 @@ def test_bulk_read(spark, extract):
     assert [row[0] for row in got] == [1, 2, 3, 4, 5]
 
 
-def test_file_by_file_read_gives_the_same(spark, extract):
-    bulk = source.read_jobs(spark, extract, 2025)
-    slow = source.read_jobs_file_by_file(spark, extract, 2025)
-    assert slow.columns == bulk.columns
-    columns = [c for c in bulk.columns if c not in ("ExitCode", "TotalCPU")]
-    assert rows_of(slow, *columns) == rows_of(bulk, *columns)
-    assert rows_of(usage.usage_cube(slow)) == rows_of(usage.usage_cube(bulk))
+def test_all_columns_are_read_as_written(spark, extract):
+    jobs = source.read_jobs(spark, extract, 2025)
+    row = jobs.filter("JobIDRaw = 3").first()
+    names = [field.name for field in source.JOB_SCHEMA]
+    texts = record(3, partition="x-a100", tres="gres/gpu=3").split("|")
+    assert [("" if row[n] is None else str(row[n])) for n in names] == texts
+    assert (row.period, row.file_name) == (dt.date(2025, 2, 1), "jobs_Feb.txt")
+    assert len(jobs.columns) == 19
+
+
+def test_a_file_without_a_known_month_stops_the_job(spark, extract):
+    with open(f"{extract}/jobs_Ago.txt", "w") as file:
+        file.write("\n".join([HEADER, record(6)]) + "\n")
+    with pytest.raises(Exception, match="no known month in the name of the job file jobs_Ago.txt"):
+        report.month_report(source.read_jobs(spark, extract, 2025), 2025, 12).collect()
+    skipped = source.read_jobs(spark, extract, 2025, skip_unknown=True)
+    assert skipped.count() == 5
+    named = source.read_jobs(spark, extract, 2025, aliases={"Ago": "Aug"})
+    assert rows_of(named.filter("JobIDRaw = 6"), "period") == [(dt.date(2025, 8, 1),)]
 
 
 def test_only_used_columns_and_the_months_asked_for_are_read(spark, extract):
@@ -83,8 +95,8 @@ def test_only_used_columns_and_the_months_asked_for_are_read(spark, extract):
 def test_checked_read_stops_at_a_missing_value(spark, tmp_path):
     (tmp_path / "jobs_Jan.txt").write_text("\n".join([HEADER, record(1, elapsed="")]) + "\n")
     path = str(tmp_path)
-    assert source.read_jobs(spark, path, 2025).count() == 1
-    checked = source.read_jobs(spark, path, 2025, checked=True)
+    assert source.read_jobs(spark, path, 2025, checked=False).select("ElapsedRaw").count() == 1
+    checked = source.read_jobs(spark, path, 2025)
     assert [r[0] for r in checked.select("State").collect()] == ["COMPLETED"]
     with pytest.raises(Exception, match="job record without ElapsedRaw"):
         checked.select("ElapsedRaw").collect()
@@ -99,7 +111,8 @@ def test_report_through_files(spark, extract, tmp_path):
     assert lines[0] == r"\def\reportPeriod{01/03/2025 - 31/03/2025}"
     assert r"\def\monthhours{{\inteval{\ndays * 24}}}" in lines
     values = {r.key: r.value for r in tables.read_report(spark, out).collect()}
-    assert len(values) == 70
+    assert values == {r.key: r.value for r in report.month_report(jobs, 2025, 3).collect()}
+    assert len(values) == 70 and values["hoursYear"] == r"{\inteval{\ndaysYear * 24}}"
     assert values["armJobsYear"] == "2"
     assert values["armusedhoursYear"] == "3.0"
     assert values["gpuusedhours"] == "4.0"
@@ -109,6 +122,12 @@ def test_report_through_files(spark, extract, tmp_path):
     assert values["percentaviail"] == "0.8"
 
 
+def test_one_file_holds_one_report(spark, extract, tmp_path):
+    params = report.usage_params(usage.usage_cube(source.read_jobs(spark, extract, 2025)))
+    with pytest.raises(Exception, match="more than one report"):
+        tables.write_report(params, str(tmp_path / "mixed"))
+
+
 def test_reports_of_all_months(spark, extract, tmp_path):
     jobs = source.read_jobs(spark, extract, 2025)
     out = tmp_path / "reports"
@@ -135,16 +154,24 @@ def test_refresh_replaces_one_month(spark, extract, tmp_path):
     february = after.filter("period = DATE'2025-02-01'").agg(F.sum("total_secs")).first()[0]
     assert february == 7200 * 4
 
+    report.refresh_period(jobs.filter("period <> DATE'2025-03-01'"), dt.date(2025, 3, 1), stored)
+    left = tables.read_periods(spark, stored)
+    assert left.filter("period = DATE'2025-03-01'").count() == 0 and left.count() == 4
+
     one = tables.read_periods(spark, stored).filter(F.col("period") == dt.date(2025, 2, 1))
     assert "PartitionFilters: [isnotnull(period" in plan_of(one)
 
 
 def test_views(spark, extract):
     jobs = source.read_jobs(spark, extract, 2025)
-    tables.register_views({"all_jobs": jobs})
+    tables.register_views({"all_jobs": jobs, "other": jobs.filter("JobIDRaw > 1")})
+    spark.catalog.cacheTable("other")
     assert spark.sql("SELECT count(*) FROM all_jobs GROUP BY ALL").first()[0] == 5
     tables.drop_views(spark, ["all_jobs"])
     assert not spark.catalog.tableExists("all_jobs")
+    assert spark.catalog.isCached("other")
+    tables.drop_views(spark, ["other", "never_there"])
+    assert not spark.catalog.tableExists("other")
 
 
 def test_month_texts():

@@ -78,10 +78,27 @@ def test_rank_cold_runs(rows, runs):
 
 
 def test_cold_runs_with_several_values_each(spark):
-    rows = [("a", "s", 1, 2.0), ("a", "s", 1, 8.0), ("b", "s", 1, 4.0), ("b", "s", 1, 0.0)]
+    rows = [("a", "s", 1, 2.0), ("a", "s", 1, 8.0), ("b", "s", 1, 4.0), ("b", "s", 1, None), ("b", "s", 2, 9.0)]
     df = spark.createDataFrame(rows, "o STRING, s STRING, run INT, x DOUBLE")
-    got = {r.o: r.x_geomean for r in measure.rank_cold_runs(df, "o", ["s"], "x").collect()}
-    assert got == pytest.approx({"a": 2.0, "b": 2.0})
+    got = {r.o: (r.x_geomean, r.x_left_out) for r in measure.rank_cold_runs(df, "o", ["s"], "x").collect()}
+    assert got == {"a": (pytest.approx(2.0), 0), "b": (pytest.approx(2.0), 1)}
+
+
+def test_a_best_value_of_zero_is_counted_as_left_out(spark):
+    rows = [("a", "s", 1, 2.0), ("b", "s", 1, 0.0), ("a", "t", 1, 3.0), ("b", "t", 1, 6.0), ("c", "s", 1, 1.0)]
+    df = spark.createDataFrame(rows, "o STRING, s STRING, run INT, x DOUBLE")
+    cold = measure.rank_cold_runs(df, "o", ["s"], "x")
+    for ranked in (cold, measure.rank_options(df, "o", ["s"], ["x"])):
+        got = {r.o: (r.x_geomean, r.x_left_out) for r in ranked.collect()}
+        assert got == {"a": (pytest.approx(1.0), 1), "b": (pytest.approx(2.0), 1), "c": (None, 1)}
+
+
+def test_geometric_mean_of_zeros_and_of_what_is_below(spark):
+    from tallywork.functions.numbers import geomean
+
+    rows = [("a", 2.0), ("a", 8.0), ("z", 0.0), ("z", 5.0), ("n", -1.0), ("n", 4.0), ("e", None)]
+    df = spark.createDataFrame(rows, "k STRING, x DOUBLE").groupBy("k").agg(geomean(F.col("x")).alias("m"))
+    assert {r.k: r.m for r in df.collect()} == {"a": pytest.approx(4.0), "z": 0.0, "n": None, "e": None}
 
 
 def test_best_option(spark):
@@ -169,7 +186,7 @@ def test_variant_union(spark, runs):
 def test_property_check(spark):
     rows = [("m", 1, 5), ("m", 1, 1), ("m", 2, 1), ("m", 2, 2), ("n", 3, None)]
     df = spark.createDataFrame(rows, "model STRING, run INT, prompt_n INT")
-    got = measure.property_check(df, measure.cache_rule(F.col("prompt_n")))
+    got = measure.property_check(df, df.filter("run = 1"), *measure.cache_rules(F.col("prompt_n")))
     assert rows_of(got) == [("m", 4, 2), ("n", 1, 0)]
 
 
@@ -185,6 +202,21 @@ def trailing_by_hand(series):
     return result
 
 
+@pytest.mark.parametrize("bits", [0, 1, 4, 20])
+def test_trailing_error_of_sparse_numbers(spark, bits):
+    """Order numbers 2^21 apart: every row is a block of its own, or blocks of blocks."""
+    pick = random.Random(9)
+    rows = [(k, run, run << 21, 100 + pick.random()) for k in "ab" for run in range(1, 40)]
+    df = spark.createDataFrame(rows, "k STRING, run INT, event BIGINT, ttft DOUBLE")
+    dense = rows_of(warmup.trailing_error(df, ["k"]))
+    sparse = rows_of(warmup.trailing_error(df, ["k"], run="event", numbered=False, bits=bits))
+    for got, expected in zip(sparse, dense, strict=True):
+        assert got[:2] == expected[:2]
+        assert got[2] == pytest.approx(expected[2], rel=1e-9)
+        assert (got[3] is None) == (expected[3] is None)
+        assert got[3] is None or got[3] == pytest.approx(expected[3], rel=1e-9)
+
+
 @pytest.mark.parametrize("bits", [0, 1, 2, 3, 16])
 def test_trailing_error_by_hand(spark, bits):
     pick = random.Random(8)
@@ -225,12 +257,11 @@ def test_trailing_error_without_run_numbers(spark):
 
 
 def test_trailing_error_windows_rows_by_block(spark):
-    """Above the scan of rows there are windows by block; whole keys are windowed as block sums."""
+    """No window takes a whole configuration, of rows or of block rows."""
     df = spark.range(10).selectExpr("id % 3 AS k", "CAST(id AS INT) AS run", "rand(1) AS ttft")
     plan = plan_of(warmup.trailing_error(df, ["k"]))
-    above_join = plan.split("Join", 1)[0]
-    windows = [line for line in above_join.splitlines() if "+- Window [" in line]
-    assert windows and all("_block_1" in line.split("windowspecdefinition(")[1][:60] for line in windows)
+    windows = [line for line in plan.splitlines() if "+- Window [" in line]
+    assert windows and all("_block_" in line.split("windowspecdefinition(")[1][:60] for line in windows)
     assert "SortAggregate" not in plan
     assert "Exchange SinglePartition" not in plan
 
@@ -238,5 +269,5 @@ def test_trailing_error_windows_rows_by_block(spark):
 def test_error_quotients(spark):
     rows = [("a", 1, 8.0, 16.0), ("b", 1, 1.0, 8.0), ("a", 2, 1.0, 3.0), ("c", 1, 0.0, 5.0), ("a", 0, 1.0, None)]
     df = spark.createDataFrame(rows, "k STRING, warmup_runs INT, mse DOUBLE, previous_mse DOUBLE")
-    got = {r.warmup_runs: r.mse_quotient_geomean for r in warmup.error_quotients(df).collect()}
-    assert got == pytest.approx({1: 4.0, 2: 3.0})
+    got = {r.warmup_runs: (r.mse_quotient_geomean, r.left_out) for r in warmup.error_quotients(df).collect()}
+    assert got == {1: (pytest.approx(4.0), 1), 2: (pytest.approx(3.0), 0)}

@@ -1,5 +1,4 @@
 import json
-import math
 
 import pytest
 from pyspark.sql import functions as F
@@ -10,70 +9,83 @@ from tallywork.sources import measurements
 
 from conftest import rows_of
 
-# Three models in three quantizations, with the least time per token each was measured at.
-MODELS = [
-    ("a 3", 8 * 10**9, 3.0, 63.4), ("a 4", 8 * 10**9, 4.0, 75.5), ("a 8", 8 * 10**9, 8.0, 76.7),
-    ("b 3", 4 * 10**9, 3.0, 48.0), ("b 4", 4 * 10**9, 4.0, 53.2), ("b 8", 4 * 10**9, 8.0, 50.3),
-    ("c 3", 135 * 10**6, 3.0, 9.4), ("c 4", 135 * 10**6, 4.0, 9.7), ("c 8", 135 * 10**6, 8.0, 10.2),
-]
+BANDWIDTH = cost_model.Bandwidth(gb_per_s=1.0, factor=1.0, extra_ms=0.0)
+SCHEMA = "name STRING, n_params BIGINT, bpw DOUBLE, observed_tpot_ms DOUBLE"
 
 
-@pytest.fixture(scope="module")
-def models(spark):
-    return spark.createDataFrame(
-        MODELS, "name STRING, n_params BIGINT, bpw DOUBLE, observed_tpot_ms DOUBLE"
-    )
+def models(spark, *times):
+    """Models that take one, two, ... milliseconds at best over a bus of 1 GB/s, and the times given."""
+    rows = [(f"m{n}", n * 500_000, 16.0, time) for n, time in enumerate(times, 1)]
+    return spark.createDataFrame(rows, SCHEMA)
 
 
-def predicted(n, bpw, k=1.0):
-    return n * bpw / 8 * 1.1 / 818e9 * 1000 * k + 0.5
+def test_prediction(spark):
+    exact = models(spark, 5.0).select(cost_model.predicted_ms(BANDWIDTH), cost_model.predicted_ms(BANDWIDTH, 3))
+    assert tuple(exact.first()) == pytest.approx((1.0, 3.0))
+    default = models(spark, 5.0).select(cost_model.predicted_ms(cost_model.Bandwidth())).first()[0]
+    assert default == pytest.approx(1.1e6 / 818e9 * 1000 + 0.5)
 
 
-def fitted(method):
-    pairs = [(predicted(n, b), o) for _, n, b, o in MODELS]
-    if method == "none":
-        return 1.0
-    if method == "mse":
-        return sum(i * o for i, o in pairs) / sum(i * i for i, _ in pairs)
-    return math.exp(sum(math.log(o / i) for i, o in pairs) / len(pairs))
+@pytest.mark.parametrize(
+    ("method", "times", "k", "mse"),
+    [
+        ("none", (1.0, 2.0), 1.0, 0.0),
+        ("none", (4.0, 2.0), 1.0, 4.5),
+        # A common factor is found whole by either fit.
+        ("mse", (2.5, 5.0, 7.5), 2.5, 0.0),
+        ("geomean", (2.5, 5.0, 7.5), 2.5, 0.0),
+        # sum(ideal * observed) / sum(ideal^2) = (1 * 6 + 2 * 2) / 5; off by -4 and 2.
+        ("mse", (6.0, 2.0), 2.0, 10.0),
+        # Ratios 9 and 1: the root of their product; off by -6 and 4.
+        ("geomean", (9.0, 2.0), 3.0, 26.0),
+    ],
+)
+def test_fits(spark, method, times, k, mse):
+    table = models(spark, *times)
+    if method != "none":
+        assert cost_model.fit_multiplier(table, method, BANDWIDTH).first().k == pytest.approx(k)
+    row = cost_model.fit_error(table, method, bandwidth=BANDWIDTH).first()
+    assert (row.k, row.mse) == pytest.approx((k, mse))
 
 
-@pytest.mark.parametrize("method", cost_model.FITS)
-def test_fits(models, method):
-    k = fitted(method)
-    assert cost_model.fit_multiplier(models, method).first().k == pytest.approx(k)
-    error = sum((predicted(n, b, k) - o) ** 2 for _, n, b, o in MODELS) / len(MODELS)
-    row = cost_model.fit_error(models, method).first()
-    assert (row.k, row.mse) == pytest.approx((k, error))
+def test_model_report(spark):
+    rows = {r.name: r for r in cost_model.model_report(models(spark, 6.0, 2.0), "mse", bandwidth=BANDWIDTH).collect()}
+    one = rows["m1"]
+    assert one.memory_gib == pytest.approx(1e6 / 2**30)
+    assert (one.k, one.predicted_ms, one.observed_ms, one.ratio) == pytest.approx((2.0, 2.0, 6.0, 6.0))
+    assert one.error_percent == pytest.approx(200 / 3)
 
 
-def test_model_report(models):
-    rows = {r.name: r for r in cost_model.model_report(models, "mse").collect()}
-    k, row = fitted("mse"), rows["b 4"]
-    assert row.memory_gib == pytest.approx(4e9 * 4 / 8 / 2**30)
-    assert row.predicted_ms == pytest.approx(predicted(4 * 10**9, 4.0, k))
-    assert row.ratio == pytest.approx(53.2 / predicted(4 * 10**9, 4.0))
-    assert row.error_percent == pytest.approx(abs(row.predicted_ms - 53.2) / 53.2 * 100)
+def test_given_multiplier_wins(spark):
+    assert cost_model.model_report(models(spark, 6.0, 2.0), "mse", k=2.5).first().k == 2.5
 
 
-def test_given_multiplier_wins(models):
-    assert cost_model.model_report(models, "mse", k=2.0).first().k == 2.0
+def test_overhead_in_bytes(spark):
+    """Half a GiB more to read instead of half a millisecond: the other published form."""
+    bandwidth = cost_model.Bandwidth(extra_bytes=0.5 * 2**30, extra_ms=0.0)
+    first = models(spark, 5.0).select(cost_model.predicted_ms(bandwidth)).first()[0]
+    assert first == pytest.approx((1.1e6 + 2**29) / 818e9 * 1000)
 
 
-def test_overhead_in_bytes(models):
-    """Half a GiB more to read instead of half a millisecond: the published fit."""
-    bandwidth = cost_model.Bandwidth(extra_bytes=0.5 * 2**30, extra_ms=0.0)
-    first = models.select(F.max(cost_model.predicted_ms(bandwidth))).first()[0]
-    assert first == pytest.approx((8e9 * 1.1 + 2**29) / 818e9 * 1000)
+def test_zero_observations_and_empty_models(spark):
+    table = models(spark, 0.0, 4.0).unionByName(spark.createDataFrame([("none", 0, 16.0, 1.0)], SCHEMA))
+    rows = {r.name: r for r in cost_model.model_report(table, k=1.0, bandwidth=BANDWIDTH).collect()}
+    assert rows["m1"].ratio == 0.0 and rows["m1"].error_percent is None
+    assert rows["none"].ratio is None and rows["none"].error_percent == 100.0
+    assert cost_model.fit_multiplier(table, "mse", BANDWIDTH).first().k == pytest.approx(8 / 5)
+    assert cost_model.fit_multiplier(table, "geomean", BANDWIDTH).first().k == 0.0
+    only = table.filter("name = 'none'")
+    assert cost_model.fit_multiplier(only, "mse", BANDWIDTH).first().k is None
 
 
-def test_wrong_arguments(models):
-    with pytest.raises(ValueError, match="positive"):
-        cost_model.model_report(models, k=0)
-    with pytest.raises(ValueError, match="unknown fit"):
-        cost_model.fit_multiplier(models, "best")
-    with pytest.raises(Exception, match="at least one measurement"):
-        cost_model.fit_multiplier(models.filter("false"), "mse").collect()
+def test_wrong_arguments(spark):
+    table = models(spark, 1.0)
+    with pytest.raises(ValueError, match="has to be above 0"):
+        cost_model.model_report(table, k=0)
+    with pytest.raises(ValueError, match="only none, mse, geomean"):
+        cost_model.fit_multiplier(table, "best")
+    with pytest.raises(Exception, match="without models"):
+        cost_model.fit_multiplier(table.filter("false"), "mse").collect()
 
 
 @pytest.fixture(scope="module")
@@ -93,9 +105,9 @@ def test_score_totals(marks):
 
 def test_score_table(marks):
     table = {r.prompt: r for r in scores.score_table(marks, "prompt", "evaluator", ["x", "y"]).collect()}
-    assert (table["S0"].x, table["S0"].y, table["S0"].Total) == (2, 1, 3)
-    assert (table["M1"].x, table["M1"].y, table["M1"].Total) == (0, 2, 3)
-    assert table["Total"].Total == 7 and table[None].Total == 1
+    assert (table["S0"].x, table["S0"].y, table["S0"].Other, table["S0"].Total) == (2, 1, 0, 3)
+    assert (table["M1"].x, table["M1"].y, table["M1"].Other, table["M1"].Total) == (0, 2, 1, 3)
+    assert table["Total"].Total == 7 and table["Total"].Other == 1 and table[None].Total == 1
 
 
 TEXTS = ['He said "no"\\ and\tleft', "línea uno\nlínea dos", "", "日本語 😀 \u0001"]

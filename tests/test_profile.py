@@ -65,9 +65,9 @@ def metrics(spark, tmp_path, request):
 
 
 def test_rollup(metrics):
-    jobs, stages = metrics
-    tasks = spark_metrics.tasks_of(stages)
-    assert tasks.count() == 4
+    jobs, attempts = metrics
+    tasks, stages = spark_metrics.tasks_of(attempts), spark_metrics.last_attempts(attempts)
+    assert tasks.count() == 5 and attempts.count() == 5 and stages.count() == 4
     assert {r.task_id: r.shuffle_read_bytes for r in tasks.collect()}[2] == 11
 
     by_stage = profile.stage_rollup(stages, tasks, threads=2)
@@ -94,6 +94,25 @@ def test_rollup(metrics):
     assert total.working_time_ratio == pytest.approx(5.8 / 18.0)
 
 
+def test_stages_that_spark_forgot_are_counted(metrics):
+    jobs, attempts = metrics
+    stages = spark_metrics.last_attempts(attempts).filter("stage_id <> 1")
+    by_stage = profile.stage_rollup(stages, spark_metrics.tasks_of(attempts), threads=2)
+    by_job = profile.job_rollup(jobs, spark_metrics.job_stages(jobs), by_stage, threads=2)
+    got = {r.job_id: (r.num_stages, r.num_unknown_stages, r.num_nonskipped_stages) for r in by_job.collect()}
+    assert got == {0: (2, 1, 1), 1: (1, 0, 1), 2: (1, 0, 1)}
+    assert profile.query_rollup(by_job, threads=2).first().num_unknown_stages == 1
+
+
+def test_records_in_a_text_column(spark):
+    texts = spark.createDataFrame([(json.dumps(r),) for r in JOBS] + [("{broken",), (None,)], "t STRING")
+    jobs = spark_metrics.parse_jobs(texts, "t").filter("job_id IS NOT NULL")
+    assert rows_of(spark_metrics.job_stages(jobs)) == [(0, 0), (0, 1), (1, 2), (2, 3)]
+    stages = spark_metrics.parse_stages(spark.createDataFrame([(json.dumps(r),) for r in STAGES], "t STRING"), "t")
+    assert rows_of(spark_metrics.last_attempts(stages), "stage_id", "attempt_id") == [(0, 0), (1, 0), (2, 0), (3, 1)]
+    assert rows_of(spark_metrics.tasks_of(stages), "stage_id", "attempt_id", "task_id") == [(0, 0, 1), (0, 0, 2), (2, 0, 3), (3, 0, 4), (3, 1, 5)]
+
+
 def test_spans_do_not_depend_on_the_session_zone(spark):
     """In Lisbon the hour after one o'clock is missing on the last Sunday of March."""
     from tallywork.functions import spark_time
@@ -132,6 +151,17 @@ def test_run_statistics(runs):
     assert got["y", 1, "time"] == (3.0, None)
 
 
+def test_statistics_without_some_runs(runs):
+    """Taken out of all runs they are those of the others."""
+    keys, metrics = ["variant", "threads"], ["time", "jobs"]
+    for dropped in (1, 2, 3):
+        got = profile.run_statistics_without(runs, runs.filter(f"run <= {dropped}"), keys, metrics)
+        kept = profile.run_statistics(runs.filter(f"run > {dropped}"), keys, metrics)
+        for a, b in zip(rows_of(got), rows_of(kept), strict=True):
+            assert a[:3] == b[:3] and a[3] == pytest.approx(b[3])
+            assert a[4] is b[4] is None or a[4] == pytest.approx(b[4])
+
+
 def test_first_run_is_copied(runs):
     first = profile.first_run(runs, ["variant", "threads"], ["jobs"])
     assert rows_of(first.filter("variant = 'x'")) == [("x", 1, 10), ("x", 2, 10), ("x", 4, 10)]
@@ -168,6 +198,12 @@ def test_scaling_table(runs):
     assert "idle" not in profile.scaling_table(runs, "variant", "threads", "time").columns
 
 
+def test_a_time_of_zero_has_no_speedup(spark):
+    runs = spark.createDataFrame([("x", 1, 4.0), ("x", 2, 0.0)], "variant STRING, threads INT, time DOUBLE")
+    rows = profile.scaling_table(runs, "variant", "threads", "time").orderBy("threads").collect()
+    assert [r.speedup for r in rows] == [1.0, None]
+
+
 def test_safe_integer(spark):
     from tallywork.functions.numbers import safe_integer
 

@@ -47,3 +47,13 @@ def test_several_key_columns_with_nulls(spark):
     a = spark.createDataFrame([(None, "k", "1"), (1, "k", "1")], "r INT, key STRING, value STRING")
     got = {r.r: r.verdict for r in reconcile(a, a.filter("r = 1"), ["r", "key"]).collect()}
     assert got == {None: "missing", 1: "equal"}
+
+
+def test_different_values_under_a_key_are_duplicates(spark):
+    rows = [("a", "1"), ("a", "5"), ("b", "2"), ("b", "2"), ("c", None), ("c", "3")]
+    left = spark.createDataFrame(rows, "key STRING, value STRING")
+    right = table(spark, {"a": "5", "b": "2", "c": "3"})
+    for compared in (reconcile(left, right), reconcile(right, left)):
+        assert {r.key: r.verdict for r in compared.collect()} == {"a": "duplicate", "b": "equal", "c": "duplicate"}
+        counts = acceptable(compared).first()
+        assert counts.duplicate == 2 and not counts.acceptable

@@ -7,10 +7,11 @@ import duckdb
 import pytest
 
 import __spark_entry__ as registry
+from tallywork.plans import oracles, registered
 
 from conftest import SF, plan_of
 
-QUERIES = registry.queries()
+QUERIES = registered.QUERIES
 TYPES = {
     "bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR",
     "boolean": "BOOLEAN", "date": "DATE",
@@ -32,14 +33,16 @@ def plain(value):
 
 
 def test_every_query_has_sql():
-    assert set(QUERIES) == set(registry.oracle_sql())
+    assert set(QUERIES) == set(oracles.ORACLES)
     assert len(QUERIES) > 50
+    assert QUERIES.items() <= registry.queries().items()
+    assert oracles.ORACLES.items() <= registry.oracle_sql().items()
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))
 def test_same_as_sql(spark, duck, name):
     df = QUERIES[name](spark, SF)
-    result = duck.execute(registry.oracle_sql()[name])
+    result = duck.execute(oracles.ORACLES[name])
     types = {d[0]: str(d[1]) for d in result.description}
     assert {c: TYPES[t] for c, t in df.dtypes} == types
     names = sorted(types)
@@ -70,6 +73,27 @@ def test_first_runs_are_cut_before_the_shuffle(spark):
     assert any("WindowGroupLimit" in line and "Partial" in line for line in lines[shuffle:])
 
 
+def exchanged(plan):
+    """What each exchange sends, as the names of its columns' operators below it."""
+    return [line for line in plan.splitlines() if "Exchange hashpartitioning" in line]
+
+
+@pytest.mark.parametrize("name", ["first_run", "run_statistics", "property_check"])
+def test_no_run_is_numbered_for_statistics(spark, name):
+    """Rows are cut or added up in the task that reads them: before each shuffle is a limit or an aggregate."""
+    lines = plan_of(QUERIES[name](spark, SF)).splitlines()
+    for at, line in enumerate(lines):
+        if "Exchange hashpartitioning" in line:
+            below = " ".join(lines[at + 1 : at + 4])
+            assert "WindowGroupLimit" in below or "HashAggregate" in below, below
+    assert len(exchanged("\n".join(lines))) <= 5
+
+
+@pytest.mark.parametrize(("name", "scans"), [("usage_report_multipass", 3), ("usage_report_direct", 5), ("reconcile_variants", 6)])
+def test_check_variants_read_the_jobs_so_often(spark, name, scans):
+    assert plan_of(QUERIES[name](spark, SF)).count("FileScan") == scans
+
+
 def test_tasks_are_added_up_before_the_join(spark):
     plan = plan_of(QUERIES["stage_rollup"](spark, SF))
     below = plan.split("Join")[1]

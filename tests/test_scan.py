@@ -4,7 +4,7 @@ from itertools import groupby
 import pytest
 from pyspark.sql import functions as F
 
-from tallywork.operators.scan import number_rows, running_total, scan_before
+from tallywork.operators.scan import first_rows, number_rows, scan_before
 
 from conftest import plan_of, rows_of
 
@@ -40,17 +40,31 @@ def test_scan_by_hand(spark, bits, levels):
     assert rows_of(got, "a", "b", "n", "v", "c", "t") == by_hand(rows)
 
 
-def test_number_rows_and_running_total(spark):
+def test_number_rows_and_first_rows(spark):
     df = spark.createDataFrame(some_rows(2), SCHEMA)
     numbered = number_rows(df, ["a", "b"], "n", bits=4)
-    total = running_total(df, ["a", "b"], "n", "v", "t", bits=4)
     expected = by_hand(some_rows(2))
     assert rows_of(numbered, "a", "b", "n", "run") == sorted(
         ((r[0], r[1], r[2], r[4] + 1) for r in expected), key=repr
     )
-    assert rows_of(total, "a", "b", "n", "t") == sorted(
-        ((r[0], r[1], r[2], r[5] + (r[3] or 0.0)) for r in expected), key=repr
-    )
+    for bits in (2, 20):
+        first = first_rows(df, ["a", "b"], "n", 7, bits=bits)
+        assert rows_of(first, "a", "b", "n", "v", "run") == sorted(
+            ((*r[:4], r[4] + 1) for r in expected if r[4] < 7), key=repr
+        )
+
+
+@pytest.mark.parametrize(("bits", "levels"), [(20, 0), (3, 1), (1, 3), (0, 2)])
+def test_last_value_before(spark, bits, levels):
+    df = spark.createDataFrame(some_rows(3), SCHEMA)
+    got = scan_before(df, ["a", "b"], "n", {}, bits, levels, last={"x": F.col("v")})
+    expected = []
+    for _, group in groupby(sorted(some_rows(3), key=lambda r: (str(r[:2]), r[2])), key=lambda r: str(r[:2])):
+        before = None
+        for row in group:
+            expected.append((*row, before))
+            before = row[3]
+    assert rows_of(got, "a", "b", "n", "v", "x") == sorted(expected, key=repr)
 
 
 def test_no_window_takes_a_whole_key(spark):
