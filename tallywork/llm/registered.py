@@ -15,6 +15,7 @@ from tallywork.llm import (
     golay_simhash,
     language_mixture,
     line_crf,
+    oracles,
     page_crf,
     patience_dedup,
     pfair_mixing,
@@ -96,4 +97,4 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_pfair_mixing": op9_pfair_mixing,
     "op10_pii_spans": op10_pii_spans,
 }
-ORACLES: dict[str, str] = {}
+ORACLES = oracles.ORACLES
