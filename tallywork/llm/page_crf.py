@@ -98,9 +98,14 @@ def blocks(page: str) -> list[tuple[str, int, str, int]]:
             parts, linked = [], 0
 
     def leave(tag: str) -> None:
-        while stack[-1][0] != tag:
-            opened[stack.pop()[0]] -= 1
-        opened[stack.pop()[0]] -= 1
+        at = len(stack) - 1
+        while stack[at][0] != tag:
+            at -= 1
+        if stack[at - 1][1] != stack[-1][1]:
+            close()
+        for name, *_ in stack[at:]:
+            opened[name] -= 1
+        del stack[at:]
 
     for found in TOKEN.finditer(page):
         tag = found[3]
@@ -128,11 +133,10 @@ def blocks(page: str) -> list[tuple[str, int, str, int]]:
             parts.append(" ")
         if tag in VOID_TAGS or found[4].endswith("/"):
             continue
-        said = _names(tag, found[4])
-        if said != NONE and tag not in BLOCK_TAGS:
-            close()
         _, around, block, weak = stack[-1]
-        held = _inside(around, weak, said)
+        held = _inside(around, weak, _names(tag, found[4]))
+        if held != around:
+            close()
         stack.append((tag, held, tag if tag in BLOCK_TAGS else block, tag in WRAPPING_TAGS if held == FURNITURE != around else weak and held == FURNITURE))
         opened[tag] += 1
     close()

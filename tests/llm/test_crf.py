@@ -135,6 +135,7 @@ PAGES = {
     ),
     "unclosed": ("<body><article><p>One<p>Two<br>three<ul><li>a<li>b</ul></article><script>var x='</p>';</script><style>p{}</style><!-- <p>no</p> --></body>", "One\n\nTwo three\n\na\n\nb"),
     "form": ("<body><form id=f><div class='with-sidebar'><article class='post has-comments'><p>Some text of it.</p><article class=comment><p>A reader says this and that.</p></article></article></div></form></body>", "Some text of it."),
+    "inline": ("<body><article><p>One <span class=text>and two</span> <a class=share href=x>Share</a> and three.</p><p>Four <em>five</em>.</p></article></body>", "One and two\n\nand three.\n\nFour five."),
     "outside": ("<body><div id=content><p>A notice that has no name but stands before the article.</p><article><p>One.</p><ul><li>Two</li></ul><table><tr><td>3</td></tr></table></article></div></body>", "One.\n\nTwo\n\n3"),
     "silent": ("<body><div><a href=x>Home</a> <a href=y>News</a></div><p>This is a paragraph with quite a number of words, which goes on for a while. It has a second sentence, too, and a third.</p><p>And another one of the kind, which is about as long as the first, and ends like it with a stop.</p><div>Copyright 2020 | All rights reserved</div></body>", "This is a paragraph with quite a number of words, which goes on for a while. It has a second sentence, too, and a third.\n\nAnd another one of the kind, which is about as long as the first, and ends like it with a stop."),
     "named": ("<body><div id=content><p>Some words of an article, which go on.</p></div><div class=sidebar><p>Other words of a sidebar, which go on.</p></div></body>", "Some words of an article, which go on."),
