@@ -77,7 +77,7 @@ def versions(documents: DataFrame, bounds: list[int]) -> DataFrame:
     order = Window.orderBy("range")
     before = firsts.select(F.col("first.doc_id").alias("first_id"), F.lag("range").over(order).alias("before"), F.max("range").over(Window.partitionBy()).alias("last"))
     after = rows.join(F.broadcast(before), F.col("doc_id").eqNullSafe(F.col("first_id")))
-    ends = after.select("doc_id", "text", F.coalesce("before", "last").alias("range"), F.lit(True).alias("end"), F.col("before").isNull().alias("wrapped"))
+    ends = after.select("doc_id", "text", F.coalesce("before", "last", F.lit(0)).alias("range"), F.lit(True).alias("end"), F.col("before").isNull().alias("wrapped"))
     every = ranged.select("doc_id", "text", "range", F.lit(False).alias("end"), F.lit(False).alias("wrapped")).unionByName(ends).withColumn("own", digests(F.col("text")))
     window = Window.partitionBy("range").orderBy("wrapped", "doc_id", "end", "text")
     following = every.select("*", F.lead("text").over(window).alias("next_text"), F.lead("own").over(window).alias("next")).where("NOT end")

@@ -93,4 +93,5 @@ def range_of(key: Column, bounds: list[int]) -> Column:
     coarse = F.split(F.lit(",".join(map(str, bounds[width - 1 :: width]))), ",").cast("array<bigint>") if len(bounds) >= width else F.array().cast("array<bigint>")
     below = F.size(F.filter(coarse, lambda bound: bound <= key))
     fine = F.slice(every, below * width + 1, F.lit(width))
-    return (below * width + F.size(F.filter(fine, lambda bound: bound <= key))).cast("int")
+    # Never NULL for the planner either: a join on it then adds no filter, and equal shuffles stay equal.
+    return F.coalesce((below * width + F.size(F.filter(fine, lambda bound: bound <= key))).cast("int"), F.lit(0))
