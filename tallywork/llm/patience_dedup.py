@@ -190,6 +190,8 @@ def repeated_lines(documents: DataFrame) -> DataFrame:
     lines = shared.written(documents.select("doc_id", _own(F.col("text")).alias("own"), "text").mapInArrow(_lines, LINES), "lines")
     holder = F.struct("doc_id", "own")
     first = lines.groupBy("high", "low").agg(F.min(holder).alias("first"), F.max(holder).alias("last"), F.min_by("places", holder).alias("earlier")).where("first < last").drop("last")
+    # As a table of its own it meets the lines in a join that adaptive execution can split where a line is in very many documents.
+    first = shared.written(first, "first-holders")
     later = lines.join(first, ["high", "low"]).where(holder > F.col("first"))
     line = F.struct("high", "low", "words", F.col("places").alias("later"), "earlier")
     pairs = later.groupBy("doc_id", "own", "first").agg(F.collect_set(line).alias("lines"))
