@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 
 from tallywork.llm import shared, tokens
 
+SLICE_BYTES = 1 << 20
 CELL_BITS = 16
 SMOOTHING = 0.5
 ROUNDS = 12
@@ -74,7 +75,7 @@ def _counter(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         names = np.array(batch.column("lang").to_pylist(), object)
         texts = tokens.column(batch, "text")
-        for a, b in tokens.slices(texts):
+        for a, b in tokens.slices(texts, SLICE_BYTES):
             doc, cell, _ = trigrams(texts.slice(a, b - a))
             for name in set(names[a:b]):
                 own = counts.setdefault(name, np.zeros(1 << CELL_BITS, np.int64))
@@ -180,7 +181,7 @@ def _predictor(languages: Languages, kept: list[str]) -> Callable[[Iterator[pa.R
     def predict(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = tokens.column(batch, "text")
-            for a, b in tokens.slices(texts):
+            for a, b in tokens.slices(texts, SLICE_BYTES):
                 shares, known, sure = mixtures(texts.slice(a, b - a), languages) if languages.names else (np.zeros((b - a, 1)), np.zeros(b - a, bool), np.zeros(b - a))
                 first = shares.argmax(axis=1)
                 names = [languages.names[i] if k else UNKNOWN for i, k in zip(first, known, strict=True)]
