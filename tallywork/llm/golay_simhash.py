@@ -248,9 +248,12 @@ def near_duplicates(documents: DataFrame) -> DataFrame:
     return own.join(names, "fingerprint").select("doc_id", "fingerprint", "component_id", "own", "first_own")
 
 
-def representatives(documents: DataFrame) -> DataFrame:
-    """One document of each component, the one that names it, with all of its columns. NULLs and repeats: as in near_duplicates."""
-    found = near_duplicates(documents)
+def representatives(documents: DataFrame, found: DataFrame | None = None) -> DataFrame:
+    """One document of each component, the one that names it, with all of its columns. NULLs and repeats: as in near_duplicates.
+
+    `found` are the components, near_duplicates of the documents unless given.
+    """
+    found = near_duplicates(documents) if found is None else found
     kept = found.where(F.col("doc_id").eqNullSafe(F.col("component_id")) & (F.col("own") == F.col("first_own")))
     names = shared.written(kept.select(F.col("doc_id").alias("kept_doc_id"), F.col("own").alias("kept_own")).distinct(), "kept")
     rows = shared.folded(documents, "text").select("*", F.col("row.doc_id").alias("own_doc_id"), F.xxhash64("text").alias("own"))
