@@ -1,10 +1,12 @@
-"""Line dedup by pairwise alignment: a document meets the first holder of each line they share, patience diff
-aligns the two, and aligned common blocks go from the later document.
-
-A line of enough words is a link, by a 128-bit hash with its places in the document. Each line links its later
-holders to the first one only, so there are no more links than lines, however many documents share a line, and
-a line's rareness needs no limit. A pair's alignment sees the lines that the pair shares, never more than the
-later document has. Short lines stand with the line before them and go when both neighbours go.
+"""Line dedup by pairwise alignment: a document meets the first holders of the runs of lines they share, patience
+diff aligns the two, and aligned common blocks go from the later document.
+
+A run is a shortest stretch of lines, forwards from a line or backwards from it, that has the words of a block: a
+line if it is long, else some together. Whatever block a document shares with an earlier one, such runs cover it,
+and each run meets its own first holder, so no block breaks where one of its lines was first held elsewhere. Runs
+are a link by a 128-bit hash with the places of their lines. Each links its later holders to the first one only,
+so there are no more links than runs (two a line at most, and two more where short lines part long ones), however
+many documents share one. Blank lines stand with the line before them and go when both neighbours go.
 """
 
 from __future__ import annotations
@@ -23,35 +25,60 @@ from tallywork.llm import shared, tokens
 LINE_WORDS = 5
 BLOCK_WORDS = 8
 
-PLACES = "array<struct<at:int,nth:int,before:bigint,after:bigint,n_before:int,n_after:int,ends:boolean>>"
-LINES = f"doc_id bigint, own bigint, high bigint, low bigint, words int, places {PLACES}"
-PLACE = pa.struct([("at", pa.int32()), ("nth", pa.int32()), ("before", pa.int64()), ("after", pa.int64()), ("n_before", pa.int32()), ("n_after", pa.int32()), ("ends", pa.bool_())])
+PLACES = "array<struct<part:int,at:int,nth:int,long:int,after:int,ends:boolean>>"
+RUNS = f"doc_id bigint, own bigint, high bigint, low bigint, parts array<bigint>, sizes array<int>, places {PLACES}"
+PLACE = pa.struct([("part", pa.int32()), ("at", pa.int32()), ("nth", pa.int32()), ("long", pa.int32()), ("after", pa.int32()), ("ends", pa.bool_())])
 
 
 def _signed(number: int) -> int:
     return number - (1 << 64) if number >> 63 else number
 
 
-def long_lines(text: bytes, least: int = LINE_WORDS) -> dict[bytes, tuple[int, list[dict]]]:
-    """A text's lines of enough words without the white space around them: how many words, and all places.
+def shortest(sizes: list[int], least: int) -> set[tuple[int, int]]:
+    """First and last places of the shortest stretches, from each place on and up to each place, that add up to enough."""
+
+    def forward(sizes: list[int]) -> Iterator[tuple[int, int]]:
+        total = end = 0
+        for first, size in enumerate(sizes):
+            while end < len(sizes) and total < least:
+                total += sizes[end]
+                end += 1
+            if total < least:
+                return
+            yield first, end - 1
+            total -= size
+
+    last = len(sizes) - 1
+    return {*forward(sizes), *((last - b, last - a) for a, b in forward(sizes[::-1]))}
+
+
+def runs(text: bytes, least: int = BLOCK_WORDS, long: int = LINE_WORDS) -> dict[bytes, tuple[list[int], list[int], list[dict]]]:
+    """A text's runs: hashes and sizes of their lines without the white space around them, and all places of these.
 
-    A place has the line's number, its number among such lines, and hashes of the short lines right before and after.
+    A place has its number within the run, the line's number, its number among lines that are not blank and among
+    long ones (-1 for a short one), and how many blank lines follow. Runs of long lines pass over short ones.
     """
-    lines = [line.strip() for line in text.split(b"\n")]
+    stripped = [line.strip() for line in text.split(b"\n")]
+    at = [number for number, line in enumerate(stripped) if line]
+    lines = [stripped[number] for number in at]
     sizes = [len(line.split()) for line in lines]
-    long = [at for at, size in enumerate(sizes) if size >= least]
-    runs = [lines[a + 1 : b] for a, b in zip([-1, *long], [*long, len(lines)], strict=True)]
-    hashes = [_signed(xxhash.xxh64_intdigest(b"\n".join(run))) for run in runs]
-    found: dict[bytes, tuple[int, list[dict]]] = {}
-    for nth, at in enumerate(long):
-        place = {"at": at, "nth": nth, "before": hashes[nth], "after": hashes[nth + 1], "n_before": len(runs[nth]), "n_after": len(runs[nth + 1]), "ends": nth == len(long) - 1}
-        found.setdefault(lines[at], (sizes[at], []))[1].append(place)
+    hashes = [_signed(xxhash.xxh64_intdigest(line)) for line in lines]
+    longs = [nth for nth, size in enumerate(sizes) if size >= long]
+    rank = {nth: number for number, nth in enumerate(longs)}
+    until = [*at[1:], len(stripped)]
+    stretches = {tuple(range(a, b + 1)) for a, b in shortest(sizes, least)}
+    stretches |= {tuple(longs[a : b + 1]) for a, b in shortest([sizes[nth] for nth in longs], least)}
+    found: dict[bytes, tuple[list[int], list[int], list[dict]]] = {}
+    for stretch in sorted(stretches):
+        own = found.setdefault(b"\n".join([lines[nth] for nth in stretch]), ([hashes[nth] for nth in stretch], [sizes[nth] for nth in stretch], []))
+        for part, nth in enumerate(stretch):
+            own[2].append({"part": part, "at": at[nth], "nth": nth, "long": rank.get(nth, -1), "after": until[nth] - at[nth] - 1, "ends": nth == len(lines) - 1})
     return found
 
 
 def _lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    names = [field.split()[0] for field in LINES.split(", ")]
-    kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.list_(PLACE)]
+    names = [field.split()[0] for field in RUNS.split(", ")]
+    kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int32()), pa.list_(PLACE)]
 
     def batch_of(rows: list[tuple]) -> pa.RecordBatch:
         return pa.RecordBatch.from_arrays([pa.array(x, kind) for x, kind in zip(zip(*rows, strict=True), kinds, strict=True)], names)
@@ -60,9 +87,9 @@ def _lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows: list[tuple] = []
         texts = tokens.column(batch, "text")
         for doc_id, own, text in zip(batch.column("doc_id").to_pylist(), batch.column("own").to_pylist(), texts, strict=True):
-            for line, (words, places) in long_lines(text.as_buffer().to_pybytes()).items():
-                number = xxhash.xxh128_intdigest(line)
-                rows.append((doc_id, own, _signed(number >> 64), _signed(number & (1 << 64) - 1), words, places))
+            for run, (parts, sizes, places) in runs(text.as_buffer().to_pybytes()).items():
+                number = xxhash.xxh128_intdigest(run)
+                rows.append((doc_id, own, _signed(number >> 64), _signed(number & (1 << 64) - 1), parts, sizes, places))
             if len(rows) >= 20_000:
                 yield batch_of(rows)
                 rows = []
@@ -125,39 +152,47 @@ def patience(first: list[int], second: list[int]) -> list[tuple[int, int]]:
     return sorted(out)
 
 
-def deleted(shared_lines: list[dict], least: int = BLOCK_WORDS) -> list[int]:
-    """Line numbers that go from the later document of a pair: words, later and earlier places of each shared line."""
-    sides = [sorted((place["nth"], number, place) for number, line in enumerate(shared_lines) for place in line[side]) for side in ("later", "earlier")]
-    later, earlier = sides
-    out: list[int] = []
-    block: list[tuple[dict, dict, int]] = []
-
-    def close() -> None:
-        if sum(words for _, _, words in block) < least:
-            return
-        for i, (mine, other, _) in enumerate(block):
-            out.append(mine["at"])
-            same_after = (mine["after"], mine["n_after"]) == (other["after"], other["n_after"])
-            if same_after and (i + 1 < len(block) or (mine["ends"] and other["ends"])):
-                out.extend(range(mine["at"] + 1, mine["at"] + 1 + mine["n_after"]))
-        mine, other, _ = block[0]
-        if mine["nth"] == other["nth"] == 0 and (mine["before"], mine["n_before"]) == (other["before"], other["n_before"]):
-            out.extend(range(mine["at"] - mine["n_before"], mine["at"]))
-
-    for x, y in patience([number for _, number, _ in later], [number for _, number, _ in earlier]):
-        mine, other = later[x][2], earlier[y][2]
-        if block and (mine["nth"] != block[-1][0]["nth"] + 1 or other["nth"] != block[-1][1]["nth"] + 1):
-            close()
-            block = []
-        block.append((mine, other, shared_lines[later[x][1]]["words"]))
-    if block:
-        close()
-    return out
+def deleted(shared_runs: list[dict], least: int = BLOCK_WORDS) -> list[int]:
+    """Line numbers that go from the later document of a pair: lines, later and earlier places of each shared run.
+
+    A block's lines follow one another in both documents, either among all lines that are not blank or among long ones.
+    """
+    sizes: dict[int, int] = {}
+    sides: list[dict[int, tuple[int, dict]]] = [{}, {}]
+    for run in shared_runs:
+        sizes.update(zip(run["parts"], run["sizes"], strict=True))
+        for side, name in zip(sides, ("later", "earlier"), strict=True):
+            side.update((place["nth"], (run["parts"][place["part"]], place)) for place in run[name])
+    later, earlier = ([side[nth] for nth in sorted(side)] for side in sides)
+    pairs = [(later[x][1], earlier[y][1], sizes[later[x][0]]) for x, y in patience([line for line, _ in later], [line for line, _ in earlier])]
+    out: set[int] = set()
+    for count in ("nth", "long"):
+        block: list[tuple[dict, dict, int]] = []
+        for pair in [*(pair for pair in pairs if pair[0][count] >= 0), None]:
+            if block and (pair is None or any(pair[side][count] != block[-1][side][count] + 1 for side in (0, 1))):
+                if sum(words for _, _, words in block) >= least:
+                    out.update(_gone(block))
+                block = []
+            if pair:
+                block.append(pair)
+    return sorted(out)
+
+
+def _gone(block: list[tuple[dict, dict, int]]) -> Iterator[int]:
+    """Line numbers of a block, and of blank lines that both documents have within it or at their end or begin."""
+    for i, (mine, other, _) in enumerate(block):
+        yield mine["at"]
+        follows = i + 1 < len(block) and block[i + 1][0]["nth"] == mine["nth"] + 1 and block[i + 1][1]["nth"] == other["nth"] + 1
+        if mine["after"] == other["after"] and (follows or (mine["ends"] and other["ends"])):
+            yield from range(mine["at"] + 1, mine["at"] + 1 + mine["after"])
+    mine, other, _ = block[0]
+    if mine["nth"] == other["nth"] == 0 and mine["at"] == other["at"]:
+        yield from range(mine["at"])
 
 
 def _aligned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        gone = [deleted(lines.as_py()) for lines in batch.column("lines")]
+        gone = [deleted(runs.as_py()) for runs in batch.column("runs")]
         yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("own"), pa.array(gone, pa.list_(pa.int32()))], ["doc_id", "own", "gone"])
 
 
@@ -187,15 +222,15 @@ def repeated_lines(documents: DataFrame) -> DataFrame:
     """
     spark = documents.sparkSession
     shared.with_code(spark)
-    lines = shared.written(documents.select("doc_id", _own(F.col("text")).alias("own"), "text").mapInArrow(_lines, LINES), "lines")
+    lines = shared.written(documents.select("doc_id", _own(F.col("text")).alias("own"), "text").mapInArrow(_lines, RUNS), "runs")
     holder = F.struct("doc_id", "own")
     first = lines.groupBy("high", "low").agg(F.min(holder).alias("first"), F.max(holder).alias("last"), F.min_by("places", holder).alias("earlier")).where("first < last").drop("last")
-    # As a table of its own it meets the lines in a join that adaptive execution can split where a line is in very many documents.
+    # As a table of its own it meets the runs in a join that adaptive execution can split where a run is in very many documents.
     first = shared.written(first, "first-holders")
     later = lines.join(first, ["high", "low"]).where(holder > F.col("first"))
-    line = F.struct("high", "low", "words", F.col("places").alias("later"), "earlier")
-    pairs = later.groupBy("doc_id", "own", "first").agg(F.collect_set(line).alias("lines"))
-    return pairs.select("doc_id", "own", "lines").mapInArrow(_aligned, "doc_id bigint, own bigint, gone array<int>").groupBy("doc_id", "own").agg(F.collect_list("gone").alias("gone"))
+    run = F.struct("parts", "sizes", F.col("places").alias("later"), "earlier")
+    pairs = later.groupBy("doc_id", "own", "first").agg(F.collect_set(run).alias("runs"))
+    return pairs.select("doc_id", "own", "runs").mapInArrow(_aligned, "doc_id bigint, own bigint, gone array<int>").groupBy("doc_id", "own").agg(F.collect_list("gone").alias("gone"))
 
 
 def without_repeats(documents: DataFrame) -> DataFrame:
