@@ -48,3 +48,9 @@ def test_a_block_does_not_break_at_a_line_first_held_elsewhere(spark):
     block = ["Released under the Link License", "a line of six words here", "Of.", "five words are in it"]
     texts = ["\n".join(["x " * 9, block[1], "y " * 9]), "\n".join(block), "\n".join(["own beginning", *block, "own end"])]
     assert cleaned(spark, texts)[2] == "own beginning\nown end"
+
+
+def test_short_lines_and_scripts_without_blanks(spark):
+    verse = "Tyger Tyger,\nburning bright,\nIn the forests\nof the night;\n\nWhat immortal\nhand or eye"
+    han = "这是一个很长的句子没有任何空格但是它有很多的字符在里面"
+    assert cleaned(spark, [verse, "A poem\n" + verse + "\nof mine", han, "标题\n" + han + "\n结束"])[1::2] == ["A poem\nof mine", "标题\n结束"]
