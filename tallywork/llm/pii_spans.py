@@ -76,6 +76,14 @@ ADDED = (
     Kind("ssn", r"[0-9]{3}-[0-9]{2}-[0-9]{4}", "-", _whole_number, 40, "ssn|social security"),
 )
 
+# Added kinds whose greedy match may run on into what follows: a beginning, and how often its last part may repeat.
+# Each end where no letter, digit or hyphen touches is tried, the longest first.
+AGAIN = {
+    "iban": (r"[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]){%d}", range(30, 10, -1)),
+    "short_card": (r"[0-9](?:[ -]?[0-9]){%d}", range(14, 11, -1)),
+}
+LONGEST = 64
+
 
 def _running(lengths: Column) -> Column:
     """Running totals of an array, by doubling steps."""
@@ -103,6 +111,33 @@ def _scored(kind: Kind, span: Column) -> Column:
     return F.struct(*(span[name].alias(name) for name in ("kind", "start", "end", "value")), score.alias("score"))
 
 
+def _begin(kind: Kind) -> str:
+    """Where a span of a kind may begin, without a character of it."""
+    pattern, repeats = AGAIN[kind.name]
+    return rf"(?<![0-9A-Za-z-])(?={pattern % repeats[-1]})"
+
+
+def _again(kind: Kind, tails: Column, befores: Column, starts: Column) -> Column:
+    """Scored spans at all possible beginnings, each with its longest confirmed end."""
+    pattern, repeats = AGAIN[kind.name]
+
+    def span(tail: Column, at: Column) -> Column:
+        ends = F.array(*(F.regexp_extract(tail, rf"^({pattern % n})(?![0-9A-Za-z-])", 1) for n in repeats))
+        good = F.filter(ends, lambda value: (value != "") & kind.confirmed({"value": value, "before": F.lit(""), "after": F.lit("")}))
+        value, start = F.get(good, F.lit(0)), F.get(starts, at)
+        after = F.substr(tail, F.length(value) + 1, F.lit(NEARBY))
+        return F.struct(F.lit(kind.name).alias("kind"), start.alias("start"), (start + F.length(value)).alias("end"), value.alias("value"), F.get(befores, at).alias("before"), after.alias("after"))
+
+    return F.transform(F.filter(F.transform(tails, span), lambda span: span["value"].isNotNull()), lambda span: _scored(kind, span))
+
+
+def _apart(spans: Column, taken: Column) -> Column:
+    """Spans in order of their starts without those that overlap a taken one or one kept before."""
+    free = F.filter(spans, lambda span: ~F.exists(taken, lambda other: (other["start"] < span["end"]) & (span["start"] < other["end"])))
+    none = F.filter(spans, lambda span: F.lit(False))
+    return F.aggregate(free, none, lambda kept, span: F.when(F.coalesce(F.try_element_at(kept, F.lit(-1))["end"], F.lit(0)) <= span["start"], F.concat(kept, F.array(span))).otherwise(kept))
+
+
 def _patterns(kinds: tuple[Kind, ...]) -> dict[str, Kind]:
     """One kind for each different pattern, by the name of its column."""
     return {f"p{kinds.index(next(x for x in kinds if x.pattern == kind.pattern))}": kind for kind in reversed(kinds)}
@@ -113,8 +148,8 @@ def personal_data(documents: DataFrame) -> DataFrame:
 
     Positions count code points from 0, the end excluded. `base_spans` are all confirmed matches of the four
     base kinds, whatever their score. `spans` has them and those of the added kinds that, with the bonus for a
-    context word within NEARBY characters (up to the next match), reach KEPT_FROM. A NULL or empty text has
-    none; rows that repeat are answered each for itself; no documents: no rows; other columns are ignored.
+    context word within NEARBY characters (up to the next match), reach KEPT_FROM. Where a match of an added kind
+    of AGAIN is not confirmed, its other beginnings and ends are tried. A NULL or empty text has none; rows that repeat are answered each for itself; no documents: no rows; other columns are ignored.
     """
     kinds = BASE + ADDED
     patterns = _patterns(kinds)
@@ -123,7 +158,7 @@ def personal_data(documents: DataFrame) -> DataFrame:
     rows = documents.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
     searched = rows.select("doc_id", "text", *((F.regexp_extract_all(text if kind.sign is None else F.when(F.contains(text, F.lit(kind.sign)), text).otherwise(""), F.lit(kind.pattern), F.lit(0))).alias(name) for name, kind in patterns.items()))
     some = {name: F.size(F.col(name)) > 0 for name in patterns}
-    cut = searched.select("doc_id", *patterns, *(F.when(some[name], F.split(text, kind.pattern, -1)).alias(f"gaps_{name}") for name, kind in patterns.items()))
+    cut = searched.select("doc_id", "text", *patterns, *(F.when(some[name], F.split(text, kind.pattern, -1)).alias(f"gaps_{name}") for name, kind in patterns.items()))
     placed = cut.select("*", *(F.when(some[name], _running(F.zip_with(F.col(name), F.col(f"gaps_{name}"), lambda match, gap: F.coalesce(F.length(match), F.lit(0)) + F.length(gap)))).alias(f"ends_{name}") for name in patterns))
     none = F.array().cast("array<struct<kind:string,start:int,end:int,value:string,score:int>>")
 
@@ -133,8 +168,24 @@ def personal_data(documents: DataFrame) -> DataFrame:
         confirmed = F.filter(spans, kind.confirmed) if kind.confirmed else spans
         return F.when(some[name], F.filter(F.transform(confirmed, lambda span: _scored(kind, span)), lambda span: span["score"] >= least)).otherwise(none)
 
-    based = placed.select("doc_id", F.concat(*(found(kind, 0) for kind in BASE)).alias("base_spans"), F.concat(*(found(kind, KEPT_FROM) for kind in ADDED)).alias("added"))
-    return based.select("doc_id", "base_spans", F.concat("base_spans", "added").alias("spans"))
+    retried = [kind for kind in ADDED if kind.name in AGAIN]
+    plain = [kind for kind in ADDED if kind.name not in AGAIN]
+    based = placed.select("doc_id", "text", F.concat(*(found(kind, 0) for kind in BASE)).alias("base_spans"), *(found(kind, 0).alias(kind.name) for kind in retried), F.concat(none, *(found(kind, KEPT_FROM) for kind in plain)).alias("plain"))
+    tails = based.select("*", *(F.regexp_extract_all("text", F.lit(_begin(kind) + rf"(?=([\s\S]{{1,{LONGEST + NEARBY}}}))"), F.lit(1)).alias(f"tails_{kind.name}") for kind in retried))
+    taken = F.filter("base_spans", lambda span: span["kind"] == "card")
+    for kind in retried:
+        befores = F.regexp_extract_all("text", F.lit(_begin(kind) + rf"(?<=(\A[\s\S]{{0,{NEARBY - 1}}}|[\s\S]{{{NEARBY}}}))"), F.lit(1))
+        # A sign in front keeps the piece before a beginning at 0.
+        starts = F.transform(_running(F.transform(F.split(F.concat(F.lit(" "), "text"), _begin(kind), -1), F.length)), lambda end: end - 1)
+        some_tails = F.size(f"tails_{kind.name}") > 0
+        tails = tails.withColumns({f"befores_{kind.name}": F.when(some_tails, befores), f"starts_{kind.name}": F.when(some_tails, starts)})
+        more = _again(kind, F.col(f"tails_{kind.name}"), F.col(f"befores_{kind.name}"), F.col(f"starts_{kind.name}"))
+        known = F.col("iban") if kind.name == "iban" else F.concat(kind.name, "iban", taken)
+        tails = tails.withColumn(f"more_{kind.name}", F.when(some_tails, more).otherwise(none))
+        both = F.array_sort(F.concat(F.col(kind.name), _apart(F.col(f"more_{kind.name}"), known)))
+        tails = tails.withColumn(kind.name, both)
+    kept = [F.filter(kind.name, lambda span: span["score"] >= KEPT_FROM) for kind in retried]
+    return tails.select("doc_id", "base_spans", F.concat("base_spans", *kept, "plain").alias("spans"))
 
 
 def listed(spans: Column, score: bool = False) -> Column:
