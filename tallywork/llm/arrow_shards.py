@@ -114,11 +114,11 @@ def _writer(folder: str, tokenizer: str, end_id: int, length: int, per_batch: in
 
         for batch in batches:
             ranges, names = batch.column("range").to_pylist(), batch.column("doc_id").to_pylist()
-            for row, ids in tokens.documents_ids(tokens.column(batch, "text"), tokenizer, end_id):
+            for row, ids in tokens.documents_ids(tokens.column(batch, "text"), tokenizer, end_id, added=True):
                 if own is None or ranges[row] != number:
                     close()
                     number = ranges[row]
-                    own = ShardWriter(f"{folder}/range-{number:06d}.arrow", length, per_batch, id_type(tokens.encoder(tokenizer).size))
+                    own = ShardWriter(f"{folder}/range-{number:06d}.arrow", length, per_batch, id_type(tokens.encoder(tokenizer, added=True).size))
                 own.add(names[row], ids)
         close()
         if done:

@@ -32,7 +32,7 @@ def _cutter(path: str, end_id: int, longest: int, keep_ids: bool) -> Callable[[I
         for batch in batches:
             names, orders = batch.column("doc_id").to_pylist(), batch.column("order").to_pylist()
             rows: list[tuple] = []
-            for row, ids in tokens.documents_ids(tokens.column(batch, "text"), path, end_id):
+            for row, ids in tokens.documents_ids(tokens.column(batch, "text"), path, end_id, added=True):
                 raw, start = ids.tobytes(), 0
                 for length in binary_lengths(len(ids), longest):
                     piece = raw[4 * start : 4 * (start + length)]

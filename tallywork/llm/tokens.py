@@ -3,8 +3,8 @@
 Byte-pair merges never cross the splits of the pre-tokenizer. A batch of texts is cut with numpy at places
 where both kinds of pre-tokenizer used here (letter runs, number runs, other runs, white space in front or
 dropped) always split, equal pieces are found by dictionary encoding, and only pieces that the worker has
-not met yet go through the tokenizer. Where a split isn't certain no cut is made, so the ids are those of
-the whole text (`tests/llm/test_tokens.py`).
+not met yet go through the tokenizer. Where a split isn't certain no cut is made, and a text with an added token
+of the file is one piece, so the ids are those of the whole text (`tests/llm/test_tokens.py`, `test_added_tokens.py`).
 """
 
 from __future__ import annotations
@@ -14,11 +14,13 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 
 SLICE_BYTES = 4 << 20
 WORDS_KEPT = 400_000
+WORD_BYTES = 1 << 10
 
-_encoders: dict[str, "Encoder"] = {}
+_encoders: dict[tuple[str, bool], "Encoder"] = {}
 
 
 def _classes() -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -59,14 +61,19 @@ def cuts(data: np.ndarray) -> np.ndarray:
 
 
 class Encoder:
-    """One tokenizer file with the ids of the pieces met so far; at most WORDS_KEPT of them are kept."""
+    """One tokenizer file with the ids of the pieces met so far; at most WORDS_KEPT of them are kept, none above WORD_BYTES.
 
-    def __init__(self, path: str):
+    With `added`, an added token that a text spells is that one token, as the library's plain call has it; else it is text.
+    """
+
+    def __init__(self, path: str, added: bool = False):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        self.tokenizer.encode_special_tokens = not added
+        found = self.tokenizer.get_added_tokens_decoder().values() if added else []
+        self.added = [(token.content, token.normalized) for token in found]
         self.size = self.tokenizer.get_vocab_size()
         self.lower = "Lowercase" in str(self.tokenizer.normalizer)
         self.known: dict[bytes, bytes] = {}
@@ -81,16 +88,32 @@ class Encoder:
             encoded = self.tokenizer.encode_batch_fast([word.decode() for word in part], add_special_tokens=False)
             for word, tokens in zip(part, encoded, strict=True):
                 self.known[word] = np.array(tokens.ids, "<u4").tobytes()
-        return [self.known[word] for word in words]
+        out = [self.known[word] for word in words]
+        for word in missing:
+            if len(word) > WORD_BYTES:
+                self.known.pop(word, None)
+        return out
+
+    def _whole(self, texts: pa.Array) -> np.ndarray:
+        """Rows of texts that spell an added token."""
+        found = np.zeros(len(texts), bool)
+        for content, normalized in self.added:
+            found |= pc.match_substring(texts, content, ignore_case=normalized).to_numpy(zero_copy_only=False)
+        return np.flatnonzero(found)
 
     def ids(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts one after the other, and where each text's ids begin (one more: the end)."""
         data, ends = bytes_of(texts)
         if not len(data):
             return np.zeros(0, "<u4"), np.zeros(len(texts) + 1, np.int64)
+        whole, given = self._whole(texts), data
         if self.lower:
             data = np.where((data >= 65) & (data <= 90), data | 0x20, data)
         begin = cuts(data)
+        for row in whole:
+            begin[ends[row] : ends[row + 1]] = False
+            if self.lower:
+                data[ends[row] : ends[row + 1]] = given[ends[row] : ends[row + 1]]
         begin[ends[:-1][ends[:-1] < len(data)]] = True
         at = np.flatnonzero(begin)
         pieces = pa.Array.from_buffers(pa.large_binary(), len(at), [None, pa.py_buffer(np.append(at, len(data)).astype(np.int64)), pa.py_buffer(data)])
@@ -127,11 +150,11 @@ def slices(texts: pa.Array, most: int = SLICE_BYTES) -> Iterator[tuple[int, int]
             first = row
 
 
-def encoder(path: str) -> Encoder:
+def encoder(path: str, added: bool = False) -> Encoder:
     """The worker's encoder for a tokenizer file; it keeps its pieces from task to task."""
-    if path not in _encoders:
-        _encoders[path] = Encoder(path)
-    return _encoders[path]
+    if (path, added) not in _encoders:
+        _encoders[path, added] = Encoder(path, added)
+    return _encoders[path, added]
 
 
 def column(batch: pa.RecordBatch, name: str) -> pa.Array:
@@ -139,9 +162,9 @@ def column(batch: pa.RecordBatch, name: str) -> pa.Array:
     return batch.column(name).cast(pa.large_string()).fill_null("")
 
 
-def documents_ids(texts: pa.Array, path: str, end_id: int) -> Iterator[tuple[int, np.ndarray]]:
+def documents_ids(texts: pa.Array, path: str, end_id: int, added: bool = False) -> Iterator[tuple[int, np.ndarray]]:
     """Each row's number and its ids with the end id, a slice of rows in memory at a time."""
-    own = encoder(path)
+    own = encoder(path, added)
     for first, last in slices(texts):
         ids, at = own.ids(texts.slice(first, last - first))
         for row in range(last - first):
