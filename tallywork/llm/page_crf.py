@@ -52,7 +52,9 @@ TOKEN = re.compile(
     re.S | re.I,
 )
 NAMES = re.compile(r"\b(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
-HIDDEN = re.compile(r"\bhidden\b|display\s*:\s*none|aria-hidden\s*=\s*[\"']?true", re.I)
+HIDING = re.compile(r"hidden|display", re.I)
+ATTRIBUTE = re.compile(r"([^\s\"'<>/=]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
+HIDDEN_STYLE = re.compile(r"(?:^|;)\s*(?:display\s*:\s*none|visibility\s*:\s*hidden)\b", re.I)
 ABSENT = re.compile(r"\b(?:has|have|hide|no|show|with|without)[-_]+\w+", re.I)
 WORD = re.compile(r"[A-Z]?[a-z]+|[A-Z]+|[0-9]+")
 
@@ -62,6 +64,17 @@ FEATURES = (
 )
 
 
+def _hidden(attributes: str) -> bool:
+    """Whether an element is not shown: by its attribute hidden, aria-hidden or style, not by a word in another one."""
+    if not HIDING.search(attributes):
+        return False
+    for name, *values in ATTRIBUTE.findall(attributes):
+        name, value = name.lower(), html.unescape("".join(values))
+        if name == "hidden" or (name == "aria-hidden" and value.strip().lower() == "true") or (name == "style" and HIDDEN_STYLE.search(value)):
+            return True
+    return False
+
+
 def _names(tag: str, attributes: str) -> int:
     """What an element's tag, class, id or role says of the text in it; of several words those of furniture count."""
     if tag in FURNITURE_TAGS:
@@ -69,7 +82,7 @@ def _names(tag: str, attributes: str) -> int:
     own = ARTICLE if tag == "article" else MAIN if tag == "main" else NONE
     if not attributes or tag in ("html", "body"):
         return own
-    if HIDDEN.search(attributes):
+    if _hidden(attributes):
         return FURNITURE
     words = {word.lower() for found in NAMES.findall(attributes) for word in WORD.findall(ABSENT.sub(" ", " ".join(found)))}
     return FURNITURE if words & FURNITURE_WORDS else own or (NAMED if words & ARTICLE_WORDS else NONE)
