@@ -174,7 +174,8 @@ def personal_data(documents: DataFrame) -> DataFrame:
     tails = based.select("*", *(F.regexp_extract_all("text", F.lit(_begin(kind) + rf"(?=([\s\S]{{1,{LONGEST + NEARBY}}}))"), F.lit(1)).alias(f"tails_{kind.name}") for kind in retried))
     taken = F.filter("base_spans", lambda span: span["kind"] == "card")
     for kind in retried:
-        befores = F.regexp_extract_all("text", F.lit(_begin(kind) + rf"(?<=(\A[\s\S]{{0,{NEARBY - 1}}}|[\s\S]{{{NEARBY}}}))"), F.lit(1))
+        # Java looks back by UTF-16 units, of which a character may have two.
+        befores = F.regexp_extract_all("text", F.lit(_begin(kind) + rf"(?<=(\A[\s\S]{{0,{2 * NEARBY - 1}}}|[\s\S]{{{NEARBY},{2 * NEARBY}}}))"), F.lit(1))
         # A sign in front keeps the piece before a beginning at 0.
         starts = F.transform(_running(F.transform(F.split(F.concat(F.lit(" "), "text"), _begin(kind), -1), F.length)), lambda end: end - 1)
         some_tails = F.size(f"tails_{kind.name}") > 0
