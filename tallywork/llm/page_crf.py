@@ -204,21 +204,36 @@ def lesson(page: str, most: int = SAMPLE_BLOCKS) -> list[tuple[np.ndarray, np.nd
 
 def _teacher(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        for page in tokens.column(batch, "html"):
+        for name, order, page in zip(batch.column("page_id"), batch.column("order"), tokens.column(batch, "html"), strict=True):
             for rows, answers in lesson(page.as_py()):
-                yield pa.RecordBatch.from_arrays([pa.array([x.tobytes()], pa.binary()) for x in (rows, answers)], ["features", "answers"])
+                columns = [pa.array([name.as_py()], pa.int64()), pa.array([order.as_py()], pa.int64()), *(pa.array([x.tobytes()], pa.binary()) for x in (rows, answers))]
+                yield pa.RecordBatch.from_arrays(columns, ["page_id", "order", "features", "answers"])
 
 
 def fitted(pages: DataFrame, pages_used: int = SAMPLE_PAGES) -> crf.Model:
-    """The field, from a bounded sample: the pages with the smallest hashes of their page_id among all with an html."""
+    """The field, from a bounded sample: the pages with the smallest hashes of their page_id among all that give a lesson.
+
+    A share of the pages by hash is looked at, and a larger one, all of them at last, where too few of it give a
+    lesson. Where none of all does, all blocks but those named as furniture are main text.
+    """
     shared.with_code(pages.sparkSession)
-    known = pages.where("page_id IS NOT NULL AND html IS NOT NULL").select("page_id").distinct()
-    picked = known.orderBy(F.xxhash64("page_id"), "page_id").limit(pages_used)
-    texts = pages.select("page_id", "html").join(F.broadcast(picked), "page_id").select("html")
-    rows = texts.mapInArrow(_teacher, "features binary, answers binary").orderBy("features", "answers").limit(8 * pages_used).collect()
+    order = F.xxhash64("page_id")
+    known = pages.where("page_id IS NOT NULL AND html IS NOT NULL").select("page_id", order.alias("order"), "html")
+    share = min(1.0, 4 * pages_used / max(1, known.count()))
+    while True:
+        tried = known.where(F.col("order") <= int(share * 2**64) - 2**63) if share < 1 else known
+        lessons = shared.written(tried.mapInArrow(_teacher, "page_id bigint, order bigint, features binary, answers binary"), "lessons")
+        named = lessons.select("page_id", "order").distinct().orderBy("order", "page_id").limit(pages_used)
+        if share == 1 or named.count() == pages_used:
+            break
+        share = min(1.0, 8 * share)
+    rows = lessons.join(F.broadcast(named.select("page_id")), "page_id").orderBy("features", "answers").limit(8 * pages_used).collect()
     answers = [np.frombuffer(row["answers"]) for row in rows]
     parts = [np.frombuffer(row["features"]).reshape(-1, len(FEATURES)) for row in rows]
-    return crf.fit(np.concatenate([*parts, np.zeros((0, len(FEATURES)))]), np.concatenate([*answers, np.zeros(0)]), np.array([len(part) for part in answers], np.int64))
+    model = crf.fit(np.concatenate([*parts, np.zeros((0, len(FEATURES)))]), np.concatenate([*answers, np.zeros(0)]), np.array([len(part) for part in answers], np.int64))
+    if not rows:
+        model.weights[FEATURES.index("furniture")] = -2.0
+    return model
 
 
 def main_text(page: str, model: crf.Model) -> str:
