@@ -10,7 +10,7 @@ from tallywork.plans import usage_report as report
 from tallywork.sources import jobs as source
 from tallywork.sources import tables
 
-from conftest import plan_of, rows_of
+from helpers import plan_of, rows_of
 
 HEADER = "|".join(field.name for field in source.JOB_SCHEMA)
 

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from tallywork.functions import names
 from tallywork.operators import measure, warmup
 
-from conftest import plan_of, rows_of
+from helpers import plan_of, rows_of
 
 KEYS = ["compiler", "model", "prompt"]
 

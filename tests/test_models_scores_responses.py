@@ -7,7 +7,7 @@ from tallywork.functions import names
 from tallywork.operators import cost_model, responses, scores
 from tallywork.sources import measurements
 
-from conftest import rows_of
+from helpers import rows_of
 
 BANDWIDTH = cost_model.Bandwidth(gb_per_s=1.0, factor=1.0, extra_ms=0.0)
 SCHEMA = "name STRING, n_params BIGINT, bpw DOUBLE, observed_tpot_ms DOUBLE"

@@ -3,7 +3,7 @@ import datetime as dt
 from tallywork.functions import numbers, periods
 from tallywork.plans import usage_report as report
 
-from conftest import rows_of
+from helpers import rows_of
 
 
 def expected_map(year: int, month: int):

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from tallywork.operators import profile
 from tallywork.sources import spark_metrics, tables
 
-from conftest import rows_of
+from helpers import rows_of
 
 
 def task(n, duration, written=0, read=0, remote=0):

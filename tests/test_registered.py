@@ -9,7 +9,7 @@ import pytest
 import __spark_entry__ as registry
 from tallywork.plans import oracles, registered
 
-from conftest import SF, plan_of
+from helpers import SF, plan_of
 
 QUERIES = registered.QUERIES
 TYPES = {

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from tallywork.operators.scan import first_rows, number_rows, scan_before
 
-from conftest import plan_of, rows_of
+from helpers import plan_of, rows_of
 
 SCHEMA = "a STRING, b INT, n BIGINT, v DOUBLE"
 

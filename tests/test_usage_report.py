@@ -8,7 +8,7 @@ from tallywork.operators import usage
 from tallywork.operators.reconcile import acceptable
 from tallywork.plans import usage_report as report
 
-from conftest import plan_of, rows_of
+from helpers import plan_of, rows_of
 
 SCHEMA = (
     "Partition STRING, Account STRING, State STRING, AllocTRES STRING, NNodes INT,"
