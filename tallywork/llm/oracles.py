@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 ORACLES: dict[str, str] = {}
 
 # Personal data. Of each kind: pattern, test of a span s, score and words nearby, least score.
@@ -67,3 +69,77 @@ SELECT doc_id, {", ".join(f"CAST(len(s_{k}) AS BIGINT) AS n_{k}" for k in _BASE)
        sha256({_joined("base", False)}) AS base_sha256,
        {_joined("every", False)} AS spans, {_joined("every", True)} AS scored
 FROM spans"""
+
+
+# Secrets. Base kinds: pattern, part of a match that has to be so long. Classes: runs, window, bits, what a span needs.
+_WORDS = "|".join("".join(f"[{c.upper()}{c}]" if c.isalpha() else c for c in word) for word in ("password", "passwd", "secret", "token", "api_?key"))
+_ASSIGN = rf"(?:{_WORDS})[\"'']?\x20*[:=]\x20*[\"'']?([A-Za-z0-9+/_.=-]+)"
+_SECRETS = (
+    ("assign", _ASSIGN, f"length(regexp_extract(value, '{_ASSIGN}', 1)) >= 6"),
+    ("access", "AKIA[A-Z0-9]+", "length(value) >= 20"),
+    ("hex", "[0-9a-f]{24,}", "true"),
+)
+_CLASSES = (
+    ("high_hex", "[0-9A-Fa-f]{20,}", 20, 3.0, ("[0-9]", "[A-Fa-f]")),
+    ("high_base64", "[A-Za-z0-9+/_=-]{24,}", 24, 3.9, ("[0-9]", "[A-Za-z]")),
+    ("high_visible", "[!-~]{24,}", 24, 4.1, ("[0-9]", "[A-Z]", "[a-z]", "[^A-Za-z0-9+/_=-]")),
+)
+_ALLOWED = (
+    "[a-z]+://[!-~]+",
+    "[!-~]+@[A-Za-z0-9.-]+",
+    "[0-9A-Fa-f]{8}(?:-[0-9A-Fa-f]{4}){3}-[0-9A-Fa-f]{12}",
+    "(?:md5|sha1|sha224|sha256|sha384|sha512)[-:=][0-9A-Za-z+/=]+",
+    "[A-Za-z0-9+/]*EXAMPLE(?:KEY)?",
+    "(?:0123456789|[aA][bB][cC][dD][eE][fF][gG][hH])[0-9A-Za-z+/_=-]*",
+)
+
+
+def _matches(pattern: str) -> str:
+    """(doc_id, pos, value) of a pattern's matches in the texts, at counted from 0."""
+    length = "coalesce(list_sum(list_transform(gaps[1:i], lambda x: length(x))), 0) + coalesce(list_sum(list_transform(found[1:i - 1], lambda x: length(x))), 0)"
+    return f"""SELECT doc_id, CAST({length} AS BIGINT) AS pos, found[i] AS value FROM (
+        SELECT *, unnest(range(1, len(found) + 1)) AS i FROM (
+            SELECT doc_id, regexp_extract_all(text, '{pattern}') AS found, regexp_split_to_array(text, '{pattern}') AS gaps FROM texts))"""
+
+
+def _high(name: str, runs: str, window: int, bits: float, needs: tuple[str, ...]) -> str:
+    """Spans of a class before anything is left out."""
+    weight = "CAST(floor(c * log2(c) * 1048576 + 0.5) AS BIGINT)"
+    full = int(window * math.log2(window) * 1048576 + 0.5)
+    sums = f"list_sum(list_transform(map_values(list_aggregate(string_split(substr(value, p, {window}), ''), 'histogram')), lambda c: {weight}))"
+    needed = " AND ".join(f"regexp_matches(substr(value, first, last - first + {window}), '{need}')" for need in needs)
+    return f"""SELECT doc_id, '{name}' AS kind, pos + first - 1 AS start, pos + last + {window - 1} AS until, best * 1000 // {window << 20} AS entropy FROM (
+        SELECT doc_id, pos, value, min(p) AS first, max(p) AS last, CAST(max(h) AS BIGINT) AS best FROM (
+            SELECT *, sum(opens) OVER (PARTITION BY doc_id, pos ORDER BY p) AS part FROM (
+                SELECT *, CASE WHEN p - lag(p) OVER (PARTITION BY doc_id, pos ORDER BY p) <= {window} THEN 0 ELSE 1 END AS opens FROM (
+                    SELECT *, {full} - {sums} AS h FROM (SELECT *, unnest(range(1, length(value) - {window} + 2)) AS p FROM ({_matches(runs)})))
+                WHERE h >= {int(bits * window * 1048576)}))
+        GROUP BY doc_id, pos, value, part)
+    WHERE {needed}"""
+
+
+_LIES_IN = "EXISTS (SELECT 1 FROM {taken} t WHERE t.doc_id = s.doc_id AND t.start <= s.start AND t.until >= s.until)"
+_SHOWN = "string_agg(kind || ':' || start || ':' || until{last}, ',' ORDER BY start, number)"
+_KEPT_CLASSES = "".join(
+    f"""
+high_{i} AS ({_high(*given)}),
+taken_{i + 1} AS (
+    SELECT * FROM taken_{i} UNION ALL
+    SELECT doc_id, {len(_SECRETS) + i} AS number, kind, start, until, entropy FROM high_{i} s
+    WHERE NOT {_LIES_IN.format(taken=f"taken_{i}")} AND NOT {_LIES_IN.format(taken="allowed")}),"""
+    for i, given in enumerate(_CLASSES)
+)
+ORACLES["op12_window_entropy"] = f"""
+WITH texts AS (SELECT doc_id, coalesce(text, '') AS text FROM documents),
+taken_0 AS (
+    {" UNION ALL ".join(f"SELECT doc_id, {i} AS number, '{k}' AS kind, pos AS start, pos + length(value) AS until, CAST(NULL AS BIGINT) AS entropy FROM ({_matches(p)}) WHERE {test}" for i, (k, p, test) in enumerate(_SECRETS))}),
+allowed AS ({" UNION ALL ".join(f"SELECT doc_id, pos AS start, pos + length(value) AS until FROM ({_matches(p)})" for p in _ALLOWED)}),{_KEPT_CLASSES}
+base AS (
+    SELECT doc_id, {", ".join(f"count(*) FILTER (WHERE kind = '{k}') AS n_{k}" for k, *_ in _SECRETS)}, {_SHOWN.format(last="")} AS listed
+    FROM taken_0 GROUP BY doc_id),
+every AS (
+    SELECT doc_id, {_SHOWN.format(last="")} AS spans, {_SHOWN.format(last=" || coalesce(':' || entropy, '')")} AS scored
+    FROM taken_{len(_CLASSES)} GROUP BY doc_id)
+SELECT d.doc_id, {", ".join(f"coalesce(n_{k}, 0) AS n_{k}" for k, *_ in _SECRETS)}, sha256(coalesce(listed, '')) AS base_sha256,
+       coalesce(spans, '') AS spans, coalesce(scored, '') AS scored
+FROM documents d LEFT JOIN base USING (doc_id) LEFT JOIN every USING (doc_id)"""

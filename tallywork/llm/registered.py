@@ -20,6 +20,7 @@ from tallywork.llm import (
     patience_dedup,
     pfair_mixing,
     pii_spans,
+    window_entropy,
 )
 from tallywork.llm.shared import new_folder, table
 
@@ -85,6 +86,14 @@ def op10_pii_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", *counts, F.sha2(base, 256).alias("base_sha256"), pii_spans.listed(every).alias("spans"), pii_spans.listed(every, score=True).alias("scored"))
 
 
+def op12_window_entropy(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts and places of secrets in each document."""
+    found = window_entropy.secrets(table(spark, sf_dir, "documents"))
+    counts = [window_entropy.counted(F.col("base_spans"), kind.name).alias(f"n_{kind.name}") for kind in window_entropy.BASE]
+    base, every = window_entropy.listed(F.col("base_spans")), F.col("spans")
+    return found.select("doc_id", *counts, F.sha2(base, 256).alias("base_sha256"), window_entropy.listed(every).alias("spans"), window_entropy.listed(every, entropy=True).alias("scored"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_line_crf": op1_line_crf,
     "op2_bloom_sketch": op2_bloom_sketch,
@@ -96,5 +105,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_patience_dedup": op8_patience_dedup,
     "op9_pfair_mixing": op9_pfair_mixing,
     "op10_pii_spans": op10_pii_spans,
+    "op12_window_entropy": op12_window_entropy,
 }
 ORACLES = oracles.ORACLES
