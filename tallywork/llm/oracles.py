@@ -143,3 +143,33 @@ every AS (
 SELECT d.doc_id, {", ".join(f"coalesce(n_{k}, 0) AS n_{k}" for k, *_ in _SECRETS)}, sha256(coalesce(listed, '')) AS base_sha256,
        coalesce(spans, '') AS spans, coalesce(scored, '') AS scored
 FROM documents d LEFT JOIN base USING (doc_id) LEFT JOIN every USING (doc_id)"""
+
+
+# Clustering: each round assigns all vectors to the nearest of the centroids and moves those that have any.
+_FLOOR = "CAST((s - ((s % n) + n) % n) // n AS BIGINT)"
+_NEAREST = """
+near_{r} AS MATERIALIZED (
+    SELECT vec_id, v, q, arg_min(number, (distance, number)) AS number, min(distance) AS distance FROM (
+        SELECT vec_id, v, q, number, CAST(list_sum(list_transform(range(1, 65), lambda i: (q[i] - c[i]) * (q[i] - c[i]))) AS BIGINT) AS distance
+        FROM kept, centroids_{r})
+    GROUP BY vec_id, v, q),"""
+_MOVED_TO = f"""
+centroids_{{n}} AS MATERIALIZED (
+    SELECT number, coalesce(m, c) AS c FROM centroids_{{r}} LEFT JOIN (
+        SELECT number, list({_FLOOR} ORDER BY i) AS m FROM (
+            SELECT number, i, sum(q[i]) AS s, count(*) AS n FROM near_{{r}}, range(1, 65) components(i) GROUP BY number, i)
+        GROUP BY number) USING (number)),"""
+_CLUSTER_ROUNDS = 5
+ORACLES["op13_orchard"] = f"""
+WITH kept AS MATERIALIZED (
+    SELECT vec_id, row_number() OVER () AS v, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS q
+    FROM embeddings
+    WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = 64),
+centroids_0 AS MATERIALIZED (
+    SELECT CAST(row_number() OVER (ORDER BY name, q) - 1 AS INTEGER) AS number, q AS c
+    FROM (SELECT sha256('2:' || vec_id) AS name, q FROM kept ORDER BY name, q LIMIT 40)),{"".join(_NEAREST.format(r=r) + _MOVED_TO.format(r=r, n=r + 1) for r in range(_CLUSTER_ROUNDS))}{_NEAREST.format(r=_CLUSTER_ROUNDS)}
+digests AS (
+    SELECT number, sha256(list_aggregate(c, 'string_agg', ',')) AS centroid_sha256 FROM centroids_{_CLUSTER_ROUNDS})
+SELECT vec_id, number AS cluster, distance, CAST(sum(distance) OVER (PARTITION BY number) AS BIGINT) AS cluster_inertia,
+       CAST(sum(distance) OVER () AS BIGINT) AS inertia, centroid_sha256
+FROM near_{_CLUSTER_ROUNDS} JOIN digests USING (number)"""

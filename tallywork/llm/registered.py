@@ -16,6 +16,7 @@ from tallywork.llm import (
     language_mixture,
     line_crf,
     oracles,
+    orchard,
     page_crf,
     patience_dedup,
     pfair_mixing,
@@ -94,6 +95,12 @@ def op12_window_entropy(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", *counts, F.sha2(base, 256).alias("base_sha256"), window_entropy.listed(every).alias("spans"), window_entropy.listed(every, entropy=True).alias("scored"))
 
 
+def op13_orchard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Cluster of each vector, and what the clusters add up to."""
+    found = orchard.clustered(table(spark, sf_dir, "embeddings"))
+    return found.select("vec_id", "cluster", "distance", "cluster_inertia", "inertia", orchard.digest().alias("centroid_sha256"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_line_crf": op1_line_crf,
     "op2_bloom_sketch": op2_bloom_sketch,
@@ -106,5 +113,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_pfair_mixing": op9_pfair_mixing,
     "op10_pii_spans": op10_pii_spans,
     "op12_window_entropy": op12_window_entropy,
+    "op13_orchard": op13_orchard,
 }
 ORACLES = oracles.ORACLES
