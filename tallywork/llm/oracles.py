@@ -173,3 +173,35 @@ digests AS (
 SELECT vec_id, number AS cluster, distance, CAST(sum(distance) OVER (PARTITION BY number) AS BIGINT) AS cluster_inertia,
        CAST(sum(distance) OVER () AS BIGINT) AS inertia, centroid_sha256
 FROM near_{_CLUSTER_ROUNDS} JOIN digests USING (number)"""
+
+
+# Conversations: every prefix of each spliced one is named by a digest; a subtree is what prefixes of one conversation share.
+_CRC32 = (
+    "xor(4294967295, list_reduce(list_prepend(CAST(4294967295 AS BIGINT), range(0, 8 * length({t}))), lambda a, i:"
+    " CASE WHEN i % 8 = 0 THEN xor(xor(a, ascii({t}[i // 8 + 1])) >> 1, 3988292384 * (xor(a, ascii({t}[i // 8 + 1])) & 1))"
+    " ELSE xor(a >> 1, 3988292384 * (a & 1)) END))"
+).format(t="CAST(conv_id AS VARCHAR)")
+ORACLES["op11_prefix_trie"] = f"""
+WITH own AS MATERIALIZED (
+    SELECT conv_id, list({{'turn': length(role) || ':' || role || text, 'size': octet_length(encode(text))}} ORDER BY turn NULLS FIRST) AS turns
+    FROM (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations WHERE conv_id IS NOT NULL)
+    GROUP BY conv_id),
+spliced AS MATERIALIZED (
+    SELECT o.conv_id, coalesce(p.turns[1:h], []) || o.turns[h + 1:] AS turns
+    FROM (SELECT *, {_CRC32} % 9 AS h FROM own) o LEFT JOIN own p ON p.conv_id = o.conv_id - o.conv_id % 5),
+prefixes AS MATERIALIZED (
+    SELECT conv_id, d AS depth, len(turns) AS turns, CASE WHEN d > 0 THEN turns[d].size ELSE 0 END AS size,
+           sha256(CAST(list_transform(turns[1:d], lambda t: sha256(t.turn)) AS VARCHAR)) AS node,
+           CASE WHEN d > 0 THEN sha256(CAST(list_transform(turns[1:d - 1], lambda t: sha256(t.turn)) AS VARCHAR)) END AS parent
+    FROM (SELECT *, unnest(range(0, len(turns) + 1)) AS d FROM spliced)),
+nodes AS MATERIALIZED (
+    SELECT node, parent, depth, min(conv_id) AS conv_id, count(*) AS n_convs, (count(*) - 1) * size AS saved,
+           sha256(coalesce(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (WHERE turns = depth), '')) AS ends_sha256
+    FROM prefixes GROUP BY node, parent, depth, size),
+children AS (SELECT parent AS node, count(*) AS n_children FROM nodes WHERE parent IS NOT NULL GROUP BY parent),
+subtrees AS (
+    SELECT up AS node, count(*) FILTER (WHERE n_children IS NULL) AS n_leaves, CAST(sum(saved) AS BIGINT) AS saved_tokens
+    FROM (SELECT DISTINCT a.node AS up, b.node FROM prefixes a JOIN prefixes b ON a.conv_id = b.conv_id AND a.depth <= b.depth)
+    JOIN nodes USING (node) LEFT JOIN children USING (node) GROUP BY up)
+SELECT n.conv_id, n.depth, p.conv_id AS parent_conv_id, n.n_convs, coalesce(n_children, 0) AS n_children, n_leaves, saved_tokens, n.ends_sha256
+FROM nodes n LEFT JOIN nodes p ON p.node = n.parent LEFT JOIN children c ON c.node = n.node JOIN subtrees s ON s.node = n.node"""

@@ -21,6 +21,7 @@ from tallywork.llm import (
     patience_dedup,
     pfair_mixing,
     pii_spans,
+    prefix_trie,
     window_entropy,
 )
 from tallywork.llm.shared import new_folder, table
@@ -87,6 +88,11 @@ def op10_pii_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", *counts, F.sha2(base, 256).alias("base_sha256"), pii_spans.listed(every).alias("spans"), pii_spans.listed(every, score=True).alias("scored"))
 
 
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All nodes of the trie of spliced conversations."""
+    return prefix_trie.trie(prefix_trie.spliced(prefix_trie.turn_lists(table(spark, sf_dir, "conversations"))))
+
+
 def op12_window_entropy(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Counts and places of secrets in each document."""
     found = window_entropy.secrets(table(spark, sf_dir, "documents"))
@@ -112,6 +118,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_patience_dedup": op8_patience_dedup,
     "op9_pfair_mixing": op9_pfair_mixing,
     "op10_pii_spans": op10_pii_spans,
+    "op11_prefix_trie": op11_prefix_trie,
     "op12_window_entropy": op12_window_entropy,
     "op13_orchard": op13_orchard,
 }
