@@ -4,6 +4,9 @@ from __future__ import annotations
 
 import random
 
+import numpy as np
+import pytest
+
 import corpus_pipeline
 
 from tallywork.llm import golay_simhash, near_copies
@@ -43,7 +46,10 @@ def planted() -> list[str]:
     return out + ["", " \n", "short text", "Short  text", "another short"]
 
 
-def test_near_copies_are_those_of_brute_force(spark):
+@pytest.mark.parametrize("light", [near_copies.LIGHT, 12 * near_copies.LEAST, 3 * near_copies.LEAST])
+def test_near_copies_are_those_of_brute_force(spark, monkeypatch, light):
+    """Also where almost all groups are heavy: dealt anew, in stars and in pairs of blocks."""
+    monkeypatch.setattr(near_copies, "LIGHT", light)
     texts = planted()
     docs = spark.createDataFrame([(i, text, "en", "s", len(text)) for i, text in enumerate(texts)], "doc_id bigint, text string, lang string, source string, n_chars bigint")
     found = {row["doc_id"] for row in corpus_pipeline.near_dedup(spark, docs, "").collect()}
@@ -52,7 +58,42 @@ def test_near_copies_are_those_of_brute_force(spark):
     assert len({row["component_id"] for row in golay_simhash.near_duplicates(docs).collect()}) > len(wanted)
 
 
-def test_many_near_copies_are_one_group_of_pairs_to_the_smallest(spark):
+def test_links_are_those_of_all_pairs():
+    dice = np.random.Generator(np.random.PCG64(4))
+    sets = [np.unique(dice.integers(0, 60, dice.integers(1, 40))) for _ in range(50)]
+    sets += [np.append(sets[i], 1000 + i) for i in range(10)] + [np.arange(5000, 15_000), np.arange(5500, 15_200)]
+    row, root = near_copies.links(sets)
+    found = dict(zip(row.tolist(), root.tolist(), strict=True))
+    label = list(range(len(sets)))
+    for _ in sets:
+        for i, a in enumerate(sets):
+            for j in range(i):
+                both = len(np.intersect1d(a, sets[j]))
+                if both >= 0.8 * (len(a) + len(sets[j]) - both):
+                    label[i] = label[j] = min(label[i], label[j])
+    assert [found.get(i, i) for i in range(len(sets))] == label
+    assert near_copies.links([np.arange(3), np.arange(10, 13)])[0].tolist() == []
+
+
+@pytest.mark.parametrize("light", [near_copies.LIGHT, 4 * near_copies.LEAST])
+def test_copies_of_copies_that_are_unlike_one_another_are_linked_by_what_they_are_like(spark, monkeypatch, light):
+    """A base and many copies at 0.85 of it, which are below 0.8 among themselves; and a few strangers that share half."""
+    monkeypatch.setattr(near_copies, "LIGHT", light)
+    dice = random.Random(5)
+    base = [f"w{i}" for i in range(300)]
+
+    def changed(n: int) -> str:
+        own = list(base)
+        for at in dice.sample(range(0, 300, 10), n):
+            own[at] = f"x{dice.randrange(10**9)}"
+        return " ".join(own)
+
+    texts = [changed(25) for _ in range(6)] + [changed(5) for _ in range(60)] + [" ".join(base)]
+    docs = spark.createDataFrame([(i, text, "en", "s", len(text)) for i, text in enumerate(texts)], "doc_id bigint, text string, lang string, source string, n_chars bigint")
+    assert {row["doc_id"] for row in corpus_pipeline.near_dedup(spark, docs, "").collect()} == slow_firsts(texts)
+
+
+def test_many_near_copies_are_one_component(spark):
     base = [f"w{i}" for i in range(200)]
     texts = [" ".join([*base[: i % 190], f"own{i}", *base[i % 190 + 1 :]]) for i in range(400)]
     docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
