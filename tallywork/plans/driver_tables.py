@@ -266,3 +266,44 @@ def stage_texts(spark: SparkSession, directory: str) -> DataFrame:
     attempts = "explode(sequence(0, CASE WHEN o_orderkey % 3 = 0 THEN 1 ELSE 0 END)) AS attempt"
     orders = table(spark, directory, "orders").selectExpr("o_orderkey", "o_custkey", attempts)
     return orders.selectExpr(f"{record} AS record")
+
+
+def event_lines(spark: SparkSession, directory: str) -> DataFrame:
+    """Orders and line items as the event log of an application.
+
+    An order is a job of two stages, its line items are tasks of the first one. A job ends unless its order is pending; every
+    eleventh end is broken off. The second stage runs only for every third order, the first runs again for every seventh, and
+    the last task of every fifth has not ended.
+    """
+    orders = table(spark, directory, "orders").selectExpr("o_orderkey AS k", "o_custkey AS c", "o_orderstatus AS state", "timestampdiff(MILLISECOND, TIMESTAMP_NTZ'1970-01-01 00:00:00', CAST(o_orderdate AS TIMESTAMP_NTZ)) AS at")
+    items = table(spark, directory, "lineitem").selectExpr("l_orderkey AS k", "l_linenumber AS n", "CAST(l_quantity AS BIGINT) AS q")
+    info = "named_struct('Stage ID', {id}, 'Stage Attempt ID', {attempt}, 'Stage Name', concat('stage ', {id}), 'Number of Tasks', c % 9"
+    listed = ", ".join(info.format(id=f"2 * k + {i}", attempt="0") + ")" for i in (0, 1))
+    job_start = (
+        "to_json(named_struct('Event', 'SparkListenerJobStart', 'Job ID', k, 'Submission Time', at,"
+        f" 'Stage Infos', array({listed}), 'Stage IDs', array(2 * k, 2 * k + 1), 'Properties', map('k', 'v')))"
+    )
+    result = "CASE WHEN state = 'F' THEN named_struct('Result', 'JobSucceeded') ELSE named_struct('Result', 'JobFailed') END"
+    job_end = f"to_json(named_struct('Event', 'SparkListenerJobEnd', 'Job ID', k, 'Completion Time', at + c, 'Job Result', {result}))"
+    job_end = f"CASE WHEN state = 'P' THEN NULL WHEN k % 11 = 0 THEN substring({job_end}, 1, 40) ELSE {job_end} END"
+    ran = "explode(filter(array((0, 0), (0, CASE WHEN k % 7 = 0 THEN 1 END), (CASE WHEN k % 3 = 0 THEN 1 END, 0)), x -> x.col1 IS NOT NULL AND x.col2 IS NOT NULL)) AS run"
+    stages = orders.selectExpr("*", ran).selectExpr("*", "2 * k + run.col1 AS id", "run.col2 AS attempt")
+    began = info.format(id="id", attempt="attempt") + ", 'Submission Time', at + 10 + attempt)"
+    ended = info.format(id="id", attempt="attempt") + ", 'Submission Time', at + 10 + attempt, 'Completion Time', at + 500 + c, 'Failure Reason', CASE WHEN k % 7 = 0 AND attempt = 0 THEN 'lost' END)"
+    stage_start = f"to_json(named_struct('Event', 'SparkListenerStageSubmitted', 'Stage Info', {began}))"
+    stage_end = f"CASE WHEN state <> 'P' THEN to_json(named_struct('Event', 'SparkListenerStageCompleted', 'Stage Info', {ended})) END"
+    # The tasks belong to the stage's last attempt.
+    placed = "'Stage ID', 2 * k, 'Stage Attempt ID', CASE WHEN k % 7 = 0 THEN 1 ELSE 0 END"
+    launched = "'Task ID', k * 10 + n, 'Launch Time', 1000 * n"
+    task_start = f"to_json(named_struct('Event', 'SparkListenerTaskStart', {placed}, 'Task Info', named_struct({launched})))"
+    metrics = (
+        "named_struct('Executor Run Time', q * 1000, 'Shuffle Write Metrics', named_struct('Shuffle Bytes Written', q, 'Shuffle Records Written', n),"
+        " 'Shuffle Read Metrics', named_struct('Remote Bytes Read', CASE WHEN n > 1 THEN n END, 'Local Bytes Read', k, 'Total Records Read', 2 * n))"
+    )
+    task_end = (
+        f"CASE WHEN k % 5 > 0 OR n > 1 THEN to_json(named_struct('Event', 'SparkListenerTaskEnd', {placed}, 'Task Info',"
+        f" named_struct({launched}, 'Finish Time', 1000 * n + q, 'Failed', q = 13, 'Killed', false), 'Task Metrics', {metrics})) END"
+    )
+    other = "CASE WHEN k % 9 = 0 THEN to_json(named_struct('Event', 'SparkListenerEnvironmentUpdate', 'Job ID', k)) END"
+    parts = [orders.selectExpr(f"explode(array({job_start}, {job_end}, {other})) AS line"), stages.selectExpr(f"explode(array({stage_start}, {stage_end})) AS line"), items.selectExpr(f"explode(array({task_start}, {task_end})) AS line")]
+    return parts[0].union(parts[1]).union(parts[2]).where("line IS NOT NULL")

@@ -482,6 +482,65 @@ FROM orders
 JOIN range(0, 2) attempts(attempt) ON attempt = 0 OR o_orderkey % 3 = 0
 JOIN range(1, 5) tasks(n) ON n <= 1 + (o_custkey + attempt) % 4"""
 
+# An order's job has two stages; which of their attempts the log knows, and what it knows of tasks.
+
+_LOG = ("log", """
+    SELECT o_orderkey AS k, o_custkey AS c, o_orderstatus AS state, epoch_ms(CAST(o_orderdate AS TIMESTAMP)) AS born,
+           CAST(CASE WHEN o_orderkey % 7 = 0 THEN 1 ELSE 0 END AS INTEGER) AS last_attempt,
+           o_orderstatus <> 'P' AS stages_end, o_orderstatus <> 'P' AND o_orderkey % 11 <> 0 AS ends
+    FROM orders""")
+_LOG_JOBS = ("log_jobs", """
+    SELECT k AS job_id, 'stage ' || (2 * k + 1) AS name,
+           CASE WHEN NOT ends THEN 'RUNNING' WHEN state = 'F' THEN 'SUCCEEDED' ELSE 'FAILED' END AS status,
+           born AS started, CASE WHEN ends THEN born + c END AS ended, (2 * k) || ' ' || (2 * k + 1) AS stage_ids, 2 * (c % 9) AS num_tasks
+    FROM log""")
+_LOG_TASK_EVENTS = ("log_task_events", """
+    SELECT 2 * k AS stage_id, last_attempt AS attempt_id, k * 10 + n AS task_id,
+           CASE WHEN NOT ended THEN 'RUNNING' WHEN q = 13 THEN 'FAILED' ELSE 'SUCCEEDED' END AS status,
+           1000 * n AS started, CASE WHEN ended THEN 1000 * n + q END AS ended,
+           CASE WHEN ended THEN q * 1000 END AS duration_ms, CASE WHEN ended THEN q END AS shuffle_write_bytes,
+           CASE WHEN ended THEN n END AS shuffle_write_records,
+           CASE WHEN ended THEN k + CASE WHEN n > 1 THEN n ELSE 0 END END AS shuffle_read_bytes,
+           CASE WHEN ended THEN 2 * n END AS shuffle_read_records
+    FROM (SELECT l_orderkey AS k, CAST(l_linenumber AS BIGINT) AS n, CAST(l_quantity AS BIGINT) AS q,
+                 l_orderkey % 5 > 0 OR l_linenumber > 1 AS ended FROM lineitem) JOIN log USING (k)""")
+# Line items share their numbers: of the events of one task the latest counts.
+_LOG_TASKS = ("log_tasks", """
+    SELECT stage_id, attempt_id, task_id, unnest(max({'ended': ended, 'failed': status = 'FAILED', 'status': status, 'started': started, 'duration_ms': duration_ms,
+           'shuffle_write_bytes': shuffle_write_bytes, 'shuffle_write_records': shuffle_write_records,
+           'shuffle_read_bytes': shuffle_read_bytes, 'shuffle_read_records': shuffle_read_records}))
+    FROM log_task_events GROUP BY stage_id, attempt_id, task_id""")
+_LOG_STAGES = ("log_stages", f"""
+    SELECT 2 * k AS stage_id, last_attempt AS attempt_id, CAST(last_attempt + 1 AS BIGINT) AS num_attempts,
+           CASE WHEN stages_end THEN 'COMPLETE' ELSE 'ACTIVE' END AS status, born + 10 + last_attempt AS started,
+           CASE WHEN stages_end THEN born + 500 + c END AS ended, c % 9 AS num_tasks,
+           {", ".join(f"coalesce({c}, 0) AS {c}" for c in ("shuffle_write_bytes", "shuffle_write_records", "shuffle_read_bytes", "shuffle_read_records"))}
+    FROM log LEFT JOIN (
+        SELECT stage_id, {", ".join(f"CAST(sum({c}) AS BIGINT) AS {c}" for c in ("shuffle_write_bytes", "shuffle_write_records", "shuffle_read_bytes", "shuffle_read_records"))}
+        FROM log_task_events GROUP BY stage_id) t ON t.stage_id = 2 * k
+    UNION ALL
+    SELECT 2 * k + 1, CASE WHEN k % 3 = 0 THEN 0 END, CASE WHEN k % 3 = 0 THEN 1 ELSE 0 END,
+           CASE WHEN k % 3 <> 0 THEN CASE WHEN ends THEN 'SKIPPED' ELSE 'PENDING' END
+                WHEN NOT stages_end THEN 'ACTIVE' WHEN k % 7 = 0 THEN 'FAILED' ELSE 'COMPLETE' END,
+           CASE WHEN k % 3 = 0 THEN born + 10 END, CASE WHEN k % 3 = 0 AND stages_end THEN born + 500 + c END,
+           CASE WHEN k % 3 = 0 THEN c % 9 ELSE 0 END, 0, 0, 0, 0
+    FROM log""")
+ORACLES["event_log_jobs"] = _with(_LOG, _LOG_JOBS, body="SELECT * FROM log_jobs")
+ORACLES["event_log_tasks"] = _with(_LOG, _LOG_TASK_EVENTS, _LOG_TASKS, body="SELECT * EXCLUDE (failed) FROM log_tasks")
+ORACLES["event_log_stages"] = _with(_LOG, _LOG_TASK_EVENTS, _LOG_STAGES, body="SELECT * FROM log_stages")
+ORACLES["event_log_records"] = _with(_LOG, _LOG_JOBS, _LOG_TASK_EVENTS, _LOG_TASKS, _LOG_STAGES, ("of_orders", """
+    SELECT count(*) AS job_starts, count(*) FILTER (WHERE ends) AS job_ends,
+           count(*) FILTER (WHERE stages_end AND NOT ends) AS broken_lines, count(*) FILTER (WHERE k % 9 = 0) AS other_events,
+           CAST(sum(1 + last_attempt + CAST(k % 3 = 0 AS INTEGER)) AS BIGINT) AS stage_starts,
+           CAST(sum(CASE WHEN stages_end THEN 1 + last_attempt + CAST(k % 3 = 0 AS INTEGER) ELSE 0 END) AS BIGINT) AS stage_ends
+    FROM log"""), ("of_tasks", "SELECT count(*) AS task_starts, count(ended) AS task_ends FROM log_task_events"), ("lines", """
+    SELECT broken_lines + other_events + job_starts + job_ends + stage_starts + stage_ends + task_starts + task_ends AS lines, *
+    FROM of_orders, of_tasks"""), body="""
+    SELECT 'line' AS kind, status, n FROM (UNPIVOT lines ON COLUMNS(*) INTO NAME status VALUE n)
+    UNION ALL SELECT 'job', status, count(*) FROM log_jobs GROUP BY status
+    UNION ALL SELECT 'stage', status, count(*) FROM log_stages GROUP BY status
+    UNION ALL SELECT 'task', status, count(*) FROM log_tasks GROUP BY status""")
+
 STAGES = ("stages", """
     SELECT o_custkey AS job_id, o_orderkey AS stage_id, o_orderstatus = 'P' AS skipped,
            CASE WHEN o_orderstatus = 'P' THEN 0 ELSE floor(o_totalprice * 10) / 1000 END

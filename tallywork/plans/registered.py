@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallywork.functions import classify, names, numbers, periods
+from tallywork.functions import classify, names, numbers, periods, spark_time
 from tallywork.operators import (
     cost_model,
     measure,
@@ -21,7 +21,8 @@ from tallywork.operators import (
 )
 from tallywork.plans import driver_tables as data
 from tallywork.plans import usage_report as report
-from tallywork.sources import spark_metrics
+from tallywork.sources import event_log, spark_metrics
+from tallywork.sources.shared_folder import new_folder
 from tallywork.sources.spark_metrics import new_since
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -338,6 +339,45 @@ def task_records(spark: SparkSession, sf: str) -> DataFrame:
     return spark_metrics.tasks_of(spark_metrics.parse_stages(data.stage_texts(spark, sf), "record"))
 
 
+def _events(spark: SparkSession, sf: str) -> DataFrame:
+    """The log as text files in the shared folder, read back as events."""
+    path = new_folder(spark, "event-log")
+    data.event_lines(spark, sf).write.text(path)
+    # Spark names the files itself: all of them are one log here.
+    return event_log.read_events(spark, path).withColumn("log", F.lit("application"))
+
+
+def _in_millis(records: DataFrame, **moments: str) -> DataFrame:
+    return records.withColumns({name: F.unix_millis(F.expr(spark_time.moment(text))) for name, text in moments.items()}).drop("log", *moments.values())
+
+
+@query
+def event_log_jobs(spark: SparkSession, sf: str) -> DataFrame:
+    jobs = event_log.jobs_of(_events(spark, sf))
+    return _in_millis(jobs, started="submitted", ended="completed").withColumn("stage_ids", F.array_join(F.col("stage_ids").cast("array<string>"), " "))
+
+
+@query
+def event_log_stages(spark: SparkSession, sf: str) -> DataFrame:
+    return _in_millis(event_log.stages_of(_events(spark, sf)), started="submitted", ended="completed")
+
+
+@query
+def event_log_tasks(spark: SparkSession, sf: str) -> DataFrame:
+    return _in_millis(event_log.tasks_of(_events(spark, sf)), started="launched", ended="finished")
+
+
+@query
+def event_log_records(spark: SparkSession, sf: str) -> DataFrame:
+    """What a log holds: lines and events by kind, broken lines among them, and jobs, stages and tasks by status."""
+    events = _events(spark, sf)
+    counts = event_log.counts(events)
+    lines = F.explode(F.array(*[F.struct(F.lit("line").alias("kind"), F.lit(name).alias("status"), F.col(name).alias("n")) for name in counts.columns[1:]]))
+    jobs = event_log.jobs_of(events)
+    states = event_log.statuses(jobs, event_log.stages_of(events, jobs), event_log.tasks_of(events))
+    return counts.select(lines.alias("row")).select("row.*").unionByName(states.drop("log"))
+
+
 def _stages(spark: SparkSession, sf: str) -> DataFrame:
     return profile.stage_rollup(data.stages(spark, sf), data.tasks(spark, sf), data.THREADS)
 
