@@ -35,3 +35,8 @@ def report_line(key: Column, value: Column) -> Column:
 
 def variant_label(threads: Column, suffix: str) -> Column:
     return F.concat(threads.cast("string"), F.lit(suffix))
+
+
+def without_last_feed(text: Column) -> Column:
+    """A file's text without the line feed that ends it."""
+    return F.when(text.endswith("\n"), F.substr(text, F.lit(1), F.length(text) - 1)).otherwise(text)

@@ -50,3 +50,27 @@ def double_text(value: str) -> str:
     """SQL for a double as plain digits, never with an exponent: ``12345678.5``, ``0.00027``."""
     digits = f"rtrim('0', CAST(CAST(CAST({value} AS STRING) AS DECIMAL(38, 21)) AS STRING))"
     return f"CASE WHEN {value} = 0 THEN '0.0' ELSE regexp_replace({digits}, '[.]$', '.0') END"
+
+
+# Types of texts, from the narrowest on.
+TYPES = ("INT", "BIGINT", "DOUBLE", "STRING")
+
+
+def type_rank(text: Column) -> Column:
+    """1 to 4 for the narrowest of TYPES that takes a text, 0 for none or an empty one."""
+    whole, number = text.rlike("^[+-]?[0-9]+$"), text.rlike(r"^[+-]?([0-9]+[.]?[0-9]*|[.][0-9]+)([eE][+-]?[0-9]+)?$")
+    return (
+        F.when(text.isNull() | (text == ""), 0)
+        .when(whole & text.try_cast("int").isNotNull(), 1)
+        .when(whole & text.try_cast("bigint").isNotNull(), 2)
+        .when(number, 3)
+        .otherwise(4)
+    )
+
+
+def type_of_rank(rank: Column) -> Column:
+    return F.when(rank > 0, F.element_at(F.array(*map(F.lit, TYPES)), F.greatest(rank, F.lit(1))))
+
+
+def rank_of_type(kind: Column) -> Column:
+    return F.coalesce(F.array_position(F.array(*map(F.lit, TYPES)), kind).cast("int"), F.lit(0))

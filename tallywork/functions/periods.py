@@ -51,9 +51,15 @@ def month_number(month: str, aliases: Mapping[str, str] | None = None) -> str:
     return f"CAST(nullif(array_position(array({known}), {month}), 0) AS INT)"
 
 
-def period_of_file(file_name: str, year: int, aliases: Mapping[str, str] | None = None) -> str:
-    """SQL for the period that a job file belongs to."""
-    return f"make_date({int(year)}, {month_number(month_text(file_name), aliases)}, 1)"
+def period_of_file(file_name: str, year: int | str, aliases: Mapping[str, str] | None = None) -> str:
+    """SQL for the period that a job file belongs to; the year is a number or SQL for one."""
+    return f"make_date({year if isinstance(year, str) else int(year)}, {month_number(month_text(file_name), aliases)}, 1)"
+
+
+def year_of_folder(path: str) -> str:
+    """SQL for the year in the name of the folder that holds a file, NULL where the name is no year."""
+    folder = f"element_at(split({path}, '/'), -2)"
+    return f"CASE WHEN {folder} RLIKE '^[0-9]{{4}}$' THEN CAST({folder} AS INT) END"
 
 
 def tagged_months(first: dict[str, str], last: dict[str, str]) -> str:

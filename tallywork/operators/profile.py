@@ -222,6 +222,19 @@ def statistics_document(
     return runs.groupBy(*keys).agg(*structs)
 
 
+def job_documents(jobs: DataFrame, job_stages: DataFrame, stages: DataFrame) -> DataFrame:
+    """One nested record per job: its own fields and ``stages``, an array of structs in the order of their numbers.
+
+    ``jobs`` are rows of ``job_rollup``, ``stages`` of ``stage_rollup``. A record is as large as the job's list of stages, however many
+    tasks these have; a job without stages has an empty array, and a stage without a record has its number only.
+    """
+    fields = [F.col(name) for name in stages.columns if name != "stage_id"]
+    known = stages.select("stage_id", F.struct(*fields).alias("record"))
+    listed = job_stages.join(known, "stage_id", "left").groupBy("job_id").agg(F.sort_array(F.collect_list(F.struct("stage_id", "record"))).alias("stages"))
+    none = F.array().cast(listed.schema["stages"].dataType)
+    return jobs.join(listed, "job_id", "left").withColumn("stages", F.coalesce("stages", none))
+
+
 def counter_phases(
     samples: DataFrame, keys: Sequence[str], counters: Sequence[str], phase: str = "phase"
 ) -> DataFrame:

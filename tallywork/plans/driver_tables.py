@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tallywork.functions import numbers, periods, spark_time
 from tallywork.operators.scan import first_rows, scan_before
+from tallywork.sources.jobs import JOB_SCHEMA
 
 CONFIGURATION = ("compiler", "model", "quantization", "prompt")
 THREADS = 8
@@ -36,6 +37,23 @@ def jobs(spark: SparkSession, directory: str) -> DataFrame:
     )
 
 
+def job_extract(spark: SparkSession, directory: str) -> DataFrame:
+    """The same jobs with all columns of an extract. Reservations are missing, numbers or texts, by month."""
+    made = {
+        "JobID": "concat(JobIDRaw, '_1')",
+        "CPUTimeRAW": "ElapsedRaw * AllocCPUS * 1000",
+        "AllocNodes": "CAST(NNodes AS STRING)",
+        "NCPUS": "AllocCPUS",
+        "TotalCPU": "'1-02:03:04'",
+        "User": "concat('user.', Account)",
+        "ExitCode": "'0:0'",
+        "Reservation": "CASE month(period) % 4 WHEN 1 THEN CAST(NNodes AS STRING) WHEN 2 THEN concat(NNodes, '.5') WHEN 3 THEN concat('r', NNodes) END",
+        "ReservationId": "CASE WHEN month(period) < 7 THEN CAST(NNodes AS STRING) ELSE CAST(NNodes * 10000000000 AS STRING) END",
+    }
+    columns = [made.get(field.name, field.name) + f" AS {field.name}" for field in JOB_SCHEMA]
+    return jobs(spark, directory).selectExpr(*columns, "period")
+
+
 def unnumbered_measurements(spark: SparkSession, directory: str) -> DataFrame:
     """Events as measurements; ``event_id`` gives the order of the runs."""
     return table(spark, directory, "events").selectExpr(
@@ -186,6 +204,21 @@ def prompts(spark: SparkSession, directory: str) -> DataFrame:
     return table(spark, directory, "conversations").select("conv_id", "turn", "text")
 
 
+def file_measurements(spark: SparkSession, directory: str) -> DataFrame:
+    """Events as the rows of measurement files, in the order of their columns."""
+    return unnumbered_measurements(spark, directory).selectExpr(
+        "compiler", "model", "quantization", "'static' AS seeding", "prompt", "CAST(event_id AS INT) AS run",
+        "CAST(event_id % 97 AS INT) AS prompt_n", "CAST(event_id % 7 AS INT) AS predicted_n", "0 AS cache_n", "ttft", "tpot", "mem",
+    )
+
+
+def spoken(spark: SparkSession, directory: str) -> DataFrame:
+    """What each role says in a conversation, as one prompt."""
+    said = F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("turn", "text"))), lambda turn: turn["text"]), "\n")
+    spoken = table(spark, directory, "conversations").groupBy(F.col("role").alias("prompt_type"), F.col("conv_id").cast("string").alias("prompt_id"))
+    return spoken.agg(said.alias("text"))
+
+
 def model_files(spark: SparkSession, directory: str) -> DataFrame:
     """Events as model files, named as a benchmark finds them."""
     kind = F.col("event_id") % 3

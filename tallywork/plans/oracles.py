@@ -466,7 +466,8 @@ ORACLES["job_records"] = """
 SELECT o_orderkey AS job_id, o_orderpriority AS name, CAST(o_orderdate AS VARCHAR) AS submitted,
        CAST(NULL AS VARCHAR) AS completed, o_custkey % 9 AS num_tasks, o_orderkey * 10 + n AS stage_id
 FROM orders JOIN range(1, 5) stages(n) ON n <= 1 + o_custkey % 4
-WHERE o_orderkey % 11 <> 0"""
+WHERE o_orderkey % 11 <> 0
+UNION ALL SELECT NULL, NULL, NULL, NULL, NULL, NULL FROM orders WHERE o_orderkey % 11 = 0"""
 ORACLES["stage_records"] = """
 SELECT o_orderkey AS stage_id, CAST(o_orderkey % 3 = 0 AS INTEGER) AS attempt_id,
        'COMPLETE' AS status, CAST(4 AS BIGINT) AS num_tasks,
@@ -759,3 +760,45 @@ ORACLES["model_name_parts"] = _with(FILES, body=r"""
     FROM files""")
 ORACLES["busy_cpu_time"] = _with(RUNS, body="""
     SELECT event_id, round((ttft * 10 * thread_count - tpot) / thread_count + 1e-9, 6) AS busy FROM runs""")
+
+
+# Files: the same rows come back.
+
+ORACLES["extract_usage_cube"] = ORACLES["inferred_usage_cube"] = ORACLES["usage_cube"]
+ORACLES["report_files"] = ORACLES["usage_report_params"]
+ORACLES["default_report"] = f"SELECT * FROM ({ORACLES['usage_report_params']}) WHERE report = DATE '1996-12-01'"
+ORACLES["extract_period_jobs"] = _with(JOBS, body="""
+    SELECT job_id || '_1' AS JobID, CAST(job_id AS INTEGER) AS JobIDRaw, elapsed * cpus * 1000 AS CPUTimeRAW, '1-02:03:04' AS TotalCPU, '0:0' AS ExitCode,
+           nnodes || '.5' AS Reservation, nullif(tres, '') AS AllocTRES, period
+    FROM jobs WHERE period = DATE '1996-02-01'""")
+_TYPES = {
+    **dict.fromkeys(("JobIDRaw", "ElapsedRaw", "AllocCPUS", "NNodes", "AllocNodes", "NCPUS"), "1"),
+    **dict.fromkeys(("JobID", "Account", "Partition", "TotalCPU", "User", "ExitCode", "State"), "4"),
+    "CPUTimeRAW": "max(CASE WHEN elapsed * cpus * 1000 > 2147483647 THEN 2 ELSE 1 END)",
+    "Reservation": "CASE month(period) % 4 WHEN 0 THEN 0 WHEN 1 THEN 1 WHEN 2 THEN 3 ELSE 4 END",
+    "ReservationId": "CASE WHEN month(period) < 7 THEN 1 ELSE 2 END",
+    "AllocTRES": "max(CASE WHEN coalesce(tres, '') = '' THEN 0 ELSE 4 END)",
+}
+ORACLES["inferred_columns"] = _with(JOBS, ("ranks", " UNION ALL ".join(f"SELECT period, '{name}' AS name, CAST({rank} AS INTEGER) AS rank FROM jobs GROUP BY period" for name, rank in _TYPES.items())), body="""
+    SELECT period, name, ['INT', 'BIGINT', 'DOUBLE', 'STRING'][nullif(rank, 0)] AS type FROM ranks
+    UNION ALL SELECT NULL, name, ['INT', 'BIGINT', 'DOUBLE', 'STRING'][nullif(max(rank), 0)] FROM ranks GROUP BY name""")
+ORACLES["refreshed_usage"] = _with(JOBS, CLASSIFIED, body="""
+    SELECT period, cluster, agency, outcome, count(*) AS job_count,
+           CAST(sum(job_seconds + CASE WHEN period IN (DATE '1997-01-01', DATE '1997-02-01') THEN vnodes ELSE 0 END) AS BIGINT) AS total_secs
+    FROM classified
+    WHERE period <> DATE '1996-05-01' AND (period <> DATE '1995-03-01' OR state = 'COMPLETED')
+    GROUP BY ALL""")
+ORACLES["measurement_files"] = """
+    SELECT 'c' || user_id % 4 AS compiler, event_type AS model, 'q' || event_id % 2 AS quantization, 'static' AS seeding, 'p' || event_id % 3 AS prompt,
+           CAST(event_id AS INTEGER) AS run, CAST(event_id % 97 AS INTEGER) AS prompt_n, CAST(event_id % 7 AS INTEGER) AS predicted_n, 0 AS cache_n,
+           value AS ttft, CAST(json_extract_string(props, '$.k') AS DOUBLE) + 1 AS tpot, user_id * 1000000 + event_id AS mem
+    FROM events"""
+_SPOKEN = ("spoken", """
+    SELECT role AS prompt_type, CAST(conv_id AS VARCHAR) AS prompt_id, string_agg(text, chr(10) ORDER BY turn, text) AS text
+    FROM conversations GROUP BY role, conv_id""")
+ORACLES["prompt_files"] = _with(_SPOKEN, body="SELECT prompt_type, prompt_id, text FROM spoken")
+ORACLES["response_files"] = _with(_SPOKEN, body="SELECT 'm' || length(prompt_id) AS model, prompt_type, prompt_id, text AS content FROM spoken")
+ORACLES["job_documents"] = _with(STAGES, SPARK_JOBS, body="""
+    SELECT j.job_id, name, num_stages, stage_id, skipped, s.num_tasks, s.num_nonskipped_tasks,
+           round(s.working_time + 1e-9, 6) AS working_time, s.shuffle_read_bytes
+    FROM spark_jobs j LEFT JOIN stages s ON s.job_id = j.job_id""")

@@ -21,7 +21,8 @@ from tallywork.operators import (
 )
 from tallywork.plans import driver_tables as data
 from tallywork.plans import usage_report as report
-from tallywork.sources import event_log, spark_metrics
+from tallywork.sources import event_log, measurements, spark_metrics, tables
+from tallywork.sources import jobs as extracts
 from tallywork.sources.shared_folder import new_folder
 from tallywork.sources.spark_metrics import new_since
 
@@ -208,6 +209,98 @@ def file_periods(spark: SparkSession, sf: str) -> DataFrame:
     return data.job_file_names(spark, sf).withColumn("period", period)
 
 
+# Files: what is written to the shared folder and read back
+
+
+def _extracts(spark: SparkSession, sf: str) -> str:
+    path = new_folder(spark, "extracts")
+    extracts.write_jobs(data.job_extract(spark, sf), path)
+    return path
+
+
+@query
+def extract_usage_cube(spark: SparkSession, sf: str) -> DataFrame:
+    """The cube of monthly extract files of all years, read in one scan."""
+    return usage.usage_cube(extracts.read_jobs(spark, _extracts(spark, sf)))
+
+
+@query
+def extract_period_jobs(spark: SparkSession, sf: str) -> DataFrame:
+    """The jobs of one month: the files of other months stay closed."""
+    jobs = extracts.of_period(extracts.read_jobs(spark, _extracts(spark, sf)), dt.date(1996, 2, 1))
+    return jobs.select("JobID", "JobIDRaw", "CPUTimeRAW", "TotalCPU", "ExitCode", "Reservation", "AllocTRES", "period")
+
+
+@query
+def inferred_columns(spark: SparkSession, sf: str) -> DataFrame:
+    """Types of the columns as found in the extract files, by month, and merged over all of them."""
+    texts = extracts.read_texts(spark, _extracts(spark, sf))
+    by_month = extracts.inferred_types(texts, [field.name for field in extracts.JOB_SCHEMA], ["period"])
+    return by_month.unionByName(extracts.merged_types(by_month), allowMissingColumns=True)
+
+
+@query
+def inferred_usage_cube(spark: SparkSession, sf: str) -> DataFrame:
+    """The cube of the same extracts read with inferred types, to hold against the declared ones."""
+    return usage.usage_cube(extracts.read_jobs_inferred(spark, _extracts(spark, sf)))
+
+
+REPLACED, EMPTIED, AGAIN = dt.date(1995, 3, 1), dt.date(1996, 5, 1), (dt.date(1997, 1, 1), dt.date(1997, 2, 1))
+
+
+@query
+def refreshed_usage(spark: SparkSession, sf: str) -> DataFrame:
+    """The stored table after a month was replaced, a month lost all its jobs, and two months came again in one write."""
+    path, jobs = new_folder(spark, "usage"), data.jobs(spark, sf)
+    tables.write_periods(usage.narrow(jobs), path)
+    report.refresh_period(jobs.filter("State = 'COMPLETED'"), REPLACED, path)
+    report.refresh_period(jobs.filter(F.col("period") != F.lit(EMPTIED)), EMPTIED, path)
+    longer = jobs.filter(F.col("period").isin(*AGAIN)).withColumn("ElapsedRaw", F.col("ElapsedRaw") + 1)
+    tables.write_periods(usage.narrow(longer), path)
+    return usage.cube_of(tables.read_periods(spark, path))
+
+
+@query
+def report_files(spark: SparkSession, sf: str) -> DataFrame:
+    """All reports as files of their lines, and what is read back from them."""
+    path = new_folder(spark, "reports")
+    tables.write_reports(report.usage_params(usage.usage_cube(data.jobs(spark, sf))), path)
+    return tables.read_reports(spark, path)
+
+
+@query
+def measurement_files(spark: SparkSession, sf: str) -> DataFrame:
+    """Measurements as one directory of files for each compiler, model and quantization, read back with their header checked."""
+    path = new_folder(spark, "measurements")
+    measurements.write_measurements(data.file_measurements(spark, sf), path)
+    return measurements.read_written_measurements(spark, path)
+
+
+@query
+def prompt_files(spark: SparkSession, sf: str) -> DataFrame:
+    """Prompts as files of whole texts; type and id come from the path."""
+    path = new_folder(spark, "prompts")
+    measurements.write_prompts(data.spoken(spark, sf), path)
+    text = names.without_last_feed(F.col("text"))
+    return measurements.read_prompts(spark, path).withColumn("text", text)
+
+
+@query
+def response_files(spark: SparkSession, sf: str) -> DataFrame:
+    """Responses as text files by model, prompt type and prompt id, read back."""
+    path = new_folder(spark, "responses")
+    said = data.spoken(spark, sf).withColumnRenamed("text", "content")
+    measurements.write_response_files(said.withColumn("model", F.concat(F.lit("m"), F.length("prompt_id").cast("string"))), path)
+    return measurements.read_response_files(spark, path)
+
+
+@query
+def default_report(spark: SparkSession, sf: str) -> DataFrame:
+    """The report of the month before a given day; in January that is the last December."""
+    month = periods.default_report(dt.date(1997, 1, 15))
+    return report.month_report(data.jobs(spark, sf), month.year, month.month).drop("position")
+
+
 # Measurements
 
 
@@ -319,24 +412,30 @@ def mser_quotient(spark: SparkSession, sf: str) -> DataFrame:
 # Run profiles
 
 
+def _written_records(texts: DataFrame, name: str) -> str:
+    """Records as files of lines, as they are saved; read through the schema, each is parsed once."""
+    path = new_folder(texts.sparkSession, name)
+    texts.select("record").write.text(path)
+    return path
+
+
 @query
 def job_records(spark: SparkSession, sf: str) -> DataFrame:
-    jobs = spark_metrics.parse_jobs(data.job_texts(spark, sf), "record")
-    links = spark_metrics.job_stages(jobs)
-    named = jobs.select("job_id", "name", "submitted", "completed", "num_tasks")
-    return named.join(links, "job_id")
+    """Jobs with each of their stages. A record that is broken off has a row of its own, without a job."""
+    jobs = spark_metrics.read_jobs(spark, _written_records(data.job_texts(spark, sf), "job-records"))
+    return jobs.select("job_id", "name", "submitted", "completed", "num_tasks", F.explode_outer("stage_ids").alias("stage_id"))
 
 
 @query
 def stage_records(spark: SparkSession, sf: str) -> DataFrame:
-    stages = spark_metrics.parse_stages(data.stage_texts(spark, sf), "record")
+    stages = spark_metrics.read_stages(spark, _written_records(data.stage_texts(spark, sf), "stage-records"))
     last = spark_metrics.last_attempts(stages)
     return last.select("stage_id", "attempt_id", "status", "num_tasks", "shuffle_write_bytes")
 
 
 @query
 def task_records(spark: SparkSession, sf: str) -> DataFrame:
-    return spark_metrics.tasks_of(spark_metrics.parse_stages(data.stage_texts(spark, sf), "record"))
+    return spark_metrics.tasks_of(spark_metrics.read_stages(spark, _written_records(data.stage_texts(spark, sf), "stage-records")))
 
 
 def _events(spark: SparkSession, sf: str) -> DataFrame:
@@ -405,6 +504,18 @@ def query_rollup(spark: SparkSession, sf: str) -> DataFrame:
     return rounded(total, "execution_time", "working_time", "working_time_ratio")
 
 
+@query
+def job_documents(spark: SparkSession, sf: str) -> DataFrame:
+    """Jobs as nested JSON records with their stages, written and read back with a schema: one row per job and stage."""
+    path = new_folder(spark, "job-documents")
+    documents = profile.job_documents(_jobs(spark, sf), data.job_stages(spark, sf), _stages(spark, sf)).drop("started", "ended")
+    tables.write_json(documents, path)
+    read = tables.read_json(spark, path, documents.schema)
+    flat = read.select("job_id", "name", "num_stages", F.explode_outer("stages").alias("stage"))
+    rows = flat.select("job_id", "name", "num_stages", "stage.stage_id", *[f"stage.record.{name}" for name in ("skipped", "num_tasks", "num_nonskipped_tasks", "working_time", "shuffle_read_bytes")])
+    return rounded(rows, "working_time")
+
+
 @query
 def run_statistics(spark: SparkSession, sf: str) -> DataFrame:
     runs, early = data.unnumbered_measurements(spark, sf), data.early_measurements(spark, sf, WARMUP)

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallywork.functions import names
+from tallywork.sources.files import move_parts
 
 # The headers of the measurement files.
 _CONFIGURATION = "COMPILER STRING, MODEL STRING, QUANTIZATION STRING, SEEDING STRING, PROMPT STRING"
@@ -40,6 +41,26 @@ def write_measurements(
     )
 
 
+def read_written_measurements(
+    spark: SparkSession, path: str, schema: str = MEASUREMENT_SCHEMA, by: tuple[str, ...] = FILE_KEYS
+) -> DataFrame:
+    """What ``write_measurements`` wrote: ``by`` from the directories' names, the others checked against the header."""
+    read = read_measurements(spark, path, schema)
+    return read.select(*[name for name in read.columns if name not in by], *by)
+
+
+def write_prompts(prompts: DataFrame, path: str) -> None:
+    """One file per prompt, ``<type>/<id>``, that ends with a line feed."""
+    staged = f"{path}/_staged"
+    (
+        prompts.select("prompt_type", "prompt_id", F.col("text").alias("value"))
+        .hint("rebalance", "prompt_type", "prompt_id")
+        .write.partitionBy("prompt_type", "prompt_id")
+        .text(staged)
+    )
+    move_parts(prompts.sparkSession, staged, path, lambda values, _: f"{values['prompt_type']}/{values['prompt_id']}")
+
+
 def read_prompts(spark: SparkSession, path: str) -> DataFrame:
     """One row per prompt file ``<type>/<id>``, with its whole text."""
     file = F.col("_metadata.file_path")
@@ -73,3 +94,9 @@ def write_response_files(responses: DataFrame, path: str) -> None:
         .partitionBy("model", "prompt_type", "prompt_id")
         .text(path)
     )
+
+
+def read_response_files(spark: SparkSession, path: str) -> DataFrame:
+    """What ``write_response_files`` wrote: the keys from the directories' names, the text without its last line feed."""
+    read = spark.read.schema("value STRING, model STRING, prompt_type STRING, prompt_id STRING").text(path, wholetext=True)
+    return read.select("model", "prompt_type", "prompt_id", names.without_last_feed(F.col("value")).alias("content"))

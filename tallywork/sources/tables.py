@@ -7,6 +7,7 @@ from collections.abc import Iterable, Mapping
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tallywork.functions import names
 
@@ -81,6 +82,25 @@ def read_report(spark: SparkSession, path: str | list[str]) -> DataFrame:
     )
 
 
+def read_reports(spark: SparkSession, path: str) -> DataFrame:
+    """What ``write_reports`` wrote: report (from the directory's name), key and value of every line."""
+    line = F.col("value")
+    return (
+        spark.read.schema("value STRING, report DATE")
+        .text(path)
+        .filter(line.rlike(names.REPORT_LINE))
+        .select(
+            "report",
+            F.regexp_extract(line, names.REPORT_LINE, 1).alias("key"),
+            F.regexp_extract(line, names.REPORT_LINE, 2).alias("value"),
+        )
+    )
+
+
+def read_json(spark: SparkSession, path: str, schema: T.StructType | str) -> DataFrame:
+    return spark.read.schema(schema).json(path)
+
+
 def write_json(table: DataFrame, path: str) -> None:
     table.write.mode("overwrite").json(path)
 
