@@ -43,30 +43,40 @@ def scan_before(
     bits: int = BITS,
     levels: int = LEVELS,
     last: Mapping[str, Column] | None = None,
+    following: Mapping[str, Column] | None = None,
 ) -> DataFrame:
     """Add sums over all rows of the key that come earlier in ``order``, 0 where there are none.
 
-    ``last`` adds what the nearest earlier row has, NULL for the first row.
+    ``last`` adds what the nearest earlier row has, NULL for the first row, and ``following`` what the nearest
+    later one has, NULL for the last row.
     """
-    last = last or {}
-
-    def so_far(group: Sequence[str], sums: Mapping[str, Column], last: Mapping[str, Column]) -> list[Column]:
+    last, following = last or {}, following or {}
+
+    def so_far(
+        group: Sequence[str],
+        sums: Mapping[str, Column],
+        last: Mapping[str, Column],
+        following: Mapping[str, Column],
+    ) -> list[Column]:
         earlier = Window.partitionBy(*group).orderBy(order)
         before = earlier.rowsBetween(Window.unboundedPreceding, -1)
-        return [F.coalesce(F.sum(c).over(before), F.lit(0)).alias(n) for n, c in sums.items()] + [
-            F.lag(c).over(earlier).alias(n) for n, c in last.items()
-        ]
+        return (
+            [F.coalesce(F.sum(c).over(before), F.lit(0)).alias(n) for n, c in sums.items()]
+            + [F.lag(c).over(earlier).alias(n) for n, c in last.items()]
+            + [F.lead(c).over(earlier).alias(n) for n, c in following.items()]
+        )
 
     if levels == 0:
-        return df.select("*", *so_far(keys, sums, last))
+        return df.select("*", *so_far(keys, sums, last, following))
 
     rows, at = in_blocks(df, keys, order, bits, levels)
     group, block = at
     own, carried, local = f"_own_{levels}_", f"_carry_{levels}_", f"_local_{levels}_"
-    names = [*sums, *last]
+    names = [*sums, *last, *following]
     blocks = rows.groupBy(at).agg(
         *[F.sum(c).alias(own + n) for n, c in sums.items()],
         *[F.max_by(c, order).alias(own + n) for n, c in last.items()],
+        *[F.min_by(c, order).alias(own + n) for n, c in following.items()],
     )
     carry = scan_before(
         blocks,
@@ -76,17 +86,18 @@ def scan_before(
         bits,
         levels - 1,
         {carried + n: F.col(own + n) for n in last},
+        {carried + n: F.col(own + n) for n in following},
     ).select(*at, *[carried + n for n in names])
-    within = so_far(
-        at, {local + n: c for n, c in sums.items()}, {local + n: c for n, c in last.items()}
-    )
-    opens = F.row_number().over(Window.partitionBy(*at).orderBy(order)) == 1
-    marks = [opens.alias(f"_opens_{levels}")] if last else []
+    within = so_far(at, *({local + n: c for n, c in own.items()} for own in (sums, last, following)))
+    in_order = Window.partitionBy(*at).orderBy(order)
+    marks = [(F.row_number().over(in_order) == 1).alias(f"_opens_{levels}")] if last else []
+    marks += [F.lead(F.lit(1)).over(in_order).isNull().alias(f"_closes_{levels}")] if following else []
     scanned = rows.join(carry, at).select("*", *within, *marks)
     return scanned.selectExpr(
         *[f"`{c}`" for c in df.columns],
         *[f"{local}{n} + {carried}{n} AS {n}" for n in sums],
         *[f"CASE WHEN _opens_{levels} THEN {carried}{n} ELSE {local}{n} END AS {n}" for n in last],
+        *[f"CASE WHEN _closes_{levels} THEN {carried}{n} ELSE {local}{n} END AS {n}" for n in following],
     )
 
 

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from tallywork.functions import numbers
 from tallywork.operators.scan import BITS, LEVELS, in_blocks, scan_before
+from tallywork.sources.shared_folder import written
 
 
 def trailing_error(
@@ -36,19 +37,21 @@ def trailing_error(
     without, it only gives the order, and the runs before each one are counted in the same pass.
 
     What lies behind a block is found with a scan over block rows, in blocks of its own, so sparse
-    order numbers, with a block for every row, do not bring a configuration into one task either.
+    order numbers, with a block for every row, do not bring a configuration into one task either. The
+    block rows are written to the shared folder: the measurements are read twice, once for the blocks and once
+    for the runs, whatever the scan over the blocks takes.
     """
     named = measurements.selectExpr(*keys, f"{run} AS _run", f"CAST({metric} AS DOUBLE) AS _x")
     rows, at = in_blocks(named, keys, "_run", bits, LEVELS + 1)
     group, block = at
 
-    blocks = rows.groupBy(at).agg(
+    blocks = written(rows.groupBy(at).agg(
         F.expr("count(*) AS b_rows"),
         F.expr("count(_x) AS b_n"),
         F.expr("coalesce(avg(_x), 0D) AS b_mean"),
         F.expr("coalesce(var_pop(_x) * count(_x), 0D) AS b_m2"),
         F.expr("max_by(_x, _run) AS b_last"),
-    )
+    ), "run-blocks")
     # Means are added up as differences to the mean of the last block, where a series has settled.
     whole = blocks.groupBy(group).agg(
         F.expr("sum(b_rows) AS all_rows"), F.expr(f"max_by(b_mean, {block}) AS centre")
@@ -57,6 +60,7 @@ def trailing_error(
         "*", "b_mean - centre AS off", f"-{block} AS from_last"
     )
     off = F.col("off")
+    # In the order from the last block on, the block before one is the one that follows it.
     behind = scan_before(
         centred,
         [group],
@@ -68,20 +72,17 @@ def trailing_error(
             "c_sq": F.col("b_m2") + F.col("b_n") * off * off,
         },
         bits,
+        following={"c_last": F.col("b_last")},
     )
-    carry = (
-        scan_before(behind, [group], block, {}, bits, last={"c_last": F.col("b_last")})
-        .withColumn("c_mean_off", F.expr("coalesce(try_divide(c_off, c_n), 0D)"))
-        .selectExpr(
-            *at,
-            "b_rows",
-            "all_rows",
-            "c_rows",
-            "c_n",
-            "centre + c_mean_off AS c_mean",
-            "greatest(c_sq - c_off * c_mean_off, 0D) AS c_m2",
-            "c_last",
-        )
+    carry = behind.withColumn("c_mean_off", F.expr("coalesce(try_divide(c_off, c_n), 0D)")).selectExpr(
+        *at,
+        "b_rows",
+        "all_rows",
+        "c_rows",
+        "c_n",
+        "centre + c_mean_off AS c_mean",
+        "greatest(c_sq - c_off * c_mean_off, 0D) AS c_m2",
+        "c_last",
     )
 
     from_end = f"PARTITION BY {', '.join(at)} ORDER BY _run DESC"

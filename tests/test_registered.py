@@ -94,6 +94,20 @@ def test_check_variants_read_the_jobs_so_often(spark, name, scans):
     assert plan_of(QUERIES[name](spark, SF)).count("FileScan") == scans
 
 
+@pytest.mark.parametrize("name", ["trailing_mse", "mser_quotient"])
+def test_runs_are_read_once_for_their_blocks_and_once_for_themselves(spark, name):
+    """The blocks are written when the plan is made: what is left reads the events once, and the blocks."""
+    scans = [line for line in plan_of(QUERIES[name](spark, SF)).splitlines() if "FileScan" in line]
+    assert len([line for line in scans if "events.parquet" in line]) == 1
+    assert len(scans) <= 10
+
+
+@pytest.mark.parametrize("name", ["job_records", "stage_records", "task_records"])
+def test_records_are_read_once_without_a_join(spark, name):
+    plan = plan_of(QUERIES[name](spark, SF))
+    assert plan.count("FileScan json") == 1 and "Join" not in plan and "from_json" not in plan
+
+
 def test_tasks_are_added_up_before_the_join(spark):
     plan = plan_of(QUERIES["stage_rollup"](spark, SF))
     below = plan.split("Join")[1]

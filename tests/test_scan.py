@@ -67,6 +67,17 @@ def test_last_value_before(spark, bits, levels):
     assert rows_of(got, "a", "b", "n", "v", "x") == sorted(expected, key=repr)
 
 
+@pytest.mark.parametrize(("bits", "levels"), [(20, 0), (3, 1), (1, 3), (0, 2)])
+def test_next_value_with_the_sums_before(spark, bits, levels):
+    df = spark.createDataFrame(some_rows(4), SCHEMA)
+    got = scan_before(df, ["a", "b"], "n", {"c": F.lit(1)}, bits, levels, following={"x": F.col("v")})
+    expected = []
+    for _, group in groupby(sorted(some_rows(4), key=lambda r: (str(r[:2]), r[2])), key=lambda r: str(r[:2])):
+        own = list(group)
+        expected += [(*row, at, own[at + 1][3] if at + 1 < len(own) else None) for at, row in enumerate(own)]
+    assert rows_of(got, "a", "b", "n", "v", "c", "x") == sorted(expected, key=repr)
+
+
 def test_no_window_takes_a_whole_key(spark):
     """Rows are windowed by key and block; only block sums are windowed above that."""
     df = spark.createDataFrame(some_rows(), SCHEMA)
