@@ -10,6 +10,7 @@ of the file is one piece, so the ids are those of the whole text (`tests/llm/tes
 from __future__ import annotations
 
 import os
+import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -23,16 +24,21 @@ WORD_BYTES = 1 << 10
 _encoders: dict[tuple[str, bool], "Encoder"] = {}
 
 
-def _classes() -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+def _classes() -> tuple[np.ndarray, ...]:
+    """For each byte, as tables for bytes.translate: what it may end (1 something visible, 2 letters), what it may
+    begin (1 white space, 2 a mark, and 4 something visible), and whether it leads in a character (1) or breaks a line (2)."""
     code = np.arange(256)
     space = (code == 32) | ((code >= 9) & (code <= 13))
     letter = ((code >= 65) & (code <= 90)) | ((code >= 97) & (code <= 122))
     visible = (code >= 0x21) & (code <= 0x7E)
     mark = visible & ~letter & (code != 0x27)
-    return space, letter, visible, mark
+    lead = (code >= 0xC3) & (code <= 0xC9)
+    tables = visible + 2 * letter, space + 2 * mark + 4 * (visible | lead), lead + 2 * (space & (code != 32))
+    return space, *(table.astype(np.uint8).tobytes() for table in tables)
 
 
-SPACE, LETTER, VISIBLE, MARK = _classes()
+SPACE, ENDS, BEGINS, RARE = _classes()
+LOWER = bytes(code | 0x20 if 65 <= code <= 90 else code for code in range(256))
 
 
 def cuts(data: np.ndarray) -> np.ndarray:
@@ -46,17 +52,17 @@ def cuts(data: np.ndarray) -> np.ndarray:
     found = np.zeros(len(data), bool)
     if len(data) < 2:
         return found
-    lead = (data >= 0xC3) & (data <= 0xC9)
-    tail = np.zeros(len(data), bool)
-    tail[1:] = lead[:-1]
-    sign = np.zeros(len(data), bool)
-    sign[1:] = ((data[:-1] == 0xC3) & ((data[1:] == 0x97) | (data[1:] == 0xB7))) | ((data[:-1] == 0xC4) & (data[1:] == 0xB0))
-    visible_end = VISIBLE[data] | tail
-    letter_end = LETTER[data] | (tail & ~sign)
-    space = SPACE[data]
-    found[1:] = (visible_end[:-1] & space[1:]) | (letter_end[:-1] & MARK[data[1:]])
-    begins = VISIBLE[data] | lead
-    found[2:] |= visible_end[:-2] & (space[1:-1] & (data[1:-1] != 32)) & begins[2:]
+    raw = data.tobytes()
+    ends = np.frombuffer(bytearray(raw.translate(ENDS)), np.uint8)
+    begins = np.frombuffer(raw.translate(BEGINS), np.uint8)
+    rare = np.frombuffer(raw.translate(RARE), np.uint8)
+    at = np.flatnonzero(rare)
+    lead, lone = at[(rare[at] == 1) & (at < len(data) - 1)], at[(rare[at] == 2) & (at > 0) & (at < len(data) - 1)]
+    first, second = data[lead], data[lead + 1]
+    sign = ((first == 0xC3) & ((second == 0x97) | (second == 0xB7))) | ((first == 0xC4) & (second == 0xB0))
+    ends[lead + 1] = np.where(sign, 1, 3)
+    found[1:] = (ends[:-1] & begins[1:]) != 0
+    found[lone + 1] |= (ends[lone - 1] & 1 != 0) & (begins[lone + 1] & 4 != 0)
     return found
 
 
@@ -74,12 +80,18 @@ class Encoder:
         self.tokenizer.encode_special_tokens = not added
         found = self.tokenizer.get_added_tokens_decoder().values() if added else []
         self.added = [(token.content, token.normalized) for token in found]
+        # Runs of marks have no case: without one of these no added token is spelled. Where a token has none, all texts are searched.
+        marks = [max(re.findall(r"[!-/:-@\[-`{-~]+", content), key=len, default="") for content, _ in self.added]
+        self.marks = {mark.encode() for mark in marks}
         self.size = self.tokenizer.get_vocab_size()
         self.lower = "Lowercase" in str(self.tokenizer.normalizer)
         self.known: dict[bytes, bytes] = {}
 
     def _pieces(self, words: list[bytes]) -> list[bytes]:
-        missing = [word for word in words if word not in self.known]
+        out = list(map(self.known.get, words))
+        missing = [word for word, ids in zip(words, out, strict=True) if ids is None]
+        if not missing:
+            return out
         if len(self.known) + len(missing) > WORDS_KEPT:
             self.known = {}
             missing = words
@@ -94,8 +106,11 @@ class Encoder:
                 self.known.pop(word, None)
         return out
 
-    def _whole(self, texts: pa.Array) -> np.ndarray:
-        """Rows of texts that spell an added token."""
+    def _whole(self, texts: pa.Array, data: np.ndarray) -> np.ndarray:
+        """Rows of texts, of which data are the bytes, that spell an added token."""
+        raw = data.tobytes()
+        if not any(mark in raw for mark in self.marks):
+            return np.zeros(0, np.int64)
         found = np.zeros(len(texts), bool)
         for content, normalized in self.added:
             found |= pc.match_substring(texts, content, ignore_case=normalized).to_numpy(zero_copy_only=False)
@@ -106,9 +121,9 @@ class Encoder:
         data, ends = bytes_of(texts)
         if not len(data):
             return np.zeros(0, "<u4"), np.zeros(len(texts) + 1, np.int64)
-        whole, given = self._whole(texts), data
+        whole, given = self._whole(texts, data), data
         if self.lower:
-            data = np.where((data >= 65) & (data <= 90), data | 0x20, data)
+            data = np.frombuffer(bytearray(data.tobytes().translate(LOWER)), np.uint8)
         begin = cuts(data)
         for row in whole:
             begin[ends[row] : ends[row + 1]] = False
@@ -119,7 +134,7 @@ class Encoder:
         pieces = pa.Array.from_buffers(pa.large_binary(), len(at), [None, pa.py_buffer(np.append(at, len(data)).astype(np.int64)), pa.py_buffer(data)])
         coded = pieces.dictionary_encode()
         which = coded.indices.to_numpy(zero_copy_only=False)
-        known = self._pieces(coded.dictionary.to_pylist())
+        known = self._pieces(coded.dictionary.to_numpy(zero_copy_only=False).tolist())
         flat = np.frombuffer(b"".join(known), "<u4")
         lengths = np.fromiter(map(len, known), np.int64, len(known)) >> 2
         starts = np.concatenate([[0], np.cumsum(lengths)])[:-1]
