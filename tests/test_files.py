@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from helpers import SF, plan_of, rows_of
 from tallywork.operators import profile, usage
 from tallywork.plans import driver_tables, registered
-from tallywork.sources import files, measurements, tables
+from tallywork.sources import files, measurements, shared_folder, tables
 from tallywork.sources import jobs as source
 
 
@@ -143,3 +143,30 @@ def test_nested_records_of_jobs(spark, tmp_path):
     read = {row["job_id"]: row for row in tables.read_json(spark, str(tmp_path / "j"), documents.schema).collect()}
     assert [(s["stage_id"], s["record"] and s["record"]["num_tasks"]) for s in read[1]["stages"]] == [(10, 4), (11, 5), (12, None)]
     assert read[2]["stages"] == []
+
+
+def test_tables_go_to_the_folder_that_the_session_names(spark, tmp_path, monkeypatch):
+    # A running session does not let the setting itself be changed.
+    monkeypatch.setattr(shared_folder, "CHECKPOINT_SETTING", "spark.tests.checkpoint")
+    spark.conf.set("spark.tests.checkpoint", f"file://{tmp_path}/")
+    try:
+        assert shared_folder.written(spark.range(3).toDF("x"), "some").count() == 3
+        assert [path.name.split("-")[0] for path in (tmp_path / "tallywork").iterdir()] == ["some"]
+    finally:
+        spark.conf.unset("spark.tests.checkpoint")
+
+
+class Cluster:
+    """As much of a session on a cluster as the folder is asked of, without a setting."""
+
+    class conf:
+        get = staticmethod(lambda name, default: default)
+
+    class sparkContext:
+        master = "spark://host:7077"
+        getCheckpointDir = staticmethod(lambda: None)
+
+
+def test_a_cluster_without_the_setting_is_an_error():
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        shared_folder.shared_folder(Cluster)
