@@ -155,5 +155,10 @@ def _read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def read_documents(shards: DataFrame) -> DataFrame:
-    """Each document's place among all ids and the checksum of its ids, from the files; a shard at a time."""
-    return shards.select("range", "path", "start").repartition("range").mapInArrow(_read, "doc_id bigint, start bigint, n_tokens bigint, ids_crc32 bigint")
+    """Each document's place among all ids and the checksum of its ids, from the files; a shard at a time.
+
+    There are as many partitions as shards: without a number, adaptive execution would put the few bytes that name
+    all shards into one task, which would read all files.
+    """
+    named = shards.select("range", "path", "start")
+    return named.repartition(max(1, named.count()), "range").mapInArrow(_read, "doc_id bigint, start bigint, n_tokens bigint, ids_crc32 bigint")

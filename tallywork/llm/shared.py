@@ -1,16 +1,18 @@
-"""What several operators need: the shared folder, code on the executors, and ranges of an ordered key."""
+"""What several operators need: tables in the shared folder, code on the executors, and ranges of an ordered key."""
 
 from __future__ import annotations
 
 import tempfile
-import uuid
 import zipfile
 from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-CHECKPOINT_SETTING = "spark.checkpoint.dir"
+from tallywork.sources.shared_folder import new_folder, written
+
+__all__ = ["folded", "new_folder", "range_bounds", "range_of", "table", "unfolded", "with_code", "written"]
+
 ROWS_PER_RANGE = 2048
 MOST_RANGES = 16384
 
@@ -22,20 +24,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def shared_folder(spark: SparkSession) -> str:
-    """The folder that the driver and all executors see. Only where the cluster names none, as in tests, a local one."""
-    folder = spark.conf.get(CHECKPOINT_SETTING, None) or spark.sparkContext.getCheckpointDir()
-    if not folder:
-        folder = "file://" + tempfile.mkdtemp(prefix="tallywork-")
-        spark.sparkContext.setCheckpointDir(folder)
-    return folder.rstrip("/")
-
-
-def new_folder(spark: SparkSession, name: str) -> str:
-    """A folder of its own in the shared one."""
-    return f"{shared_folder(spark)}/tallywork/{name}-{uuid.uuid4().hex}"
-
-
 def folded(df: DataFrame, *apart: str) -> DataFrame:
     """The rows with all columns but some in one struct `row`, so that no name of theirs meets one added to them."""
     rest = [F.col(f"`{name}`") for name in df.columns if name not in apart] or [F.lit(0).alias("none")]
@@ -47,13 +35,6 @@ def unfolded(columns: list[str], *apart: str) -> list[Column]:
     return [F.col(f"`{name}`") if name in apart else F.col("row")[name].alias(name) for name in columns]
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
-    """The rows as a table in the shared folder: computed once, and kept when executors are lost."""
-    path = new_folder(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
 def with_code(spark: SparkSession) -> None:
     """Give the executors' Python workers this package, once for each application."""
     application = spark.sparkContext.applicationId

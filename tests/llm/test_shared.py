@@ -34,14 +34,3 @@ def test_folded_rows_come_back(spark):
     for apart in ((), ("text",), ("text", "odd name")):
         back = shared.folded(df, *apart).select(shared.unfolded(df.columns, *apart))
         assert back.columns == df.columns and back.collect() == df.collect()
-
-
-def test_tables_go_to_the_folder_that_the_session_names(spark, tmp_path, monkeypatch):
-    # A running session does not let the setting itself be changed.
-    monkeypatch.setattr(shared, "CHECKPOINT_SETTING", "spark.tests.checkpoint")
-    spark.conf.set(shared.CHECKPOINT_SETTING, f"file://{tmp_path}/")
-    try:
-        assert shared.written(spark.range(3).toDF("x"), "some").count() == 3
-        assert [path.name.split("-")[0] for path in (tmp_path / "tallywork").iterdir()] == ["some"]
-    finally:
-        spark.conf.unset(shared.CHECKPOINT_SETTING)
