@@ -30,7 +30,8 @@ from tallywork.llm.shared import new_folder, table
 def op1_line_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Counts, base rules and verdict of each document, by a field learned from the labelled documents."""
     documents = table(spark, sf_dir, "documents")
-    return line_crf.judged(documents, line_crf.fitted(documents, table(spark, sf_dir, "labels")))
+    common = line_crf.common_lines(documents)
+    return line_crf.judged(documents, line_crf.fitted(documents, table(spark, sf_dir, "labels"), common), common).drop("content")
 
 
 def op2_bloom_sketch(spark: SparkSession, sf_dir: str) -> DataFrame:

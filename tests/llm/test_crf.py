@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 import itertools
+import random
 import re
 import zlib
 from collections import Counter
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from odd_rows import SMALL, rows
 from pyspark.sql import functions as F
 
@@ -98,13 +100,21 @@ def test_counts_of_documents(spark):
         assert not (row["kept"] and row["base_failed"])
 
 
+def texts_of(row) -> str | None:
+    """The text of an odd row, by its doc_id."""
+    return next(text for doc_id, text, *_ in rows() if doc_id == row["doc_id"])
+
+
 def test_counts_of_odd_documents(spark, odd, empty):
     labels = spark.createDataFrame([(0, 1, 0), (5, 0, 0), (5, 0, 1), (None, 1, 0), (1, None, None)], "doc_id bigint, quality int, toxic int")
-    model = line_crf.fitted(odd, labels)
-    found = line_crf.judged(odd, model).collect()
+    common = line_crf.common_lines(odd)
+    model = line_crf.fitted(odd, labels, common)
+    found = line_crf.judged(odd, model, common).collect()
     assert sorted(((row["doc_id"] or -1, *(row[name] for name in NAMES)) for row in found)) == sorted((row[0] or -1, *slow_counts(row[1])) for row in rows())
-    assert line_crf.judged(empty, model).count() == 0
-    assert line_crf.judged(odd, line_crf.fitted(empty, labels.limit(0))).count() == len(found)
+    assert all(len(row["content"]) == row["n_lines"] == (texts_of(row) or "").count("\n") + 1 for row in found if row["doc_id"] not in (3, None))
+    assert line_crf.judged(empty, model, common).count() == 0
+    assert line_crf.common_lines(empty).count() == 0
+    assert line_crf.judged(odd, line_crf.fitted(empty, labels.limit(0), line_crf.common_lines(empty)), common).count() == len(found)
 
 
 def test_counts_over_slices():
@@ -117,14 +127,50 @@ def test_counts_over_slices():
 
 def test_quality_of_documents_that_were_not_learned_from(spark):
     documents, labels = (spark.read.parquet(f"{LARGER}/{name}.parquet") for name in ("documents", "labels"))
-    model = line_crf.fitted(documents, labels.where("doc_id % 2 = 0"))
-    judged = line_crf.judged(documents, model).join(labels.where("doc_id % 2 = 1"), "doc_id").select("doc_id", "kept", "quality", "base_failed").collect()
+    common = line_crf.common_lines(documents)
+    model = line_crf.fitted(documents, labels.where("doc_id % 2 = 0"), common)
+    judged = line_crf.judged(documents, model, common).join(labels.where("doc_id % 2 = 1"), "doc_id").select("doc_id", "kept", "quality", "base_failed").collect()
     good = [row["kept"] for row in judged if row["quality"] == 1 and not row["base_failed"]]
     poor = [row["kept"] for row in judged if row["quality"] == 0]
     assert sum(good) / len(good) > 0.97
     assert sum(poor) / len(poor) < 0.15
 
 
+def test_common_lines_are_those_between_different_neighbours(spark):
+    texts = ["a\nx\nb", "c\nx\nd", "x\ne", "copy 1\ny\ncopy 2", "copy 1\ny\ncopy 2", "copy 1\ny\ncopy 2", "copy 1\n \ny\ncopy 2", None, "", "\n\n", "p\nz\nq", "r\nz\ns"]
+    found = line_crf.common_lines(spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string"))
+    assert [row["line"] for row in found.collect()] == [int(np.uint64(xxhash.xxh64_intdigest(b"x", line_crf.SEED)).astype(np.int64))]
+
+
+def test_boilerplate_planted_in_good_documents_is_found_line_by_line(spark):
+    """Lines that wander through documents the field has not learned from, and runs of symbols; their copies keep their neighbours."""
+    dice = random.Random(21)
+    documents, labels = (spark.read.parquet(f"{LARGER}/{name}.parquet") for name in ("documents", "labels"))
+    good = {row["doc_id"] for row in labels.where("quality = 1").collect()}
+    held = [(row["doc_id"], row["text"]) for row in documents.select("doc_id", "text").collect() if row["doc_id"] in good and row["text"] and row["text"].count("\n") >= 3]
+    planted = ["Sign up for the weekly letter of this site and never miss a word again.", "You are reading the free edition; the printed one has more.", "Back to the overview of all pages"]
+    rows, answers = [], {}
+    for number, (doc_id, text) in enumerate(sorted(held)):
+        lines = [(line, True) for line in text.split("\n")]
+        for line in dice.sample(planted, 2) + ["$$$ ### %%% &&& *** ||| <<< >>>"] * (number % 2):
+            lines.insert(dice.randrange(len(lines) + 1), (line, False))
+        rows.append((10_000 + number, "\n".join(line for line, _ in lines)))
+        answers[10_000 + number] = lines
+    more = spark.createDataFrame(rows, "doc_id bigint, text string")
+    every = documents.select("doc_id", "text").union(more)
+    common = line_crf.common_lines(every)
+    model = line_crf.fitted(documents, labels, common)
+    found = {row["doc_id"]: row for row in line_crf.judged(more, model, common).collect()}
+    hit = [not mark for doc_id, lines in answers.items() for mark, (_, is_content) in zip(found[doc_id]["content"], lines, strict=True) if not is_content]
+    common_now = {row["line"] for row in common.collect()}
+    own = lambda line: int(np.uint64(xxhash.xxh64_intdigest(line.encode(), line_crf.SEED)).astype(np.int64))
+    kept = [mark for doc_id, lines in answers.items() for mark, (line, is_content) in zip(found[doc_id]["content"], lines, strict=True) if is_content and line.split() and own(line) not in common_now]
+    mixed = sum(0 < row["n_content_lines"] < row["n_lines"] for row in found.values())
+    print(len(hit), sum(hit) / len(hit), len(kept), sum(kept) / len(kept), mixed / len(found))
+    assert sum(hit) / len(hit) > 0.9 and sum(kept) / len(kept) > 0.95 and mixed > 0.9 * len(found)
+    assert sum(row["kept"] for row in found.values()) > 0.9 * sum(not row["base_failed"] for row in found.values())
+
+
 PAGES = {
     "plain": ("<html><head><title>T</title></head><body><article><h1>Head</h1><p>One  two\n three.</p><p>A &amp; B&nbsp;C &lt;x&gt;</p></article></body></html>", "Head\n\nOne two three.\n\nA & B C <x>"),
     "furniture": (
