@@ -1,9 +1,10 @@
 """Main text of web pages: a conditional random field over a page's leaf blocks, decoded by Viterbi.
 
 A block is the text between two block-level tags. Its features are what its ancestors' tags, classes and ids
-name it (article or page furniture) or, where they name nothing, its own tag and text. Pages whose markup names
-an article teach the field: blocks in it are main text, blocks of furniture are not. Each such page is also
-learned from without the names, so that tags and text can decide where markup is silent.
+name it (article or page furniture), its own tag, and its text; all of them count for every block. Pages whose markup
+names an article teach the field: blocks in it are main text, blocks of furniture are not. Each such page is learned
+from with all of the names, with half of them left out at random, and with none, so that tags, text and neighbours
+decide where markup is silent and have a say where it misleads.
 """
 
 from __future__ import annotations
@@ -15,7 +16,8 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+import xxhash
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallywork.llm import crf, shared, tokens
@@ -24,6 +26,8 @@ SAMPLE_PAGES = 400
 SAMPLE_BLOCKS = 64
 NONE, NAMED, MAIN, ARTICLE, FURNITURE = 0, 1, 2, 3, 4
 ENOUGH = 0.1
+#: What a name weighs against one feature of the text: an item of a list in an article belongs to it, though most lists are menus.
+NAME = 3.0
 
 # Names of HTML elements, and words that classes and ids of articles and of page furniture use.
 BLOCK_TAGS = frozenset(
@@ -42,9 +46,13 @@ FURNITURE_WORDS = frozenset(
 )
 NOTICE = re.compile(r"cookie|subscribe|newsletter|sign up|log ?in|copyright|©|all rights reserved|privacy|terms of|advert|sponsored|read more|share this|comments?\b|reply", re.I)
 
+# Elements whose text is not shown as such. They end with their parent; one that is never closed is taken for a lone tag.
+MUTE_TAGS = frozenset("audio canvas datalist noscript object select svg template video".split())
+
+# Only what is raw text runs to the end of the page where it is not closed.
 TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)"
-    r"|<(script|style|template|noscript|svg|math|iframe|object|canvas|textarea|select|datalist|title|audio|video)\b[^>]*(?<!/)>.*?(?:</\1\s*>|\Z)"
+    r"|<(script|style|iframe|textarea|title)\b[^>]*(?<!/)>.*?(?:</\1\s*>|\Z)"
     r"|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*+)>"
     r"|<[!?/][^>]*(?:>|\Z)"
     r"|<[a-zA-Z][^>]*(?:>|\Z)"
@@ -100,8 +108,10 @@ def blocks(page: str) -> list[tuple[str, int, str, int]]:
     out: list[tuple[str, int, str, int]] = []
     stack: list[tuple[str, int, str, bool]] = [("", NONE, "", False)]
     opened: Counter[str] = Counter()
+    inner: Counter[str] = Counter()
     parts: list[str] = []
-    linked = 0
+    linked, muted = 0, 0
+    last_end: dict[str, int] = {}
 
     def close() -> None:
         nonlocal parts, linked
@@ -110,7 +120,13 @@ def blocks(page: str) -> list[tuple[str, int, str, int]]:
                 out.append((text, stack[-1][1], stack[-1][2], linked))
             parts, linked = [], 0
 
+    def ends_later(tag: str, at: int) -> bool:
+        if tag not in last_end:
+            last_end[tag] = max((found.start() for found in re.finditer(f"</{tag}\\b", page, re.I)), default=-1)
+        return last_end[tag] > at
+
     def leave(tag: str) -> None:
+        nonlocal muted
         at = len(stack) - 1
         while stack[at][0] != tag:
             at -= 1
@@ -118,12 +134,15 @@ def blocks(page: str) -> list[tuple[str, int, str, int]]:
             close()
         for name, *_ in stack[at:]:
             opened[name] -= 1
+            muted -= name in MUTE_TAGS
         del stack[at:]
+        if not muted:
+            inner.clear()
 
     for found in TOKEN.finditer(page):
         tag = found[3]
         if tag is None:
-            if found[1] is None and (found[0][0] != "<" or found[0] == "<"):
+            if not muted and found[1] is None and (found[0][0] != "<" or found[0] == "<"):
                 text = html.unescape(found[0])
                 parts.append(text)
                 if opened["a"] > 0:
@@ -131,11 +150,18 @@ def blocks(page: str) -> list[tuple[str, int, str, int]]:
             continue
         tag = tag.lower()
         if found[2]:
+            if inner[tag] > 0:
+                inner[tag] -= 1
+                continue
             if tag in BLOCK_TAGS:
                 close()
             if opened[tag] > 0:
                 leave(tag)
             continue
+        if muted and tag not in MUTE_TAGS:
+            # What begins inside ends inside; an end of anything else is that of a parent.
+            inner[tag] += tag not in VOID_TAGS and not found[4].endswith("/")
+            continue
         if tag in BLOCK_TAGS:
             close()
             if opened["p"] > 0:
@@ -146,6 +172,12 @@ def blocks(page: str) -> list[tuple[str, int, str, int]]:
             parts.append(" ")
         if tag in VOID_TAGS or found[4].endswith("/"):
             continue
+        if tag in MUTE_TAGS:
+            if ends_later(tag, found.start()):
+                stack.append((tag, *stack[-1][1:]))
+                opened[tag] += 1
+                muted += 1
+            continue
         _, around, block, weak = stack[-1]
         held = _inside(around, weak, _names(tag, found[4]))
         if held != around:
@@ -170,17 +202,16 @@ def _settled(found: list[tuple[str, int, str, int]]) -> list[tuple[str, int, str
     return [(text, held[said], tag, linked) for text, said, tag, linked in found]
 
 
-def features(found: list[tuple[str, int, str, int]], silent: bool = False) -> np.ndarray:
-    """A row of FEATURES for each block: its name, or if it has none or names are to be silent, the others."""
+def features(found: list[tuple[str, int, str, int]], named: np.ndarray | None = None) -> np.ndarray:
+    """A row of FEATURES for each block: its name (where `named` says so, if given), its tag and its text."""
     rows = np.zeros((len(found), len(FEATURES)))
     for row, (text, said, tag, linked) in enumerate(found):
-        if said != NONE and not silent:
-            rows[row, 0 if said == ARTICLE else 1] = 1
-            continue
         words = text.count(" ") + 1
         link = min(1.0, linked / len(text))
+        known = said != NONE and (named is None or named[row])
         rows[row] = (
-            0, 0, tag == "p", tag in ("li", "dt", "dd"), len(tag) == 2 and tag[0] == "h" and tag[1].isdigit(), tag in ("td", "th"),
+            NAME * (known and said == ARTICLE), NAME * (known and said != ARTICLE),
+            tag == "p", tag in ("li", "dt", "dd"), len(tag) == 2 and tag[0] == "h" and tag[1].isdigit(), tag in ("td", "th"),
             link, link > 0.8, words <= 3, 3 < words <= 10, 10 < words <= 40, words > 40,
             min(1.0, sum(map(text.count, ".!?")) / words), text[-1] in ".!?", text[0].isupper(), sum(map(str.isdigit, text)) > 0.2 * len(text), any(mark in text for mark in "|·»©›"),
             NOTICE.search(text) is not None and words < 60, row == 0, row == len(found) - 1,
@@ -192,6 +223,7 @@ def lesson(page: str, most: int = SAMPLE_BLOCKS) -> list[tuple[np.ndarray, np.nd
     """What a page teaches: features and answers of up to three quarters of `most` blocks from its start and the rest of them from its end.
 
     A page that names no article, or has a block that neither kind of ancestor holds, teaches only by the blocks that are named.
+    They come with their names, without, and with half of them, drawn by a hash of the page.
     """
     found = [block for block in blocks(page) if block[1] != NONE]
     answers = np.array([block[1] == ARTICLE for block in found], float)
@@ -199,15 +231,17 @@ def lesson(page: str, most: int = SAMPLE_BLOCKS) -> list[tuple[np.ndarray, np.nd
         return []
     head = 3 * most // 4
     cut = [slice(None)] if len(found) <= most else [slice(None, head), slice(head - most, None)]
-    return [(rows[part], answers[part]) for rows in (features(found), features(found, silent=True)) for part in cut]
+    half = np.random.Generator(np.random.PCG64(xxhash.xxh64_intdigest(page))).random(len(found)) < 0.5
+    return [(rows[part], answers[part]) for named in (None, np.zeros(len(found), bool), half) for rows in [features(found, named)] for part in cut]
 
 
 def _teacher(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for name, order, page in zip(batch.column("page_id"), batch.column("order"), tokens.column(batch, "html"), strict=True):
-            for rows, answers in lesson(page.as_py()):
-                columns = [pa.array([name.as_py()], pa.int64()), pa.array([order.as_py()], pa.int64()), *(pa.array([x.tobytes()], pa.binary()) for x in (rows, answers))]
-                yield pa.RecordBatch.from_arrays(columns, ["page_id", "order", "features", "answers"])
+            whole = int(np.int64(np.uint64(xxhash.xxh64_intdigest(page.as_py())).view(np.int64)))
+            for part, (rows, answers) in enumerate(lesson(page.as_py())):
+                columns = [pa.array([value], pa.int64()) for value in (name.as_py(), order.as_py(), whole, part)] + [pa.array([x.tobytes()], pa.binary()) for x in (rows, answers)]
+                yield pa.RecordBatch.from_arrays(columns, ["page_id", "order", "lesson", "part", "features", "answers"])
 
 
 def fitted(pages: DataFrame, pages_used: int = SAMPLE_PAGES) -> crf.Model:
@@ -222,12 +256,15 @@ def fitted(pages: DataFrame, pages_used: int = SAMPLE_PAGES) -> crf.Model:
     share = min(1.0, 4 * pages_used / max(1, known.count()))
     while True:
         tried = known.where(F.col("order") <= int(share * 2**64) - 2**63) if share < 1 else known
-        lessons = shared.written(tried.mapInArrow(_teacher, "page_id bigint, order bigint, features binary, answers binary"), "lessons")
+        lessons = shared.written(tried.mapInArrow(_teacher, "page_id bigint, order bigint, lesson bigint, part bigint, features binary, answers binary"), "lessons")
         named = lessons.select("page_id", "order").distinct().orderBy("order", "page_id").limit(pages_used)
         if share == 1 or named.count() == pages_used:
             break
         share = min(1.0, 8 * share)
-    rows = lessons.join(F.broadcast(named.select("page_id")), "page_id").orderBy("features", "answers").limit(8 * pages_used).collect()
+    # Each page's lesson is taken once: rows that share its number would crowd out other pages.
+    once = F.row_number().over(Window.partitionBy("page_id").orderBy("lesson"))
+    own = lessons.join(F.broadcast(named.select("page_id")), "page_id").select("page_id", "lesson").distinct().withColumn("first", once).where("first = 1").drop("first")
+    rows = lessons.join(F.broadcast(own), ["page_id", "lesson"]).dropDuplicates(["page_id", "part"]).orderBy("features", "answers").collect()
     answers = [np.frombuffer(row["answers"]) for row in rows]
     parts = [np.frombuffer(row["features"]).reshape(-1, len(FEATURES)) for row in rows]
     model = crf.fit(np.concatenate([*parts, np.zeros((0, len(FEATURES)))]), np.concatenate([*answers, np.zeros(0)]), np.array([len(part) for part in answers], np.int64))
@@ -261,7 +298,7 @@ def _extractor(model: crf.Model) -> Callable[[Iterator[pa.RecordBatch]], Iterato
 def extracted(pages: DataFrame, model: crf.Model) -> DataFrame:
     """page_id, url, text and n_chars (code points) of each page.
 
-    A NULL or empty html and a page without main text give an empty text. Rows that repeat are answered each for
+    A NULL or empty html and a page without main text give an empty text. Very long pages are read whole. Rows that repeat are answered each for
     itself; no pages: no rows; other columns are ignored. A page is read in the task that has it.
     """
     shared.with_code(pages.sparkSession)
