@@ -83,17 +83,19 @@ AGAIN = {
     "short_card": (r"[0-9](?:[ -]?[0-9]){%d}", range(14, 11, -1)),
 }
 LONGEST = 64
+PART = 64
 
 
-def _running(lengths: Column) -> Column:
-    """Running totals of an array, by doubling steps."""
-    steps = F.sequence(F.lit(0), F.ceil(F.log2(F.size(lengths) + 1)).cast("int"))
+def _running(values: Column, added: Callable[[Column, Column], Column] = lambda a, b: b + a, none: Column | None = None) -> Column:
+    """Running totals of an array, or of another operation of what lies before and a value, by doubling steps."""
+    none = F.lit(0) if none is None else none
+    steps = F.sequence(F.lit(0), F.ceil(F.log2(F.size(values) + 1)).cast("int"))
 
     def doubled(totals: Column, step: Column) -> Column:
         back = F.call_function("shiftleft", F.lit(1), step)
-        return F.transform(totals, lambda value, at: value + F.when(at >= back, F.get(totals, at - back)).otherwise(0))
+        return F.transform(totals, lambda value, at: added(F.when(at >= back, F.get(totals, at - back)).otherwise(none), value))
 
-    return F.aggregate(steps, lengths, doubled)
+    return F.aggregate(steps, values, doubled)
 
 
 def _spans(kind: Kind, matches: Column, gaps: Column, ends: Column) -> Column:
@@ -117,25 +119,63 @@ def _begin(kind: Kind) -> str:
     return rf"(?<![0-9A-Za-z-])(?={pattern % repeats[-1]})"
 
 
-def _again(kind: Kind, tails: Column, befores: Column, starts: Column) -> Column:
-    """Scored spans at all possible beginnings, each with its longest confirmed end."""
+def _values(kind: Kind, tails: Column) -> Column:
+    """The longest confirmed end at each possible beginning, NULL where there is none."""
     pattern, repeats = AGAIN[kind.name]
 
-    def span(tail: Column, at: Column) -> Column:
+    def longest(tail: Column) -> Column:
         ends = F.array(*(F.regexp_extract(tail, rf"^({pattern % n})(?![0-9A-Za-z-])", 1) for n in repeats))
-        good = F.filter(ends, lambda value: (value != "") & kind.confirmed({"value": value, "before": F.lit(""), "after": F.lit("")}))
-        value, start = F.get(good, F.lit(0)), F.get(starts, at)
-        after = F.substr(tail, F.length(value) + 1, F.lit(NEARBY))
+        return F.get(F.filter(ends, lambda value: (value != "") & kind.confirmed({"value": value, "before": F.lit(""), "after": F.lit("")})), F.lit(0))
+
+    return F.transform(tails, longest)
+
+
+def _again(kind: Kind, values: Column, tails: Column, befores: Column, starts: Column) -> Column:
+    """Scored spans at all beginnings with a confirmed end."""
+
+    def span(value: Column, at: Column) -> Column:
+        start = F.get(starts, at)
+        after = F.substr(F.get(tails, at), F.length(value) + 1, F.lit(NEARBY))
         return F.struct(F.lit(kind.name).alias("kind"), start.alias("start"), (start + F.length(value)).alias("end"), value.alias("value"), F.get(befores, at).alias("before"), after.alias("after"))
 
-    return F.transform(F.filter(F.transform(tails, span), lambda span: span["value"].isNotNull()), lambda span: _scored(kind, span))
+    return F.transform(F.filter(F.transform(values, span), lambda span: span["value"].isNotNull()), lambda span: _scored(kind, span))
+
+
+def _free(spans: Column, taken: Column) -> Column:
+    """Spans that overlap no taken one, in their order.
+
+    Spans ask at their ends how far those reach that have begun before: one sort of both, and a running maximum.
+    """
+    asking = F.transform(spans, lambda span, at: F.struct(span["end"].alias("at"), F.lit(0).alias("kind"), F.lit(0).alias("reach"), at.alias("number")))
+    begun = F.transform(taken, lambda span: F.struct(span["start"].alias("at"), F.lit(1).alias("kind"), span["end"].alias("reach"), F.lit(-1).alias("number")))
+    events = F.array_sort(F.concat(asking, begun))
+    reached = F.zip_with(events, _running(F.transform(events, lambda event: event["reach"]), F.greatest), lambda event, reach: F.struct(event["number"].alias("number"), reach.alias("reach")))
+    answers = F.array_sort(F.filter(reached, lambda answer: answer["number"] >= 0))
+    both = F.zip_with(spans, answers, lambda span, answer: F.struct(span.alias("span"), answer["reach"].alias("reach")))
+    return F.transform(F.filter(both, lambda x: x["reach"] <= x["span"]["start"]), lambda x: x["span"])
 
 
 def _apart(spans: Column, taken: Column) -> Column:
-    """Spans in order of their starts without those that overlap a taken one or one kept before."""
-    free = F.filter(spans, lambda span: ~F.exists(taken, lambda other: (other["start"] < span["end"]) & (span["start"] < other["end"])))
+    """Spans in order of their starts without those that overlap a taken one or one kept before.
+
+    They are taken in parts of PART, so that what has been kept is copied once for each part and not for each span.
+    """
+    free = _free(spans, taken)
     none = F.filter(spans, lambda span: F.lit(False))
-    return F.aggregate(free, none, lambda kept, span: F.when(F.coalesce(F.try_element_at(kept, F.lit(-1))["end"], F.lit(0)) <= span["start"], F.concat(kept, F.array(span))).otherwise(kept))
+
+    def kept_from(end: Column, part: Column) -> Column:
+        start = F.struct(end.alias("end"), none.alias("kept"))
+        step = lambda held, span: F.when(held["end"] <= span["start"], F.struct(span["end"].alias("end"), F.concat(held["kept"], F.array(span)).alias("kept"))).otherwise(held)
+        return F.aggregate(part, start, step)
+
+    def joined(held: Column, at: Column) -> Column:
+        found = kept_from(held["end"], F.slice(held["spans"], at * PART + 1, F.lit(PART)))
+        return F.transform(F.array(found), lambda new: F.struct(new["end"].alias("end"), F.concat(held["kept"], new["kept"]).alias("kept"), held["spans"].alias("spans")))[0]
+
+    parts = F.sequence(F.lit(0), F.floor(F.size(spans) / PART).cast("int"))
+    # The sorted spans are part of what is carried: as an expression they would be made anew for each part.
+    begin = F.transform(F.array(free), lambda own: F.struct(F.lit(0).alias("end"), none.alias("kept"), own.alias("spans")))[0]
+    return F.aggregate(parts, begin, joined)["kept"]
 
 
 def _patterns(kinds: tuple[Kind, ...]) -> dict[str, Kind]:
@@ -174,13 +214,15 @@ def personal_data(documents: DataFrame) -> DataFrame:
     tails = based.select("*", *(F.regexp_extract_all("text", F.lit(_begin(kind) + rf"(?=([\s\S]{{1,{LONGEST + NEARBY}}}))"), F.lit(1)).alias(f"tails_{kind.name}") for kind in retried))
     taken = F.filter("base_spans", lambda span: span["kind"] == "card")
     for kind in retried:
-        # Java looks back by UTF-16 units, of which a character may have two.
-        befores = F.regexp_extract_all("text", F.lit(_begin(kind) + rf"(?<=(\A[\s\S]{{0,{2 * NEARBY - 1}}}|[\s\S]{{{NEARBY},{2 * NEARBY}}}))"), F.lit(1))
         # A sign in front keeps the piece before a beginning at 0.
-        starts = F.transform(_running(F.transform(F.split(F.concat(F.lit(" "), "text"), _begin(kind), -1), F.length)), lambda end: end - 1)
+        pieces = f"pieces_{kind.name}"
+        tails = tails.withColumn(pieces, F.split(F.concat(F.lit(" "), "text"), _begin(kind), -1))
+        starts = F.transform(_running(F.transform(pieces, F.length)), lambda end: end - 1)
+        befores = _running(F.transform(pieces, lambda piece: F.right(piece, F.lit(NEARBY))), lambda before, piece: F.right(F.concat(before, piece), F.lit(NEARBY)), F.lit(""))
         some_tails = F.size(f"tails_{kind.name}") > 0
         tails = tails.withColumns({f"befores_{kind.name}": F.when(some_tails, befores), f"starts_{kind.name}": F.when(some_tails, starts)})
-        more = _again(kind, F.col(f"tails_{kind.name}"), F.col(f"befores_{kind.name}"), F.col(f"starts_{kind.name}"))
+        tails = tails.withColumn(f"values_{kind.name}", F.when(some_tails, _values(kind, F.col(f"tails_{kind.name}"))))
+        more = _again(kind, *(F.col(f"{part}_{kind.name}") for part in ("values", "tails", "befores", "starts")))
         known = F.col("iban") if kind.name == "iban" else F.concat(kind.name, "iban", taken)
         tails = tails.withColumn(f"more_{kind.name}", F.when(some_tails, more).otherwise(none))
         both = F.array_sort(F.concat(F.col(kind.name), _apart(F.col(f"more_{kind.name}"), known)))

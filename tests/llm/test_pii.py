@@ -5,6 +5,7 @@ from __future__ import annotations
 import hashlib
 import random
 import re
+import time
 
 from odd_rows import SMALL, rows
 from pyspark.sql import functions as F
@@ -103,3 +104,33 @@ def test_odd_documents(odd, empty):
     assert pii_spans.personal_data(empty).count() == 0
     plan = found._jdf.queryExecution().executedPlan().toString()
     assert "Exchange" not in plan.replace("Exchange RoundRobinPartitioning", "") and "Python" not in plan
+
+
+def test_a_long_text_of_cards_and_codes_takes_time_in_proportion(spark):
+    """Half a megabyte of cards, short cards and account codes side by side."""
+    unit = "card 4539578763621486 or code 378282246310005 iban DE89 3704 0044 0532 0130 00 BIC "
+    n = 6000
+    df = spark.createDataFrame([(1, unit * n)], "doc_id bigint, text string")
+    began = time.perf_counter()
+    row = pii_spans.personal_data(df).select(F.size("base_spans").alias("base"), F.size("spans").alias("every")).first()
+    assert row["base"] >= n and row["every"] >= 2 * n - 10
+    assert time.perf_counter() - began < 60
+
+
+def test_free_and_apart_are_those_of_loops(spark):
+    dice = random.Random(3)
+    kind = "array<struct<start:int,end:int>>"
+    rows, expected = [], []
+    for _ in range(60):
+        draw = lambda n, most: sorted((a := dice.randrange(400), a + dice.randrange(1, most)) for _ in range(n))
+        spans, taken = draw(dice.randrange(150), 12), draw(dice.randrange(20), 9)
+        free = [s for s in spans if not any(t[0] < s[1] and s[0] < t[1] for t in taken)]
+        kept, end = [], 0
+        for s in free:
+            if end <= s[0]:
+                kept, end = [*kept, s], s[1]
+        rows.append((spans, taken))
+        expected.append((free, kept))
+    df = spark.createDataFrame([(i, *row) for i, row in enumerate(rows)], f"i int, spans {kind}, taken {kind}")
+    for row in df.select("i", pii_spans._free(F.col("spans"), F.col("taken")).alias("free"), pii_spans._apart(F.col("spans"), F.col("taken")).alias("kept")).collect():
+        assert ([tuple(s) for s in row["free"]], [tuple(s) for s in row["kept"]]) == expected[row["i"]]
