@@ -13,6 +13,8 @@ from tokenizers import Tokenizer
 
 from odd_rows import SMALL, rows
 
+from pyspark.sql import functions as F
+
 from tallywork.llm import arrow_shards, binary_packing, registered, shared, tokens
 
 FILES = {name: public_tokenizers.path(name) for name in ("byte_bpe_50k.json", "word_bpe_49k.json")}
@@ -89,6 +91,16 @@ def test_a_sequence_is_reached_without_a_copy(tmp_path):
     assert shard.schema.field("input_ids").type == pa.list_(pa.uint16(), 8)
 
 
+def test_shards_are_read_back_in_as_many_tasks(spark, monkeypatch, tmp_path):
+    """Adaptive execution merges small partitions, but not those whose number is given."""
+    monkeypatch.setattr(shared, "ROWS_PER_RANGE", 20)
+    assert spark.conf.get("spark.sql.adaptive.enabled") == "true"
+    shards = arrow_shards.write_shards(spark.read.parquet(f"{SMALL}/documents.parquet"), f"file://{tmp_path}/shards", FILES["byte_bpe_50k.json"])
+    read = arrow_shards.read_documents(shards)
+    assert shards.count() >= 8 and read.rdd.getNumPartitions() == shards.count()
+    assert read.select(F.spark_partition_id()).distinct().count() > shards.count() // 3
+
+
 def test_binary_lengths():
     for n in (1, 2, 3, 4095, 4096, 4097, 8191, 123_457):
         found = binary_packing.binary_lengths(n)
