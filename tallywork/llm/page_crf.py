@@ -24,6 +24,7 @@ from tallywork.llm import crf, shared, tokens
 
 SAMPLE_PAGES = 400
 SAMPLE_BLOCKS = 64
+SLICE_BYTES = 1 << 20
 NONE, NAMED, MAIN, ARTICLE, FURNITURE = 0, 1, 2, 3, 4
 ENOUGH = 0.1
 #: What a name weighs against one feature of the text: an item of a list in an article belongs to it, though most lists are menus.
@@ -66,6 +67,9 @@ HIDDEN_STYLE = re.compile(r"(?:^|;)\s*(?:display\s*:\s*none|visibility\s*:\s*hid
 ABSENT = re.compile(r"\b(?:has|have|hide|no|show|with|without)[-_]+\w+", re.I)
 WORD = re.compile(r"[A-Z]?[a-z]+|[A-Z]+|[0-9]+")
 
+DIGITS, MARKS = re.compile(r"\d"), re.compile("[|·»©›]")
+ITEMS, HEADINGS, CELLS = frozenset(("li", "dt", "dd")), frozenset(f"h{n}" for n in range(1, 7)), frozenset(("td", "th"))
+
 FEATURES = (
     "article", "furniture", "paragraph", "item", "heading", "cell", "link_share", "links_only", "few_words", "some_words", "words", "many_words",
     "stops", "ends_stop", "capital", "digits", "marks", "notice", "first", "last",
@@ -204,19 +208,22 @@ def _settled(found: list[tuple[str, int, str, int]]) -> list[tuple[str, int, str
 
 def features(found: list[tuple[str, int, str, int]], named: np.ndarray | None = None) -> np.ndarray:
     """A row of FEATURES for each block: its name (where `named` says so, if given), its tag and its text."""
-    rows = np.zeros((len(found), len(FEATURES)))
+    rows = []
+    last = len(found) - 1
     for row, (text, said, tag, linked) in enumerate(found):
         words = text.count(" ") + 1
         link = min(1.0, linked / len(text))
-        known = said != NONE and (named is None or named[row])
-        rows[row] = (
-            NAME * (known and said == ARTICLE), NAME * (known and said != ARTICLE),
-            tag == "p", tag in ("li", "dt", "dd"), len(tag) == 2 and tag[0] == "h" and tag[1].isdigit(), tag in ("td", "th"),
+        known = NAME if said != NONE and (named is None or named[row]) else 0.0
+        article = said == ARTICLE
+        rows.append((
+            known * article, known * (not article),
+            tag == "p", tag in ITEMS, tag in HEADINGS, tag in CELLS,
             link, link > 0.8, words <= 3, 3 < words <= 10, 10 < words <= 40, words > 40,
-            min(1.0, sum(map(text.count, ".!?")) / words), text[-1] in ".!?", text[0].isupper(), sum(map(str.isdigit, text)) > 0.2 * len(text), any(mark in text for mark in "|·»©›"),
-            NOTICE.search(text) is not None and words < 60, row == 0, row == len(found) - 1,
-        )
-    return rows
+            min(1.0, (text.count(".") + text.count("!") + text.count("?")) / words), text[-1] in ".!?", text[0].isupper(),
+            5 * len(DIGITS.findall(text)) > len(text), MARKS.search(text) is not None,
+            words < 60 and NOTICE.search(text) is not None, row == 0, row == last,
+        ))
+    return np.array(rows, float).reshape(len(found), len(FEATURES))
 
 
 def lesson(page: str, most: int = SAMPLE_BLOCKS) -> list[tuple[np.ndarray, np.ndarray]]:
@@ -273,13 +280,17 @@ def fitted(pages: DataFrame, pages_used: int = SAMPLE_PAGES) -> crf.Model:
     return model
 
 
+def main_texts(pages: list[str], model: crf.Model) -> list[str]:
+    """The blocks of each page that the field marks as main text, in page order, two line breaks between them. All pages are decoded together."""
+    found = [blocks(page) for page in pages]
+    lengths = np.array([len(own) for own in found], np.int64)
+    rows = np.concatenate([features(own) for own in found if own] or [np.zeros((0, len(FEATURES)))])
+    marked = iter((crf.viterbi(model.scores(rows), lengths, model) == 1).tolist())
+    return ["\n\n".join([block[0] for block in own if next(marked)]) for own in found]
+
+
 def main_text(page: str, model: crf.Model) -> str:
-    """The blocks that the field marks as main text, in page order, two line breaks between them."""
-    found = blocks(page)
-    if not found:
-        return ""
-    marked = crf.viterbi(model.scores(features(found)), np.array([len(found)]), model)
-    return "\n\n".join(block[0] for block, mark in zip(found, marked, strict=True) if mark)
+    return main_texts([page], model)[0]
 
 
 RESULT = "page_id bigint, url string, text string, n_chars bigint"
@@ -288,9 +299,11 @@ RESULT = "page_id bigint, url string, text string, n_chars bigint"
 def _extractor(model: crf.Model) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     def extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = [main_text(page.as_py(), model) for page in tokens.column(batch, "html")]
-            columns = [batch.column("page_id"), batch.column("url"), pa.array(texts, pa.string()), pa.array([len(text) for text in texts], pa.int64())]
-            yield pa.RecordBatch.from_arrays(columns, [field.split()[0] for field in RESULT.split(", ")])
+            pages = tokens.column(batch, "html")
+            for first, last in tokens.slices(pages, SLICE_BYTES):
+                texts = main_texts(pages.slice(first, last - first).to_pylist(), model)
+                columns = [*(batch.column(name).slice(first, last - first) for name in ("page_id", "url")), pa.array(texts, pa.string()), pa.array([len(text) for text in texts], pa.int64())]
+                yield pa.RecordBatch.from_arrays(columns, [field.split()[0] for field in RESULT.split(", ")])
 
     return extract
 
