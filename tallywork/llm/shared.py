@@ -49,14 +49,14 @@ def with_code(spark: SparkSession) -> None:
     _shipped.add(application)
 
 
-def range_bounds(df: DataFrame, key: str, rows_per_range: int = ROWS_PER_RANGE) -> list[int]:
-    """Lower bounds that cut an integer key into ranges of about so many rows, by approximate quantiles.
+def range_bounds(df: DataFrame, key: str, rows_per_range: int | None = None) -> list[int]:
+    """Lower bounds that cut an integer key into ranges of about so many rows (ROWS_PER_RANGE), by approximate quantiles.
 
     At most MOST_RANGES numbers reach the driver, whatever the input; beyond that ranges grow.
     A key that is one value for many rows stays in one range. No rows or only NULL keys: no bounds.
     """
     rows = df.where(F.col(key).isNotNull()).count()
-    ranges = min(MOST_RANGES, rows // rows_per_range + 1)
+    ranges = min(MOST_RANGES, rows // (rows_per_range or ROWS_PER_RANGE) + 1)
     if ranges < 2:
         return []
     fractions = [i / ranges for i in range(1, ranges)]
