@@ -439,9 +439,9 @@ def task_records(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _events(spark: SparkSession, sf: str) -> DataFrame:
-    """The log as text files in the shared folder, read back as events."""
+    """The log as compressed text files in the shared folder, read back as events."""
     path = new_folder(spark, "event-log")
-    data.event_lines(spark, sf).write.text(path)
+    event_log.write_events(data.event_lines(spark, sf), path)
     # Spark names the files itself: all of them are one log here.
     return event_log.read_events(spark, path).withColumn("log", F.lit("application"))
 

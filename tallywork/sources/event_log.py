@@ -27,6 +27,8 @@ _METRICS = (
     " `Shuffle Read Metrics`: STRUCT<`Remote Bytes Read`: BIGINT, `Local Bytes Read`: BIGINT, `Total Records Read`: BIGINT>>"
 )
 BROKEN = "broken_line"
+# A compressed file is read by one task, so it has so many events at most; they take about 4 MB.
+EVENTS_PER_FILE = 1 << 18
 EVENT_SCHEMA = (
     "`Event` STRING, `Job ID` BIGINT, `Submission Time` BIGINT, `Completion Time` BIGINT, `Stage IDs` ARRAY<BIGINT>,"
     f" `Stage Infos` ARRAY<{_STAGE_INFO}>, `Job Result` STRUCT<`Result`: STRING>, `Stage Info` {_STAGE_INFO},"
@@ -39,8 +41,19 @@ SUCCEEDED, FAILED, RUNNING, NO_START = "SUCCEEDED", "FAILED", "RUNNING", "NO_STA
 COMPLETE, ACTIVE, SKIPPED, PENDING = "COMPLETE", "ACTIVE", "SKIPPED", "PENDING"
 
 
+def write_events(lines: DataFrame, path: str, line: str = "line") -> None:
+    """Lines of a log as compressed text files, as Spark itself keeps logs: their names and times repeat, so they take a small part of the space."""
+    (
+        lines.select(F.col(line).alias("value"))
+        .write.option("compression", "gzip")
+        .option("zlib.compress.level", "BEST_SPEED")
+        .option("maxRecordsPerFile", EVENTS_PER_FILE)
+        .text(path)
+    )
+
+
 def read_events(spark: SparkSession, path: str | list[str]) -> DataFrame:
-    """The events of all logs under a path, with the name of the log's file. Lines that are no JSON object have BROKEN set.
+    """The events of all logs under a path, plain or with gzip (``.gz``), with the name of the log's file. Lines that are no JSON object have BROKEN set.
 
     Read through the schema: a line is parsed once, and only for the fields that a query uses.
     """

@@ -9,7 +9,9 @@ from pyspark.sql import functions as F
 
 from helpers import plan_of
 from tallywork.operators import profile
+from tallywork.plans import driver_tables, registered
 from tallywork.sources import event_log
+from tallywork.sources.shared_folder import new_folder
 
 
 def job_start(job, stages, at=1000, tasks=2):
@@ -122,6 +124,27 @@ def test_a_column_of_lines_gives_the_same(spark, events):
     assert counted == {"app-1": (len(LINES) + 2, 2), "app-3": (2, 2)}
 
 
+def test_a_written_log_is_small_and_no_file_is_large(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(event_log, "EVENTS_PER_FILE", 1000)
+    event = '{"Event":"SparkListenerTaskStart","Stage ID":7,"Stage Attempt ID":0,"Task Info":{"Task ID":%d,"Launch Time":1700000000000}}'
+    lines = spark.range(0, 5000, 1, 2).select(F.format_string(event, "id").alias("line")).union(spark.createDataFrame([('{"Event":"Spark',)], "line string"))
+    event_log.write_events(lines, str(tmp_path / "log"))
+    files = list((tmp_path / "log").glob("part-*.gz"))
+    assert len(files) >= 6 and sum(f.stat().st_size for f in files) < 5000 * len(event) / 8
+    read = event_log.read_events(spark, str(tmp_path / "log")).withColumn("log", F.lit("one"))
+    assert event_log.counts(read).select("lines", "broken_lines", "task_starts").first() == (5001, 1, 5000)
+    tasks = event_log.tasks_of(read).select("task_id").collect()
+    assert sorted(task["task_id"] for task in tasks) == list(range(5000))
+
+
+def test_the_registered_log_is_compressed(spark, monkeypatch):
+    made = []
+    monkeypatch.setattr(registered, "new_folder", lambda session, name: made.append(new_folder(session, name)) or made[-1])
+    events = registered._events(spark, "/root/testdata/sf0.001")
+    assert events.count() == driver_tables.event_lines(spark, "/root/testdata/sf0.001").count()
+    assert {row.name.endswith(".gz") for row in spark.read.format("binaryFile").load(made[0]).select(F.col("path").alias("name")).collect()} == {True}
+
+
 def test_an_empty_log(spark):
     own = event_log.events_of(spark.createDataFrame([], "log string, line string"))
     assert event_log.jobs_of(own).count() == event_log.stages_of(own).count() == event_log.tasks_of(own).count() == event_log.counts(own).count() == 0
