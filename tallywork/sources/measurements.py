@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallywork.functions import names
-from tallywork.sources.files import move_parts
+from tallywork.sources.files import directory_value, escaped, write_files
 
 # The headers of the measurement files.
 _CONFIGURATION = "COMPILER STRING, MODEL STRING, QUANTIZATION STRING, SEEDING STRING, PROMPT STRING"
@@ -51,14 +51,8 @@ def read_written_measurements(
 
 def write_prompts(prompts: DataFrame, path: str) -> None:
     """One file per prompt, ``<type>/<id>``, that ends with a line feed."""
-    staged = f"{path}/_staged"
-    (
-        prompts.select("prompt_type", "prompt_id", F.col("text").alias("value"))
-        .hint("rebalance", "prompt_type", "prompt_id")
-        .write.partitionBy("prompt_type", "prompt_id")
-        .text(staged)
-    )
-    move_parts(prompts.sparkSession, staged, path, lambda values, _: f"{values['prompt_type']}/{values['prompt_id']}")
+    file = F.concat_ws("/", directory_value(F.col("prompt_type")), directory_value(F.col("prompt_id")))
+    write_files(prompts, path, file, F.col("text"))
 
 
 def read_prompts(spark: SparkSession, path: str) -> DataFrame:
@@ -88,12 +82,8 @@ def write_responses(responses: DataFrame, path: str) -> None:
 
 def write_response_files(responses: DataFrame, path: str) -> None:
     """The same as plain text, one directory per model, prompt type and prompt id."""
-    (
-        responses.select("model", "prompt_type", "prompt_id", F.col("content").alias("value"))
-        .write.mode("overwrite")
-        .partitionBy("model", "prompt_type", "prompt_id")
-        .text(path)
-    )
+    folders = [F.concat(F.lit(f"{key}="), escaped(F.col(key))) for key in ("model", "prompt_type", "prompt_id")]
+    write_files(responses, path, F.concat_ws("/", *folders, F.lit("part-0.txt")), F.col("content"), overwrite=True)
 
 
 def read_response_files(spark: SparkSession, path: str) -> DataFrame:

@@ -170,3 +170,24 @@ class Cluster:
 def test_a_cluster_without_the_setting_is_an_error():
     with pytest.raises(ValueError, match="spark.checkpoint.dir"):
         shared_folder.shared_folder(Cluster)
+
+
+def test_files_are_written_and_named_in_tasks(spark, tmp_path, monkeypatch):
+    """No file goes through the driver, and names and texts are those that Spark's own writer gives."""
+    monkeypatch.setattr(files, "move_parts", None)
+    keys = [("a/b", "1:2"), ("c d=%", "ä^{"), ("m", "it's [x]?*#"), (None, "n"), ("", "e")]
+    rows = [(kind, name, text, i) for i, (kind, name) in enumerate(keys) for text in ("one\ntwo", "", None)]
+    answers = spark.createDataFrame(rows, "prompt_type string, prompt_id string, content string, n int").withColumn("model", F.concat(F.lit("m"), "n"))
+    measurements.write_response_files(answers, str(tmp_path / "own"))
+    plain = answers.orderBy("content").coalesce(1).select("model", "prompt_type", "prompt_id", F.col("content").alias("value"))
+    plain.write.partitionBy("model", "prompt_type", "prompt_id").text(str(tmp_path / "spark"))
+    texts = [{str(f.parent.relative_to(tmp_path / name)): sorted(f.read_bytes().split(b"\n")) for f in (tmp_path / name).rglob("part-*")} for name in ("own", "spark")]
+    assert texts[0] == texts[1] and len(texts[0]) == len(keys)
+    read = [measurements.read_response_files(spark, str(tmp_path / name)).drop("content") for name in ("own", "spark")]
+    assert rows_of(read[0]) == rows_of(read[1])
+    measurements.write_response_files(answers.limit(0), str(tmp_path / "own"))
+    assert measurements.read_response_files(spark, str(tmp_path / "own")).count() == 0
+    prompts = answers.select("prompt_type", "prompt_id", F.col("content").alias("text")).where("prompt_type = 'm' OR prompt_type IS NULL")
+    measurements.write_prompts(prompts, str(tmp_path / "prompts"))
+    found = sorted(str(f.relative_to(tmp_path / "prompts")) for f in (tmp_path / "prompts").rglob("*") if f.is_file())
+    assert found == [f"{files.NO_VALUE}/n", "m/it's [x]?*#"]
