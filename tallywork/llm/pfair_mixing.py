@@ -59,22 +59,52 @@ def period(parts: dict[str, int]) -> dict[str, list[int]]:
 
 
 def phases(blocks: dict[str, int], parts: dict[str, int]) -> list[Phase]:
-    """All phases until each source has given its blocks."""
-    used, base, number = dict.fromkeys(blocks, 0), 0, 0
+    """All phases until each source has given its blocks; a source that gives none in a phase has no row there.
+
+    A phase is laid out only up to its end, at most for one period, and what has one part, as most of many sources have, waits
+    in the order of names. So the work and the rows follow the blocks, and not the square of the number of sources.
+    """
+    left = {name: number for name, number in blocks.items() if number > 0}
+    several = [name for name in sorted(left) if parts[name] != 1]
+    ones = [name for name in sorted(left) if parts[name] == 1]
+    used, base, number = dict.fromkeys(left, 0), 0, 0
     out: list[Phase] = []
-    while live := [name for name in sorted(blocks) if used[name] < blocks[name]]:
-        own = {name: parts[name] for name in live}
-        total, slots = sum(own.values()), period(own)
-        ends = {}
-        for name in live:
-            whole, rest = divmod(blocks[name] - used[name] - 1, own[name])
-            ends[name] = whole * total + slots[name][rest] + 1
-        length = min(ends.values())
-        whole, rest = divmod(length, total)
-        for name in live:
-            until = used[name] + whole * own[name] + sum(slot < rest for slot in slots[name])
-            out.append(Phase(name, number, used[name], until, base, total, own[name], slots[name]))
-            used[name] = until
+    while several or ones:
+        total = len(ones) + sum(parts[name] for name in several)
+        slots: dict[str, list[int]] = {}
+        released, coming, at, ended = [(-(-total // parts[name]), name) for name in several], [], 0, None
+        heapq.heapify(released)
+        for slot in range(total):
+            while coming and coming[0][0] <= slot:
+                _, name = heapq.heappop(coming)
+                heapq.heappush(released, (-(-(len(slots[name]) + 1) * total // parts[name]), name))
+            if at < len(ones) and not (released and released[0] < (total, ones[at])):
+                name, at = ones[at], at + 1
+            else:
+                _, name = heapq.heappop(released)
+            own = slots.setdefault(name, [])
+            own.append(slot)
+            if len(own) == left[name]:
+                ended = name
+                break
+            if len(own) < parts[name]:
+                heapq.heappush(coming, (len(own) * total // parts[name], name))
+        if ended is not None:
+            length, given = slot + 1, {name: len(own) for name, own in slots.items()}
+        else:
+            ends = {}
+            for name, own in slots.items():
+                whole, rest = divmod(left[name] - 1, parts[name])
+                ends[name] = whole * total + own[rest] + 1
+            length = min(ends.values())
+            whole, rest = divmod(length, total)
+            given = {name: whole * parts[name] + sum(slot < rest for slot in own) for name, own in slots.items()}
+        for name in sorted(given):
+            out.append(Phase(name, number, used[name], used[name] + given[name], base, total, parts[name], slots[name]))
+            used[name] += given[name]
+            left[name] -= given[name]
+            if not left[name]:
+                (ones if parts[name] == 1 else several).remove(name)
         base, number = base + length, number + 1
     return out
 
@@ -90,7 +120,7 @@ def _source(source: Column) -> Column:
     return F.coalesce(source.cast("string"), F.lit(""))
 
 
-def scheduled(documents: DataFrame, parts: dict[str, int] | None = None, temperature: float = TEMPERATURE, block_chars: int = BLOCK_CHARS, grouped: bool = False) -> DataFrame:
+def scheduled(documents: DataFrame, parts: dict[str, int] | None = None, temperature: float = TEMPERATURE, block_chars: int = BLOCK_CHARS, grouped: bool = False, bounded: bool = True) -> DataFrame:
     """The documents with mix_source, block, phase, release, deadline, slot and mix_place.
 
     `parts` are the target weights by source; without them they follow the sizes of the sources, counted over
@@ -101,8 +131,9 @@ def scheduled(documents: DataFrame, parts: dict[str, int] | None = None, tempera
     with one of the seven names are replaced.
 
     No source has to fit into a task: running sizes are taken within ranges of doc_id and carried over as one
-    number for each range and source. The driver gets one row for each source, MOST_SOURCES at most; more raise
-    an error unless they are to be grouped. Then half as many sources, those with the most characters, stay, and
+    number for each range and source. Each source is scheduled for itself, however many there are, if not `bounded`: the driver gets
+    one row for each and plans all of their blocks. Bounded, more than MOST_SOURCES are an error. Only if `grouped`, whatever their
+    number, half as many sources, those with the most characters, stay, and
     the others share groups by the hash of their name. A group has the sum of its sources' weights, its name begins
     with a zero character, and its documents follow one another by a hash, so its sources are mixed in it.
     """
@@ -114,12 +145,8 @@ def scheduled(documents: DataFrame, parts: dict[str, int] | None = None, tempera
     rows = given.select("row", "text", F.col("row.doc_id").alias("doc_id"), _source(F.col("row.source")).alias("mix_source"), shared.range_of(F.col("row.doc_id"), bounds).alias("mix_range"), size.cast("bigint").alias("mix_size"), F.xxhash64("text").alias("mix_tie"))
     sums = shared.written(rows.groupBy("mix_source", "mix_range").agg(F.sum("mix_size").alias("sum")), "source-sizes")
     totals = sums.groupBy("mix_source").agg(F.sum("sum").alias("sum"))
-    found = totals.orderBy("mix_source").limit(MOST_SOURCES + 1).collect()
     rows = rows.withColumn("mix_key", F.col("doc_id"))
-    if len(found) <= MOST_SOURCES:
-        sizes = {row["mix_source"]: row["sum"] for row in found}
-        own = {name: (parts or {}).get(name, 1) for name in sizes} if parts else target_parts(sizes, temperature)
-    elif grouped:
+    if grouped:
         kept = [row["mix_source"] for row in totals.orderBy(F.desc("sum"), "mix_source").limit(MOST_SOURCES // 2).collect()]
         single = F.col("mix_source").isin(kept)
         group = F.when(single, F.col("mix_source")).otherwise(F.concat(F.lit("\0"), F.pmod(F.xxhash64("mix_source"), F.lit(MOST_SOURCES - len(kept))).cast("string")))
@@ -134,7 +161,11 @@ def scheduled(documents: DataFrame, parts: dict[str, int] | None = None, tempera
         rows = rows.withColumns({"mix_key": key, "mix_range": F.when(single, F.col("mix_range")).otherwise(hashed), "mix_source": group})
         sums = shared.written(rows.groupBy("mix_source", "mix_range").agg(F.sum("mix_size").alias("sum")), "group-sizes")
     else:
-        raise ValueError(f"more than {MOST_SOURCES} sources: give groups of them one name before mixing")
+        found = (totals.orderBy("mix_source").limit(MOST_SOURCES + 1) if bounded else totals.orderBy("mix_source")).collect()
+        if bounded and len(found) > MOST_SOURCES:
+            raise ValueError(f"more than {MOST_SOURCES} sources: give groups of them one name before mixing, or mix without a bound")
+        sizes = {row["mix_source"]: row["sum"] for row in found}
+        own = {name: (parts or {}).get(name, 1) for name in sizes} if parts else target_parts(sizes, temperature)
     plan = phases({name: (total - 1) // block_chars + 1 for name, total in sizes.items()}, own)
     schema = "mix_source string, phase int, used bigint, until bigint, base bigint, period bigint, parts bigint, slots array<int>"
     table = documents.sparkSession.createDataFrame([tuple(vars(line).values()) for line in plan], schema)
@@ -157,6 +188,6 @@ def scheduled(documents: DataFrame, parts: dict[str, int] | None = None, tempera
 
 def mixed(documents: DataFrame, parts: dict[str, int] | None = None, temperature: float = TEMPERATURE) -> DataFrame:
     """The documents, their columns as they are, laid out in the order of the mixture: its files, read by number, give it."""
-    own = scheduled(shared.folded(documents, "text", "doc_id", "source"), parts, temperature, grouped=True)
+    own = scheduled(shared.folded(documents, "text", "doc_id", "source"), parts, temperature, bounded=False)
     ordered = own.repartitionByRange("slot", "mix_place").sortWithinPartitions("slot", "mix_place")
     return ordered.select(shared.unfolded(documents.columns, "text", "doc_id", "source"))

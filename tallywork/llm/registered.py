@@ -77,7 +77,7 @@ def op8_patience_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op9_pfair_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each document's place in the mixture of the sources."""
-    found = pfair_mixing.scheduled(table(spark, sf_dir, "documents").select("doc_id", "source", "text"), grouped=True)
+    found = pfair_mixing.scheduled(table(spark, sf_dir, "documents").select("doc_id", "source", "text"), bounded=False)
     return found.select("doc_id", "source", "block", "phase", "release", "deadline", "slot", "mix_place")
 
 

@@ -6,7 +6,7 @@ from collections import defaultdict
 
 from pyspark.sql import functions as F
 
-from tallywork.llm import pfair_mixing
+from tallywork.llm import pfair_mixing, registered
 
 
 def test_many_sources_are_scheduled_in_groups(spark, monkeypatch):
@@ -40,3 +40,19 @@ def test_phases_that_are_too_large_to_broadcast_are_joined(spark, monkeypatch):
     monkeypatch.setattr(pfair_mixing, "MOST_BROADCAST", 0)
     assert "strategy=broadcast" not in plan()
     assert own() == expected
+
+
+def test_many_sources_are_scheduled_each_for_itself(spark, monkeypatch, tmp_path):
+    """The registered query gives the same, however few sources were once scheduled singly."""
+    source = F.concat(F.lit("s"), F.floor(F.sqrt("id")).cast("string"))
+    spark.range(900).select(F.col("id").alias("doc_id"), source.alias("source"), F.lit("x" * 9999).alias("text")).write.parquet(f"{tmp_path}/documents.parquet")
+    own = lambda: sorted(map(tuple, registered.op9_pfair_mixing(spark, str(tmp_path)).collect()))
+    expected = own()
+    monkeypatch.setattr(pfair_mixing, "MOST_SOURCES", 4)
+    assert own() == expected
+
+
+def test_the_plan_of_many_sources_has_a_row_for_each_block():
+    blocks = {f"s{i:05d}": 1 + i % 3 for i in range(20_000)} | {"large": 5000}
+    plan = pfair_mixing.phases(blocks, dict.fromkeys(blocks, 1) | {"large": 300})
+    assert sum(line.until - line.used for line in plan) == sum(blocks.values()) and len(plan) <= sum(blocks.values())
