@@ -182,5 +182,10 @@ def documents_ids(texts: pa.Array, path: str, end_id: int, added: bool = False)
     own = encoder(path, added)
     for first, last in slices(texts):
         ids, at = own.ids(texts.slice(first, last - first))
-        for row in range(last - first):
-            yield first + row, np.append(ids[at[row] : at[row + 1]], np.uint32(end_id)).astype("<u4")
+        # Room for an end id after each text: the rows are views of one array.
+        rows = np.arange(last - first)
+        every = np.full(len(ids) + len(rows), end_id, "<u4")
+        every[np.arange(len(ids)) + np.repeat(rows, np.diff(at))] = ids
+        bounds = (at + np.arange(len(at))).tolist()
+        for row in rows.tolist():
+            yield first + row, every[bounds[row] : bounds[row + 1]]
