@@ -134,3 +134,10 @@ def test_packing(spark, odd, which, monkeypatch):
 
 def test_nothing_to_pack(empty):
     assert binary_packing.packed(empty, FILES["word_bpe_49k.json"]).count() == 0
+
+
+def test_a_slices_rows_are_views_of_one_array():
+    texts = pa.array(["one two", "", "three", ""], pa.large_string())
+    rows = dict(tokens.documents_ids(texts, public_tokenizers.path("word_bpe_49k.json"), 2))
+    assert [int(rows[i][-1]) for i in range(4)] == [2] * 4 and len(rows[1]) == len(rows[3]) == 1
+    assert len({id(ids.base) for ids in rows.values()}) == 1 and rows[0].dtype == "<u4"
