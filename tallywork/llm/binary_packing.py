@@ -66,7 +66,7 @@ def packed(documents: DataFrame, tokenizer: str, order: str = "doc_id", end_id:
     shared.with_code(documents.sparkSession)
     columns = documents.select("doc_id", F.col(order).cast("bigint").alias("order"), "text")
     schema = PIECES + (", ids binary" if keep_ids else "")
-    pieces = shared.written(columns.mapInArrow(_cutter(tokenizer, end_id, longest, keep_ids), schema), "pieces")
+    pieces = shared.written(columns.mapInArrow(shared.sparing(_cutter(tokenizer, end_id, longest, keep_ids), encodes=True), schema), "pieces")
     bounds = shared.range_bounds(documents.select(F.col(order).cast("bigint").alias("order")), "order")
     pieces = pieces.withColumn("range", shared.range_of(F.col("order"), bounds))
     sizes = pieces.groupBy("length", "range").agg(F.count(F.lit(1)).alias("sequences"))

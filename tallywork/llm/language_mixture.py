@@ -97,7 +97,7 @@ def learned(documents: DataFrame) -> Languages:
     """
     shared.with_code(documents.sparkSession)
     training = documents.where(F.col("text").isNotNull() & F.col("lang").isNotNull() & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id")))
-    counts = training.select("lang", "text").mapInArrow(_counter, "lang string, cell int, n bigint").groupBy("lang", "cell").agg(F.sum("n").alias("n"))
+    counts = training.select("lang", "text").mapInArrow(shared.sparing(_counter), "lang string, cell int, n bigint").groupBy("lang", "cell").agg(F.sum("n").alias("n"))
     found = counts.toArrow()
     language = np.array(found.column("lang").to_pylist(), object)
     names = sorted(set(language))
@@ -206,4 +206,4 @@ def with_language(documents: DataFrame, languages: Languages, keep: list[str] |
     for name, kind in zip(ADDED, ("string", "double", "string"), strict=True):
         schema = schema.add(name, kind)
     seen = documents.select(*(f"`{name}`" for name in dict.fromkeys([*kept, "text"])))
-    return seen.mapInArrow(_predictor(languages, kept), schema)
+    return seen.mapInArrow(shared.sparing(_predictor(languages, kept)), schema)

@@ -232,7 +232,7 @@ def repeated_lines(documents: DataFrame) -> DataFrame:
     """
     spark = documents.sparkSession
     shared.with_code(spark)
-    lines = shared.written(documents.select("doc_id", _own(F.col("text")).alias("own"), "text").mapInArrow(_lines, RUNS), "runs")
+    lines = shared.written(documents.select("doc_id", _own(F.col("text")).alias("own"), "text").mapInArrow(shared.sparing(_lines), RUNS), "runs")
     holder = F.struct("doc_id", "own")
     first = lines.groupBy("high", "low").agg(F.min(holder).alias("first"), F.max(holder).alias("last"), F.min_by("places", holder).alias("earlier")).where("first < last").drop("last")
     # As a table of its own it meets the runs in a join that adaptive execution can split where a run is in very many documents.
@@ -240,7 +240,7 @@ def repeated_lines(documents: DataFrame) -> DataFrame:
     later = lines.join(first, ["high", "low"]).where(holder > F.col("first"))
     run = F.struct("parts", "sizes", F.col("places").alias("later"), "earlier")
     pairs = later.groupBy("doc_id", "own", "first").agg(F.collect_set(run).alias("runs"))
-    return pairs.select("doc_id", "own", "runs").mapInArrow(_aligned, "doc_id bigint, own bigint, gone array<int>").groupBy("doc_id", "own").agg(F.collect_list("gone").alias("gone"))
+    return pairs.select("doc_id", "own", "runs").mapInArrow(shared.sparing(_aligned), "doc_id bigint, own bigint, gone array<int>").groupBy("doc_id", "own").agg(F.collect_list("gone").alias("gone"))
 
 
 def without_repeats(documents: DataFrame) -> DataFrame:
@@ -254,4 +254,4 @@ def without_repeats(documents: DataFrame) -> DataFrame:
     rows = shared.folded(documents, "text").select("*", F.col("row.doc_id").alias("doc_id"), _own(F.col("text")).alias("own"))
     joined = rows.join(gone, F.col("doc_id").eqNullSafe(F.col("gone_doc_id")) & (F.col("own") == F.col("gone_own")), "left").select("row", "text", "gone")
     schema = joined.drop("gone").schema.add("n_lines", "long").add("n_deleted", "long")
-    return joined.mapInArrow(_cut, schema).select(*shared.unfolded(columns, "text"), "n_lines", "n_deleted")
+    return joined.mapInArrow(shared.sparing(_cut), schema).select(*shared.unfolded(columns, "text"), "n_lines", "n_deleted")

@@ -2,16 +2,21 @@
 
 from __future__ import annotations
 
+import ctypes
 import tempfile
 import zipfile
+from collections.abc import Callable, Iterator
+from functools import wraps
 from pathlib import Path
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tallywork.llm import tokens
 from tallywork.sources.shared_folder import new_folder, written
 
-__all__ = ["folded", "new_folder", "range_bounds", "range_of", "table", "unfolded", "with_code", "written"]
+__all__ = ["folded", "new_folder", "range_bounds", "range_of", "sparing", "table", "unfolded", "with_code", "written"]
 
 ROWS_PER_RANGE = 2048
 MOST_RANGES = 16384
@@ -76,3 +81,28 @@ def range_of(key: Column, bounds: list[int]) -> Column:
     fine = F.slice(every, below * width + 1, F.lit(width))
     # Never NULL for the planner either: a join on it then adds no filter, and equal shuffles stay equal.
     return F.coalesce((below * width + F.size(F.filter(fine, lambda bound: bound <= key))).cast("int"), F.lit(0))
+
+
+def sparing(task: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], encodes: bool = False) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """A function for mapInArrow that gives freed memory back after each batch and, with that of arrays, at its end.
+
+    Spark keeps Python workers from task to task and from stage to stage, and Arrow's pool what the largest batch took.
+    A worker that comes to a task that encodes nothing drops the encoders of an earlier stage.
+    """
+
+    def given(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield batch
+            del batch
+            pa.default_memory_pool().release_unused()
+
+    @wraps(task)
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        if not encodes:
+            tokens.forget()
+        yield from task(given(batches))
+        pa.default_memory_pool().release_unused()
+        if trim := getattr(ctypes.CDLL(None), "malloc_trim", None):  # where the C library has it
+            trim(0)
+
+    return run

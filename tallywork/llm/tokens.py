@@ -172,6 +172,11 @@ def encoder(path: str, added: bool = False) -> Encoder:
     return _encoders[path, added]
 
 
+def forget() -> None:
+    """Drop the worker's encoders with the pieces they keep."""
+    _encoders.clear()
+
+
 def column(batch: pa.RecordBatch, name: str) -> pa.Array:
     """A text column of a batch with NULL as the empty text."""
     return batch.column(name).cast(pa.large_string()).fill_null("")

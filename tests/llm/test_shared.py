@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 import random
+import weakref
 from bisect import bisect_right
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from tallywork.llm import shared
+from tallywork.llm import shared, tokens
 
 
 @pytest.mark.parametrize("count", [0, 1, 2, 3, 10, 99, 500])
@@ -34,3 +36,37 @@ def test_folded_rows_come_back(spark):
     for apart in ((), ("text",), ("text", "odd name")):
         back = shared.folded(df, *apart).select(shared.unfolded(df.columns, *apart))
         assert back.columns == df.columns and back.collect() == df.collect()
+
+
+def test_sparing_gives_memory_back_after_each_batch(monkeypatch):
+    """The pool is asked to release what it doesn't use once for each batch, and at the end, when none is left."""
+    seen, alive = [], []
+
+    class Pool:
+        def release_unused(self):
+            seen.append(sum(ref() is not None for ref in alive))
+
+    def batches():
+        for i in range(3):
+            batch = pa.RecordBatch.from_arrays([pa.array([i])], ["x"])
+            alive.append(weakref.ref(batch))
+            yield batch
+            del batch
+
+    def doubled(given):
+        for batch in given:
+            out = pa.RecordBatch.from_arrays([pa.array([2 * batch.column("x")[0].as_py()])], ["x"])
+            del batch
+            yield out
+
+    monkeypatch.setattr(shared.pa, "default_memory_pool", Pool)
+    assert [batch.column("x").to_pylist() for batch in shared.sparing(doubled)(batches())] == [[0], [2], [4]]
+    assert len(seen) == 4 and seen[-1] == 0
+
+
+def test_a_task_that_encodes_nothing_drops_the_encoders(monkeypatch):
+    monkeypatch.setattr(tokens, "_encoders", {("file", True): None})
+    assert list(shared.sparing(iter, encodes=True)(iter([]))) == []
+    assert tokens._encoders
+    assert list(shared.sparing(iter)(iter([]))) == []
+    assert not tokens._encoders
