@@ -44,6 +44,8 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies (five-word shingles, similarity of 0.8 or more), the first.
 
+    Pairs are proposed by the Golay keys of op4's fingerprints and by MinHash bands; the sets of shingles decide.
+
     Rows that repeat, and ties of one doc_id, leave one row. NULL texts and those without a word are copies of one another. A row with a
     NULL doc_id stays only where no row of its group has one. Very long texts are compared whole. No rows: none.
     """

@@ -1,18 +1,21 @@
 """Near copies: texts whose sets of word shingles have a Jaccard similarity of SIMILAR or more.
 
-MinHash bands propose pairs, the sets themselves decide. A pair at the limit shares a band with probability
-1 - (1 - 0.8^5)^24 = 0.9999, a closer one with more. Equal sets are one node however many texts have them.
+The Golay keys of op4's SimHash and MinHash bands propose pairs, the sets themselves decide. All pairs whose fingerprints
+differ in two bits or fewer share a key. A pair at the limit shares a band with probability 1 - (1 - 0.8^5)^24 = 0.9999, a closer
+one with more. Equal sets are one node however many texts have them.
 
 The sets of a light group meet in one task, which compares them all and sends on a spanning forest of its links. What
-lies in a heavy group is dealt anew by bands of twice as many rows, which leave most of what is less alike apart. Of a
-group that is heavy even then, light blocks are compared, each with the same one of its nodes; only where that
-leaves it in several components do the others meet, in pairs of blocks. So nothing that shares a band is left out,
-no task holds more than a light group, and a group costs more than its size only as far as it stays unconnected.
+lies in a heavy group is dealt anew by each set's rarest shingles, so many that no pair that is similar enough lacks a common
+one; most of what is less alike has none. Of a group that is heavy even then, light blocks are compared, each with
+the same one of its nodes; only where that leaves it in several components do the others meet, in pairs of blocks. So no
+link between sets that share a key or a band is lost, no task holds more than a light group, and a group costs more than
+its size only as far as it stays unconnected.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import math
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -25,16 +28,16 @@ from tallywork.llm import golay_simhash, shared, tokens
 WORDS = 5
 SIMILAR = 0.8
 BANDS, ROWS = 24, 5
-#: For members of heavy groups: a pair at the limit shares one of these with probability 1 - (1 - 0.8^10)^64 = 0.9993.
-FINER_BANDS, FINER_ROWS = 64, 10
 SEED = 42
 CHUNK = 4096
 #: A group is light up to so many shingles; each of its sets counts as LEAST at least, so it has 256 sets at most.
 LIGHT, LEAST = 1 << 21, 1 << 13
+#: Shingles of heavy groups' members that are counted one by one.
+MOST_COMMON = 1 << 14
 
 _LOWER = bytes(code + 32 if 65 <= code <= 90 else code for code in range(256))
 _dice = np.random.Generator(np.random.PCG64(SEED))
-_MOST = BANDS * ROWS + FINER_BANDS * FINER_ROWS
+_MOST = BANDS * ROWS
 _XOR = _dice.integers(0, 1 << 64, _MOST, np.uint64)
 _TIMES = _dice.integers(0, 1 << 64, _MOST, np.uint64) | np.uint64(1)
 
@@ -58,34 +61,33 @@ def node(own: np.ndarray) -> int:
     return int(np.frombuffer(xxhash.xxh64_digest(own.astype("<u8").tobytes(), SEED), "<i8")[0])
 
 
-def bands(own: np.ndarray, finer: bool = False) -> list[int]:
-    """A key for each band of the MinHash signature of a set; none for an empty one. The finer ones have rows of their own."""
+def bands(own: np.ndarray) -> list[int]:
+    """A key for each band of the MinHash signature of a set; none for an empty one."""
     if not len(own):
         return []
-    first, number, rows = (BANDS * ROWS, FINER_BANDS, FINER_ROWS) if finer else (0, BANDS, ROWS)
-    which = slice(first, first + number * rows)
-    least = np.full(number * rows, np.iinfo(np.uint64).max, np.uint64)
-    step = CHUNK // 4 if finer else CHUNK
-    for at in range(0, len(own), step):
-        least = np.minimum(least, ((own[None, at : at + step] ^ _XOR[which, None]) * _TIMES[which, None]).min(axis=1))
-    return [int(np.int64(np.uint64(xxhash.xxh64_intdigest(part.astype("<u8").tobytes(), first + band)).view(np.int64))) for band, part in enumerate(least.reshape(number, rows))]
+    least = np.full(BANDS * ROWS, np.iinfo(np.uint64).max, np.uint64)
+    for at in range(0, len(own), CHUNK):
+        least = np.minimum(least, ((own[None, at : at + CHUNK] ^ _XOR[:, None]) * _TIMES[:, None]).min(axis=1))
+    return [int(np.int64(np.uint64(xxhash.xxh64_intdigest(part.astype("<u8").tobytes(), band)).view(np.int64))) for band, part in enumerate(least.reshape(BANDS, ROWS))]
 
 
 def _signed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for first, last in tokens.slices(texts := tokens.column(batch, "text")):
-            sets = [shingles(text.as_buffer().to_pybytes()) for text in texts.slice(first, last - first)]
+            raw = [text.as_buffer().to_pybytes() for text in texts.slice(first, last - first)]
+            sets = list(map(shingles, raw))
             part = batch.slice(first, last - first)
-            columns = [part.column("doc_id"), part.column("own"), pa.array(map(node, sets), pa.int64()), pa.array(map(len, sets), pa.int64()), pa.array(map(bands, sets), pa.list_(pa.int64()))]
-            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "own", "node", "size", "bands"])
+            fingerprints = np.fromiter(map(golay_simhash.fingerprint, raw), np.uint64, len(raw)).view(np.int64)
+            columns = [part.column("doc_id"), part.column("own"), pa.array(map(node, sets), pa.int64()), pa.array(map(len, sets), pa.int64()), pa.array(map(bands, sets), pa.list_(pa.int64())), pa.array(fingerprints)]
+            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "own", "node", "size", "bands", "fingerprint"])
 
 
-def _finer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _golay_keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        for name, text in zip(batch.column("node").to_pylist(), tokens.column(batch, "text"), strict=True):
-            own = shingles(text.as_buffer().to_pybytes())
-            found = bands(own, finer=True)
-            yield pa.RecordBatch.from_arrays([pa.array(found, pa.int64()), pa.array([name] * len(found), pa.int64()), pa.array([len(own)] * len(found), pa.int64())], ["key", "node", "size"])
+        for at in range(0, batch.num_rows, 2000):
+            part = batch.slice(at, 2000)
+            row, key = golay_simhash.keys(part.column("fingerprint").to_numpy().view(np.uint64))
+            yield pa.RecordBatch.from_arrays([pa.array(key), part.column("node").take(pa.array(row)), part.column("size").take(pa.array(row))], ["key", "node", "size"])
 
 
 def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -150,6 +152,44 @@ def _groups(keyed: DataFrame) -> DataFrame:
     return shared.written(keyed.join(kept, "key").select("key", "node", "size", "weight"), "band-groups")
 
 
+def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        keys, held = np.unique(batch.column("shingles").flatten().to_numpy(), return_counts=True)
+        yield pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), pa.array(held, pa.int64())], ["key", "held"])
+
+
+def _first(common: np.ndarray, held: np.ndarray, complete: bool) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """The first shingles of each set, by what holds them: those that aren't common, then the common ones (sorted, with their counts) by count."""
+
+    def first(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for name, own in zip(batch.column("node"), batch.column("shingles"), strict=True):
+                keys = own.values.to_numpy()
+                at = np.minimum(np.searchsorted(common, keys), max(0, len(common) - 1))
+                count = np.where(common[at] == keys, held[at], 0) if len(common) else np.zeros(len(keys), np.int64)
+                # A millionth less than the limit: one place too many does no harm.
+                order = np.lexsort((keys, count))[: len(keys) - math.ceil(len(keys) * SIMILAR - 1e-6) + 1]
+                if complete:
+                    order = order[count[order] > 0]
+                yield pa.RecordBatch.from_arrays([pa.array(keys[order]), pa.array([name.as_py()] * len(order), pa.int64()), pa.array([len(keys)] * len(order), pa.int64())], ["key", "node", "size"])
+
+    return first
+
+
+def _rarest(sets: DataFrame) -> DataFrame:
+    """key, node, size: each set's rarest shingles, without those that it alone has.
+
+    Sets of which one has at least SIMILAR of the other's shingles in common with it share one of the first
+    size - SIMILAR * size + 1 in any order that is the same for all. Here the MOST_COMMON shingles that most sets have come last, by their
+    number, and the others go by their hash; so the table that reaches the driver and the tasks is bounded, and no pair is lost by that.
+    """
+    counts = sets.select("shingles").mapInArrow(shared.sparing(_counted), "key bigint, held bigint").groupBy("key").agg(F.sum("held").alias("held")).where("held > 1")
+    found = counts.orderBy(F.desc("held"), "key").limit(MOST_COMMON).toArrow()
+    common, held = found.column("key").to_numpy(), found.column("held").to_numpy()
+    order = np.argsort(common)
+    return sets.select("node", "shingles").mapInArrow(shared.sparing(_first(common[order], held[order], len(common) < MOST_COMMON)), "key bigint, node bigint, size bigint")
+
+
 def _block(weight: Column) -> Column:
     """The block of a node, of as many as a weight needs."""
     return F.pmod(F.xxhash64("node"), F.ceil(weight / LIGHT))
@@ -189,7 +229,7 @@ def _crossed(heavy: DataFrame, roots: DataFrame) -> DataFrame:
 def _compared(groups: DataFrame, sets: DataFrame) -> DataFrame:
     """Links (a, b) that connect what is similar enough in each light group (key, node)."""
     rows = groups.join(sets, "node").select("key", "node", "shingles")
-    return shared.written(rows.repartition("key").sortWithinPartitions("key").mapInArrow(_linked, "a bigint, b bigint"), "alike")
+    return shared.written(rows.repartition("key").sortWithinPartitions("key").mapInArrow(shared.sparing(_linked), "a bigint, b bigint"), "alike")
 
 
 def near_copies(documents: DataFrame) -> DataFrame:
@@ -200,7 +240,7 @@ def near_copies(documents: DataFrame) -> DataFrame:
     """
     shared.with_code(documents.sparkSession)
     texts = documents.select(F.xxhash64("text").alias("own"), "text")
-    signed = documents.select("doc_id", F.xxhash64("text").alias("own"), "text").mapInArrow(_signed, "doc_id bigint, own bigint, node bigint, size bigint, bands array<bigint>")
+    signed = documents.select("doc_id", F.xxhash64("text").alias("own"), "text").mapInArrow(shared.sparing(_signed), "doc_id bigint, own bigint, node bigint, size bigint, bands array<bigint>, fingerprint bigint")
     own = shared.written(signed, "signatures")
     first = F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "own")
     nodes = shared.written(own.groupBy("node").agg(F.min(first).alias("first"), F.min("own").alias("own"), F.first("size").alias("size"), F.first("bands").alias("bands")), "nodes")
@@ -209,10 +249,11 @@ def near_copies(documents: DataFrame) -> DataFrame:
         return texts.join(nodes.select("node", "own").join(names, "node"), "own").dropDuplicates(["node"]).select("node", "text")
 
     light, heavy = F.col("weight") <= LIGHT, F.col("weight") > LIGHT
-    coarse = _groups(nodes.select(F.explode("bands").alias("key"), "node", "size"))
-    fine = _groups(with_text(coarse.where(heavy).select("node").distinct()).mapInArrow(_finer, "key bigint, node bigint, size bigint"))
-    needed = coarse.where(light).select("node").union(fine.select("node")).distinct()
-    sets = shared.written(with_text(needed).mapInArrow(_sets, "node bigint, shingles array<bigint>"), "sets")
+    # Texts of one set may repeat its shingles differently and then have several fingerprints.
+    keyed = own.where("size > 0").select("node", "size", "fingerprint").distinct().mapInArrow(shared.sparing(_golay_keys), "key bigint, node bigint, size bigint").distinct()
+    coarse = _groups(nodes.select(F.explode("bands").alias("key"), "node", "size").union(keyed))
+    sets = shared.written(with_text(coarse.select("node").distinct()).mapInArrow(shared.sparing(_sets), "node bigint, shingles array<bigint>"), "sets")
+    fine = _groups(_rarest(shared.written(sets.join(coarse.where(heavy).select("node").distinct(), "node"), "heavy-sets")))
     groups = coarse.where(light).select("key", "node").union(fine.where(light).select("key", "node")).union(_stars(fine.where(heavy)))
     linked = _compared(groups, sets)
     roots = golay_simhash.components(linked)

@@ -5,6 +5,7 @@ from __future__ import annotations
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 import corpus_pipeline
@@ -98,3 +99,51 @@ def test_many_near_copies_are_one_component(spark):
     texts = [" ".join([*base[: i % 190], f"own{i}", *base[i % 190 + 1 :]]) for i in range(400)]
     docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
     assert {row["component_id"] for row in near_copies.near_copies(docs).collect()} == {0}
+
+
+@pytest.mark.parametrize("common", [near_copies.MOST_COMMON, 20])
+def test_rare_shingles_keep_every_pair_at_the_limit(spark, monkeypatch, common):
+    monkeypatch.setattr(near_copies, "MOST_COMMON", common)
+    dice = random.Random(3)
+    sets = [sorted(dice.sample(range(400), dice.randrange(1, 60))) for _ in range(60)]
+    for own in sets[:40]:
+        common = dice.sample(own, -(-len(own) * 4 // 5))
+        sets += [sorted(common), sorted({*own, *(1000 + dice.randrange(50) for _ in range(len(own) // 4))})]
+    found: dict[int, set[int]] = {}
+    for row in near_copies._rarest(spark.createDataFrame(list(enumerate(sets)), "node bigint, shingles array<bigint>")).collect():
+        found.setdefault(row["node"], set()).add(row["key"])
+    pairs = [(i, j) for i, a in enumerate(sets) for j, b in enumerate(sets[:i]) if 5 * len({*a} & {*b}) >= 4 * len({*a} | {*b})]
+    assert len(pairs) > 60
+    assert all(found[i] & found[j] for i, j in pairs)
+    assert all(len(keys) <= len(sets[i]) // 5 + 1 for i, keys in found.items())
+
+
+def test_a_pair_that_shares_only_heavy_groups_is_found(spark, monkeypatch):
+    """Four of five shingles in common: this pair had no finer band of ten rows in common."""
+    monkeypatch.setattr(near_copies, "LIGHT", near_copies.LEAST)
+    words = [f"w234x{i}" for i in range(9)]
+    docs = spark.createDataFrame([(1, " ".join(words)), (2, " ".join(words[:8])), (3, "other")], "doc_id bigint, text string")
+    assert {row["doc_id"]: row["component_id"] for row in near_copies.near_copies(docs).collect()} == {1: 1, 2: 1, 3: 3}
+
+
+def test_fingerprints_within_two_bits_share_a_key():
+    dice = random.Random(6)
+    own = [dice.getrandbits(64) for _ in range(200)]
+    own += [one ^ 1 << dice.randrange(64) ^ 1 << dice.randrange(64) for one in own]
+    batch = pa.RecordBatch.from_arrays([pa.array(np.array(own, np.uint64).view(np.int64)), pa.array(range(400), pa.int64()), pa.array([9] * 400, pa.int64())], ["fingerprint", "node", "size"])
+    keys: dict[int, set[int]] = {}
+    for part in near_copies._golay_keys(iter([batch])):
+        for key, node in zip(part.column("key").to_pylist(), part.column("node").to_pylist(), strict=True):
+            keys.setdefault(node, set()).add(key)
+    assert all(keys[i] & keys[i + 200] for i in range(200))
+
+
+def test_a_text_is_proposed_by_its_golay_keys(spark, monkeypatch):
+    """Without any band: texts of one fingerprint meet by its keys, and the sets decide."""
+    groups = near_copies._groups
+    monkeypatch.setattr(near_copies, "_groups", lambda keyed: groups(keyed.where("key between 0 and 4398046511104") if hasattr(near_copies, "_golay_keys") else keyed.limit(0)))
+    base = [f"w{i}" for i in range(300)]
+    texts = [" ".join(base), " ".join([*base, "more"]), " ".join(reversed(base)), ""]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    assert (golay_simhash.fingerprint(texts[0].encode()) ^ golay_simhash.fingerprint(texts[1].encode())).bit_count() <= 2
+    assert {row["doc_id"]: row["component_id"] for row in near_copies.near_copies(docs).collect()} == {0: 0, 1: 0, 2: 2, 3: 3}
